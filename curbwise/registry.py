@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbwise.plans import reports
+from curbwise.plans import reports, scoring, tagging, weekly
+from curbwise.sources.fixtures import AS_OF
 from curbwise.sources.tables import PermitTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,40 @@ def _on_fixture(plan) -> QueryFn:
     return run
 
 
+def _as_of(plan, **kw):
+    def bound(t: PermitTables) -> DataFrame:
+        return plan(t, AS_OF, **kw)
+    bound.__doc__ = plan.__doc__
+    bound.__name__ = plan.__name__
+    return bound
+
+
+PLANS = {
+    **reports.REPORTS,
+    # metric pipelines
+    "daily_request_counts": weekly.daily_request_counts,
+    "active_permits_snapshot": _as_of(weekly.active_permits_snapshot),
+    "weekly_type_totals": weekly.weekly_type_totals_report,
+    "weekly_summary": weekly.weekly_summary_report,
+    "segment_count_score": _as_of(scoring.segment_count_score),
+    "duration_score": _as_of(scoring.duration_score),
+    "duration_score_literal": _as_of(scoring.duration_score_literal),
+    "road_segment_attach": _as_of(scoring.road_segment_attach),
+    "road_class_score": _as_of(scoring.road_class_score),
+    "dapcz_score": _as_of(scoring.dapcz_score),
+    "permit_inspector_zone": _as_of(scoring.permit_inspector_zone),
+    "deficiency_score": _as_of(scoring.deficiency_score),
+    "recent_inspection_score": _as_of(scoring.recent_inspection_score),
+    "permit_type_label": _as_of(scoring.permit_type_label),
+    "inspector_priority": _as_of(scoring.inspector_priority),
+    "timestamp_text_normalize": _as_of(scoring.timestamp_text_normalize),
+    # spatial tagging
+    "segments_recent": _as_of(tagging.segments_recent),
+    "segment_inspector_zone": tagging.segment_inspector_zone,
+    "segment_dapcz_zone": tagging.segment_dapcz_zone,
+    "segment_zone_tags": _as_of(tagging.segment_zone_tags),
+}
+
+
 def queries() -> dict[str, QueryFn]:
-    out: dict[str, QueryFn] = {name: _on_fixture(fn) for name, fn in reports.REPORTS.items()}
-    return out
+    return {name: _on_fixture(fn) for name, fn in PLANS.items()}

@@ -20,7 +20,6 @@ SESSION_DEFAULTS = {
     # them the join stays a shuffled sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.ui.enabled": "false",
 }
 
 
@@ -30,14 +29,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in SESSION_DEFAULTS.items():
-        if k.startswith("spark.sql.") and k != "spark.sql.ui.enabled":
+        if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
