@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from curbwise.functions import dates as D
 from curbwise.operators.spatial import tag_zones
+from curbwise.sources.sinks import merge_by_key
 from curbwise.sources.tables import PermitTables
 
 # Look-back of the incremental run and the start of a full run.
 LOOKBACK_DAYS = 30
+# Age of the previously published full run in the ``keyed_upsert`` query.
+PREVIOUS_RUN_DAYS = 15
 FULL_SINCE = "1970-01-01 00:00:00"
 # Grid cell edge in the coordinate unit of the geometry. Any value gives the
 # same result; it only trades join fan-out (small cells) against pairs
@@ -59,7 +62,26 @@ def segment_zone_tags(t: PermitTables, as_of: str, full: bool = False,
 
     Output is the published road-segment dataset keyed by ``segment_id``.
     """
-    segs = recent_segments(t.segment, as_of, full=full)
+    return tag_segments(t, recent_segments(t.segment, as_of, full=full), cell_size)
+
+
+def tag_segments(t: PermitTables, segs: DataFrame, cell_size: float = CELL_SIZE) -> DataFrame:
+    """Segments (with ``path``) -> published columns with both zone tags."""
     tags = _tag(segs, t, True, True, cell_size).drop("path")
     return (segs.select("segment_id", "full_street_name", "road_class")
             .join(tags, "segment_id", "left").select(*TAG_COLUMNS))
+
+
+def keyed_upsert(t: PermitTables, as_of: str, cell_size: float = CELL_SIZE) -> DataFrame:
+    """The published segment dataset after this run's incremental upsert.
+
+    Previous version: a full run published ``PREVIOUS_RUN_DAYS`` before
+    ``as_of`` (every segment modified before then). This run tags the
+    segments modified in the look-back window and upserts them by
+    ``segment_id``: keys present in both are replaced, new keys are added,
+    all other rows are kept.
+    """
+    cutoff = D.ts_literal(as_of) - F.expr(f"INTERVAL {PREVIOUS_RUN_DAYS} DAYS")
+    previous = tag_segments(t, t.segment.filter(F.col("modified_date") < cutoff), cell_size)
+    updates = segment_zone_tags(t, as_of, cell_size=cell_size)
+    return merge_by_key(previous, updates, ["segment_id"])

@@ -7,12 +7,14 @@ whole tables.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from curbwise.plans import reports, scoring, tagging, weekly
 from curbwise.sources.fixtures import AS_OF
+from curbwise.sources.snapshot import published_at
 from curbwise.sources.tables import PermitTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -58,8 +60,17 @@ PLANS = {
     "segment_inspector_zone": tagging.segment_inspector_zone,
     "segment_dapcz_zone": tagging.segment_dapcz_zone,
     "segment_zone_tags": _as_of(tagging.segment_zone_tags),
+    # publishing
+    "keyed_upsert": _as_of(tagging.keyed_upsert),
 }
 
 
+def snapshot_published_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish time (US/Central, minutes) of the folder source file."""
+    return published_at(spark.read.parquet(os.path.join(sf_dir, "orders.parquet")))
+
+
 def queries() -> dict[str, QueryFn]:
-    return {name: _on_fixture(fn) for name, fn in PLANS.items()}
+    out = {name: _on_fixture(fn) for name, fn in PLANS.items()}
+    out["snapshot_published_at"] = snapshot_published_at
+    return out
