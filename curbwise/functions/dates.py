@@ -83,24 +83,30 @@ def week_ending_saturday(c: ColumnOrName) -> Column:
     return F.next_day(F.date_sub(F.to_date(_c(c)), 1), "SAT")
 
 
-# Formats tried, in order, when a text column holds mixed date/time layouts.
-MIXED_TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "MM-dd-yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-)
+# Layouts accepted for date/time text: year first (ISO-like) or month first.
+_YEAR_FIRST = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d+)?))?)?\s*$"
+_MONTH_FIRST = r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d+)?))?)?\s*$"
+
+
+def _from_parts(text: Column, pattern: str, y: int, m: int, d: int) -> Column:
+    def part(i: int, default: int | None = None) -> Column:
+        v = F.nullif(F.regexp_extract(text, pattern, i), F.lit("")).try_cast("int")
+        return v if default is None else F.coalesce(v, F.lit(default))
+    sec = F.coalesce(F.nullif(F.regexp_extract(text, pattern, 6), F.lit("")).try_cast("decimal(16,6)"),
+                     F.lit(0).cast("decimal(16,6)"))
+    return F.when(text.rlike(pattern),
+                  F.try_make_timestamp_ntz(part(y), part(m), part(d), part(4, 0), part(5, 0), sec))
 
 
 def parse_mixed_timestamp(c: ColumnOrName) -> Column:
-    """Text in any of the known layouts -> TIMESTAMP_NTZ; unparsable -> NULL."""
+    """Text in a year-first or month-first date[/time] layout -> TIMESTAMP_NTZ.
+
+    Built from the extracted parts with ``try_make_timestamp_ntz``, so the
+    result does not depend on the session time zone (no DST shifts) and
+    unparsable or impossible dates give NULL.
+    """
     col = _c(c)
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
-                        for fmt in MIXED_TIMESTAMP_FORMATS])
+    return F.coalesce(_from_parts(col, _YEAR_FIRST, 1, 2, 3), _from_parts(col, _MONTH_FIRST, 3, 1, 2))
 
 
 def as_timestamp(c: ColumnOrName, dtype: str) -> Column:

@@ -15,11 +15,12 @@ def published_at(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
 
     Uses the file-source hidden ``_metadata`` column, so it is answered from
     the scan itself (constant per file) with a global max aggregate. The
-    modification time is an instant; it is rendered in ``zone`` with
-    minute precision (``yyyy-MM-ddTHH:mm:00.000``).
+    modification time is an instant; it is rendered as wall-clock time in
+    ``zone`` with minute precision (``yyyy-MM-ddTHH:mm:00.000``).
     """
     latest = df.select(F.col("_metadata.file_modification_time").alias("_m")).agg(F.max("_m").alias("_m"))
-    local = F.from_utc_timestamp(F.col("_m"), zone)
+    # instant -> session-zone wall clock -> wall clock in `zone`
+    local = F.convert_timezone(None, F.lit(zone), F.col("_m").cast("timestamp_ntz"))
     return latest.select(F.date_format(local, PUBLISH_MINUTES).alias("published_date"))
 
 
