@@ -8,7 +8,10 @@ Two shapes occur in the reports:
 * inner attribute join (``JOIN info i ON i.key = f.key AND i.code = c``):
   an entity missing the code is dropped and a repeated code fans out.
 
-Both read the attribute table once, filtered to the wanted codes.
+Both only read the wanted codes. The attribute tables are stored partitioned
+by their code column (see ``sources.jdbc.PARTITION_COLUMNS``), so a code
+filter is partition pruning: a lookup of k codes reads k partitions and the
+per-code branches of an attribute join read disjoint files.
 """
 
 from __future__ import annotations
@@ -47,13 +50,12 @@ def attribute_join(entities: DataFrame, info: DataFrame, key: str, code_col: str
                    value_col: str, codes: dict[str, int]) -> DataFrame:
     """Inner-join one attribute column per code (missing drops, repeats fan out).
 
-    The attribute table is scanned once, filtered to all codes and
-    hash-partitioned on the key; every per-code branch reuses that exchange
-    and the chain of joins on ``key`` needs no further shuffle of ``info``.
+    Each branch reads one code (one partition of the attribute table) and is
+    shuffled by ``key``; together the branches move each wanted attribute row
+    once. The joins all use ``key``, so the entity side is shuffled once and
+    stays partitioned through the chain.
     """
-    base = (info.filter(F.col(code_col).isin(list(codes.values())))
-            .select(key, code_col, value_col)
-            .repartition(key))
+    base = info.select(key, code_col, value_col)
     out = entities
     for name, code in codes.items():
         branch = base.filter(F.col(code_col) == F.lit(code)).select(key, F.col(value_col).alias(name))

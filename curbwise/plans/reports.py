@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
 from curbwise.operators import eav
-from curbwise.operators.grouping import cycle_number, first_of_group
+from curbwise.operators.grouping import cycle_number, first_of_group, split_points
 from curbwise.sources.tables import PermitTables
 
 # Fixed values of the reports: cut-off dates, status / process / info codes.
@@ -189,6 +189,14 @@ def _process_rows(t: PermitTables, folders: DataFrame, process_codes) -> DataFra
             .repartition("folderrsn"))
 
 
+def _cycle_splits(t: PermitTables, process_codes) -> DataFrame:
+    """Hot (folder, process code) groups and their split values, from the process
+    table alone: a cheap aggregate whose group sizes bound the report's."""
+    procs = t.folderprocess.filter(col("processcode").isin(*process_codes)) \
+        .select("folderrsn", "processcode", "processrsn")
+    return split_points(procs, ["folderrsn", "processcode"], "processrsn")
+
+
 # R7 ------------------------------------------------------------------------
 def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
     """Land-development engineering reviews with their cycle number."""
@@ -205,7 +213,9 @@ def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
         D.iso_seconds("scheduleenddate").alias("to_end"),
         "process_status", "councildistrict").distinct()
     numbered = cycle_number(distinct, ["folderrsn", "processcode"],
-                            ["processrsn", "councildistrict", "reviewer"])
+                            ["processrsn", "councildistrict", "reviewer", "start_date", "end_date",
+                             "to_start", "to_end", "process_status"],
+                            split_at=_cycle_splits(t, LDE_PROCESSES))
     return numbered.select(
         "foldertype", "folderrevision", "folderrsn", "subcode", "subdesc", "statusdesc",
         "foldercondition", "referencefile", "foldername", "reviewer", "processrsn",
@@ -226,7 +236,9 @@ def tds_cases(t: PermitTables) -> DataFrame:
         D.iso_seconds("enddate").alias("ended_date"),
         "process_status", "councildistrict").distinct()
     numbered = cycle_number(distinct, ["folderrsn", "processcode"],
-                            ["processrsn", "councildistrict", "reviewer"])
+                            ["processrsn", "councildistrict", "reviewer", "started_date", "ended_date",
+                             "tostart_date", "duedate", "process_status"],
+                            split_at=_cycle_splits(t, TDS_PROCESSES))
     return numbered.select(
         "foldertype", "folderrsn", "referencefile", "foldername", "reviewer", "processrsn",
         "processname", "tostart_date", "duedate", "started_date", "ended_date",

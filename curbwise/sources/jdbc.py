@@ -76,7 +76,15 @@ def from_jdbc(spark: SparkSession, url: str, tables: list[str] | None = None,
     return PermitTables(spark, {n: loader(n) for n in names})
 
 
+# Attribute (EAV) tables are stored partitioned by attribute code: every
+# report reads a handful of codes, which then prune to a handful of folders.
+PARTITION_COLUMNS = {"folderinfo": "infocode", "propertyinfo": "propertyinfocode"}
+
+
 def extract_to_parquet(t: PermitTables, root: str, tables: list[str] | None = None) -> None:
     """Write each table to ``root/<table>`` (the nightly extract)."""
     for name in tables or t.names():
-        getattr(t, name).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        writer = getattr(t, name).write.mode("overwrite")
+        if name in PARTITION_COLUMNS:
+            writer = writer.partitionBy(PARTITION_COLUMNS[name])
+        writer.parquet(f"{root.rstrip('/')}/{name}")

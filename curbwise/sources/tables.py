@@ -54,7 +54,9 @@ class PermitTables:
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "PermitTables":
         def reader(name):
-            return lambda: spark.read.parquet(os.path.join(root, name))
+            # select in model order: partition columns come back last otherwise
+            cols = [f.name for f in PERMIT_SCHEMAS[name].fields]
+            return lambda: spark.read.parquet(os.path.join(root, name)).select(*cols)
         names = [n for n in PERMIT_SCHEMAS if os.path.exists(os.path.join(root, n))] \
             if not root.startswith(("s3", "gs", "hdfs", "abfs")) else list(PERMIT_SCHEMAS)
         return cls(spark, {n: reader(n) for n in names})

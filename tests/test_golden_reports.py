@@ -194,3 +194,16 @@ def test_column_name_normalisation(spark):
     df = spark.createDataFrame([(1,)], "`DS Applications Received` int")
     assert X.normalize_columns(df).columns == ["ds_applications_received"]
     assert F is not None
+
+
+def test_cycle_numbers_with_hot_groups_match_plain_window(spark):
+    from curbwise.operators.grouping import cycle_number, split_points
+    rows = [(g, g % 2, (i * 7919) % 100_003, f"d{i % 3}") for g, n in ((1, 400), (2, 5), (3, 250))
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "folderrsn long, processcode int, processrsn long, councildistrict string")
+    keys, order = ["folderrsn", "processcode"], ["processrsn", "councildistrict"]
+    plain = {tuple(r) for r in cycle_number(df, keys, order).collect()}
+    splits = split_points(df, keys, "processrsn", hot_group_rows=100, splits=8)
+    assert splits.count() == 2
+    split = {tuple(r) for r in cycle_number(df, keys, order, split_at=splits).select(*df.columns, "cyclenumber").collect()}
+    assert split == plain

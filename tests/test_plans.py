@@ -20,10 +20,32 @@ def test_no_python_udf_and_no_cross_product(spark, name):
         assert bad not in plan, f"{name}: {bad} in plan"
 
 
-def test_sif_attribute_joins_scan_folderinfo_once(spark):
-    plan = _plan(QUERIES["tds_asmd_map"](spark, SF))
-    # seven inner attribute joins reuse one filtered, key-partitioned exchange
-    assert plan.count("ReusedExchange") >= 6 or "AdaptiveSparkPlan" in plan
+@pytest.fixture(scope="module")
+def extracted(spark, tmp_path_factory):
+    """The fixture model written in the production layout (attribute tables partitioned)."""
+    from curbwise.sources.jdbc import extract_to_parquet
+    from curbwise.sources.tables import PermitTables
+    root = str(tmp_path_factory.mktemp("extract"))
+    src = PermitTables.from_fixture(spark, SF)
+    extract_to_parquet(src, root, ["folder", "folderinfo", "folderproperty", "property", "propertyinfo",
+                                   "validstatus", "accountbill", "folderfreeform"])
+    return PermitTables.from_parquet(spark, root)
+
+
+def test_attribute_joins_prune_to_one_partition_per_code(spark, extracted):
+    from curbwise.plans import reports
+    plan = _plan(reports.tds_asmd_map(extracted))
+    for code in reports.SIF_INFO.values():
+        assert f"(infocode#" in plan and f"= {code})" in plan, code
+    assert plan.count("PartitionFilters: [isnotnull(infocode") >= len(reports.SIF_INFO)
+
+
+def test_extracted_layout_gives_same_rows(spark, extracted):
+    from curbwise.plans import reports
+    from curbwise.sources.tables import PermitTables
+    a = sorted(map(tuple, reports.tds_asmd_map(extracted).collect()))
+    b = sorted(map(tuple, reports.tds_asmd_map(PermitTables.from_fixture(spark, SF)).collect()))
+    assert a == b and a
 
 
 def test_process_report_shuffles_once_for_distinct_and_window(spark):
