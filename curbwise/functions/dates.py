@@ -83,30 +83,33 @@ def week_ending_saturday(c: ColumnOrName) -> Column:
     return F.next_day(F.date_sub(F.to_date(_c(c)), 1), "SAT")
 
 
-# Layouts accepted for date/time text: year first (ISO-like) or month first.
-_YEAR_FIRST = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d+)?))?)?\s*$"
-_MONTH_FIRST = r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d+)?))?)?\s*$"
-
-
-def _from_parts(text: Column, pattern: str, y: int, m: int, d: int) -> Column:
-    def part(i: int, default: int | None = None) -> Column:
-        v = F.nullif(F.regexp_extract(text, pattern, i), F.lit("")).try_cast("int")
-        return v if default is None else F.coalesce(v, F.lit(default))
-    sec = F.coalesce(F.nullif(F.regexp_extract(text, pattern, 6), F.lit("")).try_cast("decimal(16,6)"),
-                     F.lit(0).cast("decimal(16,6)"))
-    return F.when(text.rlike(pattern),
-                  F.try_make_timestamp_ntz(part(y), part(m), part(d), part(4, 0), part(5, 0), sec))
+# Layouts accepted for date/time text: year first (ISO-like) or month first,
+# optional time with optional seconds and fraction.
+_TIME = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?"
+_LAYOUT = rf"^\s*(?:\d{{4}}-\d{{1,2}}-\d{{1,2}}|\d{{1,2}}[-/]\d{{1,2}}[-/]\d{{4}}){_TIME}\s*$"
 
 
 def parse_mixed_timestamp(c: ColumnOrName) -> Column:
     """Text in a year-first or month-first date[/time] layout -> TIMESTAMP_NTZ.
 
-    Built from the extracted parts with ``try_make_timestamp_ntz``, so the
-    result does not depend on the session time zone (no DST shifts) and
-    unparsable or impossible dates give NULL.
+    One layout check and one extraction of the digit runs; the value is built
+    with ``try_make_timestamp_ntz``, so it does not depend on the session time
+    zone (no DST shifts) and impossible dates give NULL.
     """
-    col = _c(c)
-    return F.coalesce(_from_parts(col, _YEAR_FIRST, 1, 2, 3), _from_parts(col, _MONTH_FIRST, 3, 1, 2))
+    text = _c(c)
+    nums = F.regexp_extract_all(text, F.lit(r"(\d+)"), 1)
+
+    def num(i: int) -> Column:  # 1-based position, NULL when absent
+        return F.try_element_at(nums, F.lit(i))
+    year_first = F.length(num(1)) == 4
+    year = F.when(year_first, num(1)).otherwise(num(3)).cast("int")
+    month = F.when(year_first, num(2)).otherwise(num(1)).cast("int")
+    day = F.when(year_first, num(3)).otherwise(num(2)).cast("int")
+    hour = F.coalesce(num(4).cast("int"), F.lit(0))
+    minute = F.coalesce(num(5).cast("int"), F.lit(0))
+    sec = F.coalesce(F.concat(num(6), F.lit("."), F.coalesce(num(7), F.lit("0"))).cast("decimal(16,6)"),
+                     F.lit(0).cast("decimal(16,6)"))
+    return F.when(text.rlike(_LAYOUT), F.try_make_timestamp_ntz(year, month, day, hour, minute, sec))
 
 
 def as_timestamp(c: ColumnOrName, dtype: str) -> Column:

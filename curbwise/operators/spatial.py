@@ -50,28 +50,34 @@ def _with_cells(edges: DataFrame, size: float) -> DataFrame:
             .withColumn("cy", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), size))))
 
 
-def _orient(ax, ay, bx, by, cx, cy) -> Column:
-    return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+def _orient(a, b, c) -> str:
+    """Twice the signed area of triangle a, b, c (SQL text over column names)."""
+    (ax, ay), (bx, by), (cx, cy) = a, b, c
+    return f"(({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax}))"
 
 
-def edges_touch(a, b) -> Column:
-    """Closed segments a=(x1,y1,x2,y2) and b touch or cross (collinear included)."""
+def edges_touch(a: tuple[str, str, str, str], b: tuple[str, str, str, str]) -> Column:
+    """Closed segments a=(x1,y1,x2,y2) and b (column names) touch or cross, collinear included.
+
+    Bounding boxes overlap and each segment's end points are not strictly on
+    one side of the other's line. Exact for coordinates whose products are
+    exact in doubles. Built as one SQL expression.
+    """
     ax1, ay1, ax2, ay2 = a
     bx1, by1, bx2, by2 = b
-    o1 = F.signum(_orient(bx1, by1, bx2, by2, ax1, ay1))
-    o2 = F.signum(_orient(bx1, by1, bx2, by2, ax2, ay2))
-    o3 = F.signum(_orient(ax1, ay1, ax2, ay2, bx1, by1))
-    o4 = F.signum(_orient(ax1, ay1, ax2, ay2, bx2, by2))
-    boxes = ((F.greatest(F.least(ax1, ax2), F.least(bx1, bx2)) <= F.least(F.greatest(ax1, ax2), F.greatest(bx1, bx2)))
-             & (F.greatest(F.least(ay1, ay2), F.least(by1, by2)) <= F.least(F.greatest(ay1, ay2), F.greatest(by1, by2))))
-    return boxes & (o1 * o2 <= 0) & (o3 * o4 <= 0)
+    p1, p2, q1, q2 = (ax1, ay1), (ax2, ay2), (bx1, by1), (bx2, by2)
+    return F.expr(
+        f"greatest(least({ax1}, {ax2}), least({bx1}, {bx2})) <= least(greatest({ax1}, {ax2}), greatest({bx1}, {bx2}))"
+        f" AND greatest(least({ay1}, {ay2}), least({by1}, {by2})) <= least(greatest({ay1}, {ay2}), greatest({by1}, {by2}))"
+        f" AND signum({_orient(q1, q2, p1)}) * signum({_orient(q1, q2, p2)}) <= 0"
+        f" AND signum({_orient(p1, p2, q1)}) * signum({_orient(p1, p2, q2)}) <= 0")
 
 
-def ray_crosses(px, py, x1, y1, x2, y2) -> Column:
+def ray_crosses(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> Column:
     """Edge crosses the ray from (px, py) toward +x (half-open rule, no division)."""
-    straddles = (y1 > py) != (y2 > py)
-    side = ((px - x1) * (y2 - y1) - (py - y1) * (x2 - x1)) * F.signum(y2 - y1)
-    return straddles & (side < 0)
+    return F.expr(
+        f"(({y1} > {py}) <> ({y2} > {py}))"
+        f" AND (({px} - {x1}) * ({y2} - {y1}) - ({py} - {y1}) * ({x2} - {x1})) * signum({y2} - {y1}) < 0")
 
 
 def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
@@ -84,8 +90,7 @@ def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
     pe_raw = _edges(polys, poly_id, poly_geom, close_rings=True)
     pe = _with_cells(pe_raw, cell_size).select(col("_id").alias("poly"), "cx", "cy", "x1", "y1", "x2", "y2")
     touching = (le.join(pe, ["cx", "cy"], "inner")
-                .filter(edges_touch((col("ax1"), col("ay1"), col("ax2"), col("ay2")),
-                                    (col("x1"), col("y1"), col("x2"), col("y2"))))
+                .filter(edges_touch(("ax1", "ay1", "ax2", "ay2"), ("x1", "y1", "x2", "y2")))
                 .select("line", "poly"))
 
     # (b) containment of the first vertex of every part.
@@ -107,7 +112,7 @@ def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
              .withColumn("band", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), cell_size)))
              .select(col("_id").alias("poly"), "band", "x1", "y1", "x2", "y2"))
     inside = (cand.join(bands, ["poly", "band"], "inner")
-              .filter(ray_crosses(col("px"), col("py"), col("x1"), col("y1"), col("x2"), col("y2")))
+              .filter(ray_crosses("px", "py", "x1", "y1", "x2", "y2"))
               .groupBy("line", "part", "poly").count()
               .filter(col("count") % 2 == 1)
               .select("line", "poly"))

@@ -41,6 +41,12 @@ def _ts(df: DataFrame, name: str) -> Column:
     return D.as_timestamp(name, df.schema[name].dataType.simpleString())
 
 
+def parse_dates(df: DataFrame, fields: list[str] = DATE_FIELDS) -> DataFrame:
+    """The date columns as TIMESTAMP_NTZ, text parsed once (not at every use)."""
+    todo = {f: _ts(df, f) for f in fields if df.schema[f].dataType.simpleString() != "timestamp_ntz"}
+    return df.withColumns(todo) if todo else df
+
+
 # M5 ------------------------------------------------------------------------
 def segment_count_points(n: Column) -> Column:
     return F.when(n > 1, MANY_SEGMENTS_POINTS).otherwise(FEW_SEGMENTS_POINTS)
@@ -65,6 +71,7 @@ def with_duration(permits: DataFrame, null_extension: str = "fallback") -> DataF
     """
     if null_extension not in ("fallback", "literal"):
         raise ValueError("null_extension must be 'fallback' or 'literal'")
+    permits = parse_dates(permits)
     ext_start, ext_end = _ts(permits, "extension_start_date"), _ts(permits, "extension_end_date")
     start, end = _ts(permits, "start_date"), _ts(permits, "end_date")
     use_ext = F.lit(True) if null_extension == "literal" else (ext_start.isNotNull() & ext_end.isNotNull())
@@ -124,10 +131,8 @@ def segment_facts(segments: DataFrame, road: DataFrame) -> DataFrame:
 # M15 -----------------------------------------------------------------------
 def normalize_timestamps(df: DataFrame, fields: list[str] = DATE_FIELDS) -> DataFrame:
     """Date columns (timestamps or text in mixed layouts) -> minute-precision text."""
-    out = df
-    for f in fields:
-        out = out.withColumn(f, F.date_format(_ts(out, f), D.PUBLISH_MINUTES))
-    return out
+    parsed = parse_dates(df, fields)
+    return parsed.withColumns({f: F.date_format(F.col(f), D.PUBLISH_MINUTES) for f in fields})
 
 
 # M14 -----------------------------------------------------------------------
@@ -135,7 +140,7 @@ def score_permits(permits: DataFrame, segments: DataFrame, road: DataFrame, as_o
                   null_extension: str = "fallback") -> DataFrame:
     """All scoring columns and ``total_score`` for every permit-list row."""
     facts = segment_facts(segments, road)
-    p = permits.join(facts, "folderrsn", "left")
+    p = parse_dates(permits).join(facts, "folderrsn", "left")
     p = (p.withColumn("count_segments", F.coalesce(col("count_segments"), F.lit(0)))
          .withColumn("count_segment_scoring", segment_count_points(col("count_segments"))))
     p = with_duration(p, null_extension)

@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     # them the join stays a shuffled sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Batch jobs: do not capture a Python call site for every Column function
+    # (several driver round trips each while a plan is being built).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -63,6 +63,19 @@ class PermitTables:
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str) -> "PermitTables":
+        """The fixture model over the driver tables in ``sf_dir`` (cached per session).
+
+        DataFrames are immutable plans, so one instance serves every query of
+        a session: the driver files are listed and the mapping statements are
+        analysed once instead of once per query.
+        """
+        key = (id(spark), os.path.abspath(sf_dir))
+        if key not in _FIXTURE_CACHE:
+            _FIXTURE_CACHE[key] = cls._build_fixture(spark, sf_dir)
+        return _FIXTURE_CACHE[key]
+
+    @classmethod
+    def _build_fixture(cls, spark: SparkSession, sf_dir: str) -> "PermitTables":
         driver: dict[str, DataFrame] = {}
 
         def table(name: str) -> DataFrame:
@@ -89,6 +102,9 @@ class PermitTables:
         return inst
 
 
+_FIXTURE_CACHE: dict[tuple[int, str], "PermitTables"] = {}
+
+
 def segments_with_paths(attrs: DataFrame, edges: DataFrame) -> DataFrame:
     """One polyline per segment from its ordered edges (fixture geometry).
 
