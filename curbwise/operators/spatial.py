@@ -45,9 +45,30 @@ def _cell_range(lo: Column, hi: Column, size: float) -> Column:
 
 
 def _with_cells(edges: DataFrame, size: float) -> DataFrame:
-    return (edges
-            .withColumn("cx", F.explode(_cell_range(F.least("x1", "x2"), F.greatest("x1", "x2"), size)))
-            .withColumn("cy", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), size))))
+    """Each edge once per grid cell it passes through (plus rounding margin).
+
+    Per column strip of the edge's x-range, only the y-range the edge spans
+    inside that strip is exploded, so a long diagonal edge yields about
+    2 * length / size cells instead of every cell of its bounding box. The
+    y-range is widened by a tiny margin, so floating-point rounding can only
+    add a neighbouring cell, never drop one; the exact test after the join
+    removes the extras.
+    """
+    g = F.lit(size)
+    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
+    e = edges.withColumn("cx", F.explode(_cell_range(F.least(x1, x2), F.greatest(x1, x2), size)))
+    xa = F.greatest(F.least(x1, x2), F.col("cx") * g)
+    xb = F.least(F.greatest(x1, x2), (F.col("cx") + 1) * g)
+
+    def y_at(x):
+        return y1 + (x - x1) * (y2 - y1) / (x2 - x1)
+    vertical = x1 == x2
+    ya = F.when(vertical, F.least(y1, y2)).otherwise(y_at(xa))
+    yb = F.when(vertical, F.greatest(y1, y2)).otherwise(y_at(xb))
+    margin = F.lit(size * 1e-9)
+    lo = F.greatest(F.least(ya, yb) - margin, F.least(y1, y2))
+    hi = F.least(F.greatest(ya, yb) + margin, F.greatest(y1, y2))
+    return e.withColumn("cy", F.explode(_cell_range(lo, hi, size)))
 
 
 def _orient(a, b, c) -> str:
