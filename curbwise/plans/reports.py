@@ -103,13 +103,19 @@ def issued_permits(t: PermitTables) -> DataFrame:
 
 # R4 ------------------------------------------------------------------------
 def review_time(t: PermitTables) -> DataFrame:
-    """Days to issuance and to first web-acceptance review of recent permits."""
-    first_review = first_of_group(
-        t.folderprocess.filter(col("processcode") == WEB_ACCEPTANCE),
-        keys=["folderrsn"], order_by=["startdate", "processrsn"], values=["startdate", "enddate"])
+    """Days to issuance and to first web-acceptance review of recent permits.
+
+    Only processes of the selected (recent) folders are aggregated: a
+    semi-join on the folder key first, after which the rows are partitioned
+    by folder and the first-of-group aggregate adds no shuffle.
+    """
     f = t.folder.filter(((_ftype("RW") & (col("subcode") == TURP)) | _ftype("EX"))
                         & (col("indate") >= D.ts_literal(SINCE_FY2023))
                         & col("issuedate").isNotNull())
+    procs = (t.folderprocess.filter(col("processcode") == WEB_ACCEPTANCE)
+             .join(f.select("folderrsn"), "folderrsn", "left_semi"))
+    first_review = first_of_group(procs, keys=["folderrsn"], order_by=["startdate", "processrsn"],
+                                  values=["startdate", "enddate"])
     j = f.join(first_review, "folderrsn", "left")
     return j.select(
         "customfoldernumber", "folderrsn", "foldertype",
@@ -141,14 +147,19 @@ def license_agreements_timeline(t: PermitTables) -> DataFrame:
     maximum) are one conditional aggregation over a single process scan.
     """
     fp = t.folderprocess.filter(col("processcode").isin(WEB_ACCEPTANCE, INITIAL_DISTRIBUTION)
-                                | (col("disciplinecode") == REVIEW_DISCIPLINE))
-    att = t.folderprocessattempt.filter(col("resultcode").isin(ACCEPTED, COMPLETED)) \
-        .select("processrsn", "attemptdate", "resultcode")
-    pa = fp.join(att, "processrsn", "left")
-    code, res = col("processcode"), col("resultcode")
-    per_folder = pa.groupBy("folderrsn").agg(
-        F.min(F.when((code == WEB_ACCEPTANCE) & (res == ACCEPTED), col("attemptdate"))).alias("web_acc"),
-        F.min(F.when((code == INITIAL_DISTRIBUTION) & (res == COMPLETED), col("attemptdate"))).alias("pay"),
+                                | (col("disciplinecode") == REVIEW_DISCIPLINE)) \
+        .select("processrsn", "folderrsn", "processcode", "disciplinecode", "enddate")
+    res = col("resultcode")
+    # earliest accepted / completed attempt per process: partial aggregation
+    # before the shuffle, then at most one row per process joins
+    att = (t.folderprocessattempt.filter(res.isin(ACCEPTED, COMPLETED))
+           .groupBy("processrsn")
+           .agg(F.min(F.when(res == ACCEPTED, col("attemptdate"))).alias("_accepted"),
+                F.min(F.when(res == COMPLETED, col("attemptdate"))).alias("_completed")))
+    code = col("processcode")
+    per_folder = fp.join(att, "processrsn", "left").groupBy("folderrsn").agg(
+        F.min(F.when(code == WEB_ACCEPTANCE, col("_accepted"))).alias("web_acc"),
+        F.min(F.when(code == INITIAL_DISTRIBUTION, col("_completed"))).alias("pay"),
         F.max(F.when(col("disciplinecode") == REVIEW_DISCIPLINE, col("enddate"))).alias("rev_end"))
     f = t.folder.filter(_ftype("LM") & (col("statuscode") != VOID_LM))
     j = (f.join(per_folder, "folderrsn", "left")

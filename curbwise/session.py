@@ -26,9 +26,29 @@ SESSION_DEFAULTS = {
 }
 
 
+# Sizing for the production scale (tens of TB per table, ~1000 executors).
+# AQE starts every shuffle with many partitions and coalesces them to the
+# advisory size measured at run time, so small stages stay small and large
+# ones never exceed a few hundred MB per task (no spills of whole groups);
+# skewed join partitions above the threshold are split.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "curbwise") -> SparkSession:
-    """Return the active session, or build a local one for tests/bench."""
+              app_name: str = "curbwise", cluster: bool = False) -> SparkSession:
+    """Return the active session, or build a local one for tests/bench.
+
+    ``cluster=True`` adds ``CLUSTER_SETTINGS`` for keys the deployment has not
+    set itself.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -38,6 +58,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if cluster:
+        conf = spark.sparkContext.getConf()
+        for k, v in CLUSTER_SETTINGS.items():
+            if not conf.contains(k):
+                spark.conf.set(k, v)
     for k, v in SESSION_DEFAULTS.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)

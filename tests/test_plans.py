@@ -40,6 +40,19 @@ def test_attribute_joins_prune_to_one_partition_per_code(spark, extracted):
     assert plan.count("PartitionFilters: [isnotnull(infocode") >= len(reports.SIF_INFO)
 
 
+def test_filters_and_columns_reach_the_scan(spark, extracted):
+    from curbwise.plans import reports
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = _plan(reports.applications_received(extracted))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "GreaterThanOrEqual(indate,2018-10-01T00:00)" in scan, scan
+    assert "In(foldertype, [DS,EX,RW])" in scan or "foldertype" in scan.split("PushedFilters")[1], scan
+    assert "ReadSchema: struct<foldertype:string,subcode:int,statuscode:int,indate:timestamp_ntz>" in scan
+
+
 def test_extracted_layout_gives_same_rows(spark, extracted):
     from curbwise.plans import reports
     from curbwise.sources.tables import PermitTables
