@@ -160,17 +160,21 @@ def score_permits(permits: DataFrame, segments: DataFrame, road: DataFrame, as_o
 
 
 def road_dataset(t: PermitTables, as_of: str) -> DataFrame:
-    """The published road-segment dataset: every segment tagged (full run)."""
-    if "road_segment" in t.names():
-        return t.road_segment
+    """Every segment tagged with its zones (what a full tagging run publishes)."""
     from curbwise.plans.tagging import segment_zone_tags
     return segment_zone_tags(t, as_of, full=True)
 
 
-def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallback") -> DataFrame:
-    """Flagship: scored permit list, ready to publish (replace)."""
+def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallback",
+                       road: DataFrame | None = None) -> DataFrame:
+    """Flagship: scored permit list, ready to publish (replace).
+
+    ``road`` is the published road-segment dataset (``sinks.read_latest`` of
+    the tagging output); without it the segments are tagged in this job.
+    """
+    road = road if road is not None else road_dataset(t, as_of)
     return score_permits(reports.row_inspector_permit_list(t), reports.row_inspector_segment_list(t),
-                         road_dataset(t, as_of), as_of, null_extension)
+                         road, as_of, null_extension)
 
 
 # Single-rule views of the same pipeline (one registered query each) ---------

@@ -44,6 +44,9 @@ class PermitTables:
     def names(self) -> list[str]:
         return sorted(self._loaders)
 
+    def has(self, name: str) -> bool:
+        return name in self._loaders
+
     def with_table(self, name: str, df: DataFrame) -> "PermitTables":
         """Copy with one table replaced (e.g. a published road dataset)."""
         loaders = dict(self._loaders)
@@ -53,13 +56,12 @@ class PermitTables:
     # -- constructors -------------------------------------------------------
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "PermitTables":
+        """Every model table at ``root/<table>``; a table is read when first used."""
         def reader(name):
             # select in model order: partition columns come back last otherwise
             cols = [f.name for f in PERMIT_SCHEMAS[name].fields]
-            return lambda: spark.read.parquet(os.path.join(root, name)).select(*cols)
-        names = [n for n in PERMIT_SCHEMAS if os.path.exists(os.path.join(root, n))] \
-            if not root.startswith(("s3", "gs", "hdfs", "abfs")) else list(PERMIT_SCHEMAS)
-        return cls(spark, {n: reader(n) for n in names})
+            return lambda: spark.read.parquet(f"{root.rstrip('/')}/{name}").select(*cols)
+        return cls(spark, {n: reader(n) for n in PERMIT_SCHEMAS})
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str) -> "PermitTables":
@@ -69,7 +71,7 @@ class PermitTables:
         a session: the driver files are listed and the mapping statements are
         analysed once instead of once per query.
         """
-        key = (id(spark), os.path.abspath(sf_dir))
+        key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
         if key not in _FIXTURE_CACHE:
             _FIXTURE_CACHE[key] = cls._build_fixture(spark, sf_dir)
         return _FIXTURE_CACHE[key]
@@ -102,7 +104,7 @@ class PermitTables:
         return inst
 
 
-_FIXTURE_CACHE: dict[tuple[int, str], "PermitTables"] = {}
+_FIXTURE_CACHE: dict[tuple[str, int, str], "PermitTables"] = {}
 
 
 def segments_with_paths(attrs: DataFrame, edges: DataFrame) -> DataFrame:
