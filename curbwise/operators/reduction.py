@@ -1,0 +1,49 @@
+"""Semi-join reduction of large tables by a small, size-checked key set.
+
+A report often joins a handful of selected entities (active permits, recent
+folders) to tables holding the whole history. Spark cannot know at planning
+time that a filtered scan of a large table is small, and AQE only learns it
+after the large side's shuffle has been written. ``bounded`` proves the size
+first (a counting job), keeps the small frame in the shared checkpoint folder,
+and ``restrict`` then broadcasts its keys into a semi-join, so every large
+table is filtered map-side before any shuffle. Above the bound nothing is
+broadcast and the plan stays a shuffled join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from curbwise.session import ensure_checkpoint_dir
+
+# Largest key set broadcast (a few tens of MB of narrow key rows).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` checkpointed if it has at most ``max_rows`` rows, else ``None``.
+
+    The count reads at most ``max_rows + 1`` rows per partition; the
+    checkpoint is a reliable one in ``spark.checkpoint.dir``, so the small
+    frame survives executor loss and its lineage is cut.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        return None
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def restrict(big: DataFrame, small: DataFrame | None, on: list[str],
+             small_on: list[str] | None = None) -> DataFrame:
+    """Rows of ``big`` whose ``on`` values occur in ``small`` (from ``bounded``).
+
+    With ``small`` of proven size the key set is broadcast (left-semi join,
+    no shuffle of ``big``); with ``None`` ``big`` is returned unchanged and
+    the report's own joins do the matching.
+    """
+    if small is None:
+        return big
+    src = small_on or on
+    keys = small.select(*[F.col(s).alias(o) for s, o in zip(src, on)]).distinct()
+    return big.join(F.broadcast(keys), on, "left_semi")

@@ -16,6 +16,7 @@ from curbwise.functions import dates as D
 from curbwise.functions import text as X
 from curbwise.operators import eav
 from curbwise.operators.grouping import cycle_number, first_of_group, split_points
+from curbwise.operators.reduction import bounded, restrict
 from curbwise.sources.tables import PermitTables
 
 # Fixed values of the reports: cut-off dates, status / process / info codes.
@@ -112,8 +113,10 @@ def review_time(t: PermitTables) -> DataFrame:
     f = t.folder.filter(((_ftype("RW") & (col("subcode") == TURP)) | _ftype("EX"))
                         & (col("indate") >= D.ts_literal(SINCE_FY2023))
                         & col("issuedate").isNotNull())
-    procs = (t.folderprocess.filter(col("processcode") == WEB_ACCEPTANCE)
-             .join(f.select("folderrsn"), "folderrsn", "left_semi"))
+    procs = t.folderprocess.filter(col("processcode") == WEB_ACCEPTANCE)
+    recent = bounded(f.select("folderrsn"))
+    procs = (restrict(procs, recent, ["folderrsn"]) if recent is not None
+             else procs.join(f.select("folderrsn"), "folderrsn", "left_semi"))
     first_review = first_of_group(procs, keys=["folderrsn"], order_by=["startdate", "processrsn"],
                                   values=["startdate", "enddate"])
     j = f.join(first_review, "folderrsn", "left")
@@ -262,43 +265,63 @@ def _inspector_folder_filter():
     return (col("statuscode") == ACTIVE) & (rw | _ftype("EX", "DS"))
 
 
-def inspection_process_stats(t: PermitTables) -> DataFrame:
+def inspection_process_stats(t: PermitTables, active: DataFrame | None = None) -> DataFrame:
     """Per ROW-inspection process: open deficiency count and last attempt.
 
     Both sides are pre-aggregated per process (partial aggregation), so the
-    joins below see at most one row per process on the right.
+    joins below see at most one row per process on the right. With a
+    size-checked set of ``active`` folders, only their processes (and those
+    processes' attempts and deficiencies) are read past the scan.
     """
-    procs = t.folderprocess.filter(col("processcode") == ROW_INSPECTION).select("folderrsn", "processrsn")
-    defs = (t.folderprocessdeficiency.filter(col("statuscode") == OPEN_DEFICIENCY)
+    procs = restrict(t.folderprocess.filter(col("processcode") == ROW_INSPECTION)
+                     .select("folderrsn", "processrsn"), active, ["folderrsn"])
+    small_procs = bounded(procs) if active is not None else None
+    if small_procs is not None:
+        procs = small_procs
+    defs = (restrict(t.folderprocessdeficiency.filter(col("statuscode") == OPEN_DEFICIENCY), small_procs,
+                     ["processrsn"])
             .groupBy("processrsn").agg(F.count("processrsn").alias("n_def")))
-    last = t.folderprocessattempt.groupBy("processrsn").agg(
-        F.max("attemptdate").alias("most_recent_inspection"))
+    last = (restrict(t.folderprocessattempt, small_procs, ["processrsn"])
+            .groupBy("processrsn").agg(F.max("attemptdate").alias("most_recent_inspection")))
     return (procs.join(defs, "processrsn", "left").join(last, "processrsn", "left")
             .select("folderrsn", "processrsn", F.coalesce(col("n_def"), F.lit(0)).alias("n_def"),
                     "most_recent_inspection"))
 
 
-def row_inspector_permit_list(t: PermitTables) -> DataFrame:
+def active_inspector_folders(t: PermitTables) -> DataFrame | None:
+    """Active ROW permit folders of the inspector reports, if few enough to broadcast."""
+    return bounded(t.folder.filter(_inspector_folder_filter()).select("folderrsn", "propertyrsn"))
+
+
+def row_inspector_permit_list(t: PermitTables, active: DataFrame | None = None,
+                              reduce: bool = True) -> DataFrame:
     """Active ROW permits with contractor, durations and inspection facts.
 
     One row per (permit, matching contact, ROW-inspection process): the
-    contact and process joins fan out exactly as the report does.
+    contact and process joins fan out exactly as the report does. The active
+    folders are a small slice of the history; when their count is under the
+    broadcast bound (``active_inspector_folders``), the attribute, contact,
+    property and process tables are reduced to them map-side first.
     """
+    if active is None and reduce:
+        active = active_inspector_folders(t)
     f = (t.folder.filter(_inspector_folder_filter() & (col("priority") != 1))
          .select("folderrsn", "foldertype", "subcode", "workcode", "propertyrsn",
                  "referencefile", "foldername", "expirydate", "issuedate"))
-    prop = t.property.select("propertyrsn", "propertyname")
-    contacts = (t.folderpeople.filter(col("peoplecode").isin(RW_CONTACT, ROW_CONTRACTOR))
-                .join(t.people.select("peoplersn", "organizationname", "phone1"), "peoplersn", "left")
+    prop = restrict(t.property.select("propertyrsn", "propertyname"), active, ["propertyrsn"])
+    links = restrict(t.folderpeople.filter(col("peoplecode").isin(RW_CONTACT, ROW_CONTRACTOR)), active,
+                     ["folderrsn"])
+    contacts = (links.join(t.people.select("peoplersn", "organizationname", "phone1"), "peoplersn", "left")
                 .select(col("folderrsn").alias("c_folderrsn"), "peoplecode", "organizationname", "phone1"))
     # The contact code depends on the folder type; written as a CASE so the
     # join keeps the folder as its only key (and its partitioning).
     wants_contact = F.when(col("foldertype") == "RW", col("peoplecode") == RW_CONTACT) \
         .otherwise(col("peoplecode") == ROW_CONTRACTOR)
-    info = eav.scalar_attributes(t.folderinfo, "folderrsn", "infocode", "infovalue", PERMIT_INFO)
+    info = eav.scalar_attributes(restrict(t.folderinfo, active, ["folderrsn"]), "folderrsn", "infocode",
+                                 "infovalue", PERMIT_INFO)
     j = (f.join(prop, "propertyrsn", "left")
          .join(contacts, (col("folderrsn") == col("c_folderrsn")) & wants_contact, "inner")
-         .join(inspection_process_stats(t), "folderrsn", "left")
+         .join(inspection_process_stats(t, active), "folderrsn", "left")
          .join(info, "folderrsn", "left")
          .join(t.validsub, "subcode", "left")
          .join(t.validwork, "workcode", "left"))
@@ -316,11 +339,15 @@ def row_inspector_permit_list(t: PermitTables) -> DataFrame:
 
 
 # R9 ------------------------------------------------------------------------
-def row_inspector_segment_list(t: PermitTables) -> DataFrame:
+def row_inspector_segment_list(t: PermitTables, active: DataFrame | None = None,
+                               reduce: bool = True) -> DataFrame:
     """Street segments (properties of segment type) of active ROW permits."""
+    if active is None and reduce:
+        active = active_inspector_folders(t)
     f = t.folder.filter(_inspector_folder_filter()).select("folderrsn")
     segs = t.property.filter(col("propcode") == SEGMENT_PROPCODE).select("propertyrsn")
-    fp = t.folderproperty.select("folderrsn", "propertyrsn", "propertyrelationcode")
+    fp = restrict(t.folderproperty.select("folderrsn", "propertyrsn", "propertyrelationcode"), active,
+                  ["folderrsn"])
     return (fp.join(segs, "propertyrsn", "inner").join(f, "folderrsn", "inner")
             .select("folderrsn", "propertyrsn",
                     F.when(col("propertyrelationcode") == PRIMARY_RELATION, "TRUE")

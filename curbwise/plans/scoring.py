@@ -173,8 +173,9 @@ def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallb
     the tagging output); without it the segments are tagged in this job.
     """
     road = road if road is not None else road_dataset(t, as_of)
-    return score_permits(reports.row_inspector_permit_list(t), reports.row_inspector_segment_list(t),
-                         road, as_of, null_extension)
+    active = reports.active_inspector_folders(t)  # one size check shared by both inputs
+    return score_permits(reports.row_inspector_permit_list(t, active),
+                         reports.row_inspector_segment_list(t, active), road, as_of, null_extension)
 
 
 # Single-rule views of the same pipeline (one registered query each) ---------
@@ -199,6 +200,7 @@ def road_segment_attach(t, as_of):
     return attach_road_segments(reports.row_inspector_segment_list(t), road_dataset(t, as_of))
 
 
+
 def road_class_score(t, as_of):
     return _scored(t, as_of).select("folderrsn", "road_class_scoring")
 
