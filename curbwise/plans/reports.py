@@ -370,15 +370,28 @@ def _primary_property(t: PermitTables, folders: DataFrame, existence_only: bool
     return f.join(prop, "propertyrsn", "inner")
 
 
-def tds_asmd_map(t: PermitTables) -> DataFrame:
-    """SIF cases: primary property, fee totals and seven SIF attributes."""
+def _sif_folders(t: PermitTables) -> DataFrame | None:
+    """SIF case folders, if few enough to broadcast their keys (size-checked)."""
+    return bounded(t.folder.filter(_ftype("SIF")).select("folderrsn", "propertyrsn"))
+
+
+def tds_asmd_map(t: PermitTables, sif: DataFrame | None = None, reduce: bool = True) -> DataFrame:
+    """SIF cases: primary property, fee totals and seven SIF attributes.
+
+    The SIF folders are a small slice of all cases; under the broadcast bound
+    the attribute, folder-property, bill and free-form tables are reduced to
+    them map-side before their aggregations and joins.
+    """
+    if sif is None and reduce:
+        sif = _sif_folders(t)
     f = (t.folder.filter(_ftype("SIF") & (col("statuscode") != VOID_APP))
          .join(t.validstatus, "statuscode", "inner")
          .select("folderrsn", "parentrsn", "propertyrsn", "statusdesc", "foldername"))
-    base = _primary_property(t, f)
-    fees = t.accountbill.groupBy("folderrsn").agg(F.sum("totalpaid").alias("total_fees_paid"))
-    units = t.folderfreeform.groupBy("folderrsn").agg(F.sum("f03").alias("total_affordability_units"))
-    j = eav.attribute_join(base, t.folderinfo, "folderrsn", "infocode", "infovalue", SIF_INFO)
+    t2 = _reduced(t, sif, ["folderproperty", "accountbill", "folderfreeform", "folderinfo"])
+    base = _primary_property(t2, f)
+    fees = t2.accountbill.groupBy("folderrsn").agg(F.sum("totalpaid").alias("total_fees_paid"))
+    units = t2.folderfreeform.groupBy("folderrsn").agg(F.sum("f03").alias("total_affordability_units"))
+    j = eav.attribute_join(base, t2.folderinfo, "folderrsn", "infocode", "infovalue", SIF_INFO)
     j = j.join(fees, "folderrsn", "left").join(units, "folderrsn", "left")
     return j.select(
         "folderrsn", "parentrsn",
@@ -392,27 +405,41 @@ def tds_asmd_map(t: PermitTables) -> DataFrame:
         "total_affordability_reduction", "transportation_land_use")
 
 
+def _reduced(t: PermitTables, folders: DataFrame | None, names: list[str]) -> PermitTables:
+    """``t`` with the folder-keyed tables ``names`` restricted to ``folders``."""
+    out = t
+    for n in names:
+        out = out.with_table(n, restrict(getattr(t, n), folders, ["folderrsn"]))
+    return out
+
+
 # R12 -----------------------------------------------------------------------
-def sif_payment_details(t: PermitTables) -> DataFrame:
+def sif_payment_details(t: PermitTables, sif: DataFrame | None = None, reduce: bool = True) -> DataFrame:
     """Distinct non-void payment lines of SIF cases with fiscal period.
 
     Joins whose tables contribute no output column (free-form rows, bill
     fees, payments, status) only test existence under the DISTINCT and are
-    written as semi-joins, so they never multiply rows.
+    written as semi-joins, so they never multiply rows. The billing history
+    is reduced to the SIF folders first when they are under the broadcast
+    bound.
     """
+    if sif is None and reduce:
+        sif = _sif_folders(t)
+    t2 = _reduced(t, sif, ["folderfreeform", "folderproperty", "accountbill", "accountbillfee",
+                           "accountpaymentdetail", "accountpayment", "folderinfo"])
     f = (t.folder.filter(_ftype("SIF"))
          .join(t.validstatus.select("statuscode"), "statuscode", "left_semi")
-         .join(t.folderfreeform.select("folderrsn"), "folderrsn", "left_semi")
+         .join(t2.folderfreeform.select("folderrsn"), "folderrsn", "left_semi")
          .select("folderrsn", "parentrsn", "propertyrsn"))
-    base = _primary_property(t, f, existence_only=True)
-    bills = (t.accountbill.select("folderrsn", "billnumber")
-             .join(t.accountbillfee.select("folderrsn", "billnumber"), ["folderrsn", "billnumber"], "left_semi"))
-    paid = t.accountpayment.filter(col("voidflag") != "Y").select("folderrsn", "paymentnumber")
-    lines = (t.accountpaymentdetail.select("folderrsn", "billnumber", "paymentnumber",
-                                           "paymentamount", "dategenerated")
+    base = _primary_property(t2, f, existence_only=True)
+    bills = (t2.accountbill.select("folderrsn", "billnumber")
+             .join(t2.accountbillfee.select("folderrsn", "billnumber"), ["folderrsn", "billnumber"], "left_semi"))
+    paid = t2.accountpayment.filter(col("voidflag") != "Y").select("folderrsn", "paymentnumber")
+    lines = (t2.accountpaymentdetail.select("folderrsn", "billnumber", "paymentnumber",
+                                            "paymentamount", "dategenerated")
              .join(bills, ["folderrsn", "billnumber"], "inner")
              .join(paid, ["folderrsn", "paymentnumber"], "left_semi"))
-    j = eav.attribute_join(base.join(lines, "folderrsn", "inner"), t.folderinfo, "folderrsn",
+    j = eav.attribute_join(base.join(lines, "folderrsn", "inner"), t2.folderinfo, "folderrsn",
                            "infocode", "infovalue", SIF_PAYMENT_INFO)
     return j.select(
         "folderrsn", "parentrsn",
