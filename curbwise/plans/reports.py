@@ -206,9 +206,12 @@ def _process_rows(t: PermitTables, folders: DataFrame, process_codes) -> DataFra
 def _cycle_splits(t: PermitTables, process_codes) -> DataFrame:
     """Hot (folder, process code) groups and their split values, from the process
     table alone: a cheap aggregate whose group sizes bound the report's."""
-    procs = t.folderprocess.filter(col("processcode").isin(*process_codes)) \
-        .select("folderrsn", "processcode", "processrsn")
-    return split_points(procs, ["folderrsn", "processcode"], "processrsn")
+    def build():
+        procs = t.folderprocess.filter(col("processcode").isin(*process_codes)) \
+            .select("folderrsn", "processcode", "processrsn")
+        pts = split_points(procs, ["folderrsn", "processcode"], "processrsn")
+        return None if pts.isEmpty() else pts
+    return t.memo(("cycle_splits", tuple(process_codes)), build)
 
 
 # R7 ------------------------------------------------------------------------
@@ -275,7 +278,8 @@ def inspection_process_stats(t: PermitTables, active: DataFrame | None = None) -
     """
     procs = restrict(t.folderprocess.filter(col("processcode") == ROW_INSPECTION)
                      .select("folderrsn", "processrsn"), active, ["folderrsn"])
-    small_procs = bounded(procs) if active is not None else None
+    small_procs = t.memo(("inspection_procs", id(active)), lambda: bounded(procs)) \
+        if active is not None else None
     if small_procs is not None:
         procs = small_procs
     defs = (restrict(t.folderprocessdeficiency.filter(col("statuscode") == OPEN_DEFICIENCY), small_procs,
@@ -290,7 +294,8 @@ def inspection_process_stats(t: PermitTables, active: DataFrame | None = None) -
 
 def active_inspector_folders(t: PermitTables) -> DataFrame | None:
     """Active ROW permit folders of the inspector reports, if few enough to broadcast."""
-    return bounded(t.folder.filter(_inspector_folder_filter()).select("folderrsn", "propertyrsn"))
+    return t.memo("active_inspector_folders", lambda: bounded(
+        t.folder.filter(_inspector_folder_filter()).select("folderrsn", "propertyrsn")))
 
 
 def row_inspector_permit_list(t: PermitTables, active: DataFrame | None = None,
@@ -372,7 +377,8 @@ def _primary_property(t: PermitTables, folders: DataFrame, existence_only: bool
 
 def _sif_folders(t: PermitTables) -> DataFrame | None:
     """SIF case folders, if few enough to broadcast their keys (size-checked)."""
-    return bounded(t.folder.filter(_ftype("SIF")).select("folderrsn", "propertyrsn"))
+    return t.memo("sif_folders", lambda: bounded(
+        t.folder.filter(_ftype("SIF")).select("folderrsn", "propertyrsn")))
 
 
 def tds_asmd_map(t: PermitTables, sif: DataFrame | None = None, reduce: bool = True) -> DataFrame:

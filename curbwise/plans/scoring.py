@@ -160,9 +160,14 @@ def score_permits(permits: DataFrame, segments: DataFrame, road: DataFrame, as_o
 
 
 def road_dataset(t: PermitTables, as_of: str) -> DataFrame:
-    """Every segment tagged with its zones (what a full tagging run publishes)."""
+    """Every segment tagged with its zones (what a full tagging run publishes).
+
+    Written once per set of tables to the shared checkpoint folder, the way
+    the tagging job publishes it; every scoring query then reads it.
+    """
+    from curbwise.operators.grouping import materialize
     from curbwise.plans.tagging import segment_zone_tags
-    return segment_zone_tags(t, as_of, full=True)
+    return t.memo(("road", as_of), lambda: materialize(segment_zone_tags(t, as_of, full=True), "road"))
 
 
 def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallback",

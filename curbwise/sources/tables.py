@@ -27,6 +27,7 @@ class PermitTables:
         self.spark = spark
         self._loaders = loaders
         self._frames: dict[str, DataFrame] = {}
+        self._memo: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -47,6 +48,18 @@ class PermitTables:
     def has(self, name: str) -> bool:
         return name in self._loaders
 
+    def memo(self, key, build):
+        """Value derived from these tables, built once per instance.
+
+        Used for size-checked key sets and intermediate datasets written to the
+        shared checkpoint folder, which several queries over the same tables
+        read instead of recomputing.
+        """
+        memo = self.__dict__["_memo"]
+        if key not in memo:
+            memo[key] = build()
+        return memo[key]
+
     def with_table(self, name: str, df: DataFrame) -> "PermitTables":
         """Copy with one table replaced (e.g. a published road dataset)."""
         loaders = dict(self._loaders)
