@@ -11,6 +11,7 @@ from curbwise.functions import dates as D
 from curbwise.functions import text as X
 from curbwise.operators.weekly import week_spine
 from curbwise.plans import reports
+from curbwise.sources.snapshot import LOCAL_ZONE
 from curbwise.sources.tables import PermitTables
 
 col = F.col
@@ -58,6 +59,24 @@ def active_snapshot(active: DataFrame, published_at: str) -> DataFrame:
     return X.normalize_columns(wide.withColumn("published_date", F.lit(published_at)))
 
 
+def active_snapshot_from_file(active_file: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """The snapshot of a published active-permit count file, stamped with its file time.
+
+    One global aggregation computes the per-type means and the latest file
+    modification time (hidden ``_metadata`` column) together, so the count
+    and its publish time come from the same scan and no join is needed.
+    """
+    ty, n = F.col("foldertype"), F.col("activepermits").cast("double")
+    agg = active_file.select(ty.alias("foldertype"), n.alias("activepermits"),
+                             F.col("_metadata.file_modification_time").alias("_m")).groupBy().agg(
+        *[F.avg(F.when(F.col("foldertype") == x, F.col("activepermits"))).alias(x.lower())
+          for x in PERMIT_TYPES],
+        F.max("_m").alias("_m"))
+    local = F.convert_timezone(None, F.lit(zone), F.col("_m").cast("timestamp_ntz"))
+    return agg.select(*[x.lower() for x in PERMIT_TYPES],
+                      F.date_format(local, D.PUBLISH_MINUTES).alias("published_date"))
+
+
 def active_permits_snapshot(t: PermitTables, as_of: str) -> DataFrame:
     published = as_of.replace(" ", "T")[:16] + ":00.000"
     return active_snapshot(reports.active_permits(t), published)

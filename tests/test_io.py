@@ -69,3 +69,14 @@ def test_jdbc_helpers(spark):
     assert SPLIT_COLUMNS["folderprocess"] == "processrsn"
     df = spark.createDataFrame([("1", "50500")], "userid string, username string")
     assert conform(df, "validuser").dtypes == [("userid", "bigint"), ("username", "string")]
+
+
+def test_active_snapshot_from_published_file(spark, tmp_path):
+    from curbwise.plans import weekly
+    path = str(tmp_path / "active_permits")
+    spark.createDataFrame([("DS", 3), ("EX", 4), ("RW", 5)], "foldertype string, activepermits long") \
+        .write.parquet(path)
+    r = weekly.active_snapshot_from_file(spark.read.parquet(path)).first()
+    (expected,) = file_published_at(spark, path).collect()
+    assert (r.ds, r.ex, r.rw) == (3.0, 4.0, 5.0)
+    assert r.published_date == expected.published_date
