@@ -103,8 +103,12 @@ def ray_crosses(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> Column:
 
 def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
                        polys: DataFrame, poly_id: str, poly_geom: str,
-                       cell_size: float) -> DataFrame:
-    """Distinct (line_id, poly_id) pairs whose geometries intersect."""
+                       cell_size: float, distinct: bool = True) -> DataFrame:
+    """(line_id, poly_id) pairs whose geometries intersect.
+
+    With ``distinct=False`` a pair may repeat (found in several cells or by
+    both tests); callers that aggregate per line anyway skip that shuffle.
+    """
     le = _with_cells(_edges(lines, line_id, line_geom, close_rings=False), cell_size) \
         .select(col("_id").alias("line"), "cx", "cy",
                 col("x1").alias("ax1"), col("y1").alias("ay1"), col("x2").alias("ax2"), col("y2").alias("ay2"))
@@ -137,33 +141,36 @@ def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
               .groupBy("line", "part", "poly").count()
               .filter(col("count") % 2 == 1)
               .select("line", "poly"))
-    return touching.unionByName(inside).distinct() \
-        .select(col("line").alias(line_id), col("poly").alias(poly_id))
+    pairs = touching.unionByName(inside)
+    if distinct:
+        pairs = pairs.distinct()
+    return pairs.select(col("line").alias(line_id), col("poly").alias(poly_id))
 
 
 def tag_zones(lines: DataFrame, line_id: str, line_geom: str,
               layers: list[tuple[str, DataFrame, str]], cell_size: float,
               order_col: str = "objectid") -> DataFrame:
-    """Tag each line with, per zone layer, the intersecting zone of lowest ``order_col``.
+    """``line_id`` of each line with, per zone layer, the intersecting zone of lowest ``order_col``.
 
     ``layers`` is a list of (output column, zones with ``order_col`` and
     ``rings``, zone value column). All layers share one spatial join (the
     lines are exploded into edges once). Lines meeting no zone of a layer get
-    NULL there. The choice among several zones is ``min_by`` — an aggregate
-    with partial aggregation, so no line's candidate set is collected.
+    NULL there. The choice among several zones is a ``min`` of the object id
+    (partial aggregation), so no line's candidate set is collected.
     """
     polys = None
     for i, (_, zones, _) in enumerate(layers):
         z = zones.select(F.struct(F.lit(i).alias("layer"), col(order_col).alias("oid")).alias("_poly"),
                          col("rings"))
         polys = z if polys is None else polys.unionByName(z)
-    pairs = intersecting_pairs(lines, line_id, line_geom, polys, "_poly", "rings", cell_size)
-    out = lines
+    pairs = intersecting_pairs(lines, line_id, line_geom, polys, "_poly", "rings", cell_size, distinct=False)
+    # lowest object id per (line, layer): a hash aggregate on numbers (partial
+    # aggregation; repeated pairs do not matter), the zone value looked up after
+    first = (pairs.groupBy(line_id, col("_poly.layer").alias("_layer"))
+             .agg(F.min(col("_poly.oid")).alias("_oid")))
+    out = lines.select(line_id)  # geometry is not carried through the joins
     for i, (out_col, zones, value_col) in enumerate(layers):
-        vals = zones.select(col(order_col).alias("_oid"), col(value_col).alias("_zone"))
-        best = (pairs.filter(col("_poly.layer") == i)
-                .select(line_id, col("_poly.oid").alias("_oid"))
-                .join(vals, "_oid", "inner")
-                .groupBy(line_id).agg(F.min_by("_zone", "_oid").alias(out_col)))
+        vals = zones.select(col(order_col).alias("_oid"), col(value_col).alias(out_col))
+        best = first.filter(col("_layer") == i).join(vals, "_oid", "inner").select(line_id, out_col)
         out = out.join(best, line_id, "left")
     return out

@@ -67,7 +67,7 @@ def segment_zone_tags(t: PermitTables, as_of: str, full: bool = False,
 
 def tag_segments(t: PermitTables, segs: DataFrame, cell_size: float = CELL_SIZE) -> DataFrame:
     """Segments (with ``path``) -> published columns with both zone tags."""
-    tags = _tag(segs, t, True, True, cell_size).drop("path")
+    tags = _tag(segs, t, True, True, cell_size)
     return (segs.select("segment_id", "full_street_name", "road_class")
             .join(tags, "segment_id", "left").select(*TAG_COLUMNS))
 
