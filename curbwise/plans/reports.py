@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
 from curbwise.operators import eav
+from curbwise.operators import grouping
 from curbwise.operators.grouping import cycle_number, first_of_group, split_points
 from curbwise.operators.reduction import bounded, restrict
 from curbwise.sources.tables import PermitTables
@@ -178,13 +179,16 @@ def license_agreements_timeline(t: PermitTables) -> DataFrame:
 
 
 # R7 / R10 shared -------------------------------------------------------------
-def _process_rows(t: PermitTables, folders: DataFrame, process_codes) -> DataFrame:
+def _process_rows(t: PermitTables, folders: DataFrame, process_codes, by_folder: bool = True) -> DataFrame:
     """Folder x process x descriptions x council district (inner), reviewer (left).
 
     The selective process filter joins first (on folder), then the council
-    district (on property). One repartition by folder follows: it satisfies
-    both the DISTINCT (grouping keys include the folder) and the window per
-    (folder, process code), so those two add no shuffle of their own.
+    district (on property). With ``by_folder`` one repartition by folder
+    follows: it satisfies both the DISTINCT (grouping keys include the folder)
+    and the window per (folder, process code), so those two add no shuffle of
+    their own. When some folder holds a hot group of processes that
+    repartition would put all its rows in one task, so it is left out and the
+    DISTINCT shuffles on all of its columns instead.
     """
     fp = t.folderprocess.filter(col("processcode").isin(*process_codes)).select(
         "folderrsn", "processrsn", "processcode", "assigneduser",
@@ -195,12 +199,12 @@ def _process_rows(t: PermitTables, folders: DataFrame, process_codes) -> DataFra
     vu = t.validuser.select(col("userid").alias("assigneduser"), col("username").alias("reviewer"))
     pi = t.propertyinfo.filter(col("propertyinfocode") == COUNCIL_DISTRICT_INFO) \
         .select("propertyrsn", col("propinfovalue").alias("councildistrict"))
-    return (folders.join(fp, "folderrsn", "inner")
+    rows = (folders.join(fp, "folderrsn", "inner")
             .join(t.validprocess, "processcode", "inner")
             .join(vu, "assigneduser", "left")
             .join(vps, "process_statuscode", "inner")
-            .join(pi, "propertyrsn", "inner")
-            .repartition("folderrsn"))
+            .join(pi, "propertyrsn", "inner"))
+    return rows.repartition("folderrsn") if by_folder else rows
 
 
 def _cycle_splits(t: PermitTables, process_codes) -> DataFrame:
@@ -209,7 +213,8 @@ def _cycle_splits(t: PermitTables, process_codes) -> DataFrame:
     def build():
         procs = t.folderprocess.filter(col("processcode").isin(*process_codes)) \
             .select("folderrsn", "processcode", "processrsn")
-        pts = split_points(procs, ["folderrsn", "processcode"], "processrsn")
+        pts = split_points(procs, ["folderrsn", "processcode"], "processrsn",
+                           hot_group_rows=grouping.HOT_GROUP_ROWS)
         return None if pts.isEmpty() else pts
     return t.memo(("cycle_splits", tuple(process_codes)), build)
 
@@ -217,7 +222,8 @@ def _cycle_splits(t: PermitTables, process_codes) -> DataFrame:
 # R7 ------------------------------------------------------------------------
 def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
     """Land-development engineering reviews with their cycle number."""
-    rows = (_process_rows(t, t.folder, LDE_PROCESSES)
+    splits = _cycle_splits(t, LDE_PROCESSES)
+    rows = (_process_rows(t, t.folder, LDE_PROCESSES, by_folder=splits is None)
             .join(t.validsub, "subcode", "left")
             .join(t.validstatus, "statuscode", "left"))
     distinct = rows.select(
@@ -232,7 +238,7 @@ def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
     numbered = cycle_number(distinct, ["folderrsn", "processcode"],
                             ["processrsn", "councildistrict", "reviewer", "start_date", "end_date",
                              "to_start", "to_end", "process_status"],
-                            split_at=_cycle_splits(t, LDE_PROCESSES))
+                            split_at=splits)
     return numbered.select(
         "foldertype", "folderrevision", "folderrsn", "subcode", "subdesc", "statusdesc",
         "foldercondition", "referencefile", "foldername", "reviewer", "processrsn",
@@ -243,7 +249,8 @@ def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
 # R10 -----------------------------------------------------------------------
 def tds_cases(t: PermitTables) -> DataFrame:
     """Transportation development review processes with their cycle number."""
-    rows = _process_rows(t, t.folder.filter(_ftype(*TDS_FOLDER_TYPES)), TDS_PROCESSES)
+    splits = _cycle_splits(t, TDS_PROCESSES)
+    rows = _process_rows(t, t.folder.filter(_ftype(*TDS_FOLDER_TYPES)), TDS_PROCESSES, by_folder=splits is None)
     distinct = rows.select(
         "foldertype", "folderrsn", "referencefile", "foldername", "reviewer", "processrsn",
         "processcode", col("processdesc").alias("processname"),
@@ -255,7 +262,7 @@ def tds_cases(t: PermitTables) -> DataFrame:
     numbered = cycle_number(distinct, ["folderrsn", "processcode"],
                             ["processrsn", "councildistrict", "reviewer", "started_date", "ended_date",
                              "tostart_date", "duedate", "process_status"],
-                            split_at=_cycle_splits(t, TDS_PROCESSES))
+                            split_at=splits)
     return numbered.select(
         "foldertype", "folderrsn", "referencefile", "foldername", "reviewer", "processrsn",
         "processname", "tostart_date", "duedate", "started_date", "ended_date",

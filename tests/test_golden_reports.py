@@ -207,3 +207,16 @@ def test_cycle_numbers_with_hot_groups_match_plain_window(spark):
     assert splits.count() == 2
     split = {tuple(r) for r in cycle_number(df, keys, order, split_at=splits).select(*df.columns, "cyclenumber").collect()}
     assert split == plain
+
+
+def test_process_report_with_hot_groups_is_unchanged(spark, monkeypatch):
+    """Force the hot-group path (split numbering, no repartition by folder)."""
+    from curbwise.operators import grouping
+    from curbwise.sources.tables import PermitTables
+    sf = "/root/testdata/sf0.001"
+    plain = sorted(map(repr, map(tuple, reports.lde_site_plan_revisions(PermitTables._build_fixture(spark, sf)).collect())))
+    monkeypatch.setattr(grouping, "HOT_GROUP_ROWS", 1)
+    hot_t = PermitTables._build_fixture(spark, sf)
+    assert reports._cycle_splits(hot_t, reports.LDE_PROCESSES) is not None
+    hot = sorted(map(repr, map(tuple, reports.lde_site_plan_revisions(hot_t).collect())))
+    assert hot == plain
