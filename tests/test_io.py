@@ -80,3 +80,14 @@ def test_active_snapshot_from_published_file(spark, tmp_path):
     (expected,) = file_published_at(spark, path).collect()
     assert (r.ds, r.ex, r.rw) == (3.0, 4.0, 5.0)
     assert r.published_date == expected.published_date
+
+
+def test_sheet_csv_to_daily_counts(spark, tmp_path):
+    """A spreadsheet export (header with blanks, month-first dates, null tokens) -> daily counts."""
+    from curbwise.plans import weekly
+    p = tmp_path / "requests.csv"
+    p.write_text("Request,Date Created\n1,01/05/2024 09:30:00\n2,01/05/2024\n3,N/A\n4,01/06/2024 23:59:00\n")
+    schema = T.StructType([T.StructField("Request", T.LongType()),
+                           T.StructField("Date Created", T.TimestampNTZType())])
+    rows = weekly.daily_counts(csv_io.read_csv(spark, str(p), schema), "Date Created").orderBy("date").collect()
+    assert [(r.date, r.count_permits) for r in rows] == [(dt.date(2024, 1, 5), 2), (dt.date(2024, 1, 6), 1)]
