@@ -207,9 +207,13 @@ def _process_rows(t: PermitTables, folders: DataFrame, process_codes, by_folder:
     return rows.repartition("folderrsn") if by_folder else rows
 
 
-def _cycle_splits(t: PermitTables, process_codes) -> DataFrame:
-    """Hot (folder, process code) groups and their split values, from the process
-    table alone: a cheap aggregate whose group sizes bound the report's."""
+def _cycle_splits(t: PermitTables, process_codes) -> DataFrame | None:
+    """Hot (folder, process code) groups and their split values, or None if none.
+
+    Computed from the process table alone: a cheap aggregate whose group sizes
+    bound the report's (the report only adds code-table lookups and the
+    council-district fan-out per property).
+    """
     def build():
         procs = t.folderprocess.filter(col("processcode").isin(*process_codes)) \
             .select("folderrsn", "processcode", "processrsn")
@@ -250,7 +254,8 @@ def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
 def tds_cases(t: PermitTables) -> DataFrame:
     """Transportation development review processes with their cycle number."""
     splits = _cycle_splits(t, TDS_PROCESSES)
-    rows = _process_rows(t, t.folder.filter(_ftype(*TDS_FOLDER_TYPES)), TDS_PROCESSES, by_folder=splits is None)
+    rows = _process_rows(t, t.folder.filter(_ftype(*TDS_FOLDER_TYPES)), TDS_PROCESSES,
+                         by_folder=splits is None)
     distinct = rows.select(
         "foldertype", "folderrsn", "referencefile", "foldername", "reviewer", "processrsn",
         "processcode", col("processdesc").alias("processname"),

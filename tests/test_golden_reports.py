@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
@@ -193,7 +192,6 @@ def test_void_flag(spark):
 def test_column_name_normalisation(spark):
     df = spark.createDataFrame([(1,)], "`DS Applications Received` int")
     assert X.normalize_columns(df).columns == ["ds_applications_received"]
-    assert F is not None
 
 
 def test_cycle_numbers_with_hot_groups_match_plain_window(spark):
