@@ -150,13 +150,21 @@ def license_agreements_timeline(t: PermitTables) -> DataFrame:
     The three per-folder sub-queries (two attempt minima, one end-date
     maximum) are one conditional aggregation over a single process scan.
     """
-    fp = t.folderprocess.filter(col("processcode").isin(WEB_ACCEPTANCE, INITIAL_DISTRIBUTION)
-                                | (col("disciplinecode") == REVIEW_DISCIPLINE)) \
-        .select("processrsn", "folderrsn", "processcode", "disciplinecode", "enddate")
+    f = t.folder.filter(_ftype("LM") & (col("statuscode") != VOID_LM))
+    # licence folders are a slice of all folders: under the broadcast bound
+    # their processes, and those processes' attempts, are selected map-side
+    lm = t.memo("licence_folders", lambda: bounded(f.select("folderrsn")))
+    fp = restrict(t.folderprocess.filter(col("processcode").isin(WEB_ACCEPTANCE, INITIAL_DISTRIBUTION)
+                                         | (col("disciplinecode") == REVIEW_DISCIPLINE))
+                  .select("processrsn", "folderrsn", "processcode", "disciplinecode", "enddate"),
+                  lm, ["folderrsn"])
+    lm_procs = t.memo(("licence_procs", id(lm)), lambda: bounded(fp)) if lm is not None else None
+    if lm_procs is not None:
+        fp = lm_procs
     res = col("resultcode")
     # earliest accepted / completed attempt per process: partial aggregation
     # before the shuffle, then at most one row per process joins
-    att = (t.folderprocessattempt.filter(res.isin(ACCEPTED, COMPLETED))
+    att = (restrict(t.folderprocessattempt.filter(res.isin(ACCEPTED, COMPLETED)), lm_procs, ["processrsn"])
            .groupBy("processrsn")
            .agg(F.min(F.when(res == ACCEPTED, col("attemptdate"))).alias("_accepted"),
                 F.min(F.when(res == COMPLETED, col("attemptdate"))).alias("_completed")))
@@ -165,7 +173,6 @@ def license_agreements_timeline(t: PermitTables) -> DataFrame:
         F.min(F.when(code == WEB_ACCEPTANCE, col("_accepted"))).alias("web_acc"),
         F.min(F.when(code == INITIAL_DISTRIBUTION, col("_completed"))).alias("pay"),
         F.max(F.when(col("disciplinecode") == REVIEW_DISCIPLINE, col("enddate"))).alias("rev_end"))
-    f = t.folder.filter(_ftype("LM") & (col("statuscode") != VOID_LM))
     j = (f.join(per_folder, "folderrsn", "left")
          .join(t.validsub, "subcode", "left")
          .join(t.validstatus, "statuscode", "left"))
@@ -362,9 +369,14 @@ def row_inspector_segment_list(t: PermitTables, active: DataFrame | None = None,
     if active is None and reduce:
         active = active_inspector_folders(t)
     f = t.folder.filter(_inspector_folder_filter()).select("folderrsn")
-    segs = t.property.filter(col("propcode") == SEGMENT_PROPCODE).select("propertyrsn")
     fp = restrict(t.folderproperty.select("folderrsn", "propertyrsn", "propertyrelationcode"), active,
                   ["folderrsn"])
+    # the linked properties of few folders are few: reduce the property table too
+    links = t.memo(("inspector_links", id(active)), lambda: bounded(fp)) if active is not None else None
+    if links is not None:
+        fp = links
+    segs = restrict(t.property.filter(col("propcode") == SEGMENT_PROPCODE).select("propertyrsn"), links,
+                    ["propertyrsn"])
     return (fp.join(segs, "propertyrsn", "inner").join(f, "folderrsn", "inner")
             .select("folderrsn", "propertyrsn",
                     F.when(col("propertyrelationcode") == PRIMARY_RELATION, "TRUE")
