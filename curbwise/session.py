@@ -43,13 +43,17 @@ CLUSTER_SETTINGS = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "curbwise", cluster: bool = False) -> SparkSession:
+              app_name: str = "curbwise", cluster: bool = False,
+              extra: dict[str, str] | None = None) -> SparkSession:
     """Return the active session, or build a local one for tests/bench.
 
     ``cluster=True`` adds ``CLUSTER_SETTINGS`` for keys the deployment has not
-    set itself.
+    set itself; ``extra`` are further builder settings (e.g. driver memory of
+    a local run, which only applies when this call starts the JVM).
     """
     builder = SparkSession.builder.appName(app_name)
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
