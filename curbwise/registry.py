@@ -28,43 +28,50 @@ def _on_fixture(plan) -> QueryFn:
     return run
 
 
-def _as_of(plan, **kw):
-    def bound(t: PermitTables) -> DataFrame:
-        return plan(t, AS_OF, **kw)
-    bound.__doc__ = plan.__doc__
-    bound.__name__ = plan.__name__
-    return bound
-
-
-PLANS = {
-    **reports.REPORTS,
+# name -> (plan function, whether it takes the clock ``as_of`` as 2nd argument)
+PLAN_FUNCTIONS = {
+    **{name: (fn, False) for name, fn in reports.REPORTS.items()},
     # metric pipelines
-    "daily_request_counts": weekly.daily_request_counts,
-    "active_permits_snapshot": _as_of(weekly.active_permits_snapshot),
-    "weekly_type_totals": weekly.weekly_type_totals_report,
-    "weekly_summary": weekly.weekly_summary_report,
-    "segment_count_score": _as_of(scoring.segment_count_score),
-    "duration_score": _as_of(scoring.duration_score),
-    "duration_score_literal": _as_of(scoring.duration_score_literal),
-    "road_segment_attach": _as_of(scoring.road_segment_attach),
-    "road_class_score": _as_of(scoring.road_class_score),
-    "dapcz_score": _as_of(scoring.dapcz_score),
-    "permit_inspector_zone": _as_of(scoring.permit_inspector_zone),
-    "deficiency_score": _as_of(scoring.deficiency_score),
-    "recent_inspection_score": _as_of(scoring.recent_inspection_score),
-    "permit_type_label": _as_of(scoring.permit_type_label),
-    "inspector_priority": _as_of(scoring.inspector_priority),
-    "timestamp_text_normalize": _as_of(scoring.timestamp_text_normalize),
+    "daily_request_counts": (weekly.daily_request_counts, False),
+    "active_permits_snapshot": (weekly.active_permits_snapshot, True),
+    "weekly_type_totals": (weekly.weekly_type_totals_report, False),
+    "weekly_summary": (weekly.weekly_summary_report, False),
+    "segment_count_score": (scoring.segment_count_score, True),
+    "duration_score": (scoring.duration_score, True),
+    "duration_score_literal": (scoring.duration_score_literal, True),
+    "road_segment_attach": (scoring.road_segment_attach, True),
+    "road_class_score": (scoring.road_class_score, True),
+    "dapcz_score": (scoring.dapcz_score, True),
+    "permit_inspector_zone": (scoring.permit_inspector_zone, True),
+    "deficiency_score": (scoring.deficiency_score, True),
+    "recent_inspection_score": (scoring.recent_inspection_score, True),
+    "permit_type_label": (scoring.permit_type_label, True),
+    "inspector_priority": (scoring.inspector_priority, True),
+    "timestamp_text_normalize": (scoring.timestamp_text_normalize, True),
     # spatial tagging
-    "segments_recent": _as_of(tagging.segments_recent),
-    "segment_inspector_zone": tagging.segment_inspector_zone,
-    "segment_dapcz_zone": tagging.segment_dapcz_zone,
-    "segment_zone_tags": _as_of(tagging.segment_zone_tags),
+    "segments_recent": (tagging.segments_recent, True),
+    "segment_inspector_zone": (tagging.segment_inspector_zone, False),
+    "segment_dapcz_zone": (tagging.segment_dapcz_zone, False),
+    "segment_zone_tags": (tagging.segment_zone_tags, True),
     # publishing
-    "keyed_upsert": _as_of(tagging.keyed_upsert),
+    "keyed_upsert": (tagging.keyed_upsert, True),
 }
 
 
+def bind(name: str, as_of: str) -> Callable[[PermitTables], DataFrame]:
+    """The plan of ``name`` as a function of the tables, with the clock fixed."""
+    fn, takes_clock = PLAN_FUNCTIONS[name]
+
+    def plan(t: PermitTables) -> DataFrame:
+        return fn(t, as_of) if takes_clock else fn(t)
+    plan.__doc__ = fn.__doc__
+    plan.__name__ = name
+    return plan
+
+
+PLANS = {name: bind(name, AS_OF) for name in PLAN_FUNCTIONS}  # fixture clock
+
+
 def snapshot_published_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish time (US/Central, minutes) of the folder source file."""
     return published_at(spark.read.parquet(os.path.join(sf_dir, "orders.parquet")))
