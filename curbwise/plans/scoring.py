@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
 from curbwise.plans import reports
+from curbwise.plans.tagging import road_dataset
 from curbwise.sources.tables import PermitTables
 
 col = F.col
@@ -159,17 +160,6 @@ def score_permits(permits: DataFrame, segments: DataFrame, road: DataFrame, as_o
     return X.nan_to_null(normalize_timestamps(p))
 
 
-def road_dataset(t: PermitTables, as_of: str) -> DataFrame:
-    """Every segment tagged with its zones (what a full tagging run publishes).
-
-    Written once per set of tables to the shared checkpoint folder, the way
-    the tagging job publishes it; every scoring query then reads it.
-    """
-    from curbwise.operators.grouping import materialize
-    from curbwise.plans.tagging import segment_zone_tags
-    return t.memo(("road", as_of), lambda: materialize(segment_zone_tags(t, as_of, full=True), "road"))
-
-
 def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallback",
                        road: DataFrame | None = None) -> DataFrame:
     """Flagship: scored permit list, ready to publish (replace).

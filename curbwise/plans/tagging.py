@@ -72,16 +72,30 @@ def tag_segments(t: PermitTables, segs: DataFrame, cell_size: float = CELL_SIZE)
             .join(tags, "segment_id", "left").select(*TAG_COLUMNS))
 
 
+def road_dataset(t: PermitTables, as_of: str) -> DataFrame:
+    """Every segment tagged with its zones (what a full tagging run publishes).
+
+    Written once per set of tables to the shared checkpoint folder, the way
+    the tagging job publishes it; scoring queries and the upsert read it. A
+    caller holding the published dataset seeds it with
+    ``t.memo(("road", as_of), lambda: published)``.
+    """
+    from curbwise.operators.grouping import materialize
+    return t.memo(("road", as_of), lambda: materialize(segment_zone_tags(t, as_of, full=True), "road"))
+
+
 def keyed_upsert(t: PermitTables, as_of: str, cell_size: float = CELL_SIZE) -> DataFrame:
     """The published segment dataset after this run's incremental upsert.
 
-    Previous version: a full run published ``PREVIOUS_RUN_DAYS`` before
-    ``as_of`` (every segment modified before then). This run tags the
-    segments modified in the look-back window and upserts them by
-    ``segment_id``: keys present in both are replaced, new keys are added,
-    all other rows are kept.
+    Previous version: the dataset as a full run published it
+    ``PREVIOUS_RUN_DAYS`` before ``as_of`` — the published road dataset's rows
+    of every segment modified before then (read, not recomputed). This run
+    tags the segments modified in the look-back window (the spatial join runs
+    on those only) and upserts them by ``segment_id``: keys present in both
+    are replaced, new keys are added, all other rows are kept.
     """
     cutoff = D.ts_literal(as_of) - F.expr(f"INTERVAL {PREVIOUS_RUN_DAYS} DAYS")
-    previous = tag_segments(t, t.segment.filter(F.col("modified_date") < cutoff), cell_size)
+    existed = t.segment.filter(F.col("modified_date") < cutoff).select("segment_id")
+    previous = road_dataset(t, as_of).join(existed, "segment_id", "left_semi")
     updates = segment_zone_tags(t, as_of, cell_size=cell_size)
     return merge_by_key(previous, updates, ["segment_id"])
