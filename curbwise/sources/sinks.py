@@ -10,7 +10,9 @@ replace writes the new rows as the next version; an upsert writes
 ``current rows whose key is not updated  UNION ALL  updates`` as the next
 version. A failed or killed job leaves no ``_SUCCESS`` marker, so readers
 never see a partial version, and a retry simply rewrites that version.
-Applying the same upsert twice gives the same rows (idempotent).
+Applying the same upsert twice gives the same rows (idempotent). One writer
+per dataset at a time is assumed (jobs publishing the same dataset are run
+one after the other); ``prune`` removes old versions.
 """
 
 from __future__ import annotations
