@@ -18,6 +18,7 @@ from helpers import VALID, ts
 from oracle_check import canonical
 
 HOT = 7
+HOT_ACTIVE = 11  # an active EX permit with many inspection processes and two contractors
 
 
 def _model():
@@ -45,8 +46,26 @@ def _model():
         for _ in range(rnd.randint(0, 3)):
             attempts.append({"processrsn": i, "resultcode": rnd.choice([52130, 55000, 52131]),
                              "attemptdate": ts(f"2023-03-{rnd.randint(1, 28):02d} 0{rnd.randint(0, 9)}:00:00")})
+    folders[HOT_ACTIVE - 1].update(foldertype="EX", statuscode=50010, priority=2)
+    defs = []
+    for i in range(5001, 5601):
+        procs.append({"processrsn": i, "folderrsn": HOT_ACTIVE, "processcode": 50685, "statuscode": 1,
+                      "startdate": ts("2023-01-02 10:00:00")})
+        attempts.append({"processrsn": i, "resultcode": 52131,
+                         "attemptdate": ts(f"2023-04-{rnd.randint(1, 28):02d} 10:00:00")})
+        defs += [{"processrsn": i, "statuscode": rnd.choice([55360, 55361])} for _ in range(rnd.randint(0, 2))]
+    people = [{"folderrsn": f["folderrsn"], "peoplersn": p, "peoplecode": rnd.choice([1, 50065, 2])}
+              for f in folders for p in (1, 2)]
+    people = [r for r in people if r["folderrsn"] != HOT_ACTIVE]
+    people += [{"folderrsn": HOT_ACTIVE, "peoplersn": p, "peoplecode": 50065} for p in (1, 2)]
+    info = [{"folderrsn": f["folderrsn"], "infocode": c, "infovalue": v}
+            for f in folders for c, v in ((75390, "12"), (76110, "2023-01-05"), (76115, "2023-01-20"))]
     pinfo = [{"propertyrsn": p, "propertyinfocode": 52026, "propinfovalue": str(p % 10)} for p in range(50)]
     return {"folder": folders, "folderprocess": procs, "folderprocessattempt": attempts,
+            "folderprocessdeficiency": defs, "folderpeople": people, "folderinfo": info,
+            "people": [{"peoplersn": 1, "organizationname": "A", "phone1": "1"},
+                       {"peoplersn": 2, "organizationname": "B", "phone1": "2"}],
+            "property": [{"propertyrsn": p, "propertyname": f"S{p}", "propcode": 52010} for p in range(50)],
             "propertyinfo": pinfo, **VALID}
 
 
@@ -85,3 +104,10 @@ def test_reports_on_a_hot_folder_match_sql(spark, monkeypatch):
     assert r4.count() > 0 and r6.filter(f"folderrsn = {HOT}").count() == 1
     assert _same(r4, con, O.R4)
     assert _same(r6, con, O.R6)
+
+
+def test_permit_list_with_a_hot_active_folder_matches_sql(spark):
+    t, con = _load(spark, _model())
+    r8 = reports.row_inspector_permit_list(t)
+    assert r8.filter(f"folderrsn = {HOT_ACTIVE}").count() == 1200  # 600 processes x 2 contractors
+    assert _same(r8, con, O.R8)
