@@ -141,22 +141,19 @@ def score_permits(permits: DataFrame, segments: DataFrame, road: DataFrame, as_o
                   null_extension: str = "fallback") -> DataFrame:
     """All scoring columns and ``total_score`` for every permit-list row."""
     facts = segment_facts(segments, road)
-    p = parse_dates(permits).join(facts, "folderrsn", "left")
-    p = (p.withColumn("count_segments", F.coalesce(col("count_segments"), F.lit(0)))
-         .withColumn("count_segment_scoring", segment_count_points(col("count_segments"))))
+    p = parse_dates(permits).join(facts, "folderrsn", "left") \
+        .withColumn("count_segments", F.coalesce(col("count_segments"), F.lit(0)))
     p = with_duration(p, null_extension)
-    last = _ts(p, "most_recent_inspection")
-    p = (p.withColumn("road_class_scoring", F.coalesce(col("_road_pts"), F.lit(0)))
-         .withColumn("dapcz_scoring", F.coalesce(col("_dapcz_pts"), F.lit(0)))
-         .withColumn("active_deficiencies_scoring",
-                     F.when(col("count_deficiencies") > 0, DEFICIENCY_POINTS).otherwise(0))
-         .withColumn("recent_inspection_scoring",
-                     F.when(D.floor_days(last, D.ts_literal(as_of)) <= RECENT_INSPECTION_DAYS,
-                            RECENT_INSPECTION_POINTS).otherwise(0))
-         .withColumn("permit_type", F.when(col("foldertype") == "RW", col("rw_work_description"))
-                     .otherwise(col("permit_type")))
-         .withColumn("total_score", X.sum_columns(SCORE_COLUMNS))
-         .drop("_road_pts", "_dapcz_pts"))
+    recent = D.floor_days(col("most_recent_inspection"), D.ts_literal(as_of)) <= RECENT_INSPECTION_DAYS
+    p = p.withColumns({
+        "count_segment_scoring": segment_count_points(col("count_segments")),
+        "road_class_scoring": F.coalesce(col("_road_pts"), F.lit(0)),
+        "dapcz_scoring": F.coalesce(col("_dapcz_pts"), F.lit(0)),
+        "active_deficiencies_scoring": F.when(col("count_deficiencies") > 0, DEFICIENCY_POINTS).otherwise(0),
+        "recent_inspection_scoring": F.when(recent, RECENT_INSPECTION_POINTS).otherwise(0),
+        "permit_type": F.when(col("foldertype") == "RW", col("rw_work_description")).otherwise(col("permit_type")),
+    }).drop("_road_pts", "_dapcz_pts")
+    p = p.withColumn("total_score", X.sum_columns(SCORE_COLUMNS))
     return X.nan_to_null(normalize_timestamps(p))
 
 
@@ -195,7 +192,6 @@ def road_segment_attach(t, as_of):
     return attach_road_segments(reports.row_inspector_segment_list(t), road_dataset(t, as_of))
 
 
-
 def road_class_score(t, as_of):
     return _scored(t, as_of).select("folderrsn", "road_class_scoring")
 
