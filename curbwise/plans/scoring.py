@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
+from curbwise.operators.reduction import bounded, restrict
 from curbwise.plans import reports
 from curbwise.plans.tagging import road_dataset
 from curbwise.sources.tables import PermitTables
@@ -166,8 +167,13 @@ def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallb
     """
     road = road if road is not None else road_dataset(t, as_of)
     active = reports.active_inspector_folders(t)  # one size check shared by both inputs
-    return score_permits(reports.row_inspector_permit_list(t, active),
-                         reports.row_inspector_segment_list(t, active), road, as_of, null_extension)
+    segments = reports.row_inspector_segment_list(t, active)
+    # the permits' segments are few: read only their rows of the road dataset
+    small = t.memo(("inspector_segments", id(active)), lambda: bounded(segments)) if active is not None else None
+    if small is not None:
+        segments = small
+        road = restrict(road, small, ["segment_id"], small_on=["propertyrsn"])
+    return score_permits(reports.row_inspector_permit_list(t, active), segments, road, as_of, null_extension)
 
 
 # Single-rule views of the same pipeline (one registered query each) ---------
