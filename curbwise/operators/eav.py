@@ -16,8 +16,6 @@ per-code branches of an attribute join read disjoint files.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,13 +59,3 @@ def attribute_join(entities: DataFrame, info: DataFrame, key: str, code_col: str
         branch = base.filter(F.col(code_col) == F.lit(code)).select(key, F.col(value_col).alias(name))
         out = out.join(branch, key, "inner")
     return out
-
-
-def attribute_value(info: DataFrame, key: str, code_col: str, value_col: str,
-                    code: int, alias: str) -> DataFrame:
-    """Rows of one attribute code as (key, alias)."""
-    return info.filter(F.col(code_col) == F.lit(code)).select(key, F.col(value_col).alias(alias))
-
-
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)

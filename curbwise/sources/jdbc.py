@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbwise.functions.text import empty_as_null
 from curbwise.schemas import PERMIT_SCHEMAS
 from curbwise.sources.tables import PermitTables
 
@@ -61,9 +62,9 @@ def read_table(spark: SparkSession, url: str, table: str, split_column: str | No
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Cast a source table to the model's declared column types."""
+    """Cast a source table to the model's declared types; empty text is NULL (Oracle rule)."""
     schema = PERMIT_SCHEMAS[table]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return empty_as_null(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]))
 
 
 def from_jdbc(spark: SparkSession, url: str, tables: list[str] | None = None,

@@ -67,8 +67,10 @@ def test_jdbc_helpers(spark):
     assert jdbc_options("jdbc:x", "folder", user="u", fetch_size=5) == {
         "url": "jdbc:x", "dbtable": "folder", "fetchsize": "5", "user": "u"}
     assert SPLIT_COLUMNS["folderprocess"] == "processrsn"
-    df = spark.createDataFrame([("1", "50500")], "userid string, username string")
-    assert conform(df, "validuser").dtypes == [("userid", "bigint"), ("username", "string")]
+    df = spark.createDataFrame([("1", "50500"), ("2", "")], "userid string, username string")
+    out = conform(df, "validuser")
+    assert out.dtypes == [("userid", "bigint"), ("username", "string")]
+    assert [r.username for r in out.orderBy("userid").collect()] == ["50500", None]
 
 
 def test_active_snapshot_from_published_file(spark, tmp_path):
