@@ -335,7 +335,12 @@ def row_inspector_permit_list(t: PermitTables, active: DataFrame | None = None,
     prop = restrict(t.property.select("propertyrsn", "propertyname"), active, ["propertyrsn"])
     links = restrict(t.folderpeople.filter(col("peoplecode").isin(RW_CONTACT, ROW_CONTRACTOR)), active,
                      ["folderrsn"])
-    contacts = (links.join(t.people.select("peoplersn", "organizationname", "phone1"), "peoplersn", "left")
+    # few permits have few contacts: read only their rows of the people table
+    few_links = t.memo(("inspector_contacts", id(active)), lambda: bounded(links)) if active is not None else None
+    if few_links is not None:
+        links = few_links
+    people = restrict(t.people.select("peoplersn", "organizationname", "phone1"), few_links, ["peoplersn"])
+    contacts = (links.join(people, "peoplersn", "left")
                 .select(col("folderrsn").alias("c_folderrsn"), "peoplecode", "organizationname", "phone1"))
     # The contact code depends on the folder type; written as a CASE so the
     # join keeps the folder as its only key (and its partitioning).
