@@ -422,7 +422,8 @@ def tds_asmd_map(t: PermitTables, sif: DataFrame | None = None, reduce: bool = T
     f = (t.folder.filter(_ftype("SIF") & (col("statuscode") != VOID_APP))
          .join(t.validstatus, "statuscode", "inner")
          .select("folderrsn", "parentrsn", "propertyrsn", "statusdesc", "foldername"))
-    t2 = _reduced(t, sif, ["folderproperty", "accountbill", "folderfreeform", "folderinfo"])
+    t2 = _reduced(t, sif, ["folderproperty", "accountbill", "folderfreeform", "folderinfo", "property",
+                           "propertyinfo"])
     base = _primary_property(t2, f)
     fees = t2.accountbill.groupBy("folderrsn").agg(F.sum("totalpaid").alias("total_fees_paid"))
     units = t2.folderfreeform.groupBy("folderrsn").agg(F.sum("f03").alias("total_affordability_units"))
@@ -441,10 +442,12 @@ def tds_asmd_map(t: PermitTables, sif: DataFrame | None = None, reduce: bool = T
 
 
 def _reduced(t: PermitTables, folders: DataFrame | None, names: list[str]) -> PermitTables:
-    """``t`` with the folder-keyed tables ``names`` restricted to ``folders``."""
+    """``t`` with ``names`` restricted to ``folders`` (folder-keyed tables by folder,
+    property tables by the folders' own property)."""
     out = t
     for n in names:
-        out = out.with_table(n, restrict(getattr(t, n), folders, ["folderrsn"]))
+        key = "propertyrsn" if n in ("property", "propertyinfo") else "folderrsn"
+        out = out.with_table(n, restrict(getattr(t, n), folders, [key]))
     return out
 
 
@@ -461,7 +464,7 @@ def sif_payment_details(t: PermitTables, sif: DataFrame | None = None, reduce: b
     if sif is None and reduce:
         sif = _sif_folders(t)
     t2 = _reduced(t, sif, ["folderfreeform", "folderproperty", "accountbill", "accountbillfee",
-                           "accountpaymentdetail", "accountpayment", "folderinfo"])
+                           "accountpaymentdetail", "accountpayment", "folderinfo", "property", "propertyinfo"])
     f = (t.folder.filter(_ftype("SIF"))
          .join(t.validstatus.select("statuscode"), "statuscode", "left_semi")
          .join(t2.folderfreeform.select("folderrsn"), "folderrsn", "left_semi")
