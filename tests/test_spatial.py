@@ -114,3 +114,14 @@ def test_grid_join_equals_brute_force(spark):
         got = {(r.id, r.objectid) for r in
                intersecting_pairs(ldf, "id", "path", pdf, "objectid", "rings", cell).collect()}
         assert got == expected, cell
+
+
+def test_long_edges_explode_only_over_crossed_cells(spark):
+    from curbwise.operators.spatial import _with_cells
+    edges = spark.createDataFrame([(1, 0, 0.0, 0.0, 1000.0, 1000.0), (2, 0, 0.0, 500.0, 1000.0, 500.0)],
+                                  "_id long, _part int, x1 double, y1 double, x2 double, y2 double")
+    counts = {r._id: r.n for r in _with_cells(edges, 10.0).groupBy("_id").count()
+              .withColumnRenamed("count", "n").collect()}
+    # a 100 x 100-cell diagonal touches ~2-3 cells per column, not the 10,201 of its bounding box
+    assert counts[1] <= 3 * 101
+    assert counts[2] == 101
