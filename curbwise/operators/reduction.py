@@ -24,14 +24,14 @@ MAX_BROADCAST_ROWS = 1_000_000
 def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
     """``df`` checkpointed if it has at most ``max_rows`` rows, else ``None``.
 
-    The count reads at most ``max_rows + 1`` rows per partition; the
-    checkpoint is a reliable one in ``spark.checkpoint.dir``, so the small
-    frame survives executor loss and its lineage is cut.
+    One job computes ``df`` and writes at most ``max_rows + 1`` of its rows as
+    a reliable checkpoint in ``spark.checkpoint.dir`` (so the small frame
+    survives executor loss and its lineage is cut); counting the checkpoint
+    is the proof of the bound. Above the bound the written rows are dropped.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        return None
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.limit(max_rows + 1).checkpoint(eager=True)
+    return kept if kept.count() <= max_rows else None
 
 
 def restrict(big: DataFrame, small: DataFrame | None, on: list[str],

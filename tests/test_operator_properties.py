@@ -80,3 +80,16 @@ def test_parse_mixed_timestamp_matches_python(spark):
     df = spark.createDataFrame([(s,) for s, _ in cases], "s string")
     got = [r.t for r in df.select(D.parse_mixed_timestamp("s").alias("t")).collect()]
     assert got == [want for _, want in cases]
+
+
+def test_bounded_and_restrict(spark):
+    from curbwise.operators.reduction import bounded, restrict
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert bounded(small, max_rows=5) is None  # above the bound: no broadcast
+    kept = bounded(small, max_rows=10)
+    assert kept is not None and sorted(r.k for r in kept.collect()) == list(range(10))
+    big = spark.range(100).withColumnRenamed("id", "k")
+    assert sorted(r.k for r in restrict(big, kept, ["k"]).collect()) == list(range(10))
+    assert restrict(big, None, ["k"]).count() == 100
+    plan = restrict(big, kept, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
