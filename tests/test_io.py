@@ -93,3 +93,10 @@ def test_sheet_csv_to_daily_counts(spark, tmp_path):
                            T.StructField("Date Created", T.TimestampNTZType())])
     rows = weekly.daily_counts(csv_io.read_csv(spark, str(p), schema), "Date Created").orderBy("date").collect()
     assert [(r.date, r.count_permits) for r in rows] == [(dt.date(2024, 1, 5), 2), (dt.date(2024, 1, 6), 1)]
+
+
+def test_empty_result_keeps_its_header(spark, tmp_path):
+    df = spark.createDataFrame([], "folderrsn long, is_primary string")
+    csv_io.write_csv(df, str(tmp_path / "empty"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "empty"))
+    assert back.columns == ["folderrsn", "is_primary"] and back.count() == 0
