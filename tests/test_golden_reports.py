@@ -218,3 +218,19 @@ def test_process_report_with_hot_groups_is_unchanged(spark, monkeypatch):
     assert reports._cycle_splits(hot_t, reports.LDE_PROCESSES) is not None
     hot = sorted(map(repr, map(tuple, reports.lde_site_plan_revisions(hot_t).collect())))
     assert hot == plain
+
+
+def test_issued_subcode_exclusion_only_for_rw(spark):
+    t = tables(spark, folder=[
+        folder(1, foldertype="RW", subcode=50505), folder(2, foldertype="EX", subcode=50505),
+        folder(3, foldertype="DS", subcode=None), folder(4, foldertype="RW", subcode=None),
+        folder(5, foldertype="EX", issuedate=ts("2018-09-30 23:00:00"))])
+    got = sorted((r.foldertype, r.subcode) for r in reports.issued_permits(t).collect())
+    assert got == [("DS", None), ("EX", 50505)]
+
+
+def test_segment_list_keeps_duplicate_links(spark):
+    fp = [{"folderrsn": 1, "propertyrsn": 1, "propertyrelationcode": 5}] * 2
+    t = tables(spark, folder=[folder(1, foldertype="EX")], folderproperty=fp,
+               property=[{"propertyrsn": 1, "propcode": 52010}])
+    assert reports.row_inspector_segment_list(t).count() == 2
