@@ -73,3 +73,21 @@ def free_name(taken: list[str], name: str) -> str:
     while name.lower() in low:
         name = "_" + name
     return name
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corpus_package_sent", False):
+        return
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent.parent
+    path = os.path.join(tempfile.mkdtemp(prefix="llm-package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f.relative_to(package.parent))
+    sc.addPyFile(path)
+    sc._corpus_package_sent = True

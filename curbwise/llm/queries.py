@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbwise.llm import chat_format, mixing, quality, url_filter
+from curbwise.llm import chat_format, huffman, mixing, packing, quality, url_filter
+from curbwise.llm.common import scratch
 
 #: Fixed values of the url query.
 URL_RULES = ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")
@@ -38,6 +39,12 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = huffman.write_tokens(docs, scratch(spark, "token-files"))
+    return huffman.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", *[F.col(f"measures.{m}").alias(m) for m in quality.BASE], "base_failed", "kept")
@@ -48,7 +55,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_url_filters, op8_quality_rules, op9_mixing)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_url_filters, op6_token_output, op8_quality_rules, op9_mixing, op10_packing)}
 
 
 def queries() -> dict:
