@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbwise.llm import chat_format, huffman, mixing, packing, quality, url_filter
+from curbwise.llm import chat_format, huffman, mixing, packing, quality, url_filter, warc
 from curbwise.llm.common import scratch
 
 #: Fixed values of the url query.
@@ -45,6 +45,13 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archive(_table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    got = warc.read_archive(spark, path, payload=False, verify=True).filter(F.col("record_type").isin("response", "revisit"))
+    return got.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      warc.page_of("refers_to").alias("refers_to"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", *[F.col(f"measures.{m}").alias(m) for m in quality.BASE], "base_failed", "kept")
@@ -59,7 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_url_filters, op6_token_output, op8_quality_rules, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_url_filters, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing)}
 
 
 def queries() -> dict:
