@@ -32,7 +32,7 @@ from curbwise.llm.common import saved, ship
 SHARD_ROWS = 8192
 DEGREE = 32
 BUILD_BEAM = 48
-SEARCH_BEAM = 96
+SEARCH_BEAM = 256
 ALPHA = 1.2
 ENTRIES = 32
 AT_ONCE = 256

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbwise.llm import chat_format, huffman, mixing, packing, quality, url_filter, warc
+from curbwise.llm import ann, chat_format, huffman, mixing, packing, pii, quality, url_filter, warc
 from curbwise.llm.common import scratch
 
 #: Fixed values of the url query.
@@ -39,6 +39,14 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = huffman.write_tokens(docs, scratch(spark, "token-files"))
@@ -66,7 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_url_filters, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing)}
 
 
 def queries() -> dict:
