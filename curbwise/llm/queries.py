@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbwise.llm import ann, chat_format, huffman, mixing, packing, pii, quality, url_filter, warc
+from curbwise.llm import ann, chat_format, huffman, mixing, ngram_join, packing, pii, quality, url_filter, warc
 from curbwise.llm.common import scratch
 
 #: Fixed values of the url query.
@@ -19,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -74,7 +79,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing)}
 
 
 def queries() -> dict:
