@@ -79,11 +79,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array, n: int = N_WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; A-Z are lower-cased first."""
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    split = pc.ascii_split_whitespace(texts)
+    split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     words = split.flatten().dictionary_encode()
     names = words.dictionary.cast(pa.large_binary()).to_pylist()
-    values = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names))
+    values = np.fromiter((xxhash.xxh3_64_intdigest(w.lower()) for w in names), np.uint64, len(names))
     flat = values[words.indices.to_numpy()] if len(words) else np.empty(0, np.uint64)
     real = (np.array([len(w) > 0 for w in names], bool)[words.indices.to_numpy()] if len(words) else np.empty(0, bool))
     bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
@@ -98,10 +97,10 @@ def shingle_sets(texts: pa.Array, n: int = N_WORDS) -> list[np.ndarray]:
         if b - a >= n:
             out.append(np.unique(rolled[a:b - n + 1]))
         elif b > a:
-            h = np.uint64(b - a)
-            for w in flat[a:b]:
-                h = _mix(np.array([h * _ODD[2] + w]))[0]
-            out.append(np.array([h], np.uint64))
+            h = np.array([b - a], np.uint64)
+            for i in range(a, b):
+                h = _mix(h * _ODD[2] + flat[i:i + 1])
+            out.append(h)
         else:
             out.append(np.empty(0, np.uint64))
     return out
