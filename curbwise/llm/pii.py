@@ -32,7 +32,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from curbwise.llm.common import free_name, saved, ship
 
@@ -277,6 +277,8 @@ def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY) -> Data
                 texts.append(got)
                 counts.append(n)
             cols = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64())], names=[*b.schema.names[:len(names)], count])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64())], names=[f"c{i}" for i in range(len(names) + 1)])
 
-    return plain.unionAll(rest.mapInArrow(run, plain.schema))
+    # numbered columns on the way: names may hold any character
+    kinds = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(plain.schema.fields)])
+    return plain.unionAll(rest.toDF(*[f"c{i}" for i in range(len(names) + 1)]).mapInArrow(run, kinds))

@@ -102,7 +102,7 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", default: str =
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     urls = pages.select(row.alias("row"), host_of(F.col(f"`{url}`")).alias("h"), path_of(F.col(f"`{url}`")).alias("p"),
                         F.monotonically_increasing_id().alias("n"))
-    kind = urls.schema["row"].dataType.simpleString()
+    kind = urls.schema["row"].dataType
     urls = urls.select("row", "h", "p", host_key(F.col("h")).alias("key"),
                        F.pmod(F.xxhash64("n"), F.lit(ranges)).alias("range"), F.lit(None).cast(_STACK).alias("stack"))
     marks = spark.createDataFrame(

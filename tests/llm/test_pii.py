@@ -1,0 +1,81 @@
+import pytest
+from corpus_fixtures import clashing, documents
+
+from curbwise.llm import pii
+
+TEXT = ("Mail anna.meyer@mail7.example.com or ANNA.MEYER@MAIL7.EXAMPLE.COM, call +1 (017) 555-7713 or +1 017 555 7713, ip 97.51.17.173, "
+        'card 4111 1111 1111 1111, token = "04dbebab91ab85687d33eeaaf9ac699e1188f962". Mrs. Anna Meyer met Mr. Paul Meyer; Meyer left. г-жа Анна Петрова.')
+CLEAN = ["Version 4.0 of the licence, see section 12.", "The cat sat on the mat in 1999.", "a, b; c.", "3.14159 and 1,000,000", "key words and token rings"]
+
+
+def luhn(digits):
+    total = sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits))))
+    return total % 10 == 0
+
+
+def replaced(spark, rows):
+    return {r["doc_id"]: r for r in pii.replace(documents(spark, rows)).collect()}
+
+
+def test_detects_each_kind():
+    kinds = {k: f for _, _, k, f in pii.detect(TEXT)}
+    assert set(kinds) == {"email", "phone", "ip", "card", "secret", "family", "given-f", "given-m"}
+    assert kinds["phone"] == "10175557713" and kinds["email"] == "anna.meyer@mail7.example.com"
+    for text in CLEAN:
+        assert pii.detect(text) == []
+
+
+def test_surrogates_keep_format_and_coreference(spark):
+    new = replaced(spark, [(1, TEXT), (2, "again anna.meyer@mail7.example.com"), (3, "97.51.17.173###")])
+    text = new[1]["text"]
+    found, was = pii.detect(text), pii.detect(TEXT)
+    assert [x[2] for x in found] == [x[2] for x in was] and not {x[3] for x in found} & {x[3] for x in was}
+    mails = [text[a:b] for a, b, k, _ in found if k == "email"]
+    assert mails[1] == mails[0].upper() and new[2]["text"] == f"again {mails[0]}" and mails[0].endswith(".com")
+    phones = [text[a:b] for a, b, k, _ in found if k == "phone"]
+    assert phones[0].startswith("+1 (") and phones[0][4:7] + phones[0][9:12] + phones[0][13:] == phones[1][3:].replace(" ", "")
+    card = next(f for _, _, k, f in found if k == "card")
+    assert luhn(card) and card[0] == "4"
+    assert all(0 < int(x) < 255 for x in new[3]["text"][:-3].split(".")[::3]) and new[3]["text"].endswith("###")
+    given = [text[a:b] for a, b, k, _ in found if k.startswith("given")]
+    assert given[0][-1] == "a" and given[1][-1] == "n" and "а" <= given[2][0].lower() <= "я" and given[2][0].isupper()
+    families = [text[a:b] for a, b, k, _ in found if k == "family"]
+    assert families[0] == families[1] == families[2]
+
+
+def test_collisions_are_resolved(spark):
+    """1,000 e-mail names of two digits and 400 short names: more than their formats could hold apart by chance."""
+    entities = [("email", f"{c}{i}@a.example.com") for c in "bcdfghjklm" for i in range(10, 100)] + [("family", f"{a}{b}") for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou"]
+    got = pii.assign(spark.createDataFrame(entities, "kind string, form string")).collect()
+    assert len(got) == len(entities) == len({(r["kind"], r["surrogate"]) for r in got})
+    assert not {(r["kind"], r["surrogate"]) for r in got} & set(entities)
+
+
+def test_keyed_and_repeatable():
+    one = pii.surrogate("k1", "phone", "0175557713")
+    assert one == pii.surrogate("k1", "phone", "0175557713") != pii.surrogate("k2", "phone", "0175557713")
+    assert pii.surrogate("k", "ip", "10.1.2.3").startswith("10.") and pii.surrogate("k", "ip", "192.168.1.1").startswith("192.168.")
+
+
+def test_rows_and_columns_stay(spark):
+    long = "word " * 30000 + "x.1@mail1.example.com"
+    rows = [(1, None), (2, ""), (3, long), (4, TEXT), (4, TEXT), (None, "10.20.30.40"), *((10 + i, t) for i, t in enumerate(CLEAN))]
+    df = clashing(documents(spark, rows))
+    got = pii.replace(df)
+    assert got.columns[:-1] == df.columns
+    out = got.collect()
+    assert len(out) == len(rows)
+    by = {r["doc_id"]: r for r in out}
+    assert by[1]["text"] is None and by[2]["text"] == "" and by[3][-1] == 1 and by[3]["text"].startswith("word word")
+    assert by[None][-1] == 1 and len({r["text"] for r in out if r["doc_id"] == 4}) == 1
+    assert all(by[10 + i]["text"] == t and by[10 + i][-1] == 0 for i, t in enumerate(CLEAN))
+    assert by[3]["n"] == "n" and by[4]["payload.x"] == "payload.x"
+
+
+def test_empty_table(spark):
+    assert pii.replace(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("text", ["10@ 22 token= 33", "@@ 44 key", "Mr. 55"])
+def test_maybe_without_entity(spark, text):
+    assert replaced(spark, [(1, text)])[1]["text"] == text

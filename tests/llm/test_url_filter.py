@@ -1,0 +1,57 @@
+import random
+
+import pytest
+from corpus_fixtures import clashing
+
+from curbwise.llm import url_filter
+
+URLS = [None, "", "no scheme.com/", "http://com/", "http://COM", "https://www.Example.com/en/1?x#y", "http://a.www.example.com/en/", "http://example.com/en",
+        "http://example.com/fr/", "http://notexample.com/en/x", "http://x.net/es/1", "http://x.net/de/", "http://x.net?q=/es/", "://example.com/en/#", "http://example.com./en/",
+        "http://a.com/" + "p/" * 20000, "ftp://u@example.com:80/en/", "http://.com/", "http://example.com/en/\n"]
+
+
+def brute(url, rules, default="allow"):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    cut = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:].split("?")[0].split("#")[0]
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: (len(r.text), len(r.host), [-ord(c) for c in r.text]), default=None)
+    return host, path, best.text if best else None, best.verdict if best else default
+
+
+def check(spark, urls, rules):
+    df = clashing(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"))
+    got = url_filter.judge(df, rules)
+    assert got.columns[:len(df.columns)] == df.columns
+    assert {r[0]: tuple(r[-4:]) for r in got.collect()} == {i: brute(u, rules) for i, u in enumerate(urls)}
+
+
+def test_stated_rules(spark):
+    from curbwise.llm.queries import URL_RULES
+
+    check(spark, URLS, [url_filter.parse_rule(r) for r in URL_RULES])
+
+
+def test_random_nested_rules(spark):
+    rng = random.Random(5)
+    label = lambda: rng.choice(["a", "b", "ab", "a-b", "c"])
+    host = lambda: ".".join(label() for _ in range(rng.randint(1, 4)))
+    path = lambda: "".join(f"/{label()}" for _ in range(rng.randint(0, 3)))
+    seen = {}
+    for _ in range(60):
+        h, p = host(), path()
+        seen[h, p] = url_filter.Rule(rng.choice(["allow", "block"]), h, p)
+    check(spark, [f"http://{host()}{path()}" for _ in range(400)] + ["http://a/x"] * 50, list(seen.values()))
+
+
+def test_no_rules_and_empty_table(spark):
+    check(spark, URLS, [])
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert url_filter.judge(empty, [url_filter.Rule("block", "a", "/")]).count() == 0
+
+
+def test_rule_list_is_bounded(monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_RULES", 1)
+    with pytest.raises(ValueError):
+        url_filter.boundaries([url_filter.Rule("allow", h, "/") for h in "ab"])
