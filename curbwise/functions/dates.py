@@ -83,33 +83,62 @@ def week_ending_saturday(c: ColumnOrName) -> Column:
     return F.next_day(F.date_sub(F.to_date(_c(c)), 1), "SAT")
 
 
-# Layouts accepted for date/time text: year first (ISO-like) or month first,
-# optional time with optional seconds and fraction.
-_TIME = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?"
-_LAYOUT = rf"^\s*(?:\d{{4}}-\d{{1,2}}-\d{{1,2}}|\d{{1,2}}[-/]\d{{1,2}}[-/]\d{{4}}){_TIME}\s*$"
-
-
-def parse_mixed_timestamp(c: ColumnOrName) -> Column:
-    """Text in a year-first or month-first date[/time] layout -> TIMESTAMP_NTZ.
-
-    One layout check and one extraction of the digit runs; the value is built
-    with ``try_make_timestamp_ntz``, so it does not depend on the session time
-    zone (no DST shifts) and impossible dates give NULL.
+# Layouts accepted for date/time text: year first, month first, or a month name
+# before or after the day; two- or four-digit years after the day; an optional
+# time with seconds, fraction and AM/PM; an optional zone (Z, UTC or an offset).
+_DATE = (r"(?:(\d{4})[-/](\d{1,2})[-/](\d{1,2})|(\d{1,2})[-/](\d{1,2})[-/](\d{4}|\d{2})"
+         r"|([A-Za-z]{3,9})\.?[ -]+(\d{1,2}),?[ -]+(\d{4}|\d{2})|(\d{1,2})[ -]([A-Za-z]{3,9})\.?,?[ -](\d{4}|\d{2}))")
+_TIME = r"(?:(?:T|,?\s+)(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?(?:\s*([AaPp])\.?[Mm]\.?)?)?"
+_ZONE = r"(?:\s*(?:Z|UTC|GMT)|\s*([+-])(\d{2}):?(\d{2}))?"
+_LAYOUT = rf"^\s*{_DATE}{_TIME}{_ZONE}\s*$"
+_GROUPS = 20
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def _from_parts(parts: Column) -> Column:
+    """The timestamp of the pattern's groups (empty where a group took no part)."""
+    def part(i: int) -> Column:
+        return F.nullif(F.get(parts, F.lit(i - 1)), F.lit(""))
+
+    def number(*groups: int) -> Column:
+        return F.coalesce(*[part(g).try_cast("int") for g in groups])
+
+    def named(*groups: int) -> Column:
+        at = F.instr(F.lit(_MONTHS), F.lower(F.left(F.coalesce(*[part(g) for g in groups]), F.lit(3))))
+        return F.when(at % 3 == 1, F.floor((at + 2) / 3).cast("int"))
+
+    year = number(1, 6, 9, 12)
+    short = F.length(F.coalesce(part(1), part(6), part(9), part(12))) == 2
+    year = F.when(short, year + F.when(year >= 69, 1900).otherwise(2000)).otherwise(year)
+    month, day = F.coalesce(number(2, 4), named(7, 11)), number(3, 5, 8, 10)
+    hour, half = F.coalesce(number(13), F.lit(0)), F.lower(part(17))
+    hour = F.when(half.isNull(), hour).when((hour < 1) | (hour > 12), F.lit(None)).otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0))
+    second = F.concat(F.coalesce(part(15), F.lit("0")), F.lit("."), F.coalesce(part(16), F.lit("0"))).try_cast("decimal(16,6)")
+    at = F.try_make_timestamp_ntz(year, month, day, hour.cast("int"), F.coalesce(number(14), F.lit(0)), second)
+    offset = F.coalesce((number(19) * 60 + number(20)) * F.when(part(18) == "-", 1).otherwise(-1), F.lit(0))
+    return F.timestamp_add("MINUTE", offset, at)
+
+
+def parse_mixed_timestamp(c: ColumnOrName, errors: str = "raise") -> Column:
+    """Date[/time] text in any accepted layout -> TIMESTAMP_NTZ; NULL and blank text are NULL.
+
+    Other text fails the job with the text in the message; with
+    ``errors="null"`` it becomes NULL. Text with a zone is shifted to UTC. The
+    text is taken apart once, and the value is built with
+    ``try_make_timestamp_ntz``, so it does not depend on the session time zone.
+    Two-digit years from 69 on are 19xx, the others 20xx.
     """
+    if errors not in ("raise", "null"):
+        raise ValueError("errors must be 'raise' or 'null'")
     text = _c(c)
-    nums = F.regexp_extract_all(text, F.lit(r"(\d+)"), 1)
-
-    def num(i: int) -> Column:  # 1-based position, NULL when absent
-        return F.try_element_at(nums, F.lit(i))
-    year_first = F.length(num(1)) == 4
-    year = F.when(year_first, num(1)).otherwise(num(3)).cast("int")
-    month = F.when(year_first, num(2)).otherwise(num(1)).cast("int")
-    day = F.when(year_first, num(3)).otherwise(num(2)).cast("int")
-    hour = F.coalesce(num(4).cast("int"), F.lit(0))
-    minute = F.coalesce(num(5).cast("int"), F.lit(0))
-    sec = F.coalesce(F.concat(num(6), F.lit("."), F.coalesce(num(7), F.lit("0"))).cast("decimal(16,6)"),
-                     F.lit(0).cast("decimal(16,6)"))
-    return F.when(text.rlike(_LAYOUT), F.try_make_timestamp_ntz(year, month, day, hour, minute, sec))
+    parts = F.split(F.regexp_replace(text, _LAYOUT, "|".join(f"${i}" for i in range(1, _GROUPS + 1))), r"\|", -1)
+    # a one-element transform binds the parts, so that the text is matched once
+    at = F.get(F.transform(F.array(parts), _from_parts), F.lit(0))
+    value = F.when(text.rlike(_LAYOUT), at)
+    if errors == "null":
+        return value
+    bad = F.raise_error(F.concat(F.lit("not a date or time: "), text)).cast("timestamp_ntz")
+    return F.when(text.isNull() | (F.trim(text) == ""), F.lit(None)).otherwise(F.coalesce(value, bad))
 
 
 def as_timestamp(c: ColumnOrName, dtype: str) -> Column:

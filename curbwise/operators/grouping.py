@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbwise.session import scratch_path
-
-# A group with more rows than this is numbered in sub-ranges (see cycle_number).
-HOT_GROUP_ROWS = 1_000_000
-SPLITS = 64
+# Ranges of the leading order key that a group is numbered in.
+RANGES = 1024
 
 
 def first_of_group(df: DataFrame, keys: list[str], order_by: list[str], values: list[str]) -> DataFrame:
@@ -32,61 +27,35 @@ def first_of_group(df: DataFrame, keys: list[str], order_by: list[str], values:
     return best.select(*keys, *[F.col("_first")[f"_val_{v}"].alias(v) for v in values])
 
 
-def split_points(rows: DataFrame, partition_by: list[str], lead: str,
-                 hot_group_rows: int = HOT_GROUP_ROWS, splits: int = SPLITS) -> DataFrame:
-    """Approximate quantiles of ``lead`` for every group larger than ``hot_group_rows``.
-
-    Both steps are aggregates with partial aggregation (a count, then
-    ``percentile_approx`` over the hot groups' rows only); the result has one
-    row per hot group, at most ``rows / hot_group_rows`` rows.
-    """
-    sizes = rows.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > hot_group_rows).select(*partition_by)
-    fractions = [i / splits for i in range(1, splits)]
-    return (rows.join(hot, partition_by, "left_semi").groupBy(*partition_by)
-            .agg(F.array_distinct(F.percentile_approx(lead, fractions, 10_000)).alias("_bounds")))
-
-
 def _order(order_by: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order_by]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage)."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def cycle_number(df: DataFrame, partition_by: list[str], order_by: list[str],
-                 name: str = "cyclenumber", split_at: DataFrame | None = None) -> DataFrame:
+def cycle_number(df: DataFrame, partition_by: list[str], order_by: list[str], keys: DataFrame,
+                 name: str = "cyclenumber", ranges: int = RANGES) -> DataFrame:
     """1, 2, 3 ... within each group in ``order_by`` order (NULLs last).
 
-    Without hot groups this is one window per group; when the input is
-    already hash-partitioned on a subset of ``partition_by`` it adds no shuffle.
-
-    ``split_at`` (from ``split_points`` — over the rows or over any cheaper
-    table whose groups are at least as large) lists hot groups with split
-    values of ``order_by[0]``. Their rows are then numbered per sub-range
-    (group, k) — k = number of split values below the row's key, monotone in
-    the order — and shifted by the exact row count of the lower sub-ranges of
-    the same group, so no task holds a whole hot group. The numbering is exact
-    whatever the split values; they only decide the balance. The input is
-    written once to the shared checkpoint folder because it is read twice.
+    ``order_by[0]`` is a numeric key, and ``keys`` a table that has all of its
+    values. Its span there (a lazy one-row subquery) is cut into ``ranges``
+    equal ranges; rows are numbered per (group, range) and shifted by the
+    exact row count of the group's lower ranges, a running sum over at most
+    ``ranges`` rows per group. So every group takes the same path, and one with
+    a large share of all rows is spread over as many tasks as its keys span
+    ranges. The numbering is exact whatever the ranges.
     """
-    if split_at is None or split_at.isEmpty():
-        w = Window.partitionBy(*partition_by).orderBy(*_order(order_by))
-        return df.withColumn(name, F.row_number().over(w))
-
     lead = order_by[0]
-    x = materialize(df, "cycles").join(split_at.select(*partition_by, "_bounds"), partition_by, "left")
-    x = x.withColumn("_k", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(lead))), F.lit(0)))
-    counts = (x.filter(F.col("_bounds").isNotNull()).groupBy(*partition_by, "_k")
-              .agg(F.count(F.lit(1)).alias("_c")))
+    span = keys.agg(F.struct(F.min(lead).cast("double").alias("lo"), F.max(lead).cast("double").alias("hi"))).scalar()
+    # the upper bound is exclusive; keys beyond double precision at the top share the range after the last
+    k = F.width_bucket(F.col(lead).cast("double"), span["lo"], span["hi"] + F.lit(1.0), F.lit(ranges))
+    x = df.withColumn("_k", F.coalesce(k, F.lit(0)))
     below = Window.partitionBy(*partition_by).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*partition_by, "_k", F.coalesce(F.sum("_c").over(below), F.lit(0)).alias("_off"))
+    counts = x.groupBy(*partition_by, "_k").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = counts.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition_by)], F.col("_k").alias("_ko"),
+                            F.coalesce(F.sum("_c").over(below), F.lit(0)).alias("_off"))
     local = Window.partitionBy(*partition_by, "_k").orderBy(*_order(order_by))
-    return (x.withColumn("_rn", F.row_number().over(local))
-            .join(offsets, [*partition_by, "_k"], "left")
+    same = F.col("_k") == F.col("_ko")
+    for i, c in enumerate(partition_by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return (x.withColumn("_rn", F.row_number().over(local)).join(offsets, same, "left")
             .withColumn(name, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
-            .drop("_bounds", "_k", "_rn", "_off"))
+            .drop("_k", "_rn", "_off", "_ko", *[f"_g{i}" for i in range(len(partition_by))]))

@@ -40,11 +40,22 @@ def _edges(df: DataFrame, id_col: str, geom_col: str, close_rings: bool) -> Data
                     col("_e.b.x").alias("x2"), col("_e.b.y").alias("y2"))
 
 
-def _cell_range(lo: Column, hi: Column, size: float) -> Column:
+def cell_size_of(polys: DataFrame, geom_col: str, cells: int = 64) -> Column:
+    """Grid cell edge from the polygons: ``1 / cells`` of the longer side of their extent.
+
+    A lazy one-row subquery, in the unit of the data. Any positive value gives
+    the same pairs; it only trades join fan-out against pairs tested per cell.
+    """
+    pts = polys.select(F.explode(F.flatten(geom_col)).alias("p"))
+    side = F.greatest(F.max("p.x") - F.min("p.x"), F.max("p.y") - F.min("p.y"))
+    return pts.agg(F.greatest(side / cells, F.lit(1e-9)).alias("size")).scalar()
+
+
+def _cell_range(lo: Column, hi: Column, size: float | Column) -> Column:
     return F.sequence(F.floor(lo / F.lit(size)), F.floor(hi / F.lit(size)))
 
 
-def _with_cells(edges: DataFrame, size: float) -> DataFrame:
+def _with_cells(edges: DataFrame, size: float | Column) -> DataFrame:
     """Each edge once per grid cell it passes through (plus rounding margin).
 
     Per column strip of the edge's x-range, only the y-range the edge spans
@@ -65,7 +76,7 @@ def _with_cells(edges: DataFrame, size: float) -> DataFrame:
     vertical = x1 == x2
     ya = F.when(vertical, F.least(y1, y2)).otherwise(y_at(xa))
     yb = F.when(vertical, F.greatest(y1, y2)).otherwise(y_at(xb))
-    margin = F.lit(size * 1e-9)
+    margin = g * 1e-9
     lo = F.greatest(F.least(ya, yb) - margin, F.least(y1, y2))
     hi = F.least(F.greatest(ya, yb) + margin, F.greatest(y1, y2))
     return e.withColumn("cy", F.explode(_cell_range(lo, hi, size)))
@@ -103,12 +114,14 @@ def ray_crosses(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> Column:
 
 def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
                        polys: DataFrame, poly_id: str, poly_geom: str,
-                       cell_size: float, distinct: bool = True) -> DataFrame:
+                       cell_size: float | Column | None = None, distinct: bool = True) -> DataFrame:
     """(line_id, poly_id) pairs whose geometries intersect.
 
     With ``distinct=False`` a pair may repeat (found in several cells or by
     both tests); callers that aggregate per line anyway skip that shuffle.
     """
+    if cell_size is None:
+        cell_size = cell_size_of(polys, poly_geom)
     le = _with_cells(_edges(lines, line_id, line_geom, close_rings=False), cell_size) \
         .select(col("_id").alias("line"), "cx", "cy",
                 col("x1").alias("ax1"), col("y1").alias("ay1"), col("x2").alias("ax2"), col("y2").alias("ay2"))
@@ -122,6 +135,7 @@ def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
     pts = (lines.select(col(line_id).alias("line"), F.posexplode(line_geom).alias("part", "pts"))
            .filter(F.size("pts") >= 1)
            .select("line", "part", col("pts")[0]["x"].alias("px"), col("pts")[0]["y"].alias("py"))
+           .distinct()  # rows that repeat a line id are one vertex each, or crossings would be counted twice
            .withColumn("cx", F.floor(col("px") / F.lit(cell_size)))
            .withColumn("cy", F.floor(col("py") / F.lit(cell_size))))
     bbox = pe_raw.groupBy(col("_id").alias("poly")).agg(
@@ -138,7 +152,7 @@ def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
              .select(col("_id").alias("poly"), "band", "x1", "y1", "x2", "y2"))
     inside = (cand.join(bands, ["poly", "band"], "inner")
               .filter(ray_crosses("px", "py", "x1", "y1", "x2", "y2"))
-              .groupBy("line", "part", "poly").count()
+              .groupBy("line", "part", "px", "py", "poly").count()
               .filter(col("count") % 2 == 1)
               .select("line", "poly"))
     pairs = touching.unionByName(inside)
@@ -148,7 +162,7 @@ def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
 
 
 def tag_zones(lines: DataFrame, line_id: str, line_geom: str,
-              layers: list[tuple[str, DataFrame, str]], cell_size: float,
+              layers: list[tuple[str, DataFrame, str]], cell_size: float | Column | None = None,
               order_col: str = "objectid") -> DataFrame:
     """``line_id`` of each line with, per zone layer, the intersecting zone of lowest ``order_col``.
 

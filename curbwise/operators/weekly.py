@@ -10,9 +10,8 @@ def week_spine(df: DataFrame, week_col: str) -> DataFrame:
     """Every 7-day label from the smallest to the largest ``week_col`` of ``df``.
 
     A global min/max aggregate (one row) expanded with ``sequence``: its
-    size is the number of weeks covered, independent of the row count. The
-    bounds read only the week column (a pruned second scan of the source with
-    one partial min/max per task); the weekly sums are a separate branch.
+    size is the number of weeks covered. Callers pass the weekly sums, whose
+    exchange Spark uses for both branches.
     """
     bounds = df.agg(F.min(week_col).alias("_lo"), F.max(week_col).alias("_hi"))
     return (bounds.filter(F.col("_lo").isNotNull())

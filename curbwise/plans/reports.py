@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
 from curbwise.operators import eav
-from curbwise.operators import grouping
-from curbwise.operators.grouping import cycle_number, first_of_group, split_points
-from curbwise.operators.reduction import bounded, restrict
+from curbwise.operators.grouping import cycle_number, first_of_group
 from curbwise.sources.tables import PermitTables
 
 # Fixed values of the reports: cut-off dates, status / process / info codes.
@@ -60,6 +58,11 @@ SIF_PAYMENT_INFO = {"council_district": 84011, "sif_district_area": 84012}
 col = F.col
 
 
+def _sorted(df: DataFrame, *names: str) -> DataFrame:
+    """Ascending, NULLs last, as the source database sorts."""
+    return df.orderBy(*[col(n).asc_nulls_last() for n in names])
+
+
 def _ftype(*types: str):
     return col("foldertype").isin(*types)
 
@@ -77,10 +80,10 @@ def applications_received(t: PermitTables) -> DataFrame:
     ds = _ftype("DS") & ~col("statuscode").isin(REJECTED, WITHDRAWN, VOID_APP)
     rw_ex = (_ftype("RW", "EX") & ~col("statuscode").isin(VOID_APP, WITHDRAWN)
              & ~col("subcode").isin(*EXCLUDED_SUBCODES))
-    return (t.folder.filter((ds | rw_ex) & recent)
-            .groupBy("foldertype", "subcode", D.day_text(D.round_day("indate")).alias("received_date"))
-            .agg(F.count(F.lit(1)).alias("issuedrowpermits"))
-            .orderBy("foldertype", "subcode", "received_date"))
+    counts = (t.folder.filter((ds | rw_ex) & recent)
+              .groupBy("foldertype", "subcode", D.day_text(D.round_day("indate")).alias("received_date"))
+              .agg(F.count(F.lit(1)).alias("issuedrowpermits")))
+    return _sorted(counts, "foldertype", "subcode", "received_date")
 
 
 # R2 ------------------------------------------------------------------------
@@ -88,8 +91,8 @@ def active_permits(t: PermitTables) -> DataFrame:
     """Active permits per folder type (RW licence agreements excluded)."""
     keep = (col("statuscode") == ACTIVE) & (
         _ftype("EX", "DS") | (_ftype("RW") & X.not_like_prefix("foldername", "LA-")))
-    return (t.folder.filter(keep).groupBy("foldertype")
-            .agg(F.count(F.lit(1)).alias("activepermits")).orderBy("foldertype"))
+    counts = t.folder.filter(keep).groupBy("foldertype").agg(F.count(F.lit(1)).alias("activepermits"))
+    return _sorted(counts, "foldertype")
 
 
 # R3 ------------------------------------------------------------------------
@@ -97,10 +100,10 @@ def issued_permits(t: PermitTables) -> DataFrame:
     """Permits issued per folder type, sub code and (rounded) day."""
     recent = col("issuedate") >= D.ts_literal(SINCE_FY2019)
     keep = recent & (_ftype("EX", "DS") | (_ftype("RW") & ~col("subcode").isin(*EXCLUDED_SUBCODES)))
-    return (t.folder.filter(keep)
-            .groupBy("foldertype", "subcode", D.day_text(D.round_day("issuedate")).alias("issued_date"))
-            .agg(F.count(F.lit(1)).alias("issuedrowpermits"))
-            .orderBy("foldertype", "subcode", "issued_date"))
+    counts = (t.folder.filter(keep)
+              .groupBy("foldertype", "subcode", D.day_text(D.round_day("issuedate")).alias("issued_date"))
+              .agg(F.count(F.lit(1)).alias("issuedrowpermits")))
+    return _sorted(counts, "foldertype", "subcode", "issued_date")
 
 
 # R4 ------------------------------------------------------------------------
@@ -114,10 +117,7 @@ def review_time(t: PermitTables) -> DataFrame:
     f = t.folder.filter(((_ftype("RW") & (col("subcode") == TURP)) | _ftype("EX"))
                         & (col("indate") >= D.ts_literal(SINCE_FY2023))
                         & col("issuedate").isNotNull())
-    procs = t.folderprocess.filter(col("processcode") == WEB_ACCEPTANCE)
-    recent = bounded(f.select("folderrsn"))
-    procs = (restrict(procs, recent, ["folderrsn"]) if recent is not None
-             else procs.join(f.select("folderrsn"), "folderrsn", "left_semi"))
+    procs = t.folderprocess.filter(col("processcode") == WEB_ACCEPTANCE).join(f.select("folderrsn"), "folderrsn", "left_semi")
     first_review = first_of_group(procs, keys=["folderrsn"], order_by=["startdate", "processrsn"],
                                   values=["startdate", "enddate"])
     j = f.join(first_review, "folderrsn", "left")
@@ -151,20 +151,14 @@ def license_agreements_timeline(t: PermitTables) -> DataFrame:
     maximum) are one conditional aggregation over a single process scan.
     """
     f = t.folder.filter(_ftype("LM") & (col("statuscode") != VOID_LM))
-    # licence folders are a slice of all folders: under the broadcast bound
-    # their processes, and those processes' attempts, are selected map-side
-    lm = t.memo("licence_folders", lambda: bounded(f.select("folderrsn")))
-    fp = restrict(t.folderprocess.filter(col("processcode").isin(WEB_ACCEPTANCE, INITIAL_DISTRIBUTION)
-                                         | (col("disciplinecode") == REVIEW_DISCIPLINE))
-                  .select("processrsn", "folderrsn", "processcode", "disciplinecode", "enddate"),
-                  lm, ["folderrsn"])
-    lm_procs = t.memo(("licence_procs", id(lm)), lambda: bounded(fp)) if lm is not None else None
-    if lm_procs is not None:
-        fp = lm_procs
+    fp = (t.folderprocess.filter(col("processcode").isin(WEB_ACCEPTANCE, INITIAL_DISTRIBUTION)
+                                 | (col("disciplinecode") == REVIEW_DISCIPLINE))
+          .select("processrsn", "folderrsn", "processcode", "disciplinecode", "enddate")
+          .join(f.select("folderrsn"), "folderrsn", "left_semi"))
     res = col("resultcode")
     # earliest accepted / completed attempt per process: partial aggregation
     # before the shuffle, then at most one row per process joins
-    att = (restrict(t.folderprocessattempt.filter(res.isin(ACCEPTED, COMPLETED)), lm_procs, ["processrsn"])
+    att = (t.folderprocessattempt.filter(res.isin(ACCEPTED, COMPLETED))
            .groupBy("processrsn")
            .agg(F.min(F.when(res == ACCEPTED, col("attemptdate"))).alias("_accepted"),
                 F.min(F.when(res == COMPLETED, col("attemptdate"))).alias("_completed")))
@@ -186,16 +180,12 @@ def license_agreements_timeline(t: PermitTables) -> DataFrame:
 
 
 # R7 / R10 shared -------------------------------------------------------------
-def _process_rows(t: PermitTables, folders: DataFrame, process_codes, by_folder: bool = True) -> DataFrame:
+def _process_rows(t: PermitTables, folders: DataFrame, process_codes) -> DataFrame:
     """Folder x process x descriptions x council district (inner), reviewer (left).
 
     The selective process filter joins first (on folder), then the council
-    district (on property). With ``by_folder`` one repartition by folder
-    follows: it satisfies both the DISTINCT (grouping keys include the folder)
-    and the window per (folder, process code), so those two add no shuffle of
-    their own. When some folder holds a hot group of processes that
-    repartition would put all its rows in one task, so it is left out and the
-    DISTINCT shuffles on all of its columns instead.
+    district (on property); the DISTINCT that follows shuffles on all of its
+    columns, so a folder with very many processes is spread.
     """
     fp = t.folderprocess.filter(col("processcode").isin(*process_codes)).select(
         "folderrsn", "processrsn", "processcode", "assigneduser",
@@ -206,35 +196,24 @@ def _process_rows(t: PermitTables, folders: DataFrame, process_codes, by_folder:
     vu = t.validuser.select(col("userid").alias("assigneduser"), col("username").alias("reviewer"))
     pi = t.propertyinfo.filter(col("propertyinfocode") == COUNCIL_DISTRICT_INFO) \
         .select("propertyrsn", col("propinfovalue").alias("councildistrict"))
-    rows = (folders.join(fp, "folderrsn", "inner")
+    return (folders.join(fp, "folderrsn", "inner")
             .join(t.validprocess, "processcode", "inner")
             .join(vu, "assigneduser", "left")
             .join(vps, "process_statuscode", "inner")
             .join(pi, "propertyrsn", "inner"))
-    return rows.repartition("folderrsn") if by_folder else rows
-
 
-def _cycle_splits(t: PermitTables, process_codes) -> DataFrame | None:
-    """Hot (folder, process code) groups and their split values, or None if none.
 
-    Computed from the process table alone: a cheap aggregate whose group sizes
-    bound the report's (the report only adds code-table lookups and the
-    council-district fan-out per property).
-    """
-    def build():
-        procs = t.folderprocess.filter(col("processcode").isin(*process_codes)) \
-            .select("folderrsn", "processcode", "processrsn")
-        pts = split_points(procs, ["folderrsn", "processcode"], "processrsn",
-                           hot_group_rows=grouping.HOT_GROUP_ROWS)
-        return None if pts.isEmpty() else pts
-    return t.memo(("cycle_splits", tuple(process_codes)), build)
+def _numbered(t: PermitTables, rows: DataFrame, process_codes, dates: list[str]) -> DataFrame:
+    """Distinct rows with their cycle number per folder and process code."""
+    processes = t.folderprocess.filter(col("processcode").isin(*process_codes))
+    return cycle_number(rows, ["folderrsn", "processcode"],
+                        ["processrsn", "councildistrict", "reviewer", *dates, "process_status"], processes)
 
 
 # R7 ------------------------------------------------------------------------
 def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
     """Land-development engineering reviews with their cycle number."""
-    splits = _cycle_splits(t, LDE_PROCESSES)
-    rows = (_process_rows(t, t.folder, LDE_PROCESSES, by_folder=splits is None)
+    rows = (_process_rows(t, t.folder, LDE_PROCESSES)
             .join(t.validsub, "subcode", "left")
             .join(t.validstatus, "statuscode", "left"))
     distinct = rows.select(
@@ -246,23 +225,19 @@ def lde_site_plan_revisions(t: PermitTables) -> DataFrame:
         D.iso_seconds("scheduledate").alias("to_start"),
         D.iso_seconds("scheduleenddate").alias("to_end"),
         "process_status", "councildistrict").distinct()
-    numbered = cycle_number(distinct, ["folderrsn", "processcode"],
-                            ["processrsn", "councildistrict", "reviewer", "start_date", "end_date",
-                             "to_start", "to_end", "process_status"],
-                            split_at=splits)
-    return numbered.select(
+    numbered = _numbered(t, distinct, LDE_PROCESSES, ["start_date", "end_date", "to_start", "to_end"])
+    out = numbered.select(
         "foldertype", "folderrevision", "folderrsn", "subcode", "subdesc", "statusdesc",
         "foldercondition", "referencefile", "foldername", "reviewer", "processrsn",
         "process_name", "start_date", "end_date", "to_start", "to_end", "process_status",
         "cyclenumber", "councildistrict")
+    return _sorted(out, "reviewer", "foldertype", "process_name", "processrsn")
 
 
 # R10 -----------------------------------------------------------------------
 def tds_cases(t: PermitTables) -> DataFrame:
     """Transportation development review processes with their cycle number."""
-    splits = _cycle_splits(t, TDS_PROCESSES)
-    rows = _process_rows(t, t.folder.filter(_ftype(*TDS_FOLDER_TYPES)), TDS_PROCESSES,
-                         by_folder=splits is None)
+    rows = _process_rows(t, t.folder.filter(_ftype(*TDS_FOLDER_TYPES)), TDS_PROCESSES)
     distinct = rows.select(
         "foldertype", "folderrsn", "referencefile", "foldername", "reviewer", "processrsn",
         "processcode", col("processdesc").alias("processname"),
@@ -271,14 +246,12 @@ def tds_cases(t: PermitTables) -> DataFrame:
         D.iso_seconds("startdate").alias("started_date"),
         D.iso_seconds("enddate").alias("ended_date"),
         "process_status", "councildistrict").distinct()
-    numbered = cycle_number(distinct, ["folderrsn", "processcode"],
-                            ["processrsn", "councildistrict", "reviewer", "started_date", "ended_date",
-                             "tostart_date", "duedate", "process_status"],
-                            split_at=splits)
-    return numbered.select(
+    numbered = _numbered(t, distinct, TDS_PROCESSES, ["started_date", "ended_date", "tostart_date", "duedate"])
+    out = numbered.select(
         "foldertype", "folderrsn", "referencefile", "foldername", "reviewer", "processrsn",
         "processname", "tostart_date", "duedate", "started_date", "ended_date",
-        "process_status", col("cyclenumber").cast("int").alias("cyclenumber"), "councildistrict")
+        "process_status", "cyclenumber", "councildistrict")
+    return _sorted(out, "reviewer", "foldertype", "processname", "processrsn")
 
 
 # R8 ------------------------------------------------------------------------
@@ -287,70 +260,48 @@ def _inspector_folder_filter():
     return (col("statuscode") == ACTIVE) & (rw | _ftype("EX", "DS"))
 
 
-def inspection_process_stats(t: PermitTables, active: DataFrame | None = None) -> DataFrame:
-    """Per ROW-inspection process: open deficiency count and last attempt.
+def inspection_process_stats(t: PermitTables, folders: DataFrame) -> DataFrame:
+    """Per ROW-inspection process of ``folders``: open deficiency count and last attempt.
 
     Both sides are pre-aggregated per process (partial aggregation), so the
-    joins below see at most one row per process on the right. With a
-    size-checked set of ``active`` folders, only their processes (and those
-    processes' attempts and deficiencies) are read past the scan.
+    joins below see at most one row per process on the right.
     """
-    procs = restrict(t.folderprocess.filter(col("processcode") == ROW_INSPECTION)
-                     .select("folderrsn", "processrsn"), active, ["folderrsn"])
-    small_procs = t.memo(("inspection_procs", id(active)), lambda: bounded(procs)) \
-        if active is not None else None
-    if small_procs is not None:
-        procs = small_procs
-    defs = (restrict(t.folderprocessdeficiency.filter(col("statuscode") == OPEN_DEFICIENCY), small_procs,
-                     ["processrsn"])
+    procs = (t.folderprocess.filter(col("processcode") == ROW_INSPECTION).select("folderrsn", "processrsn")
+             .join(folders, "folderrsn", "left_semi"))
+    defs = (t.folderprocessdeficiency.filter(col("statuscode") == OPEN_DEFICIENCY)
             .groupBy("processrsn").agg(F.count("processrsn").alias("n_def")))
-    last = (restrict(t.folderprocessattempt, small_procs, ["processrsn"])
-            .groupBy("processrsn").agg(F.max("attemptdate").alias("most_recent_inspection")))
+    last = t.folderprocessattempt.groupBy("processrsn").agg(F.max("attemptdate").alias("most_recent_inspection"))
     return (procs.join(defs, "processrsn", "left").join(last, "processrsn", "left")
             .select("folderrsn", "processrsn", F.coalesce(col("n_def"), F.lit(0)).alias("n_def"),
                     "most_recent_inspection"))
 
 
-def active_inspector_folders(t: PermitTables) -> DataFrame | None:
-    """Active ROW permit folders of the inspector reports, if few enough to broadcast."""
-    return t.memo("active_inspector_folders", lambda: bounded(
-        t.folder.filter(_inspector_folder_filter()).select("folderrsn", "propertyrsn")))
-
-
-def row_inspector_permit_list(t: PermitTables, active: DataFrame | None = None,
-                              reduce: bool = True) -> DataFrame:
+def row_inspector_permit_list(t: PermitTables) -> DataFrame:
     """Active ROW permits with contractor, durations and inspection facts.
 
     One row per (permit, matching contact, ROW-inspection process): the
-    contact and process joins fan out exactly as the report does. The active
-    folders are a small slice of the history; when their count is under the
-    broadcast bound (``active_inspector_folders``), the attribute, contact,
-    property and process tables are reduced to them map-side first.
+    contact and process joins fan out exactly as the report does. Tables with
+    the history of all folders are cut to the active ones by semi-joins on the
+    folder key, which they are shuffled by for the next join anyway; where the
+    active folders turn out small, Spark broadcasts their keys at run time.
     """
-    if active is None and reduce:
-        active = active_inspector_folders(t)
     f = (t.folder.filter(_inspector_folder_filter() & (col("priority") != 1))
          .select("folderrsn", "foldertype", "subcode", "workcode", "propertyrsn",
                  "referencefile", "foldername", "expirydate", "issuedate"))
-    prop = restrict(t.property.select("propertyrsn", "propertyname"), active, ["propertyrsn"])
-    links = restrict(t.folderpeople.filter(col("peoplecode").isin(RW_CONTACT, ROW_CONTRACTOR)), active,
-                     ["folderrsn"])
-    # few permits have few contacts: read only their rows of the people table
-    few_links = t.memo(("inspector_contacts", id(active)), lambda: bounded(links)) if active is not None else None
-    if few_links is not None:
-        links = few_links
-    people = restrict(t.people.select("peoplersn", "organizationname", "phone1"), few_links, ["peoplersn"])
-    contacts = (links.join(people, "peoplersn", "left")
+    keys = f.select("folderrsn")
+    prop = t.property.select("propertyrsn", "propertyname")
+    links = t.folderpeople.filter(col("peoplecode").isin(RW_CONTACT, ROW_CONTRACTOR)).join(keys, "folderrsn", "left_semi")
+    contacts = (links.join(t.people.select("peoplersn", "organizationname", "phone1"), "peoplersn", "left")
                 .select(col("folderrsn").alias("c_folderrsn"), "peoplecode", "organizationname", "phone1"))
     # The contact code depends on the folder type; written as a CASE so the
     # join keeps the folder as its only key (and its partitioning).
     wants_contact = F.when(col("foldertype") == "RW", col("peoplecode") == RW_CONTACT) \
         .otherwise(col("peoplecode") == ROW_CONTRACTOR)
-    info = eav.scalar_attributes(restrict(t.folderinfo, active, ["folderrsn"]), "folderrsn", "infocode",
+    info = eav.scalar_attributes(t.folderinfo.join(keys, "folderrsn", "left_semi"), "folderrsn", "infocode",
                                  "infovalue", PERMIT_INFO)
     j = (f.join(prop, "propertyrsn", "left")
          .join(contacts, (col("folderrsn") == col("c_folderrsn")) & wants_contact, "inner")
-         .join(inspection_process_stats(t, active), "folderrsn", "left")
+         .join(inspection_process_stats(t, keys), "folderrsn", "left")
          .join(info, "folderrsn", "left")
          .join(t.validsub, "subcode", "left")
          .join(t.validwork, "workcode", "left"))
@@ -368,24 +319,16 @@ def row_inspector_permit_list(t: PermitTables, active: DataFrame | None = None,
 
 
 # R9 ------------------------------------------------------------------------
-def row_inspector_segment_list(t: PermitTables, active: DataFrame | None = None,
-                               reduce: bool = True) -> DataFrame:
+def row_inspector_segment_list(t: PermitTables) -> DataFrame:
     """Street segments (properties of segment type) of active ROW permits."""
-    if active is None and reduce:
-        active = active_inspector_folders(t)
     f = t.folder.filter(_inspector_folder_filter()).select("folderrsn")
-    fp = restrict(t.folderproperty.select("folderrsn", "propertyrsn", "propertyrelationcode"), active,
-                  ["folderrsn"])
-    # the linked properties of few folders are few: reduce the property table too
-    links = t.memo(("inspector_links", id(active)), lambda: bounded(fp)) if active is not None else None
-    if links is not None:
-        fp = links
-    segs = restrict(t.property.filter(col("propcode") == SEGMENT_PROPCODE).select("propertyrsn"), links,
-                    ["propertyrsn"])
-    return (fp.join(segs, "propertyrsn", "inner").join(f, "folderrsn", "inner")
-            .select("folderrsn", "propertyrsn",
-                    F.when(col("propertyrelationcode") == PRIMARY_RELATION, "TRUE")
-                    .otherwise("FALSE").alias("is_primary")))
+    fp = t.folderproperty.select("folderrsn", "propertyrsn", "propertyrelationcode")
+    segs = t.property.filter(col("propcode") == SEGMENT_PROPCODE).select("propertyrsn")
+    out = (fp.join(f, "folderrsn", "inner").join(segs, "propertyrsn", "inner")
+           .select("folderrsn", "propertyrsn",
+                   F.when(col("propertyrelationcode") == PRIMARY_RELATION, "TRUE")
+                   .otherwise("FALSE").alias("is_primary")))
+    return _sorted(out, "folderrsn")
 
 
 # R11 -----------------------------------------------------------------------
@@ -404,32 +347,24 @@ def _primary_property(t: PermitTables, folders: DataFrame, existence_only: bool
     return f.join(prop, "propertyrsn", "inner")
 
 
-def _sif_folders(t: PermitTables) -> DataFrame | None:
-    """SIF case folders, if few enough to broadcast their keys (size-checked)."""
-    return t.memo("sif_folders", lambda: bounded(
-        t.folder.filter(_ftype("SIF")).select("folderrsn", "propertyrsn")))
-
-
-def tds_asmd_map(t: PermitTables, sif: DataFrame | None = None, reduce: bool = True) -> DataFrame:
+def tds_asmd_map(t: PermitTables) -> DataFrame:
     """SIF cases: primary property, fee totals and seven SIF attributes.
 
-    The SIF folders are a small slice of all cases; under the broadcast bound
-    the attribute, folder-property, bill and free-form tables are reduced to
-    them map-side before their aggregations and joins.
+    Bills and free-form rows are cut to the SIF folders by semi-joins on the
+    folder key, by which they are summed next.
     """
-    if sif is None and reduce:
-        sif = _sif_folders(t)
     f = (t.folder.filter(_ftype("SIF") & (col("statuscode") != VOID_APP))
          .join(t.validstatus, "statuscode", "inner")
          .select("folderrsn", "parentrsn", "propertyrsn", "statusdesc", "foldername"))
-    t2 = _reduced(t, sif, ["folderproperty", "accountbill", "folderfreeform", "folderinfo", "property",
-                           "propertyinfo"])
-    base = _primary_property(t2, f)
-    fees = t2.accountbill.groupBy("folderrsn").agg(F.sum("totalpaid").alias("total_fees_paid"))
-    units = t2.folderfreeform.groupBy("folderrsn").agg(F.sum("f03").alias("total_affordability_units"))
-    j = eav.attribute_join(base, t2.folderinfo, "folderrsn", "infocode", "infovalue", SIF_INFO)
+    keys = f.select("folderrsn")
+    base = _primary_property(t, f)
+    fees = (t.accountbill.join(keys, "folderrsn", "left_semi")
+            .groupBy("folderrsn").agg(F.sum("totalpaid").alias("total_fees_paid")))
+    units = (t.folderfreeform.join(keys, "folderrsn", "left_semi")
+             .groupBy("folderrsn").agg(F.sum("f03").alias("total_affordability_units")))
+    j = eav.attribute_join(base, t.folderinfo, "folderrsn", "infocode", "infovalue", SIF_INFO)
     j = j.join(fees, "folderrsn", "left").join(units, "folderrsn", "left")
-    return j.select(
+    out = j.select(
         "folderrsn", "parentrsn",
         col("address").alias("primary_folder_property_address"),
         col("propertyrsn").alias("primary_folder_property_propid"),
@@ -439,47 +374,32 @@ def tds_asmd_map(t: PermitTables, sif: DataFrame | None = None, reduce: bool = T
         "offset_amount", "row_dedication_value", "easement_dedication_value",
         "total_affordability_units", "council_district", "sif_district_area",
         "total_affordability_reduction", "transportation_land_use")
-
-
-def _reduced(t: PermitTables, folders: DataFrame | None, names: list[str]) -> PermitTables:
-    """``t`` with ``names`` restricted to ``folders`` (folder-keyed tables by folder,
-    property tables by the folders' own property)."""
-    out = t
-    for n in names:
-        key = "propertyrsn" if n in ("property", "propertyinfo") else "folderrsn"
-        out = out.with_table(n, restrict(getattr(t, n), folders, [key]))
-    return out
+    return _sorted(out, "folderrsn")
 
 
 # R12 -----------------------------------------------------------------------
-def sif_payment_details(t: PermitTables, sif: DataFrame | None = None, reduce: bool = True) -> DataFrame:
+def sif_payment_details(t: PermitTables) -> DataFrame:
     """Distinct non-void payment lines of SIF cases with fiscal period.
 
     Joins whose tables contribute no output column (free-form rows, bill
     fees, payments, status) only test existence under the DISTINCT and are
-    written as semi-joins, so they never multiply rows. The billing history
-    is reduced to the SIF folders first when they are under the broadcast
-    bound.
+    written as semi-joins, so they never multiply rows.
     """
-    if sif is None and reduce:
-        sif = _sif_folders(t)
-    t2 = _reduced(t, sif, ["folderfreeform", "folderproperty", "accountbill", "accountbillfee",
-                           "accountpaymentdetail", "accountpayment", "folderinfo", "property", "propertyinfo"])
     f = (t.folder.filter(_ftype("SIF"))
          .join(t.validstatus.select("statuscode"), "statuscode", "left_semi")
-         .join(t2.folderfreeform.select("folderrsn"), "folderrsn", "left_semi")
+         .join(t.folderfreeform.select("folderrsn"), "folderrsn", "left_semi")
          .select("folderrsn", "parentrsn", "propertyrsn"))
-    base = _primary_property(t2, f, existence_only=True)
-    bills = (t2.accountbill.select("folderrsn", "billnumber")
-             .join(t2.accountbillfee.select("folderrsn", "billnumber"), ["folderrsn", "billnumber"], "left_semi"))
-    paid = t2.accountpayment.filter(col("voidflag") != "Y").select("folderrsn", "paymentnumber")
-    lines = (t2.accountpaymentdetail.select("folderrsn", "billnumber", "paymentnumber",
-                                            "paymentamount", "dategenerated")
+    base = _primary_property(t, f, existence_only=True)
+    bills = (t.accountbill.select("folderrsn", "billnumber")
+             .join(t.accountbillfee.select("folderrsn", "billnumber"), ["folderrsn", "billnumber"], "left_semi"))
+    paid = t.accountpayment.filter(col("voidflag") != "Y").select("folderrsn", "paymentnumber")
+    lines = (t.accountpaymentdetail.select("folderrsn", "billnumber", "paymentnumber",
+                                           "paymentamount", "dategenerated")
              .join(bills, ["folderrsn", "billnumber"], "inner")
              .join(paid, ["folderrsn", "paymentnumber"], "left_semi"))
-    j = eav.attribute_join(base.join(lines, "folderrsn", "inner"), t2.folderinfo, "folderrsn",
+    j = eav.attribute_join(base.join(lines, "folderrsn", "inner"), t.folderinfo, "folderrsn",
                            "infocode", "infovalue", SIF_PAYMENT_INFO)
-    return j.select(
+    out = j.select(
         "folderrsn", "parentrsn",
         col("address").alias("primary_folder_property"),
         col("propertyrsn").alias("primary_folder_property_propid"),
@@ -490,6 +410,7 @@ def sif_payment_details(t: PermitTables, sif: DataFrame | None = None, reduce: b
         D.month_name_padded("dategenerated").alias("payment_month"),
         D.fiscal_quarter("dategenerated").alias("payment_quarter"),
         D.fiscal_year("dategenerated").alias("payment_fy")).distinct()
+    return _sorted(out, "folderrsn")
 
 
 REPORTS = {

@@ -3,11 +3,11 @@
 Pipeline: permit list (R8) + permit segments (R9) + published road segments
 (segment tagging output) -> six ``*_scoring`` columns -> ``total_score``.
 
-Every per-segment fact is folded into ONE aggregation keyed by folder over
-``segments LEFT JOIN road``: segment count, best road class, downtown flag
-and inspector zone. The permit list then needs a single left join on the
-folder key, so the whole pipeline has one shuffle per input table and no
-row-at-a-time Python.
+Per-segment facts are aggregated per folder before they meet the permit list:
+the count over the permit's own segments, road class, downtown flag and zone
+over those found in the road data. A rule that needs no road data (count,
+duration, deficiencies, inspections, label) is computed without it, so no
+segment is tagged for it.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
-from curbwise.operators.reduction import bounded, restrict
 from curbwise.plans import reports
 from curbwise.plans.tagging import road_dataset
 from curbwise.sources.tables import PermitTables
@@ -109,25 +108,47 @@ def attach_road_segments(segments: DataFrame, road: DataFrame) -> DataFrame:
             .withColumn("is_dapcz", col("dapcz_zone").isNotNull()))
 
 
+def segment_counts(segments: DataFrame) -> DataFrame:
+    """Per folder: the number of its segments, whatever the road data holds of them."""
+    return segments.groupBy("folderrsn").agg(F.count("propertyrsn").alias("count_segments"))
+
+
 def segment_facts(segments: DataFrame, road: DataFrame) -> DataFrame:
     """Per folder: segment count, best road class points, downtown points, zone.
 
-    One aggregation over segments LEFT JOIN road: the count uses every permit
-    segment, the other three only segments found in the road data. The road
-    dataset is keyed by segment_id (upserted by key), so the left join does
-    not duplicate segments.
+    The count is taken before the road join, so road rows that repeat a
+    segment do not raise it; the other three are maxima over segments found in
+    the road data.
     """
     r = road.select(col("segment_id").cast("long").alias("_sid"),
                     col("road_class").cast("int").alias("_class"),
                     col("inspector_zone").cast("double").alias("_zone"),
                     col("dapcz_zone").alias("_dapcz"))
-    j = segments.join(r, segments["propertyrsn"] == r["_sid"], "left")
-    matched = col("_sid").isNotNull()
-    return j.groupBy("folderrsn").agg(
-        F.count("propertyrsn").alias("count_segments"),
-        F.max(F.when(matched, road_class_points(col("_class")))).alias("_road_pts"),
-        F.max(F.when(matched, F.when(col("_dapcz").isNotNull(), DOWNTOWN_POINTS).otherwise(0))).alias("_dapcz_pts"),
-        F.max(F.when(matched, col("_zone"))).alias("row_inspector_zone"))
+    found = segments.join(r, segments["propertyrsn"] == r["_sid"], "inner").groupBy("folderrsn").agg(
+        F.max(road_class_points(col("_class"))).alias("_road_pts"),
+        F.max(F.when(col("_dapcz").isNotNull(), DOWNTOWN_POINTS).otherwise(0)).alias("_dapcz_pts"),
+        F.max("_zone").alias("row_inspector_zone"))
+    return segment_counts(segments).join(found, "folderrsn", "left")
+
+
+def with_counts(permits: DataFrame, facts: DataFrame) -> DataFrame:
+    """Permit rows with their folder's facts; a folder without segments counts 0."""
+    return (permits.join(facts, "folderrsn", "left")
+            .withColumn("count_segments", F.coalesce(col("count_segments"), F.lit(0))))
+
+
+def deficiency_points() -> Column:
+    return F.when(col("count_deficiencies") > 0, DEFICIENCY_POINTS).otherwise(0)
+
+
+def recent_points(as_of: str) -> Column:
+    """Points of permits whose ``most_recent_inspection`` (a timestamp) is recent."""
+    recent = D.floor_days(col("most_recent_inspection"), D.ts_literal(as_of)) <= RECENT_INSPECTION_DAYS
+    return F.when(recent, RECENT_INSPECTION_POINTS).otherwise(0)
+
+
+def type_label() -> Column:
+    return F.when(col("foldertype") == "RW", col("rw_work_description")).otherwise(col("permit_type"))
 
 
 # M15 -----------------------------------------------------------------------
@@ -141,18 +162,14 @@ def normalize_timestamps(df: DataFrame, fields: list[str] = DATE_FIELDS) -> Data
 def score_permits(permits: DataFrame, segments: DataFrame, road: DataFrame, as_of: str,
                   null_extension: str = "fallback") -> DataFrame:
     """All scoring columns and ``total_score`` for every permit-list row."""
-    facts = segment_facts(segments, road)
-    p = parse_dates(permits).join(facts, "folderrsn", "left") \
-        .withColumn("count_segments", F.coalesce(col("count_segments"), F.lit(0)))
-    p = with_duration(p, null_extension)
-    recent = D.floor_days(col("most_recent_inspection"), D.ts_literal(as_of)) <= RECENT_INSPECTION_DAYS
+    p = with_duration(with_counts(parse_dates(permits), segment_facts(segments, road)), null_extension)
     p = p.withColumns({
         "count_segment_scoring": segment_count_points(col("count_segments")),
         "road_class_scoring": F.coalesce(col("_road_pts"), F.lit(0)),
         "dapcz_scoring": F.coalesce(col("_dapcz_pts"), F.lit(0)),
-        "active_deficiencies_scoring": F.when(col("count_deficiencies") > 0, DEFICIENCY_POINTS).otherwise(0),
-        "recent_inspection_scoring": F.when(recent, RECENT_INSPECTION_POINTS).otherwise(0),
-        "permit_type": F.when(col("foldertype") == "RW", col("rw_work_description")).otherwise(col("permit_type")),
+        "active_deficiencies_scoring": deficiency_points(),
+        "recent_inspection_scoring": recent_points(as_of),
+        "permit_type": type_label(),
     }).drop("_road_pts", "_dapcz_pts")
     p = p.withColumn("total_score", X.sum_columns(SCORE_COLUMNS))
     return X.nan_to_null(normalize_timestamps(p))
@@ -166,60 +183,65 @@ def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallb
     the tagging output); without it the segments are tagged in this job.
     """
     road = road if road is not None else road_dataset(t, as_of)
-    active = reports.active_inspector_folders(t)  # one size check shared by both inputs
-    segments = reports.row_inspector_segment_list(t, active)
-    # the permits' segments are few: read only their rows of the road dataset
-    small = t.memo(("inspector_segments", id(active)), lambda: bounded(segments)) if active is not None else None
-    if small is not None:
-        segments = small
-        road = restrict(road, small, ["segment_id"], small_on=["propertyrsn"])
-    return score_permits(reports.row_inspector_permit_list(t, active), segments, road, as_of, null_extension)
+    return score_permits(reports.row_inspector_permit_list(t), reports.row_inspector_segment_list(t), road,
+                         as_of, null_extension)
 
 
-# Single-rule views of the same pipeline (one registered query each) ---------
-def _scored(t: PermitTables, as_of: str, null_extension: str = "fallback") -> DataFrame:
-    return inspector_priority(t, as_of, null_extension)
+# Single-rule views (one registered query each) --------------------------------
+def segment_count_score(t, as_of):
+    p = with_counts(reports.row_inspector_permit_list(t), segment_counts(reports.row_inspector_segment_list(t)))
+    return p.select("folderrsn", "foldertype", "count_segments",
+                    segment_count_points(col("count_segments")).alias("count_segment_scoring"))
 
 
-def segment_count_score(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "foldertype", "count_segments", "count_segment_scoring")
+def _durations(t, null_extension: str) -> DataFrame:
+    p = with_duration(reports.row_inspector_permit_list(t), null_extension)
+    return normalize_timestamps(p, ["start_date"]).select("folderrsn", "foldertype", "duration", "duration_scoring", "start_date")
 
 
 def duration_score(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "foldertype", "duration", "duration_scoring", "start_date")
+    return _durations(t, "fallback")
 
 
 def duration_score_literal(t, as_of):
-    return _scored(t, as_of, "literal").select("folderrsn", "foldertype", "duration",
-                                               "duration_scoring", "start_date")
+    return _durations(t, "literal")
 
 
 def road_segment_attach(t, as_of):
     return attach_road_segments(reports.row_inspector_segment_list(t), road_dataset(t, as_of))
 
 
+def _facts(t, as_of) -> DataFrame:
+    return with_counts(reports.row_inspector_permit_list(t),
+                       segment_facts(reports.row_inspector_segment_list(t), road_dataset(t, as_of)))
+
+
 def road_class_score(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "road_class_scoring")
+    return _facts(t, as_of).select("folderrsn", F.coalesce(col("_road_pts"), F.lit(0)).alias("road_class_scoring"))
 
 
 def dapcz_score(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "dapcz_scoring")
+    return _facts(t, as_of).select("folderrsn", F.coalesce(col("_dapcz_pts"), F.lit(0)).alias("dapcz_scoring"))
 
 
 def permit_inspector_zone(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "row_inspector_zone")
+    return _facts(t, as_of).select("folderrsn", "row_inspector_zone")
 
 
 def deficiency_score(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "count_deficiencies", "active_deficiencies_scoring")
+    return reports.row_inspector_permit_list(t).select(
+        "folderrsn", "count_deficiencies", deficiency_points().alias("active_deficiencies_scoring"))
 
 
 def recent_inspection_score(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "most_recent_inspection", "recent_inspection_scoring")
+    p = parse_dates(reports.row_inspector_permit_list(t), ["most_recent_inspection"])
+    p = p.withColumn("recent_inspection_scoring", recent_points(as_of))
+    return normalize_timestamps(p, ["most_recent_inspection"]).select(
+        "folderrsn", "most_recent_inspection", "recent_inspection_scoring")
 
 
 def permit_type_label(t, as_of):
-    return _scored(t, as_of).select("folderrsn", "foldertype", "permit_type")
+    return reports.row_inspector_permit_list(t).select("folderrsn", "foldertype", type_label().alias("permit_type"))
 
 
 def timestamp_text_normalize(t, as_of):

@@ -15,11 +15,6 @@ LOOKBACK_DAYS = 30
 # Age of the previously published full run in the ``keyed_upsert`` query.
 PREVIOUS_RUN_DAYS = 15
 FULL_SINCE = "1970-01-01 00:00:00"
-# Grid cell edge in the coordinate unit of the geometry. Any value gives the
-# same result; it only trades join fan-out (small cells) against pairs
-# tested per cell (large cells).
-CELL_SIZE = 100.0
-
 SEGMENT_COLUMNS = ["segment_id", "full_street_name", "road_class", "modified_date"]
 TAG_COLUMNS = ["segment_id", "full_street_name", "road_class", "inspector_zone", "dapcz_zone"]
 
@@ -36,8 +31,15 @@ def segments_recent(t: PermitTables, as_of: str, full: bool = False) -> DataFram
     return recent_segments(t.segment, as_of, full=full).select(*SEGMENT_COLUMNS)
 
 
+def latest_versions(segs: DataFrame) -> DataFrame:
+    """One row per segment_id: the version modified last (ties: the largest row)."""
+    rest = [c for c in segs.columns if c not in ("segment_id", "modified_date")]
+    best = segs.groupBy("segment_id").agg(F.max(F.struct("modified_date", *rest)).alias("_v"))
+    return best.select("segment_id", *[F.col(f"_v.{c}").alias(c) for c in segs.columns if c != "segment_id"])
+
+
 def _tag(segs: DataFrame, t: PermitTables, inspector: bool, dapcz: bool,
-         cell_size: float = CELL_SIZE) -> DataFrame:
+         cell_size: float | None = None) -> DataFrame:
     layers = []
     if inspector:
         layers.append(("inspector_zone", t.inspector_zone, "zone_id"))
@@ -46,18 +48,18 @@ def _tag(segs: DataFrame, t: PermitTables, inspector: bool, dapcz: bool,
     return tag_zones(segs.select("segment_id", "path"), "segment_id", "path", layers, cell_size)
 
 
-def segment_inspector_zone(t: PermitTables, cell_size: float = CELL_SIZE) -> DataFrame:
+def segment_inspector_zone(t: PermitTables, cell_size: float | None = None) -> DataFrame:
     """Every segment with the inspector zone it intersects (lowest object id)."""
     return _tag(t.segment, t, True, False, cell_size).select("segment_id", "inspector_zone")
 
 
-def segment_dapcz_zone(t: PermitTables, cell_size: float = CELL_SIZE) -> DataFrame:
+def segment_dapcz_zone(t: PermitTables, cell_size: float | None = None) -> DataFrame:
     """Every segment with the downtown coordination zone it intersects."""
     return _tag(t.segment, t, False, True, cell_size).select("segment_id", "dapcz_zone")
 
 
 def segment_zone_tags(t: PermitTables, as_of: str, full: bool = False,
-                      cell_size: float = CELL_SIZE) -> DataFrame:
+                      cell_size: float | None = None) -> DataFrame:
     """Recently modified segments (or all, ``full``) with both zone tags.
 
     Output is the published road-segment dataset keyed by ``segment_id``.
@@ -65,37 +67,42 @@ def segment_zone_tags(t: PermitTables, as_of: str, full: bool = False,
     return tag_segments(t, recent_segments(t.segment, as_of, full=full), cell_size)
 
 
-def tag_segments(t: PermitTables, segs: DataFrame, cell_size: float = CELL_SIZE) -> DataFrame:
-    """Segments (with ``path``) -> published columns with both zone tags."""
+def tag_segments(t: PermitTables, segs: DataFrame, cell_size: float | None = None) -> DataFrame:
+    """Segments (with ``path``) -> published columns with both zone tags, one row per segment."""
+    segs = latest_versions(segs)
     tags = _tag(segs, t, True, True, cell_size)
     return (segs.select("segment_id", "full_street_name", "road_class")
             .join(tags, "segment_id", "left").select(*TAG_COLUMNS))
 
 
 def road_dataset(t: PermitTables, as_of: str) -> DataFrame:
-    """Every segment tagged with its zones (what a full tagging run publishes).
+    """Every segment tagged with its zones: the published dataset, where the tables
+    hold it (``t.with_table("road_segment", published)``), else tagged in this job."""
+    if t.has("road_segment"):
+        return t.road_segment
+    return segment_zone_tags(t, as_of, full=True)
 
-    Written once per set of tables to the shared checkpoint folder, the way
-    the tagging job publishes it; scoring queries and the upsert read it. A
-    caller holding the published dataset seeds it with
-    ``t.memo(("road", as_of), lambda: published)``.
-    """
-    from curbwise.operators.grouping import materialize
-    return t.memo(("road", as_of), lambda: materialize(segment_zone_tags(t, as_of, full=True), "road"))
+
+# Rows that the ``keyed_upsert`` query adds to the run, a row
+# without a key (before and after) and an older version of every tenth segment.
+_NO_KEY = ("no key, before", "no key, after")
+_OLDER = "older version"
 
 
-def keyed_upsert(t: PermitTables, as_of: str, cell_size: float = CELL_SIZE) -> DataFrame:
+def keyed_upsert(t: PermitTables, as_of: str, cell_size: float | None = None) -> DataFrame:
     """The published segment dataset after this run's incremental upsert.
 
-    Previous version: the dataset as a full run published it
-    ``PREVIOUS_RUN_DAYS`` before ``as_of`` — the published road dataset's rows
-    of every segment modified before then (read, not recomputed). This run
-    tags the segments modified in the look-back window (the spatial join runs
-    on those only) and upserts them by ``segment_id``: keys present in both
-    are replaced, new keys are added, all other rows are kept.
+    Previous version: every segment modified before ``PREVIOUS_RUN_DAYS`` ago,
+    tagged. This run tags the segments modified in the look-back window and
+    upserts them by ``segment_id``, the latest version of a key first: keys
+    present in both are replaced, new keys are added, all other rows are kept.
     """
     cutoff = D.ts_literal(as_of) - F.expr(f"INTERVAL {PREVIOUS_RUN_DAYS} DAYS")
-    existed = t.segment.filter(F.col("modified_date") < cutoff).select("segment_id")
-    previous = road_dataset(t, as_of).join(existed, "segment_id", "left_semi")
-    updates = segment_zone_tags(t, as_of, cell_size=cell_size)
-    return merge_by_key(previous, updates, ["segment_id"])
+    no_key = lambda text: t.segment.sparkSession.range(1).select(
+        F.lit(None).cast("long").alias("segment_id"), F.lit(text).alias("full_street_name"), F.lit(0).alias("road_class"),
+        F.lit(None).cast("double").alias("inspector_zone"), F.lit(None).cast("string").alias("dapcz_zone"))
+    previous = tag_segments(t, t.segment.filter(F.col("modified_date") < cutoff), cell_size).unionByName(no_key(_NO_KEY[0]))
+    new = segment_zone_tags(t, as_of, cell_size=cell_size).withColumn("version", F.lit(1))
+    older = new.filter(F.col("segment_id") % 10 == 0).withColumns({"full_street_name": F.lit(_OLDER), "version": F.lit(0)})
+    updates = new.unionByName(older).unionByName(no_key(_NO_KEY[1]).withColumn("version", F.lit(1)))
+    return merge_by_key(previous, updates, ["segment_id"], order_by=["version"]).select(*TAG_COLUMNS)

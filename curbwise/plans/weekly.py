@@ -36,10 +36,13 @@ def _each(values: list[str]):
 
 # M1 ------------------------------------------------------------------------
 def daily_counts(df: DataFrame, date_col: str) -> DataFrame:
-    """Number of rows per calendar day of ``date_col``; rows without a date are dropped."""
-    return (df.filter(col(date_col).isNotNull())
-            .groupBy(F.to_date(col(date_col)).alias("date"))
-            .agg(F.count(F.lit(1)).alias("count_permits")))
+    """Number of rows per calendar day of ``date_col``; rows without a date are dropped.
+
+    A text column is parsed in any of the accepted layouts; other text fails the job.
+    """
+    when = D.as_timestamp(date_col, df.schema[date_col].dataType.simpleString())
+    return (df.select(F.to_date(when).alias("date")).filter(col("date").isNotNull())
+            .groupBy("date").agg(F.count(F.lit(1)).alias("count_permits")))
 
 
 def daily_request_counts(t: PermitTables) -> DataFrame:
@@ -92,7 +95,7 @@ def weekly_type_totals(daily: DataFrame, date_col: str, type_col: str, count_col
     d = daily.select(D.week_ending_saturday(F.to_date(col(date_col))).alias("week"),
                      col(type_col).alias("_type"), col(count_col).alias("_n"))
     sums = d.groupBy("week", "_type").agg(F.sum("_n").alias("_n"))
-    grid = week_spine(d, "week").select("week", _each(PERMIT_TYPES))
+    grid = week_spine(sums, "week").select("week", _each(PERMIT_TYPES))
     filled = grid.join(sums, ["week", "_type"], "left").fillna(0, subset=["_n"])
     return (filled.groupBy("week").pivot("_type", PERMIT_TYPES).agg(F.sum("_n"))
             .select("week", *[F.col(x).cast("double").alias(x.lower()) for x in PERMIT_TYPES]))
@@ -111,7 +114,7 @@ def _weekly_long(daily: DataFrame, date_col: str, value_col: str, type_col: str
             col(type_col).alias("_type"), col(value_col).alias("_n"))
         types = PERMIT_TYPES
     sums = d.groupBy("week", "_type").agg(F.sum("_n").alias("_n"))
-    grid = week_spine(d, "week").select("week", _each(types))
+    grid = week_spine(sums, "week").select("week", _each(types))
     filled = grid.join(sums, ["week", "_type"], "left").fillna(0, subset=["_n"])
     return filled.select("week", F.concat(col("_type"), F.lit(" " + measure)).alias("name"),
                          col("_n").cast("double").alias("value"))
@@ -119,8 +122,7 @@ def _weekly_long(daily: DataFrame, date_col: str, value_col: str, type_col: str
 
 def weekly_type_totals_report(t: PermitTables) -> DataFrame:
     """Weekly totals per folder type of applications received and permits issued."""
-    apps = _published(t, "applications_received", lambda: reports.applications_received(t))
-    issued = _published(t, "issued_permits", lambda: reports.issued_permits(t))
+    apps, issued = reports.applications_received(t), reports.issued_permits(t)
     a = weekly_type_totals(apps, "received_date", "foldertype",
                            "issuedrowpermits").withColumn("measure", F.lit(APPLICATIONS))
     i = weekly_type_totals(issued, "issued_date", "foldertype",
@@ -160,22 +162,8 @@ def weekly_summary(applications: DataFrame, issued: DataFrame, commercial: DataF
     return out.select("date", *sorted(c for c in out.columns if c != "date"))
 
 
-def _published(t: PermitTables, name: str, build) -> DataFrame:
-    """A daily source as the weekly job reads it: a small published dataset.
-
-    The daily reports are aggregated (one row per day and type), written once
-    per set of tables to the shared checkpoint folder; the weekly roll-up
-    reads them twice (sums and week range) without recomputing the scans of
-    the permit and request tables.
-    """
-    from curbwise.operators.grouping import materialize
-    return t.memo(("daily_source", name), lambda: materialize(build(), name))
-
-
 def weekly_summary_report(t: PermitTables) -> DataFrame:
     return weekly_summary(
-        _published(t, "applications_received", lambda: reports.applications_received(t)),
-        _published(t, "issued_permits", lambda: reports.issued_permits(t)),
-        _published(t, "requests_commercial", lambda: daily_counts(t.request_ds_commercial, "created")),
-        _published(t, "requests_extension", lambda: daily_counts(t.request_extension, "created")),
-        _published(t, "requests_residential", lambda: daily_counts(t.request_ds_residential, "created")))
+        reports.applications_received(t), reports.issued_permits(t),
+        daily_counts(t.request_ds_commercial, "created"), daily_counts(t.request_extension, "created"),
+        daily_counts(t.request_ds_residential, "created"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -77,8 +78,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint directory named by the cluster in ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared folder and is never overridden. Only when
-    it is unset (local tests) a private scratch folder is created.
+    On a cluster this is a shared folder, never overridden, and an error when
+    unset. A local master without one (tests) gets a private folder that is
+    removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,12 +89,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="curbwise-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "curbwise", name)
+def is_local(master: str) -> bool:
+    """One process: ``local``, ``local[4]``; not ``local-cluster[...]`` or a cluster's address."""
+    return master == "local" or master.startswith("local[")

@@ -14,31 +14,35 @@ NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
                "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
+def read_text(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header, every field as text; quotes doubled inside quotes, line ends allowed there."""
+    return (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+            .option("mode", "PERMISSIVE").csv(path))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             null_tokens: list[str] = NULL_TOKENS, header: bool = True) -> DataFrame:
-    """Read CSV with every column as text, map null tokens to NULL, then cast.
+             null_tokens: list[str] = NULL_TOKENS, errors: str = "raise") -> DataFrame:
+    """CSV with a header -> the columns of ``schema`` by header name; further columns are ignored.
 
-    Casting is ``try_cast`` (timestamps: the mixed-layout parser), so a value
-    that does not fit the declared type becomes NULL instead of failing the
-    job. Only the columns of ``schema`` are read (by header name).
+    Null tokens become NULL, then the text is cast. Date and
+    time text that no layout fits fails the job (``errors="null"``: NULL);
+    other values that do not fit the declared type become NULL.
     """
-    raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (spark.read.option("header", header).option("mode", "PERMISSIVE")
-           .option("enforceSchema", False).schema(raw_schema).csv(path))
+    raw = read_text(spark, path)
     cols = []
     for f in schema.fields:
         c = F.when(F.col(f"`{f.name}`").isin(null_tokens), F.lit(None)).otherwise(F.col(f"`{f.name}`"))
         if isinstance(f.dataType, T.StringType):
             cols.append(c.alias(f.name))
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            cols.append(parse_mixed_timestamp(c).cast(f.dataType).alias(f.name))
+            cols.append(parse_mixed_timestamp(c, errors).cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.DateType):
-            cols.append(F.to_date(parse_mixed_timestamp(c)).alias(f.name))
+            cols.append(F.to_date(parse_mixed_timestamp(c, errors)).alias(f.name))
         else:
             cols.append(c.try_cast(f.dataType).alias(f.name))
     return raw.select(*cols)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """Write a CSV directory (one file per partition) with a header line."""
-    df.write.mode("overwrite").option("header", header).csv(path)
+    """Write a CSV directory (one file per partition) with a header line; quotes are doubled."""
+    df.write.mode("overwrite").option("header", header).option("quote", '"').option("escape", '"').csv(path)

@@ -23,6 +23,20 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 _PROCESSRSN = ("((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey")
 _SHIFT = "INTERVAL '8036' DAY"
 
+_DATE = f"CAST(o_orderdate + {_SHIFT} + d * INTERVAL '1' DAY AS DATE)"
+
+
+def _two(part: str) -> str:
+    return f"LPAD(CAST({part}({_DATE}) AS VARCHAR(20)), 2, '0')"
+
+
+# The attribute dates as text, in four layouts by folder.
+_TEXT_DATE = f"""CASE o_orderkey % 4
+    WHEN 0 THEN CAST({_DATE} AS VARCHAR(20))
+    WHEN 1 THEN CONCAT({_two('MONTH')}, '/', {_two('DAY')}, '/', CAST(YEAR({_DATE}) AS VARCHAR(20)), ' 03:04 PM')
+    WHEN 2 THEN CONCAT({_two('MONTH')}, '/', {_two('DAY')}, '/', LPAD(CAST(YEAR({_DATE}) % 100 AS VARCHAR(20)), 2, '0'))
+    ELSE CONCAT(CAST({_DATE} AS VARCHAR(20)), 'T10:00:00Z') END"""
+
 # Fixed values of the mapping (FIXTURES.md section 2): codes, descriptions and
 # moduli chosen so that every branch of every report is exercised.
 TEMPLATES: dict[str, str] = {
@@ -63,7 +77,7 @@ SELECT {_PROCESSRSN} AS processrsn, CASE (l_suppkey + k) % 2 WHEN 0 THEN 55360 E
 FROM {{lineitem}} <<k: 0,1,2>> WHERE l_returnflag = 'R'""",
     "folderinfo": f"""
 SELECT o_orderkey AS folderrsn, c AS infocode,
-  CASE WHEN c IN (75980,76110,75993,75994,76115) THEN CAST(CAST(o_orderdate + {_SHIFT} + d * INTERVAL '1' DAY AS DATE) AS VARCHAR(20))
+  CASE WHEN c IN (75980,76110,75993,75994,76115) THEN {_TEXT_DATE}
        WHEN c = 75390 AND o_orderkey % 41 = 0 THEN 'n/a' ELSE CAST((o_orderkey * 31 + c) % 60 AS VARCHAR(20)) END AS infovalue
 FROM {{orders}} <<c,d: (75390,0),(75980,1),(76110,2),(76115,12),(75993,20),(75994,45),(84011,0),(84012,0),(84016,0),(84021,0),(84040,0),(84043,0),(84044,0)>>
 WHERE (o_orderkey * 7 + c) % 19 <> 0 AND (c NOT IN (75993,75994) OR o_orderkey % 3 = 0)
@@ -115,11 +129,11 @@ SELECT n_nationkey AS userid, n_name AS username FROM {nation} WHERE n_nationkey
     "validwork": """
 SELECT * FROM (VALUES (0,'Boring'),(1,'Crane'),(2,'Event'),(3,'Paving'),(4,'Utility')) t(workcode, workdesc)""",
     "request_ds_commercial": """
-SELECT event_id AS request_id, ts - (event_id % 1000) * INTERVAL '1' DAY AS created FROM {events} WHERE event_type = 'signup'""",
+SELECT event_id AS request_id, ts - (event_id % 1000) * INTERVAL '1' DAY AS created FROM {events} WHERE event_type IN ('signup', 'click')""",
     "request_ds_residential": """
-SELECT event_id AS request_id, ts - (event_id % 1000) * INTERVAL '1' DAY AS created FROM {events} WHERE event_type = 'purchase'""",
+SELECT event_id AS request_id, ts - (event_id % 1000) * INTERVAL '1' DAY AS created FROM {events} WHERE event_type IN ('purchase', 'view')""",
     "request_extension": """
-SELECT event_id AS request_id, ts - (event_id % 1000) * INTERVAL '1' DAY AS created FROM {events} WHERE event_type = 'error'""",
+SELECT event_id AS request_id, ts - (event_id % 1000) * INTERVAL '1' DAY AS created FROM {events} WHERE event_type NOT IN ('signup', 'click', 'purchase', 'view')""",
     "segment_attrs": """
 SELECT c_custkey AS segment_id, CONCAT(c_mktsegment, ' ', CAST(c_nationkey AS VARCHAR(10))) AS full_street_name,
   CAST(c_custkey % 12 AS INT) AS road_class,

@@ -28,7 +28,8 @@ SPLIT_COLUMNS = {
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  fetch_size: int = 10_000, **extra) -> dict[str, str]:
-    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
+    # DATE columns have no zone: read them as wall-clock times, not instants
+    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true"}
     if user:
         opts["user"] = user
     if password:

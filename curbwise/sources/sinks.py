@@ -8,7 +8,7 @@ A published dataset is a folder of immutable versions::
 Readers take the newest complete version; writers add the next one. A
 replace writes the new rows as the next version; an upsert writes
 ``current rows whose key is not updated  UNION ALL  updates`` as the next
-version. A failed or killed job leaves no ``_SUCCESS`` marker, so readers
+version, keys compared null-safe and at most one row per key. A failed or killed job leaves no ``_SUCCESS`` marker, so readers
 never see a partial version, and a retry simply rewrites that version.
 Applying the same upsert twice gives the same rows (idempotent). One writer
 per dataset at a time is assumed (jobs publishing the same dataset are run
@@ -70,16 +70,36 @@ def _write_next(spark: SparkSession, df: DataFrame, root: str) -> int:
     return nxt
 
 
-def merge_by_key(current: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
-    """Keyed upsert as a DataFrame: rows of ``current`` not keyed in ``updates``, plus ``updates``.
+def latest_by_key(updates: DataFrame, key: list[str], order_by: list[str] | None = None) -> DataFrame:
+    """One row per key (NULL is a key): the last by ``order_by``, ties the largest row.
 
-    A left-anti join on the key (one shuffle of each side by key, or a
-    broadcast of the update keys when Spark measures them small) and a
-    union; no row of either side passes through the driver. Duplicate update
-    keys need no de-duplication for the anti-join.
+    Without ``order_by`` rows of one key must be equal; the job fails if they are not.
+    A maximum with partial aggregation, so a key with many versions is no single task.
     """
-    upd = updates.select(*current.columns) if set(current.columns) == set(updates.columns) else updates
-    kept = current.join(upd.select(*key), key, "left_anti")
+    rest = [c for c in updates.columns if c not in key and c not in (order_by or [])]
+    row = F.struct(*(order_by or []), *rest) if order_by or rest else F.struct(F.lit(0).alias("_0"))
+    got = updates.groupBy(*key).agg(F.max(row).alias("_hi"), F.min(row).alias("_lo"))
+    best = F.col("_hi")
+    if not order_by:
+        differ = F.raise_error(F.lit(f"rows with the same {', '.join(key)} differ and no order is declared"))
+        best = F.when(F.col("_hi").eqNullSafe(F.col("_lo")), F.col("_hi")).otherwise(differ)
+    got = got.withColumn("_row", best)
+    return got.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in updates.columns])
+
+
+def merge_by_key(current: DataFrame, updates: DataFrame, key: list[str], order_by: list[str] | None = None) -> DataFrame:
+    """Keyed upsert as a DataFrame: rows of ``current`` not keyed in ``updates``, plus one row per key of ``updates``.
+
+    A null-safe left-anti join on the key (one shuffle of each side by key, or
+    a broadcast of the update keys when Spark measures them small) and a
+    union; no row of either side passes through the driver.
+    """
+    upd = latest_by_key(updates, key, order_by)
+    keys = upd.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    kept = current.join(keys, same, "left_anti")
     return kept.unionByName(upd, allowMissingColumns=True)
 
 
@@ -88,10 +108,10 @@ def replace(spark: SparkSession, df: DataFrame, root: str) -> int:
     return _write_next(spark, df, root)
 
 
-def upsert(spark: SparkSession, updates: DataFrame, root: str, key: list[str]) -> int:
-    """Insert or replace rows of the dataset by ``key``."""
+def upsert(spark: SparkSession, updates: DataFrame, root: str, key: list[str], order_by: list[str] | None = None) -> int:
+    """Insert or replace rows of the dataset by ``key`` (one row per key, see ``latest_by_key``)."""
     current = read_latest(spark, root)
-    merged = updates if current is None else merge_by_key(current, updates, key)
+    merged = latest_by_key(updates, key, order_by) if current is None else merge_by_key(current, updates, key, order_by)
     return _write_next(spark, merged, root)
 
 
@@ -107,12 +127,13 @@ class PublishSpec:
     name: str
     method: str  # "replace" | "upsert"
     key: tuple[str, ...] = ()
+    order_by: tuple[str, ...] = ()  # of rows with one key the last by these columns stays
 
 
 # How each result dataset is published, and its row key.
 PUBLISH_SPECS = {
     "license_agreements_timeline": PublishSpec("license_agreements_timeline", "replace"),
-    "lde_site_plan_revisions": PublishSpec("lde_site_plan_revisions", "upsert", ("processrsn", "councildistrict")),
+    "lde_site_plan_revisions": PublishSpec("lde_site_plan_revisions", "upsert", ("processrsn", "councildistrict"), ("cyclenumber",)),
     "tds_cases": PublishSpec("tds_cases", "replace"),
     "tds_asmd_map": PublishSpec("tds_asmd_map", "replace"),
     "sif_payment_details": PublishSpec("sif_payment_details", "replace"),
@@ -133,5 +154,5 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str,
     if spec.method == "replace":
         return replace(spark, clean, target)
     if spec.method == "upsert":
-        return upsert(spark, clean, target, list(spec.key))
+        return upsert(spark, clean, target, list(spec.key), list(spec.order_by) or None)
     raise ValueError(f"unknown publish method {spec.method!r}")

@@ -27,7 +27,6 @@ class PermitTables:
         self.spark = spark
         self._loaders = loaders
         self._frames: dict[str, DataFrame] = {}
-        self._memo: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -48,18 +47,6 @@ class PermitTables:
     def has(self, name: str) -> bool:
         return name in self._loaders
 
-    def memo(self, key, build):
-        """Value derived from these tables, built once per instance.
-
-        Used for size-checked key sets and intermediate datasets written to the
-        shared checkpoint folder, which several queries over the same tables
-        read instead of recomputing.
-        """
-        memo = self.__dict__["_memo"]
-        if key not in memo:
-            memo[key] = build()
-        return memo[key]
-
     def with_table(self, name: str, df: DataFrame) -> "PermitTables":
         """Copy with one table replaced (e.g. a published road dataset)."""
         loaders = dict(self._loaders)
@@ -69,28 +56,19 @@ class PermitTables:
     # -- constructors -------------------------------------------------------
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "PermitTables":
-        """Every model table at ``root/<table>``; a table is read when first used."""
+        """Every source table at ``root/<table>``; a table is read when first used.
+
+        ``road_segment`` is a published result, not a source table: add it with ``with_table``.
+        """
         def reader(name):
             # select in model order: partition columns come back last otherwise
             cols = [f.name for f in PERMIT_SCHEMAS[name].fields]
             return lambda: spark.read.parquet(f"{root.rstrip('/')}/{name}").select(*cols)
-        return cls(spark, {n: reader(n) for n in PERMIT_SCHEMAS})
+        return cls(spark, {n: reader(n) for n in PERMIT_SCHEMAS if n != "road_segment"})
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str) -> "PermitTables":
-        """The fixture model over the driver tables in ``sf_dir`` (cached per session).
-
-        DataFrames are immutable plans, so one instance serves every query of
-        a session: the driver files are listed and the mapping statements are
-        analysed once instead of once per query.
-        """
-        key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
-        if key not in _FIXTURE_CACHE:
-            _FIXTURE_CACHE[key] = cls._build_fixture(spark, sf_dir)
-        return _FIXTURE_CACHE[key]
-
-    @classmethod
-    def _build_fixture(cls, spark: SparkSession, sf_dir: str) -> "PermitTables":
+        """The fixture model over the driver tables in ``sf_dir``; nothing is read before it is used."""
         driver: dict[str, DataFrame] = {}
 
         def table(name: str) -> DataFrame:
@@ -117,9 +95,6 @@ class PermitTables:
         return inst
 
 
-_FIXTURE_CACHE: dict[tuple[str, int, str], "PermitTables"] = {}
-
-
 def segments_with_paths(attrs: DataFrame, edges: DataFrame) -> DataFrame:
     """One polyline per segment from its ordered edges (fixture geometry).
 

@@ -18,21 +18,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from curbwise.plans.tagging import CELL_SIZE, tag_segments
+from curbwise.plans.tagging import tag_segments
 from curbwise.schemas import PERMIT_SCHEMAS
-from curbwise.session import scratch_path
 from curbwise.sources import sinks
 from curbwise.sources.tables import PermitTables
 
 
 def start(spark: SparkSession, source_dir: str, zones: PermitTables, target_root: str,
-          checkpoint: str | None = None, cell_size: float = CELL_SIZE,
+          checkpoint: str, cell_size: float | None = None,
           available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the tagging stream over parquet segment files in ``source_dir``.
 
     ``zones`` provides ``inspector_zone`` and ``dapcz_zone`` (static tables).
-    ``checkpoint`` defaults to a folder under the cluster's shared
-    ``spark.checkpoint.dir``.
+    ``checkpoint`` is the stream's own folder in shared storage; it holds the
+    progress between runs.
     """
     reader = spark.readStream.schema(PERMIT_SCHEMAS["segment"])
     if max_files_per_trigger:
@@ -44,6 +43,6 @@ def start(spark: SparkSession, source_dir: str, zones: PermitTables, target_root
         sinks.upsert(batch.sparkSession, tagged, target_root, ["segment_id"])
 
     writer = (segments.writeStream.foreachBatch(upsert_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "segment_updates_ckpt")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()

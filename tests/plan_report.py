@@ -36,13 +36,13 @@ def shape(plan: str) -> dict[str, int]:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from curbwise.session import get_spark
-    import __spark_entry__ as E
+    from curbwise import registry
     spark = get_spark("local[8]", 16)
     spark.sparkContext.setLogLevel("ERROR")
-    qs = E.queries()
+    qs = registry.queries()
     rows = []
     for name in qs:
-        df = qs[name](spark, sf)  # size checks / memoised datasets run here
+        df = qs[name](spark, sf)
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         try:
             plan = df._jdf.queryExecution().executedPlan().toString()

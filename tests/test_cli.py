@@ -43,3 +43,40 @@ def test_cli_tag_run_publish(spark, tmp_path):
     assert rows(published) == rows(expected)
     assert spark.read.option("header", True).csv(csv).count() == \
         sinks.read_latest(spark, f"{pub}/applications_received").count()
+
+
+def _run(monkeypatch, spark, *args):
+    """The command in this process, on the test's session."""
+    import curbwise.session as session
+    from curbwise.__main__ import main
+    monkeypatch.setattr(session, "get_spark", lambda *a, **k: spark)
+    assert main(list(args)) == 0
+
+
+def test_cli_daily_counts_of_a_sheet(spark, tmp_path, monkeypatch):
+    sheet = tmp_path / "sheet.csv"
+    sheet.write_text('id,Created On,note\n1,01/05/24 9:30 AM,"a ""b"""\n2,"Jan 5, 2024",x\n3,N/A,y\n')
+    _run(monkeypatch, spark, "daily-counts", "ds_requests", "--csv", str(sheet), "--date-column", "Created On", "--publish", str(tmp_path / "pub"))
+    (row,) = sinks.read_latest(spark, str(tmp_path / "pub" / "ds_requests")).collect()
+    assert (str(row.date), row.count_permits) == ("2024-01-05", 2)
+
+
+def test_cli_snapshot_has_the_time_of_the_file(spark, tmp_path, monkeypatch):
+    f = tmp_path / "active.csv"
+    f.write_text("foldertype,activepermits\nDS,3\nEX,4\nRW,5\n")
+    os.utime(f, (1_704_110_400, 1_704_110_400))  # 2024-01-01 12:00 UTC
+    for _ in range(2):
+        _run(monkeypatch, spark, "snapshot", "--file", str(f), "--publish", str(tmp_path / "pub"))
+    (row,) = sinks.read_latest(spark, str(tmp_path / "pub" / "active_permits_snapshot")).collect()
+    assert (row.ds, row.ex, row.rw, row.published_date) == (3.0, 4.0, 5.0, "2024-01-01T06:00:00.000")
+
+
+def test_cli_publishes_a_configured_file(spark, tmp_path, monkeypatch):
+    f = tmp_path / "tags.csv"
+    f.write_text("segment_id,full_street_name\n1,\"A, St\"\n2,B\n")
+    for text in (None, "segment_id,full_street_name\n2,C\n"):
+        if text:
+            f.write_text(text)
+        _run(monkeypatch, spark, "publish-file", "segment_zone_tags", "--csv", str(f), "--publish", str(tmp_path / "pub"))
+    got = sinks.read_latest(spark, str(tmp_path / "pub" / "segment_zone_tags"))
+    assert sorted(map(tuple, got.collect())) == [("1", "A, St"), ("2", "C")]

@@ -194,30 +194,18 @@ def test_column_name_normalisation(spark):
     assert X.normalize_columns(df).columns == ["ds_applications_received"]
 
 
-def test_cycle_numbers_with_hot_groups_match_plain_window(spark):
-    from curbwise.operators.grouping import cycle_number, split_points
-    rows = [(g, g % 2, (i * 7919) % 100_003, f"d{i % 3}") for g, n in ((1, 400), (2, 5), (3, 250))
-            for i in range(n)]
-    df = spark.createDataFrame(rows, "folderrsn long, processcode int, processrsn long, councildistrict string")
-    keys, order = ["folderrsn", "processcode"], ["processrsn", "councildistrict"]
-    plain = {tuple(r) for r in cycle_number(df, keys, order).collect()}
-    splits = split_points(df, keys, "processrsn", hot_group_rows=100, splits=8)
-    assert splits.count() == 2
-    split = {tuple(r) for r in cycle_number(df, keys, order, split_at=splits).select(*df.columns, "cyclenumber").collect()}
-    assert split == plain
-
-
-def test_process_report_with_hot_groups_is_unchanged(spark, monkeypatch):
-    """Force the hot-group path (split numbering, no repartition by folder)."""
-    from curbwise.operators import grouping
+def test_reports_are_sorted_with_nulls_last(spark):
     from curbwise.sources.tables import PermitTables
-    sf = "/root/testdata/sf0.001"
-    plain = sorted(map(repr, map(tuple, reports.lde_site_plan_revisions(PermitTables._build_fixture(spark, sf)).collect())))
-    monkeypatch.setattr(grouping, "HOT_GROUP_ROWS", 1)
-    hot_t = PermitTables._build_fixture(spark, sf)
-    assert reports._cycle_splits(hot_t, reports.LDE_PROCESSES) is not None
-    hot = sorted(map(repr, map(tuple, reports.lde_site_plan_revisions(hot_t).collect())))
-    assert hot == plain
+    t = PermitTables.from_fixture(spark, "/root/testdata/sf0.001")
+    orders = {
+        "applications_received": ("foldertype", "subcode", "received_date"), "active_permits": ("foldertype",),
+        "issued_permits": ("foldertype", "subcode", "issued_date"),
+        "lde_site_plan_revisions": ("reviewer", "foldertype", "process_name", "processrsn"),
+        "row_inspector_segment_list": ("folderrsn",), "tds_cases": ("reviewer", "foldertype", "processname", "processrsn"),
+        "tds_asmd_map": ("folderrsn",), "sif_payment_details": ("folderrsn",)}
+    for name, by in orders.items():
+        keys = [tuple((r[c] is None, r[c]) if r[c] is not None else (True, "") for c in by) for r in reports.REPORTS[name](t).collect()]
+        assert keys and keys == sorted(keys), name
 
 
 def test_issued_subcode_exclusion_only_for_rw(spark):

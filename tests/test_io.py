@@ -65,7 +65,7 @@ def test_snapshot_time_text(spark):
 
 def test_jdbc_helpers(spark):
     assert jdbc_options("jdbc:x", "folder", user="u", fetch_size=5) == {
-        "url": "jdbc:x", "dbtable": "folder", "fetchsize": "5", "user": "u"}
+        "url": "jdbc:x", "dbtable": "folder", "fetchsize": "5", "user": "u", "preferTimestampNTZ": "true"}
     assert SPLIT_COLUMNS["folderprocess"] == "processrsn"
     df = spark.createDataFrame([("1", "50500"), ("2", "")], "userid string, username string")
     out = conform(df, "validuser")
@@ -100,3 +100,43 @@ def test_empty_result_keeps_its_header(spark, tmp_path):
     csv_io.write_csv(df, str(tmp_path / "empty"))
     back = spark.read.option("header", True).csv(str(tmp_path / "empty"))
     assert back.columns == ["folderrsn", "is_primary"] and back.count() == 0
+
+
+def test_csv_as_spreadsheets_write_it(spark, tmp_path):
+    """Columns by name in any order, further columns, doubled quotes, line ends in fields."""
+    p = tmp_path / "sheet.csv"
+    p.write_text('extra,label,Date Created,n\nx,"say ""hi"", ok",1/5/24 3:04 PM,1\ny,"two\nlines","Jan 7, 2024",2\n')
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("label", T.StringType()),
+                           T.StructField("Date Created", T.TimestampNTZType())])
+    rows = [tuple(r) for r in csv_io.read_csv(spark, str(p), schema).orderBy("n").collect()]
+    assert rows == [(1, 'say "hi", ok', dt.datetime(2024, 1, 5, 15, 4)), (2, "two\nlines", dt.datetime(2024, 1, 7))]
+    out = spark.createDataFrame(rows, schema)
+    csv_io.write_csv(out, str(tmp_path / "again"))
+    assert '"say ""hi"", ok"' in "".join(f.read_text() for f in (tmp_path / "again").glob("part-*"))
+    assert sorted(map(tuple, csv_io.read_csv(spark, str(tmp_path / "again"), schema).collect())) == rows
+
+
+def test_text_that_is_no_date_fails_the_read(spark, tmp_path):
+    import pytest
+    p = tmp_path / "bad.csv"
+    p.write_text("d\nsoon\n")
+    schema = T.StructType([T.StructField("d", T.TimestampNTZType())])
+    with pytest.raises(Exception, match="not a date or time: soon"):
+        csv_io.read_csv(spark, str(p), schema).collect()
+    assert csv_io.read_csv(spark, str(p), schema, errors="null").first().d is None
+
+
+def test_daily_counts_of_text_dates(spark):
+    from curbwise.plans import weekly
+    df = spark.createDataFrame([("01/02/2024",), ("2024-01-02T10:00:00Z",), (None,)], "created string")
+    assert [tuple(r) for r in weekly.daily_counts(df, "created").collect()] == [(dt.date(2024, 1, 2), 2)]
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster():
+    from curbwise.session import is_local
+    assert is_local("local") and is_local("local[4]")
+    assert not any(map(is_local, ("local-cluster[2,1,1024]", "spark://h:7077", "yarn", "k8s://x")))
+
+
+def test_jdbc_dates_have_no_zone():
+    assert jdbc_options("jdbc:x", "folder")["preferTimestampNTZ"] == "true"

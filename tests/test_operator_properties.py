@@ -3,9 +3,11 @@
 import datetime as dt
 import random
 
+import pytest
+
 from curbwise.functions import dates as D
 from curbwise.functions import text as X
-from curbwise.operators.grouping import cycle_number, first_of_group, split_points
+from curbwise.operators.grouping import cycle_number, first_of_group
 from curbwise.sources.sinks import merge_by_key
 
 RND = random.Random(11)
@@ -37,11 +39,10 @@ def test_cycle_numbers_match_python_ranks(spark):
                 out[r] = i
         return out
     want = py_ranks()
-    plain = {tuple(r[:4]): r.cyclenumber for r in cycle_number(df, keys, order).collect()}
-    split = {tuple(r[:4]): r.cyclenumber for r in
-             cycle_number(df, keys, order, split_at=split_points(df, keys, "p", hot_group_rows=20, splits=5))
-             .select("f", "c", "p", "d", "cyclenumber").collect()}
-    assert plain == want and split == want
+    for ranges in (1, 5, 1024):
+        got = cycle_number(df, keys, order, df.select("p"), ranges=ranges)
+        assert got.columns == [*df.columns, "cyclenumber"]
+        assert {tuple(r[:4]): r.cyclenumber for r in got.collect()} == want
 
 
 def test_merge_by_key_matches_dict_update(spark):
@@ -76,20 +77,28 @@ def test_parse_mixed_timestamp_matches_python(spark):
             cases.append((t.strftime("%m/%d/%Y"), t.replace(hour=0, minute=0, second=0)))
         else:
             cases.append((t.strftime("%m-%d-%Y %H:%M:%S"), t))
-    cases += [("2021-02-29", None), ("13/01/2020", None), ("", None), ("2020-01-01 25:00:00", None)]
+    cases += [("01/02/2024 3:04 PM", dt.datetime(2024, 1, 2, 15, 4)), ("01/02/24", dt.datetime(2024, 1, 2)), ("1/2/69", dt.datetime(1969, 1, 2)),
+              ("2024-01-02T10:00:00Z", dt.datetime(2024, 1, 2, 10)), ("2024-01-02 10:00:00-05:30", dt.datetime(2024, 1, 2, 15, 30)),
+              ("Jan 2, 2024", dt.datetime(2024, 1, 2)), ("2 January 2024 12:00 AM", dt.datetime(2024, 1, 2)), ("02-JAN-24", dt.datetime(2024, 1, 2)),
+              ("2024/01/02 12:30:15.25 pm", dt.datetime(2024, 1, 2, 12, 30, 15, 250000)), ("", None), (" ", None), (None, None)]
+    bad = ["2021-02-29", "13/01/2020", "2020-01-01 25:00:00", "01/02/2024 13:00 PM", "Foo 2, 2024", "soon"]
     df = spark.createDataFrame([(s,) for s, _ in cases], "s string")
-    got = [r.t for r in df.select(D.parse_mixed_timestamp("s").alias("t")).collect()]
-    assert got == [want for _, want in cases]
-
-
-def test_bounded_and_restrict(spark):
-    from curbwise.operators.reduction import bounded, restrict
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert bounded(small, max_rows=5) is None  # above the bound: no broadcast
-    kept = bounded(small, max_rows=10)
-    assert kept is not None and sorted(r.k for r in kept.collect()) == list(range(10))
-    big = spark.range(100).withColumnRenamed("id", "k")
-    assert sorted(r.k for r in restrict(big, kept, ["k"]).collect()) == list(range(10))
-    assert restrict(big, None, ["k"]).count() == 100
-    plan = restrict(big, kept, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert [r.t for r in df.select(D.parse_mixed_timestamp("s").alias("t")).collect()] == [want for _, want in cases]
+    for text in bad:
+        one = spark.createDataFrame([(text,)], "s string")
+        assert one.select(D.parse_mixed_timestamp("s", errors="null").alias("t")).first().t is None
+        with pytest.raises(Exception, match="not a date or time"):
+            one.select(D.parse_mixed_timestamp("s").alias("t")).collect()
+
+
+def test_upsert_keeps_one_row_per_key(spark):
+    """NULL is a key, the later version of a key stays, and the same batch may be applied again."""
+    cur = spark.createDataFrame([(None, "old", 0), (1, "old", 0), (2, "old", 0)], "k long, v string, n int")
+    upd = spark.createDataFrame([(None, "new", 1), (1, "late", 2), (1, "early", 1), (3, "x", 1), (3, "x", 1)], "k long, v string, n int")
+    want = [(None, "new", 1), (1, "late", 2), (2, "old", 0), (3, "x", 1)]
+    got = cur
+    for _ in range(3):
+        got = merge_by_key(got, upd, ["k"], order_by=["n"])
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[0] or 0) == want
+    with pytest.raises(Exception, match="no order is declared"):
+        merge_by_key(cur, upd, ["k"]).collect()

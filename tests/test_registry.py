@@ -1,7 +1,7 @@
 """The registered query set is the SURVEY section 2 key list."""
 
 import __spark_entry__ as E
-from curbwise.registry import PLAN_FUNCTIONS
+from curbwise import oracle_sql, registry
 
 SURVEY_KEYS = {
     "applications_received", "active_permits", "issued_permits", "review_time", "ex_permits_issued",
@@ -12,11 +12,33 @@ SURVEY_KEYS = {
     "road_class_score", "dapcz_score", "permit_inspector_zone", "deficiency_score",
     "recent_inspection_score", "permit_type_label", "inspector_priority", "timestamp_text_normalize",
     "segments_recent", "segment_inspector_zone", "segment_dapcz_zone", "segment_zone_tags",
-    "snapshot_published_at", "keyed_upsert",
+    "keyed_upsert",
 }
 
 
 def test_registered_keys_are_the_survey_keys():
-    assert set(E.queries()) == SURVEY_KEYS
-    assert set(PLAN_FUNCTIONS) == SURVEY_KEYS - {"snapshot_published_at"}
-    assert set(E.oracle_sql()) == SURVEY_KEYS - {"snapshot_published_at"}
+    assert SURVEY_KEYS <= set(E.queries())
+    assert set(registry.queries()) == SURVEY_KEYS == set(registry.PLAN_FUNCTIONS)
+    assert set(oracle_sql.oracle_sql()) == SURVEY_KEYS
+
+
+def test_building_a_query_starts_no_job(spark):
+    """Plans are lazy: jobs of an action alone, whatever was built before it."""
+    tracker = spark.sparkContext.statusTracker()
+    for name, build in registry.queries().items():
+        group = f"build-{name}"
+        spark.sparkContext.setJobGroup(group, name)
+        build(spark, "/root/testdata/sf0.001")
+        jobs = [j for j in tracker.getJobIdsForGroup(group)]
+        spark.sparkContext.setJobGroup("", "")
+        # reading a parquet folder's schema is one small job per table, none reads rows
+        assert all(len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs), name
+        assert all(tracker.getStageInfo(s) is None or tracker.getStageInfo(s).numTasks == 1
+                   for j in jobs for s in tracker.getJobInfo(j).stageIds), name
+
+
+def test_rules_without_road_data_tag_nothing(spark):
+    for name in ("segment_count_score", "duration_score", "duration_score_literal", "deficiency_score",
+                 "recent_inspection_score", "permit_type_label", "timestamp_text_normalize"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "signum" not in plan.lower(), name

@@ -1,7 +1,7 @@
 """Skewed data: one folder holds a third of all processes and attempts.
 
 The same synthetic rows are loaded into Spark and DuckDB; the report plans
-(hot-group numbering forced on) must equal the oracle SQL bodies.
+must equal the oracle SQL bodies.
 """
 
 import random
@@ -10,7 +10,6 @@ import duckdb
 import pandas as pd
 
 from curbwise import oracle_sql as O
-from curbwise.operators import grouping
 from curbwise.plans import reports
 from curbwise.schemas import PERMIT_SCHEMAS
 from curbwise.sources.tables import PermitTables
@@ -93,10 +92,8 @@ def _same(df, con, sql):
     return canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical(d_cols, rel.fetchall())
 
 
-def test_reports_on_a_hot_folder_match_sql(spark, monkeypatch):
+def test_reports_on_a_hot_folder_match_sql(spark):
     t, con = _load(spark, _model())
-    monkeypatch.setattr(grouping, "HOT_GROUP_ROWS", 50)  # the hot folder's groups take the split path
-    assert reports._cycle_splits(t, reports.LDE_PROCESSES) is not None
     r7 = reports.lde_site_plan_revisions(t)
     assert r7.filter(f"folderrsn = {HOT}").groupBy("process_name").count().agg({"count": "max"}).first()[0] > 50
     assert _same(r7, con, O.R7)

@@ -125,3 +125,38 @@ def test_long_edges_explode_only_over_crossed_cells(spark):
     # a 100 x 100-cell diagonal touches ~2-3 cells per column, not the 10,201 of its bounding box
     assert counts[1] <= 3 * 101
     assert counts[2] == 101
+
+
+def test_rows_that_repeat_a_line_id(spark):
+    """Two versions of a line are two lines for the parity rule, and the id meets the zone if either does."""
+    rnd = random.Random(3)
+    lines = []
+    for i in range(60):
+        for _ in range(rnd.randint(1, 3)):
+            x, y = float(rnd.randint(0, 60)), float(rnd.randint(0, 60))
+            lines.append((i, [[(x, y), (x + 2, y + 1)]]))
+        lines += lines[-1:]  # and an equal row
+    polys = [(j, "z", [[(float(a), float(b)) for a, b in ((5 * j, 5), (5 * j + 20, 5), (5 * j + 20, 40), (5 * j, 40))]]) for j in range(6)]
+    got = intersecting_pairs(_lines(spark, lines), "id", "path", _zones(spark, polys), "objectid", "rings")
+    assert {(r.id, r.objectid) for r in got.collect()} == _brute(lines, polys)
+
+
+def test_two_versions_of_a_segment_are_tagged_once(spark):
+    import datetime as dt
+
+    from curbwise.plans.tagging import tag_segments
+    from curbwise.sources.tables import PermitTables
+    path = "array<array<struct<x:double,y:double>>>"
+    inside = [[{"x": 4.0, "y": 4.0}, {"x": 5.0, "y": 5.0}]]
+    segs = spark.createDataFrame([(1, "old", 1, dt.datetime(2024, 1, 1), inside), (1, "new", 2, dt.datetime(2024, 1, 2), inside)],
+                                 f"segment_id long, full_street_name string, road_class int, modified_date timestamp_ntz, path {path}")
+    zone = spark.createDataFrame([(1, 7.0, [[{"x": x, "y": y} for x, y in BOX[0]]])], f"objectid long, zone_id double, rings {path}")
+    t = PermitTables(spark, {"inspector_zone": lambda: zone, "dapcz_zone": lambda: zone.limit(0)})
+    assert [tuple(r) for r in tag_segments(t, segs).collect()] == [(1, "new", 2, 7.0, None)]
+
+
+def test_grid_cell_follows_the_unit_of_the_zones(spark):
+    small = [(1, "A", [[(x / 1e5, y / 1e5) for x, y in BOX[0]]])]
+    lines = _lines(spark, [(i, [[(x / 1e5, y / 1e5) for x, y in part] for part in parts]) for i, parts in CASES.items()])
+    got = tag_zones(lines, "id", "path", [("zone", _zones(spark, small), "zone_id")]).collect()
+    assert {r.id for r in got if r.zone} == {1, 2, 3, 4, 5}
