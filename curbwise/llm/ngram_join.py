@@ -9,7 +9,7 @@ links. Steps:
    from here on, however many there are.
 2. Lists, first part. Linked sets x, y share at least ceil(0.8 max(|x|, |y|))
    shingles, so their ``prefixes`` (the |x| - T + l smallest hashes) share at
-   least l, with l about a sixteenth of the smaller set. The prefix entries
+   least l (``extra`` of the smaller set). The prefix entries
    (hash, sid) of a chunk of documents are sorted into buckets of the hash
    space; one task reads a bucket at a time and keeps the lists that more than
    one sid is on. Of a hash that ``HOT`` sids of a chunk share one entry goes to
@@ -115,9 +115,14 @@ def least_overlap(n, percent: int = PERCENT):
     return -(-n * percent // 100)
 
 
-def extra(n):
-    """l: shared prefix entries asked for; grows with the set, and never by more than the set does."""
-    return n // 16 + 1
+def extra(n: int) -> int:
+    """l: shared prefix entries asked for; never falls as the set grows.
+
+    Short sets ask for half of their entries, so that a passage of some fifty
+    words that many documents share does not make them candidates; for long
+    ones a sixteenth and a constant does, and keeps their prefixes short.
+    """
+    return max(1, min(n // 2, 64 + n // 16))
 
 
 # --- step 2: lists over prefixes ----------------------------------------------------------------
@@ -280,8 +285,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 def _stars(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(u, v): each set with the pivots of its short lists, if it is on enough lists to link at all."""
     on = lists.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "hash", "pivot"))).alias("on"))  # a set's own prefix
-    need = f"cast(ceil(n * {percent} / 100.0) as long)"
-    got = on.join(sizes, "sid").withColumn("need", F.expr(f"cast(floor({need} / 16) as int) + 1"))
+    least = f"cast(ceil(n * {percent} / 100.0) as long)"  # least_overlap, then extra of it
+    need = f"cast(greatest(1, least({least} div 2, 64 + {least} div 16)) as int)"
+    got = on.join(sizes, "sid").withColumn("need", F.expr(need))
     got = got.filter(F.size("on") >= F.col("need"))
     short = F.slice("on", F.lit(1), F.size("on") - F.col("need") + 1)
     return got.select(F.col("sid").alias("u"), F.explode(F.array_distinct(F.transform(short, lambda x: x["pivot"]))).alias("v"))
