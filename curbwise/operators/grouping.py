@@ -41,7 +41,8 @@ def cycle_number(df: DataFrame, partition_by: list[str], order_by: list[str], ke
     exact row count of the group's lower ranges, a running sum over at most
     ``ranges`` rows per group. So every group takes the same path, and one with
     a large share of all rows is spread over as many tasks as its keys span
-    ranges. The numbering is exact whatever the ranges.
+    ranges. The numbering is exact whatever the ranges. The columns of
+    ``partition_by`` are join keys and must not be NULL.
     """
     lead = order_by[0]
     span = keys.agg(F.struct(F.min(lead).cast("double").alias("lo"), F.max(lead).cast("double").alias("hi"))).scalar()
@@ -50,12 +51,9 @@ def cycle_number(df: DataFrame, partition_by: list[str], order_by: list[str], ke
     x = df.withColumn("_k", F.coalesce(k, F.lit(0)))
     below = Window.partitionBy(*partition_by).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
     counts = x.groupBy(*partition_by, "_k").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = counts.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition_by)], F.col("_k").alias("_ko"),
-                            F.coalesce(F.sum("_c").over(below), F.lit(0)).alias("_off"))
+    offsets = counts.select(*partition_by, "_k", F.coalesce(F.sum("_c").over(below), F.lit(0)).alias("_off"))
     local = Window.partitionBy(*partition_by, "_k").orderBy(*_order(order_by))
-    same = F.col("_k") == F.col("_ko")
-    for i, c in enumerate(partition_by):
-        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    return (x.withColumn("_rn", F.row_number().over(local)).join(offsets, same, "left")
-            .withColumn(name, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
-            .drop("_k", "_rn", "_off", "_ko", *[f"_g{i}" for i in range(len(partition_by))]))
+    return (x.withColumn("_rn", F.row_number().over(local))
+            .join(offsets, [*partition_by, "_k"], "inner")
+            .withColumn(name, (F.col("_rn") + F.col("_off")).cast("int"))
+            .select(*df.columns, name))

@@ -83,8 +83,9 @@ def road_dataset(t: PermitTables, as_of: str) -> DataFrame:
     return segment_zone_tags(t, as_of, full=True)
 
 
-# Rows that the ``keyed_upsert`` query adds to the run, a row
-# without a key (before and after) and an older version of every tenth segment.
+# Rows that the ``keyed_upsert`` query adds to the run, one without
+# a key (before and after, made from the first segment) and an older version of
+# every tenth segment.
 _NO_KEY = ("no key, before", "no key, after")
 _OLDER = "older version"
 
@@ -98,9 +99,12 @@ def keyed_upsert(t: PermitTables, as_of: str, cell_size: float | None = None) ->
     present in both are replaced, new keys are added, all other rows are kept.
     """
     cutoff = D.ts_literal(as_of) - F.expr(f"INTERVAL {PREVIOUS_RUN_DAYS} DAYS")
-    no_key = lambda text: t.segment.sparkSession.range(1).select(
-        F.lit(None).cast("long").alias("segment_id"), F.lit(text).alias("full_street_name"), F.lit(0).alias("road_class"),
-        F.lit(None).cast("double").alias("inspector_zone"), F.lit(None).cast("string").alias("dapcz_zone"))
+
+    def no_key(text: str) -> DataFrame:
+        return t.segment.filter(F.col("segment_id") < 2).select(
+            F.when(F.col("segment_id") > 1, F.col("segment_id")).alias("segment_id"), F.lit(text).alias("full_street_name"),
+            F.lit(0).alias("road_class"), F.lit(None).cast("double").alias("inspector_zone"), F.lit(None).cast("string").alias("dapcz_zone"))
+
     previous = tag_segments(t, t.segment.filter(F.col("modified_date") < cutoff), cell_size).unionByName(no_key(_NO_KEY[0]))
     new = segment_zone_tags(t, as_of, cell_size=cell_size).withColumn("version", F.lit(1))
     older = new.filter(F.col("segment_id") % 10 == 0).withColumns({"full_street_name": F.lit(_OLDER), "version": F.lit(0)})

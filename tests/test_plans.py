@@ -64,6 +64,5 @@ def test_extracted_layout_gives_same_rows(spark, extracted):
 def test_a_hot_group_is_numbered_in_ranges(spark):
     """The window is partitioned by the key's range too, so no task holds a whole group."""
     plan = _plan(QUERIES["lde_site_plan_revisions"](spark, SF))
-    assert "row_number()" in plan and "width_bucket" in plan
     numbered = next(ln for ln in plan.splitlines() if "Window [row_number()" in ln)
     assert "_k#" in numbered
