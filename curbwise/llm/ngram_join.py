@@ -19,10 +19,11 @@ links. Steps:
    are only probed, never merged), and each remaining short list is a star
    from its smallest sid (from a node of its own, if it is long). Connected components of the stars are ``blocks``:
    every link lies inside one block.
-4. The texts of blocks (not of single sets) are read again and searched block by
-   block with whole sets: DivideSkip merges the short lists of a query with a
-   heap, skips ahead where too few entries remain, and finds the counts of the
-   surviving candidates in the long lists by binary search.
+4. The texts of blocks (not of single sets, which a bit set keeps out of the
+   shuffle) are read again and searched block by block with whole sets:
+   DivideSkip merges the short lists of a query with a heap, skips ahead where
+   too few entries remain, and finds the counts of the surviving candidates in
+   the long lists by binary search.
    A set that an earlier query retrieved asks nothing itself unless a second
    pass needs it: all sets outside a block's largest component are queries, and
    any link between components has an end among them.
@@ -62,6 +63,7 @@ CHUNK_ENTRIES = 4_000_000
 SLICE = 1 << 16
 BLOCK_SHINGLES = 3_000_000
 CENTRES = 4
+FILTER_BITS = 1 << 26
 _ENTRIES = "kind int, bucket int, a binary, b binary"
 _LISTS = "sid long, df int, hash long, pivot long"
 
@@ -448,6 +450,28 @@ def _search(rows: DataFrame, n_words: int, percent: int, only_asked: bool) -> Da
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, "block long, u long, v long")
 
 
+def _only_members(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """The texts whose doc_id may be a member's: those of single sets need not be shuffled.
+
+    A bit set of fixed size (``FILTER_BITS``, 8 MB) goes to the tasks, however
+    many members there are; texts that pass it by chance fall out in the join.
+    """
+    def place(doc_id: str):
+        return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+
+    at = members.select(place("doc_id").alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("b")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words.column("w").to_numpy()] = words.column("b").to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(2).to_numpy(zero_copy_only=False)
+            yield batch.select([0, 1]).filter(pa.array((bits[p >> 6] >> (p & 63)) & 1 == 1))
+
+    return texts.filter("doc_id IS NOT NULL").select("doc_id", "text", place("doc_id")).mapInArrow(run, "doc_id long, text string")
+
+
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
          block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``; further set_id (null: no part in links),
@@ -467,8 +491,10 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: i
     members = members.join(sizes, "block").withColumn("shard", F.pmod(F.xxhash64("sid"), F.col("shards")).cast("int"))
     members = saved(members, "join-members")
 
+    wanted = _only_members(texts, members)
+
     def with_text(rows: DataFrame) -> DataFrame:
-        return texts.join(rows, "doc_id").select("block", "shard", "part", "sid", "ask", "text")
+        return wanted.join(rows, "doc_id").select("block", "shard", "part", "sid", "ask", "text")
 
     plain = members.select("block", "shard", F.lit(0).alias("part"), "sid", F.lit(False).alias("ask"), "doc_id")
     large = members.filter("shards > 1")
