@@ -67,8 +67,11 @@ PATTERNS = (
     ("phone", re.compile(r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)")),
 )
 _TITLED = re.compile(rf"(?<!\w)((?i:{'|'.join(TITLES)}))\.?[ \t]+({_NAME}(?:[ \t]+{_NAME}){{0,2}})")
-#: What any text with an entity matches, for Spark (Java).
-MAYBE = r"@|\d{2}|(?i:token|secret|passw|key)|\b(?iu:" + "|".join(TITLES) + r")\.?[ \t]"
+# A decimal digit beyond ASCII; planes above the first gain digits with each Unicode version, which Java and Python need not share.
+_DIGIT = r"[\x{660}-\x{10FFFF}&&[\p{Nd}\x{10000}-\x{10FFFF}]]"
+#: What any text with an entity matches, for Spark (Java). An address without two digits in a row has four single ones.
+MAYBE = (rf"@|[0-9](?:[0-9]|(?:\.[0-9]){{3}})|{_DIGIT}|(?<![A-Za-z])(?:AKIA|gh[pousr]_|[0-9a-fA-F]{{32}}"
+         rf"|(?iu:token|secret|passw|api[_-]?key|access[_-]?key|(?:{'|'.join(TITLES)})\.?[ \t]))")
 
 
 def _script(word: str) -> str:
