@@ -8,8 +8,9 @@
    HMAC of (key, type, normal form, attempt). A collision check compares them
    with each other and with every real entity of the type: of entities with
    one surrogate the first keeps it, the others, and those whose surrogate is
-   real, try again. Distinct entities so keep distinct surrogates and one
-   entity has one surrogate everywhere.
+   real, try again. What is left after ``MAX_ROUNDS`` gets a form that no
+   entity of its type can have, with 96 bits of the HMAC or more. Distinct entities so
+   keep distinct surrogates and one entity has one surrogate everywhere.
 3. Each text digest gets the list of its entities' surrogates and the texts are
    rewritten; every occurrence keeps its own separators and letter case.
 
@@ -17,7 +18,8 @@ Surrogates: letters become letters of their script (vowels stay vowels),
 digits digits; e-mail domains keep their ending and telephone numbers their
 country code; card numbers keep their first
 digit and a valid check digit; addresses are valid and private ones stay
-private; given names after a title end as names of that gender do.
+private (later attempts of 192.168 and 172.16-31 are in 10.0.0.0/8, which is
+wider); given names after a title end as names of that gender do.
 
 Cases: null and empty texts stay as they are; very long texts are searched
 whole; repeated rows get the same replacement; an empty table gives an empty
@@ -38,6 +40,8 @@ from curbwise.llm.common import free_name, saved, ship
 
 DEFAULT_KEY = "corpus-surrogates-1"
 MAX_ROUNDS = 40
+#: Attempts that keep the first two numbers of a private address.
+NARROW = 8
 
 # Titles that name a person's gender (f, m) or none (n).
 TITLES = {
@@ -100,6 +104,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     for kind, pattern in PATTERNS:
         for m in pattern.finditer(text):
             a, b = m.span(1) if kind == "secret" else m.span()
+            if kind == "secret" and not any(c.isalpha() or c.isdigit() for c in text[a:b]):
+                continue  # a blank of a form
             take(a, b, kind, normal(kind, text[a:b]))
     words: dict[str, tuple[str, str]] = {}
     for m in _TITLED.finditer(text):
@@ -163,7 +169,7 @@ def surrogate(key: str, kind: str, form: str, attempt: int = 0) -> str:
     if kind == "secret":
         hexes = all(c in "0123456789abcdef" for c in form)
         letters = lambda c: "abcdef"[s.below(6)] if hexes else _swap(c, s)
-        return "".join(str(s.below(10)) if c.isdigit() else letters(c) for c in form)
+        return "".join(str(s.below(10)) if c.isdigit() else letters(c) for c in form + "b" * max(0, attempt - 2))
     if kind == "card":
         body = form[0] + "".join(str(s.below(10)) for _ in form[2:])
         return body + _check_digit(body)
@@ -172,7 +178,7 @@ def surrogate(key: str, kind: str, form: str, attempt: int = 0) -> str:
         if a in (10, 127):
             kept = [a]
         elif (a, b) == (192, 168) or a == 172 and 16 <= b < 32:
-            kept = [a, b]
+            kept = [a, b] if attempt < NARROW else [10]
         else:  # a public first number stays clear of the private ranges
             kept = [[x for x in range(1, 224) if x not in (10, 127, 172, 192)][s.below(219)]]
         return ".".join(map(str, kept + [s.below(256) for _ in range(3 - len(kept))] + [1 + s.below(254)]))
@@ -188,14 +194,32 @@ def surrogate(key: str, kind: str, form: str, attempt: int = 0) -> str:
     return body[:-1] + end if end else body
 
 
+def unbounded(key: str, kind: str, form: str) -> str:
+    """A replacement from 96 bits of the HMAC or more, longer than the patterns of its type find or not of their form."""
+    s = _Stream(key, f"last-{kind}", form, 0)
+    if kind == "ip":  # IPv6: unique local ones for private addresses, documentation ones for others
+        a, b, *_ = (int(x) for x in form.split("."))
+        private = a in (10, 127) or (a, b) == (192, 168) or a == 172 and 16 <= b < 32
+        return ":".join([*(["fd00"] if private else ["2001", "db8"]), *(f"{s.below(1 << 16):x}" for _ in range(7 if private else 6))])
+    if kind in ("card", "iban", "phone", "ssn"):
+        kept = form[:{"card": 1, "iban": 2}.get(kind, -10)]
+        return kept + "".join(str(s.below(10)) for _ in range(39))
+    more = "".join("bcdf"[s.below(4)] for _ in range(64))
+    if kind == "email":
+        local, _, domain = surrogate(key, kind, form).partition("@")
+        return f"{local}{more}@{domain}"
+    end = surrogate(key, kind, form)
+    return end[:-1] + more + end[-1] if kind.startswith("given") else end + more
+
+
 def render(found: str, new: str, kind: str) -> str:
     """The surrogate's normal form in the separators and letter case of an occurrence."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in found)
+        return "".join(next(digits) if c.isdigit() else c for c in found) + "".join(digits)
     if kind == "iban":
         letters = iter(new)
-        return "".join(c if c == " " else next(letters) for c in found)
+        return "".join(c if c == " " else next(letters) for c in found) + "".join(letters)
     if kind == "ip":
         return new
     if found.isupper():
@@ -231,10 +255,12 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """(kind, form, surrogate) of distinct entities, after as many rounds as collisions need."""
-    def attempt(rows: DataFrame, n: int) -> DataFrame:
+    def attempt(rows: DataFrame, n: int | None) -> DataFrame:
+        make = surrogate if n is not None else lambda k, kind, form, _: unbounded(k, kind, form)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                made = [surrogate(key, k, f, n) for k, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+                made = [make(key, k, f, n) for k, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.string())], ["kind", "form", "surrogate"])
 
         return rows.select("kind", "form").mapInArrow(run, "kind string, form string, surrogate string")
@@ -254,7 +280,7 @@ def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         todo = judged.filter("NOT ok")
         if todo.isEmpty():
             return done
-    raise RuntimeError(f"surrogates still collide after {MAX_ROUNDS} rounds")
+    return done.unionAll(attempt(todo, None))
 
 
 def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY) -> DataFrame:

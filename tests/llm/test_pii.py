@@ -97,3 +97,31 @@ def test_maybe_holds_every_text_with_an_entity(spark):
     missed = [r["text"] for r in df.filter(~df["text"].rlike(pii.MAYBE)).collect()]
     assert missed == []
     assert [r["doc_id"] for r in pii.replace(df).collect() if not r["pii_count"] or r["text"] == SPARSE[r["doc_id"]]] == []
+
+
+def test_blanks_of_forms_are_no_secrets(spark):
+    blanks = ["Password: ________", "token: ........ api_key = --------/--------", "secret=\u00bd\u00bd\u00bd\u00bd\u00bd\u00bd\u00bd\u00bd"]
+    got = replaced(spark, [*enumerate(blanks), (9, "token = _______7 password = _______8 secret = _______9")])
+    assert all(got[i]["text"] == t and got[i]["pii_count"] == 0 for i, t in enumerate(blanks))
+    assert got[9]["pii_count"] == 3
+
+
+def test_more_private_addresses_than_free_ones(spark):
+    entities = [("ip", f"192.168.{i >> 8}.{i & 255}") for i in range(40000)]
+    got = pii.assign(spark.createDataFrame(entities, "kind string, form string")).collect()
+    new = {r["surrogate"] for r in got}
+    assert len(got) == len(entities) == len(new) and not new & {f for _, f in entities}
+    assert all(x.startswith(("192.168.", "10.")) for x in new)
+
+
+def test_what_rounds_leave_is_placed(spark, monkeypatch):
+    """One round only; every address of 172.16.x.y, every family name of two letters, and some of each other type."""
+    monkeypatch.setattr(pii, "MAX_ROUNDS", 1)
+    entities = [("ip", f"172.16.{i >> 8}.{i & 255}") for i in range(65536)] + [("family", f"{a}{b}") for a in "bcdfghjklmnpqrstvwxyz" for b in "aeiou"]
+    got = pii.assign(spark.createDataFrame(entities, "kind string, form string")).collect()
+    new = {(r["kind"], r["surrogate"]) for r in got}
+    assert len(got) == len(entities) == len(new) and not new & set(entities)
+    for text in ("jo@a.example.com", "411111-1111", "4111 1111 1111 1111", "DE12 ABCD EFGH", "123-45-6789", "+1 (017) 555-7713", "8.8.8.8", "token=abcdefg1", "Mr. Jo Meyer"):
+        for a, b, kind, form in pii.detect(text):
+            last = pii.unbounded("k", kind, form)
+            assert pii.render(text[a:b], last, kind).replace(" ", "").lower() != form and pii.normal(kind, pii.render(text[a:b], last, kind).lower()) == last.lower()
