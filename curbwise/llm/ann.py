@@ -6,7 +6,8 @@ is one group of a task: its points are inserted in growing batches, a greedy
 search of the graph so far proposes neighbours, relaxed distance pruning
 (factor ``alpha``) keeps diverse edges among them, and reverse edges are pruned
 the same way. Every query then goes through a beam search of each shard of its
-dimension; the shards' lists are merged by exact distance in double precision.
+dimension; the shards' lists are merged by exact distance. All distances are
+those of differences in double precision.
 
 A task holds one shard (``shard_rows`` vectors, a parameter) and one Arrow batch
 of queries. Queries are a stated set; each meets each shard, not each row.
@@ -44,14 +45,13 @@ class Graph:
     """A directed graph over the rows of ``points`` with at most ``degree`` edges out of each."""
 
     def __init__(self, points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA, seed: int = 7):
-        self.points = np.ascontiguousarray(points, np.float32)
-        self.norms = np.einsum("ij,ij->i", self.points, self.points)
+        self.points = np.ascontiguousarray(points, np.float64)
         self.alpha2, self.degree = alpha * alpha, degree
         n = len(points)
         self.edges = np.full((n, degree), -1, np.int64)
         order = np.random.default_rng(seed).permutation(n)
         if n:  # the point nearest to the mean comes first
-            middle = int(np.argmin(self.norms - 2 * self.points @ self.points.mean(axis=0)))
+            middle = int(np.argmin(((self.points - self.points.mean(axis=0)) ** 2).sum(axis=1)))
             order = np.concatenate([[middle], order[order != middle]])
         self.entries, done = order[:ENTRIES], 1
         while done < n:  # batches no larger than the graph so far
@@ -60,10 +60,10 @@ class Graph:
             done += len(batch)
 
     def _distances(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Squared distances of q[i] to ids[i, :]; infinite for -1."""
-        at = np.maximum(ids, 0)
-        d = self.norms[at] - 2 * np.matmul(self.points[at], q[:, :, None])[:, :, 0] + np.einsum("ij,ij->i", q, q)[:, None]
-        return np.where(ids < 0, np.inf, np.maximum(d, 0))
+        """Squared distances of q[i] to ids[i, :], from differences, which nearly equal vectors need; infinite for -1."""
+        x = self.points[np.maximum(ids, 0)]
+        x -= q[:, None, :]
+        return np.where(ids < 0, np.inf, np.einsum("ijk,ijk->ij", x, x))
 
     def search(self, q: np.ndarray, beam: int, inserted: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Beam search of all rows of ``q`` side by side from the entry points: nodes found, nearest first (-1 fills), and nodes expanded."""
@@ -109,10 +109,14 @@ class Graph:
         cand = np.sort(cand, axis=1)
         cand[:, 1:][cand[:, 1:] == cand[:, :-1]] = -1
         cand[cand == nodes[:, None]] = -1
-        d = self._distances(self.points[nodes], cand)
-        at = np.maximum(cand, 0)
-        x, norm = self.points[at], self.norms[at]
-        between = norm[:, :, None] + norm[:, None, :] - 2 * np.matmul(x, x.transpose(0, 2, 1))
+        x = self.points[np.maximum(cand, 0)]
+        x -= self.points[nodes][:, None, :]  # seen from the node, products lose nothing that counts
+        norm = np.einsum("ijk,ijk->ij", x, x)
+        d = np.where(cand < 0, np.inf, norm)
+        between = np.matmul(x, x.transpose(0, 2, 1))
+        between *= -2
+        between += norm[:, :, None]
+        between += norm[:, None, :]
         rows = np.arange(len(nodes))
         out = np.full((len(nodes), self.degree), -1, np.int64)
         left = d.copy()
@@ -210,7 +214,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_
 
 def _answers(graph: Graph, points: np.ndarray, ids: list[list[int]], asked: np.ndarray, q: np.ndarray, k: int, beam: int):
     for i in range(0, len(q), AT_ONCE):
-        found, _ = graph.search(q[i:i + AT_ONCE].astype(np.float32), max(beam, k + 1))
+        found, _ = graph.search(q[i:i + AT_ONCE], max(beam, k + 1))
         out: list[tuple[int, int, float]] = []
         for own, x, nodes in zip(asked[i:i + AT_ONCE].tolist(), q[i:i + AT_ONCE], found):
             nodes = nodes[nodes >= 0]

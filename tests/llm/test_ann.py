@@ -64,6 +64,24 @@ def test_graph_keeps_diverse_edges():
         assert len(set(e.tolist())) == len(e) and i not in e
 
 
+def test_recall_among_nearly_equal_vectors():
+    """Thousands of vectors that differ by float noise, among others and far from the origin."""
+    rng = np.random.default_rng(4)
+    unit = rng.normal(size=(2001, 64))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    near = (unit[0] + 1e-6 * rng.normal(size=(3000, 64))).astype(np.float32).astype(float)
+    far = (1000 + 0.1 * rng.normal(size=(4000, 64))).astype(np.float32).astype(float)
+    for points in (np.concatenate([unit[1:], near]), far):
+        asked = np.arange(len(points) - 40, len(points))
+        ids = [[i] for i in range(len(points))]
+        got = ann._answers(ann.Graph(points), points, ids, asked, points[asked], 10, ann.SEARCH_BEAM)
+        found_ = [set() for _ in asked]
+        for batch in got:
+            for q, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found_[q - asked[0]].add(v)
+        want = [set(np.argsort(((points - points[q]) ** 2).sum(axis=1), kind="stable")[:11].tolist()) - {q} for q in asked.tolist()]
+        assert np.mean([len(f & w) / 10 for f, w in zip(found_, want)]) >= 0.95
+
 def test_query_given_table_and_empty(spark, tmp_path):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/embeddings.parquet").collect()]
