@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbwise.llm import ann, chat_format, huffman, mixing, ngram_join, packing, pii, quality, url_filter, warc
-from curbwise.llm.common import scratch
+from curbwise.llm import ann, chat_format, huffman, mixing, ngram_join, packing, periodic, pii, quality, url_filter, warc
+from curbwise.llm.common import scratch, words
 
 #: Fixed values of the url query.
 URL_RULES = ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")
@@ -79,7 +79,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing)}
+def _repeating(text: F.Column, doc_id: F.Column) -> F.Column:
+    """The text whose words from a place on repeat a unit, for the documents that the query alters."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    w = words(text)
+    n = F.size(w)
+    a = F.when(n > 0, g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    unit = F.slice(w, a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(w, F.lit(1), a), tail), " ")).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    got = periodic.collapse(docs.select("doc_id", _repeating(F.col("text"), F.col("doc_id")).alias("text")))
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return got.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+                      best["length"].alias("length"), best["period"].alias("period"),
+                      F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+                      F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing, op13_periodic_runs)}
 
 
 def queries() -> dict:
