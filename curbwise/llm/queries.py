@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbwise.llm import ann, chat_format, huffman, mixing, ngram_join, packing, periodic, pii, quality, url_filter, warc
+from curbwise.llm import alignment, ann, chat_format, huffman, mixing, ngram_join, packing, periodic, pii, quality, url_filter, warc
 from curbwise.llm.common import scratch, words
 
 #: Fixed values of the url query.
@@ -79,6 +79,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.counts(_table(spark, sf_dir, "documents"))
+
+
 def _repeating(text: F.Column, doc_id: F.Column) -> F.Column:
     """The text whose words from a place on repeat a unit, for the documents that the query alters."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
@@ -103,7 +107,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing, op13_periodic_runs)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing, op12_token_alignment, op13_periodic_runs)}
 
 
 def queries() -> dict:
