@@ -8,10 +8,14 @@ two id lists into groups. The links of a group are the pairs of an A and a B
 token whose byte ranges overlap: all pairs where one side is a single token, a
 walk over both sides otherwise.
 
+Neither tokenizer has tokens that go over a single space between two words into the
+next word (for the piece model its file is looked through; if one did, a text would
+be one unit), so texts are cut there and each distinct unit is aligned once while a
+worker process remembers it. Tests compare with the libraries on whole texts.
+
 How many links hold a pair of ids is counted over the whole corpus. Documents are
 aligned in blocks of ``BLOCK_BYTES`` of text; a block has a dictionary of its
-distinct pairs with their counts, and each document the numbers of its pairs in
-that dictionary. Only dictionaries are exchanged by pair, so a pair that every
+distinct pairs with their counts, and each document its distinct units. Only dictionaries are exchanged by pair, so a pair that every
 document holds comes once per block, and the totals return to the blocks the same
 way. The aligned blocks are written to the shared folder first: a lost executor
 costs no second tokenising.
@@ -26,7 +30,11 @@ kept; an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
+import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +45,19 @@ from curbwise.llm.common import saved, ship
 
 BYTE_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
-BLOCK_BYTES = 8 << 20
-_AT_ONCE = 256 << 10
+BLOCK_BYTES = 4 << 20
+KNOWN_CHARS = 4 << 20
+_AT_ONCE = 5_000
+_PART_CHARS = 1 << 20
+#: A space between characters that no tokenizer counts as white space.
+_SHOWN = r"[^\s\x00-\x20\x7f-\xa0\u180e\u200b]"
+_CUT, _PRINTING = re.compile(f"(?<={_SHOWN}) (?={_SHOWN})"), re.compile(_SHOWN).match
 _B_BITS = 32  # a pair of ids as one long: A's id above B's
 
 GROUPS = "doc_id long, a_ids array<int>, b_ids array<int>, a_ends array<int>, b_ends array<int>"
 _ALIGNED = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-            "steps array<int>, times array<int>, pairs array<long>, totals array<long>")
+            "steps array<int>, times array<int>, unit_links array<int>, unit_slots array<int>, "
+            "pairs array<long>, totals array<long>, leads boolean")
 COUNTS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -65,8 +79,6 @@ class Tokenizers:
     """Both tokenizers with the bytes of each of their ids."""
 
     def __init__(self, paths: tuple[str, str]):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
@@ -79,11 +91,17 @@ class Tokenizers:
         for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(of_char[c] for c in token) if all(c in of_char for c in token) else token.encode()
         self.b_bytes = [self._piece(i) for i in range(self._b.get_piece_size())]
-        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        # one table of printed ids: A's in a group, A's last of a group, then the same of B's
+        self.a_size, self.b_size = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        # printed ids: A's in a group, A's last of a group, then the same of B's
         self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
-        self.printed = [f"{i}{mark}" for n, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for mark in marks for i in range(n)]
+        self.marked = [f"{i}{mark}" for n, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for mark in marks for i in range(n)]
+        pieces = map(self._b.id_to_piece, range(len(self.b_bytes)))
+        self._apart = not any(re.search("[^▁]▁", p) for p in pieces)  # no piece goes over a space into the next word
+
+    def units(self, text: str) -> list[str]:
+        """The text cut at single spaces between printing characters; a space before each and
+        their tokens one after another are the text's."""
+        return _CUT.split(text) if self._apart and text else [text][:len(text)]
 
     def _piece(self, i: int) -> bytes:
         if self._b.is_byte(i):
@@ -107,53 +125,120 @@ class Alignment:
         self.a_end, self.b_end = np.cumsum(known.a_size[self.a]), np.cumsum(known.b_size[self.b])
         a_at = dict(zip(self.a_end.tolist(), range(1, len(a) + 1)))
         b_at = dict(zip(self.b_end.tolist(), range(1, len(b) + 1)))
-        common = sorted(a_at.keys() & b_at.keys())
-        self.a_cut = np.array([0, *map(a_at.__getitem__, common)], np.int64)
-        self.b_cut = np.array([0, *map(b_at.__getitem__, common)], np.int64)
+        self.common = sorted(a_at.keys() & b_at.keys())
+        self.a_cut = np.array([0, *map(a_at.__getitem__, self.common)], np.int64)
+        self.b_cut = np.array([0, *map(b_at.__getitem__, self.common)], np.int64)
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes of the linked A and B tokens, a row per link."""
+        """Indexes of the linked A and B tokens, in order of A's."""
         n_a, n_b = np.diff(self.a_cut), np.diff(self.b_cut)
         single = (n_a == 1) | (n_b == 1)
         pairs = np.where(single, n_a * n_b, 0)
         of = np.repeat(np.arange(len(pairs)), pairs)
         turn = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
-        left = self.a_cut[of] + turn // np.maximum(n_b, 1)[of]
-        right = self.b_cut[of] + turn % np.maximum(n_b, 1)[of]
-        more = [self._walk(g) for g in np.flatnonzero(~single).tolist()]
+        left, right = self.a_cut[of] + turn // n_b[of], self.b_cut[of] + turn % n_b[of]
+        more = [link for g in np.flatnonzero(~single).tolist() for link in self._walk(g)]
         if more:
-            found = np.array([p for part in more for p in part], np.int64)
-            left, right = np.concatenate([left, found[:, 0]]), np.concatenate([right, found[:, 1]])
+            left, right = (np.concatenate([x, y]) for x, y in zip((left, right), np.array(more, np.int64).T))
+            order = np.argsort(left, kind="stable")
+            left, right = left[order], right[order]
         return left, right
 
-    def _walk(self, g: int) -> list[tuple[int, int]]:
+    def _walk(self, g: int) -> Iterator[tuple[int, int]]:
         """Links of a group with several tokens on both sides: the side that ends first goes on."""
-        i, j, out = int(self.a_cut[g]), int(self.b_cut[g]), []
-        while i < self.a_cut[g + 1]:  # both sides end together
-            out.append((i, j))
+        i, j, stop = int(self.a_cut[g]), int(self.b_cut[g]), self.a_cut[g + 1]
+        while i < stop:  # both sides end together
+            yield i, j
             a_end, b_end = self.a_end[i], self.b_end[j]
-            i += a_end <= b_end
-            j += b_end <= a_end
-        return out
+            i += int(a_end <= b_end)
+            j += int(b_end <= a_end)
 
-    def printed(self) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the groups' ids in order."""
-        known, n = self._known, len(self.a_cut) - 1
+    def printed(self) -> list[str]:
+        """``a1,`` ``a2|`` ``b1;`` ...: the groups' ids in order, each with the mark after it."""
+        known = self._known
         last_a, last_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
         last_a[self.a_cut[1:] - 1], last_b[self.b_cut[1:] - 1] = 1, 1
         line = np.empty(len(self.a) + len(self.b), np.int64)
         line[np.arange(len(self.a)) + np.repeat(self.b_cut[:-1], np.diff(self.a_cut))] = self.a + last_a * known.n_a
         line[np.arange(len(self.b)) + np.repeat(self.a_cut[1:], np.diff(self.b_cut))] = self.b + last_b * known.n_b + 2 * known.n_a
-        return "".join(map(known.printed.__getitem__, line.tolist()))[:-1] if n else ""
+        return list(map(known.marked.__getitem__, line.tolist()))
 
 
-_KNOWN: dict[tuple[str, str], Tokenizers] = {}
+class Units:
+    """Alignments of the units of texts, kept while their characters stay below ``KNOWN_CHARS``."""
+
+    def __init__(self, paths: tuple[str, str]):
+        self.known = Tokenizers(paths)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._index: dict[str, int] = {}
+        self._chars = 0
+        self._shape = array("q")  # tokens of A and B, groups, links of each unit
+        self._codes = array("q")  # linked pairs of ids, a code per link, unit after unit
+        self.printed: list[str] = []
+
+    def of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of A and B, groups and links of each of ascending ``units``, and the codes of all their links."""
+        shape, codes = np.frombuffer(self._shape, np.int64).reshape(-1, 4), np.frombuffer(self._codes, np.int64)
+        if not len(units):
+            return shape[:0], codes[:0]
+        ends = np.cumsum(shape[:, 3])[units]
+        size = shape[units, 3]
+        return shape[units], codes[np.repeat(ends - np.cumsum(size), size) + np.arange(int(size.sum()))]
+
+    def numbers(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The units of each text, in order; none where a tokenizer does not give the text back.
+        They hold until the next call."""
+        if self._chars > KNOWN_CHARS:
+            self._forget()
+        part, held = [], 0
+        for text in texts:
+            part.append(text)
+            held += len(text)
+            if held >= _PART_CHARS:
+                yield from self._numbers(part)
+                part, held = [], 0
+        yield from self._numbers(part)
+
+    def _numbers(self, texts: list[str]) -> Iterator[np.ndarray]:
+        split = [self.known.units(t) for t in texts]
+        new = {u for units in split for u in units}.difference(self._index)
+        whole = [u for u in new if _PRINTING(u[0]) and _PRINTING(u[-1])]
+        for a in range(0, len(whole), _AT_ONCE):
+            self._add(whole[a:a + _AT_ONCE])
+        for unit in new.difference(whole):  # begins or ends with white space, so nothing can be beside it
+            self._add([unit])
+        for units in split:
+            row = np.fromiter(map(self._index.__getitem__, units), np.int32, len(units))
+            yield row if (row >= 0).all() else row[:0]
+
+    def _add(self, units: list[str]) -> None:
+        """Aligns the units as one text, a space before each."""
+        self._chars += sum(map(len, units))
+        (a, b), = self.known.encode([" ".join(units)])
+        if not a:
+            if len(units) == 1:
+                self._index[units[0]] = -1
+            else:
+                for half in (units[:len(units) // 2], units[len(units) // 2:]):
+                    self._add(half)
+            return
+        got = Alignment(a, b, self.known)
+        ends = np.cumsum([1 + len(u.encode()) for u in units])
+        cuts = [np.searchsorted(x, ends, "right") for x in (got.a_end, got.b_end, got.common)]
+        left, right = got.links()
+        codes, at = (got.a[left] << _B_BITS) + got.b[right], np.searchsorted(left, cuts[0])
+        self._index.update(zip(units, range(len(self.printed), len(self.printed) + len(units))))
+        self._shape.frombytes(np.ascontiguousarray(np.diff(np.stack([*cuts, at]), prepend=0).T.astype(np.int64)).tobytes())
+        self._codes.frombytes(codes.tobytes())
+        marked, said = got.printed(), [0, *(cuts[0] + cuts[1]).tolist()]
+        self.printed += ["".join(marked[i:j])[:-1] for i, j in zip(said, said[1:])]
 
 
-def _known(paths: tuple[str, str]) -> Tokenizers:
-    if paths not in _KNOWN:
-        _KNOWN[paths] = Tokenizers(paths)
-    return _KNOWN[paths]
+@lru_cache(maxsize=2)
+def _units(paths: tuple[str, str]) -> Units:
+    return Units(paths)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[str]]]:
@@ -161,31 +246,17 @@ def _slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[lis
     ids, texts, held = [], [], 0
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-        for i, (doc_id, text, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), size)):
+        for doc_id, text, n in zip(batch.column(0).to_pylist(), batch.column(1), size):
             if held and held + n > limit:
                 yield ids, texts
                 ids, texts, held = [], [], 0
             ids.append(doc_id)
-            texts.append(text or "")
+            texts.append(text.as_py() or "")
             held += n
     if ids:
         yield ids, texts
 
 
-def _encoded(texts: list[str], known: Tokenizers) -> Iterator[Alignment]:
-    """The alignments of the texts, tokenised some at a time."""
-    part, held = [], 0
-    for text in texts:
-        part.append(text)
-        held += len(text)
-        if held >= _AT_ONCE:
-            for a, b in known.encode(part):
-                yield Alignment(a, b, known)
-            part, held = [], 0
-    for a, b in known.encode(part):
-        yield Alignment(a, b, known)
-
-
 def _picked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     ship(docs.sparkSession)
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -197,7 +268,8 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", paths: t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _slices(batches, BLOCK_BYTES):
-            got = list(_encoded(texts, _known(paths)))
+            known = _units(paths).known
+            got = [Alignment(a, b, known) for a, b in known.encode(texts)]
             lists = ([x.a for x in got], [x.b for x in got], [x.a_cut[1:] for x in got], [x.b_cut[1:] for x in got])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(x, pa.list_(pa.int32())) for x in lists)],
                                              ["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"])
@@ -209,30 +281,29 @@ def _lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.List
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
 
-def _block(ids: list, texts: list[str], known: Tokenizers, number: int) -> pa.RecordBatch:
-    """A row per document; the first also has the block's dictionary of pairs."""
-    shape, shown, codes = [], [], []
-    for got in _encoded(texts, known):
-        left, right = got.links()
-        codes.append((got.a[left] << _B_BITS) + got.b[right])
-        shape.append((len(got.a), len(got.b), len(got.a_cut) - 1, len(left)))
-        shown.append(hashlib.sha256(got.printed().encode()).hexdigest() if len(got.a) else "")
-    n_links = np.array([len(c) for c in codes], np.int64)
-    pairs, slot, totals = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
-    del codes
-    doc = np.repeat(np.arange(len(ids)), n_links)
-    held, times = np.unique(doc * max(len(pairs), 1) + slot, return_counts=True)  # by document, then slot
-    doc, slot = np.divmod(held, max(len(pairs), 1))
-    bounds = np.searchsorted(doc, np.arange(len(ids) + 1))
-    steps = np.diff(slot, prepend=0)  # small numbers: each slot less the one before it
-    first = bounds[:-1][np.diff(bounds) > 0]
-    steps[first] = slot[first]
-    dictionary = np.where(np.arange(len(ids) + 1) > 0, len(pairs), 0)
+def _block(ids: list, texts: list[str], units: Units, number: int) -> pa.RecordBatch:
+    """A row per document with its distinct units; the first row also has the block's dictionary:
+    the distinct pairs of ids with their counts, and the pairs of each distinct unit."""
+    rows = list(units.numbers(texts))
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    used, local = np.unique(np.concatenate(rows), return_inverse=True)
+    shape, codes = units.of(used)
+    totals = np.diff(np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(shape[local], axis=0)])[ends], axis=0)
+    pairs, slot = np.unique(codes, return_inverse=True)
+    n_links = shape[:, 3]
+    count = np.bincount(slot, np.repeat(np.bincount(local, minlength=len(used)), n_links), len(pairs)).astype(np.int64)
+    own = [np.unique(local[a:b], return_counts=True) for a, b in zip(ends, ends[1:])]
+    bounds = np.concatenate([[0], np.cumsum([len(u) for u, _ in own])])
+    shown = [hashlib.sha256(";".join(map(units.printed.__getitem__, r.tolist())).encode()).hexdigest() if len(r) else "" for r in rows]
+    first = np.arange(len(ids) + 1) > 0
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(ids), number)), pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in np.array(shape).T),
-         pa.array(shown), _lists(steps, bounds, pa.int32()), _lists(times, bounds, pa.int32()),
-         _lists(pairs, dictionary, pa.int64()), _lists(totals, dictionary, pa.int64())],
-        ["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "steps", "times", "pairs", "totals"])
+        [pa.array(np.full(len(ids), number)), pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in totals.T), pa.array(shown),
+         _lists(np.concatenate([np.diff(u, prepend=0) for u, _ in own]), bounds, pa.int32()),
+         _lists(np.concatenate([n for _, n in own]), bounds, pa.int32()),
+         _lists(n_links, first * len(used), pa.int32()), _lists(slot, first * len(slot), pa.int32()),
+         _lists(pairs, first * len(pairs), pa.int64()), _lists(count, first * len(pairs), pa.int64()),
+         pa.array(np.arange(len(ids)) == 0)],
+        ["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "steps", "times", "unit_links", "unit_slots", "pairs", "totals", "leads"])
 
 
 def _aligned(docs: DataFrame, text: str, doc_id: str, paths: tuple[str, str] | None) -> DataFrame:
@@ -243,7 +314,7 @@ def _aligned(docs: DataFrame, text: str, doc_id: str, paths: tuple[str, str] | N
 
         number = TaskContext.get().partitionId() << 32
         for ids, texts in _slices(batches, BLOCK_BYTES):
-            yield _block(ids, texts, _known(paths), number)
+            yield _block(ids, texts, _units(paths), number)
             number += 1
 
     return saved(_picked(docs, text, doc_id).mapInArrow(run, _ALIGNED), "aligned")
@@ -276,44 +347,47 @@ def counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", paths: t
     aligned = _aligned(docs, text, doc_id, paths)
     entries = _of_blocks(aligned)
     back = entries.join(_counted(entries), "pair").select("block", "slot", "total", "best")
-    own = [c for c in aligned.columns if c not in ("block", "pairs", "totals")]
+    own = [c for c in aligned.columns if c not in ("block", "pairs", "totals", "leads")]
     told = back.select("block", "slot", *[F.lit(None).cast(aligned.schema[c].dataType).alias(c) for c in own], "total", "best")
-    rows = aligned.select("block", F.lit((1 << 31) - 1).alias("slot"), *own, F.lit(None).cast("long").alias("total"), F.lit(None).cast("boolean").alias("best"))
-    order = told.unionAll(rows)
+    after = F.lit((1 << 31) - 1) - F.col("leads").cast("int")  # behind all slots, the row with the units first
+    rows = aligned.select("block", after.alias("slot"), *own, F.lit(None).cast("long").alias("total"), F.lit(None).cast("boolean").alias("best"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total, best = None, [], []  # the dictionary of the block at hand, which comes before its documents
+        now, entries_, units = None, [], None
         for batch in batches:
             block = batch.column("block").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
-                if b == a:
-                    continue
                 part = batch.slice(a, b - a)
-                if block[a] != now:
-                    now, total, best = block[a], [], []
+                if b > a and block[a] != now:
+                    now, entries_, units = block[a], [], None
                 entry = part.filter(pc.is_valid(part.column("total")))
                 if entry.num_rows:
-                    total.append(entry.column("total").to_numpy())
-                    best.append(entry.column("best").to_numpy(zero_copy_only=False))
-                docs_ = part.filter(pc.is_null(part.column("total")))
-                if docs_.num_rows:
-                    total, best = [np.concatenate([*total, np.empty(0, np.int64)])], [np.concatenate([*best, np.empty(0, bool)])]
-                    yield _finished(docs_, total[0], best[0])
-
-    ordered = order.repartition("block").sortWithinPartitions("block", "slot")
+                    entries_.append([entry.column(c).to_numpy(zero_copy_only=False) for c in ("total", "best")])
+                mine = part.filter(pc.is_null(part.column("total")))
+                if mine.num_rows:
+                    if units is None:
+                        total, best = (np.concatenate([e[i] for e in entries_] or [[]]).astype(np.int64) for i in (0, 1))
+                        units, entries_ = _sums(mine.slice(0, 1), total, best), []
+                    yield _finished(mine, *units)
+
+    ordered = told.unionAll(rows).repartition("block").sortWithinPartitions("block", "slot")
     return ordered.mapInArrow(run, COUNTS)
 
 
-def _finished(rows: pa.RecordBatch, total: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
+def _sums(lead: pa.RecordBatch, total: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each unit of a block the sum of its links' counts and the number of its best links."""
+    slot = lead.column("unit_slots").flatten().to_numpy()
+    ends = np.concatenate([[0], np.cumsum(lead.column("unit_links").flatten().to_numpy(), dtype=np.int64)])
+    return tuple(np.diff(np.concatenate([[0], np.cumsum(x[slot])])[ends]) for x in (total, best))
+
+
+def _finished(rows: pa.RecordBatch, count_sum: np.ndarray, n_best: np.ndarray) -> pa.RecordBatch:
     steps, times = rows.column("steps"), rows.column("times")
     bounds = steps.offsets.to_numpy() - steps.offsets[0].as_py()
-    step, n = steps.flatten().to_numpy().astype(np.int64), times.flatten().to_numpy().astype(np.int64)
-    line = np.cumsum(step)
-    before = np.concatenate([[0], line])[bounds[:-1]]
-    slot = line - np.repeat(before, np.diff(bounds))
-    of = lambda x: pa.array(np.diff(np.concatenate([[0], np.cumsum(x)])[bounds]))
+    line, n = np.cumsum(steps.flatten().to_numpy(), dtype=np.int64), times.flatten().to_numpy().astype(np.int64)
+    unit = line - np.repeat(np.concatenate([[0], line])[bounds[:-1]], np.diff(bounds))
+    of = lambda x: pa.array(np.diff(np.concatenate([[0], np.cumsum(n * x[unit])])[bounds]), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [rows.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
-        + [of(np.where(best[slot], n, 0)), of(n * total[slot]), rows.column("groups_sha256")],
+        [*(rows.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")), of(n_best), of(count_sum), rows.column("groups_sha256")],
         ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
