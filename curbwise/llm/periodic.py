@@ -97,7 +97,7 @@ class Sequence:
             self.scan(q)
         scale = SHORT
         if self.times * scale <= longest:
-            self._hash()
+            self.prepare()
         while self.times * scale <= longest:
             for q, start, length in self._seeded(scale):
                 if not self._exact(q, start, length):
@@ -133,7 +133,8 @@ class Sequence:
         self._add(q, start, length)
         return True
 
-    def _hash(self) -> None:
+    def prepare(self) -> None:
+        """Prefix hashes of the sequence, for ``common``."""
         n = len(self.w)
         power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]))
         self._back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _INVERSE)]))
@@ -176,13 +177,13 @@ class Sequence:
         x, d = np.concatenate(seeds, axis=1)
         if not len(x):
             return []
-        ahead = self._common(x, x + d, n - x - d, 1)
-        behind = self._common(x, x + d, x, -1)
+        ahead = self.common(x, x + d, n - x - d, 1)
+        behind = self.common(x, x + d, x, -1)
         long = ahead + behind >= (self.times - 1) * d
         got = np.unique(np.stack([d, x - behind, ahead + behind + d], axis=1)[long], axis=0)
         return [tuple(r) for r in got.tolist()]
 
-    def _common(self, x: np.ndarray, y: np.ndarray, most: np.ndarray, way: int) -> np.ndarray:
+    def common(self, x: np.ndarray, y: np.ndarray, most: np.ndarray, way: int) -> np.ndarray:
         """How many words from x and y on (way 1) or before them (way -1) agree, at most ``most``."""
         low, high = np.zeros(len(x), np.int64), most.astype(np.int64)
         while True:

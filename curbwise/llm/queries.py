@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from curbwise.llm import alignment, ann, chat_format, huffman, mixing, ngram_join, packing, periodic, pii, quality, url_filter, warc
+from curbwise.llm import alignment, ann, chat_format, edit_embedding, huffman, mixing, ngram_join, packing, periodic, pii, quality, url_filter, warc
 from curbwise.llm.common import scratch, words
 
 #: Fixed values of the url query.
@@ -79,6 +79,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = edit_embedding.compare_neighbours(_table(spark, sf_dir, "documents"))
+    marks = [F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    return got.select("doc_id", "n_chars", "edited_sha256", *marks, "near_edited", "near_next")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.counts(_table(spark, sf_dir, "documents"))
 
@@ -107,7 +113,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing, op12_token_alignment, op13_periodic_runs)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_chat_formatting, op3_url_filters, op4_nearest_neighbours, op5_pii, op6_token_output, op7_warc, op8_quality_rules, op9_mixing, op10_packing, op11_edit_fingerprints, op12_token_alignment, op13_periodic_runs)}
 
 
 def queries() -> dict:
