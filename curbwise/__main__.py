@@ -17,7 +17,7 @@ CSV copy. Plans that need the road-segment dataset read the published
 ``extract`` copies the source tables over JDBC to parquet. ``daily-counts``
 counts a sheet's rows per day, ``snapshot`` stamps a published count file with
 the file's own time, and ``publish-file`` publishes a result that was written
-as CSV by the configured method of its name.
+as CSV by the configured method of its name, its columns typed by what they hold.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def _publish_file(spark, args) -> int:
     elif args.cmd == "snapshot":
         name, df = "active_permits_snapshot", weekly.active_snapshot_from_file(csv_io.read_text(spark, args.file))
     else:
-        name, df = args.name, csv_io.read_text(spark, args.csv)
+        name, df = args.name, csv_io.read_typed(spark, args.csv)
     print(f"{name} version {sinks.publish(spark, name, df, args.publish, specs)}")
     return 0
 

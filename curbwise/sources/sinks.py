@@ -6,10 +6,12 @@ A published dataset is a folder of immutable versions::
     <root>/version=000002/
 
 Readers take the newest complete version; writers add the next one. A
-replace writes the new rows as the next version; an upsert writes
-``current rows whose key is not updated  UNION ALL  updates`` as the next
-version, keys compared null-safe and at most one row per key. A failed or killed job leaves no ``_SUCCESS`` marker, so readers
-never see a partial version, and a retry simply rewrites that version.
+replace writes the new rows as the next version; an upsert gives
+``current rows whose key is not updated  UNION ALL  updates``, keys compared
+null-safe and at most one row per key. Upserted datasets are kept in hash buckets
+of the key, and only the buckets of the updated keys are written again
+(``buckets``). A failed or killed job leaves no ``_SUCCESS`` marker (bucketed: no
+manifest), so readers never see a partial version, and a retry simply rewrites that version.
 Applying the same upsert twice gives the same rows (idempotent). One writer
 per dataset at a time is assumed (jobs publishing the same dataset are run
 one after the other); ``prune`` removes old versions.
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbwise.functions.text import nan_to_null, normalize_columns
+from curbwise.sources import buckets
 
 _VERSION = re.compile(r"^version=(\d+)$")
 
@@ -43,7 +46,8 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     out = []
     for st in fs.listStatus(path):
         m = _VERSION.match(st.getPath().getName())
-        if m and st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        marks = ("_SUCCESS", buckets.MANIFEST)
+        if m and st.isDirectory() and any(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), x)) for x in marks):
             out.append(int(m.group(1)))
     return sorted(out)
 
@@ -57,7 +61,8 @@ def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = No
     vs = versions(spark, root)
     if not vs:
         return None
-    df = spark.read.parquet(_version_path(root, vs[-1]))
+    manifest = buckets.read_manifest(spark, _version_path(root, vs[-1]))
+    df = buckets.read(spark, root, manifest) if manifest else spark.read.parquet(_version_path(root, vs[-1]))
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return df
@@ -66,6 +71,7 @@ def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = No
 def _write_next(spark: SparkSession, df: DataFrame, root: str) -> int:
     vs = versions(spark, root)
     nxt = (vs[-1] + 1) if vs else 1
+    buckets.clear(spark, _version_path(root, nxt))  # what a failed job may have left
     df.write.mode("overwrite").parquet(_version_path(root, nxt))
     return nxt
 
@@ -94,7 +100,11 @@ def merge_by_key(current: DataFrame, updates: DataFrame, key: list[str], order_b
     a broadcast of the update keys when Spark measures them small) and a
     union; no row of either side passes through the driver.
     """
-    upd = latest_by_key(updates, key, order_by)
+    return _keep_other_keys(current, latest_by_key(updates, key, order_by), key)
+
+
+def _keep_other_keys(current: DataFrame, upd: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``current`` whose key ``upd`` lacks, and ``upd``, which has one row per key."""
     keys = upd.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
     same = F.lit(True)
     for i, k in enumerate(key):
@@ -108,18 +118,48 @@ def replace(spark: SparkSession, df: DataFrame, root: str) -> int:
     return _write_next(spark, df, root)
 
 
-def upsert(spark: SparkSession, updates: DataFrame, root: str, key: list[str], order_by: list[str] | None = None) -> int:
-    """Insert or replace rows of the dataset by ``key`` (one row per key, see ``latest_by_key``)."""
-    current = read_latest(spark, root)
-    merged = latest_by_key(updates, key, order_by) if current is None else merge_by_key(current, updates, key, order_by)
-    return _write_next(spark, merged, root)
+def upsert(spark: SparkSession, updates: DataFrame, root: str, key: list[str], order_by: list[str] | None = None,
+           n_buckets: int = buckets.BUCKETS) -> int:
+    """Insert or replace rows of the dataset by ``key`` (one row per key, see ``latest_by_key``).
+
+    The first upsert of a dataset lays it out in ``n_buckets`` hash buckets of the key;
+    later ones read and write the buckets of the updated keys.
+    """
+    vs = versions(spark, root)
+    nxt = (vs[-1] + 1) if vs else 1
+    buckets.clear(spark, _version_path(root, nxt))
+    latest = latest_by_key(updates, key, order_by)
+    manifest = buckets.read_manifest(spark, _version_path(root, vs[-1])) if vs else None
+    if manifest and manifest["key"] == list(key):
+        buckets.upsert(spark, root, manifest, nxt, latest, lambda current, new: _keep_other_keys(current, new, key))
+    else:
+        current = read_latest(spark, root)
+        merged = latest if current is None else _keep_other_keys(current, latest, key)
+        buckets.create(spark, merged, root, nxt, list(key), n_buckets)
+    return nxt
 
 
 def prune(spark: SparkSession, root: str, keep: int = 3) -> None:
-    """Delete all but the newest ``keep`` complete versions."""
+    """Delete all but the newest ``keep`` complete versions. Buckets that a kept version still reads stay."""
     fs, _, jvm = _fs(spark, root)
-    for v in versions(spark, root)[:-keep]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(_version_path(root, v)), True)
+    vs = versions(spark, root)
+    used: dict[int, set[int]] = {}
+    for v in vs[-keep:]:
+        for b, of in (buckets.read_manifest(spark, _version_path(root, v)) or {"held": {}})["held"].items():
+            used.setdefault(of, set()).add(int(b))
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(root)) if vs else []:
+        m = _VERSION.match(st.getPath().getName())
+        v = int(m.group(1)) if m else None
+        if v is None or v >= vs[-keep:][0]:
+            continue
+        if v not in used:
+            fs.delete(st.getPath(), True)
+            continue
+        fs.delete(jvm.org.apache.hadoop.fs.Path(st.getPath(), buckets.MANIFEST), False)  # first: no version any more
+        for part in fs.listStatus(st.getPath()):
+            bucket = part.getPath().getName().partition("=")[2]
+            if bucket and int(bucket) not in used[v]:
+                fs.delete(part.getPath(), True)
 
 
 @dataclass(frozen=True)
@@ -154,5 +194,8 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str,
     if spec.method == "replace":
         return replace(spark, clean, target)
     if spec.method == "upsert":
+        text = [c for c in spec.order_by if clean.schema[c].dataType == T.StringType()]
+        if text:
+            raise ValueError(f"{name}: rows of one key are ordered by {', '.join(text)}, which is text here and would sort as text")
         return upsert(spark, clean, target, list(spec.key), list(spec.order_by) or None)
     raise ValueError(f"unknown publish method {spec.method!r}")

@@ -79,4 +79,4 @@ def test_cli_publishes_a_configured_file(spark, tmp_path, monkeypatch):
             f.write_text(text)
         _run(monkeypatch, spark, "publish-file", "segment_zone_tags", "--csv", str(f), "--publish", str(tmp_path / "pub"))
     got = sinks.read_latest(spark, str(tmp_path / "pub" / "segment_zone_tags"))
-    assert sorted(map(tuple, got.collect())) == [("1", "A, St"), ("2", "C")]
+    assert sorted(map(tuple, got.collect())) == [(1, "A, St"), (2, "C")]
