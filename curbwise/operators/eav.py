@@ -8,14 +8,15 @@ Two shapes occur in the reports:
 * inner attribute join (``JOIN info i ON i.key = f.key AND i.code = c``):
   an entity missing the code is dropped and a repeated code fans out.
 
-Both only read the wanted codes. The attribute tables are stored partitioned
-by their code column (see ``sources.jdbc.PARTITION_COLUMNS``), so a code
-filter is partition pruning: a lookup of k codes reads k partitions and the
-per-code branches of an attribute join read disjoint files.
+Both read the wanted codes in one scan. The attribute tables are stored
+partitioned by their code column (see ``sources.jdbc.PARTITION_COLUMNS``), so a
+code filter is partition pruning: a lookup of k codes reads k partitions.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,14 +49,20 @@ def attribute_join(entities: DataFrame, info: DataFrame, key: str, code_col: str
                    value_col: str, codes: dict[str, int]) -> DataFrame:
     """Inner-join one attribute column per code (missing drops, repeats fan out).
 
-    Each branch reads one code (one partition of the attribute table) and is
-    shuffled by ``key``; together the branches move each wanted attribute row
-    once. The joins all use ``key``, so the entity side is shuffled once and
-    stays partitioned through the chain.
+    One scan of ``info`` and one join: equal rows of an entity are counted first (with
+    partial aggregation, spread by value), then an entity's distinct values are one
+    array per code, and the arrays are multiplied out row by row, counts included. What
+    one row holds are the distinct values that an entity has of the codes, all of which
+    are in its result rows anyway.
     """
-    base = info.select(key, code_col, value_col)
-    out = entities
-    for name, code in codes.items():
-        branch = base.filter(F.col(code_col) == F.lit(code)).select(key, F.col(value_col).alias(name))
-        out = out.join(branch, key, "inner")
-    return out
+    wanted = info.filter(F.col(code_col).isin(list(codes.values())))
+    counted = wanted.groupBy(key, code_col, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    own = {name: F.struct(F.col(value_col).alias("v"), F.col("_n").alias("n")) for name in codes}
+    rows = counted.groupBy(key).agg(*[
+        F.collect_list(F.when(F.col(code_col) == F.lit(code), own[name])).alias(f"_{name}") for name, code in codes.items()])
+    rows = rows.filter(reduce(lambda a, b: a & b, [F.size(f"_{name}") > 0 for name in codes])).withColumn("_times", F.lit(1).cast("long"))
+    for name in codes:
+        rows = rows.withColumn(f"_{name}", F.explode(f"_{name}")).withColumn("_times", F.col("_times") * F.col(f"_{name}.n"))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))
+    rows = rows.select(key, *[F.col(f"_{name}.v").alias(name) for name in codes], times.alias("_time")).drop("_time")
+    return entities.join(rows, key, "inner")

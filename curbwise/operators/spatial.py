@@ -1,4 +1,4 @@
-"""Polyline-in-polygon tagging as a grid-partitioned equi-join.
+"""Polyline-in-polygon tagging as an equi-join on the cells of a quadtree.
 
 Geometry columns are ``array<array<struct<x double, y double>>>``: parts of a
 polyline, or rings of a polygon (outer ring and holes; closed or not).
@@ -8,13 +8,21 @@ A polyline intersects a polygon (boundary included) when
   (b) it lies wholly inside: then any of its vertices is inside by the
       even-odd rule (which also treats holes correctly).
 
-(a) joins edges on the grid cells their bounding boxes cover, then applies the
-exact orientation test. (b) joins the first vertex of every part to the cells
-of polygon bounding boxes, then to that polygon's ring edges in the vertex's
-horizontal band, and counts ray crossings. Both are equi-joins on fine keys
-(cell, or polygon x band), so no cross product is formed and a dense cell is
-split by AQE's skew-join handling like any other hot join key. All tests are
-Column expressions; no Python runs per row.
+(a) joins edges on the cells they pass through, then applies the exact
+orientation test. (b) joins the first vertex of every part to the cells of polygon
+bounding boxes, then to that polygon's ring edges in the vertex's horizontal band,
+and counts ray crossings. Both are equi-joins on fine keys (cell, or polygon x
+band), so no cross product is formed and a dense cell is split by AQE's skew-join
+handling like any other hot join key. All tests are Column expressions; no Python
+runs per row.
+
+Cells are powers of four, and every edge has a level by its own extent: the
+smallest cells of which it covers at most ``SPAN`` in a row. Two edges meet at the
+larger of their two levels, where the longer one has its own cells and the other a
+few; both join sides hold one key per level that the other layer has. So tiny and
+huge shapes do not share one grid, and an edge gives a bounded number of rows
+whatever the other layer holds. With an explicit ``cell_size`` all edges are put
+on that one grid instead; the pairs are the same.
 """
 
 from __future__ import annotations
@@ -40,15 +48,33 @@ def _edges(df: DataFrame, id_col: str, geom_col: str, close_rings: bool) -> Data
                     col("_e.b.x").alias("x2"), col("_e.b.y").alias("y2"))
 
 
-def cell_size_of(polys: DataFrame, geom_col: str, cells: int = 64) -> Column:
-    """Grid cell edge from the polygons: ``1 / cells`` of the longer side of their extent.
+SPAN = 16
+#: Cell numbers stay below 2^50, so coordinates bound the smallest cells.
+_FINEST = 50
 
-    A lazy one-row subquery, in the unit of the data. Any positive value gives
-    the same pairs; it only trades join fan-out against pairs tested per cell.
-    """
-    pts = polys.select(F.explode(F.flatten(geom_col)).alias("p"))
-    side = F.greatest(F.max("p.x") - F.min("p.x"), F.max("p.y") - F.min("p.y"))
-    return pts.agg(F.greatest(side / cells, F.lit(1e-9)).alias("size")).scalar()
+
+def level_of(extent: Column, reach: Column, span: int = SPAN) -> Column:
+    """The exponent e of the smallest cell 4^e of which ``extent`` is at most ``span``;
+    ``reach`` is the largest coordinate."""
+    def log4(c: Column) -> Column:
+        return F.log2(c) / 2
+    by_extent = F.when(extent > 0, F.ceil(log4(extent / span)))
+    by_reach = F.when(reach > 0, F.ceil(log4(reach) - _FINEST / 2))
+    return F.coalesce(F.greatest(by_extent, by_reach), F.lit(-_FINEST)).cast("int")
+
+
+def _size_of(level: Column) -> Column:
+    return F.pow(F.lit(4.0), level)
+
+
+def _edge_level() -> Column:
+    extent = F.greatest(F.abs(col("x2") - col("x1")), F.abs(col("y2") - col("y1")))
+    return level_of(extent, F.greatest(*[F.abs(col(c)) for c in ("x1", "y1", "x2", "y2")]))
+
+
+def _levels(df: DataFrame) -> Column:
+    """The levels in use, as a lazy subquery: at most a few dozen numbers."""
+    return df.agg(F.collect_set("level").alias("levels")).scalar()
 
 
 def _cell_range(lo: Column, hi: Column, size: float | Column) -> Column:
@@ -112,6 +138,87 @@ def ray_crosses(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> Column:
         f" AND (({px} - {x1}) * ({y2} - {y1}) - ({py} - {y1}) * ({x2} - {x1})) * signum({y2} - {y1}) < 0")
 
 
+_XY = ("x1", "y1", "x2", "y2")
+_LINE_XY = tuple(f"a{c}" for c in _XY)
+
+
+def _touch_pairs(le: DataFrame, pe: DataFrame, keys: list[str]) -> DataFrame:
+    return le.join(pe, keys, "inner").filter(edges_touch(_LINE_XY, _XY)).select("line", "poly")
+
+
+def _touching_on_grid(le: DataFrame, pe: DataFrame, size: float | Column) -> DataFrame:
+    return _touch_pairs(_with_cells(le, size).select("line", *_LINE_XY, "cx", "cy"), _with_cells(pe, size), ["cx", "cy"])
+
+
+def _touching_by_levels(le: DataFrame, pe: DataFrame) -> DataFrame:
+    """Pairs of edges that touch, each found at the larger level of the two."""
+    le, pe = le.withColumn("level", _edge_level()), pe.withColumn("level", _edge_level())
+
+    def at_levels_of(edges: DataFrame, other: Column, same: bool) -> DataFrame:
+        """The edges at those levels of the other layer that are not (or not ``same``) below their own."""
+        up = col("at") >= col("level") if same else col("at") > col("level")
+        return edges.withColumn("at", F.explode(other)).filter(up)
+
+    def cells(edges: DataFrame, *keep: str) -> DataFrame:
+        return _with_cells(edges, _size_of(col("at"))).select(*keep, "at", "cx", "cy")
+
+    own = lambda edges: edges.withColumn("at", col("level"))
+    keys = ["at", "cx", "cy"]
+    # the polygon's edge is the longer one (or of the same level), then the line's
+    wide_poly = _touch_pairs(cells(at_levels_of(le, _levels(pe), True), "line", *_LINE_XY), cells(own(pe), "poly", *_XY), keys)
+    wide_line = _touch_pairs(cells(own(le), "line", *_LINE_XY), cells(at_levels_of(pe, _levels(le), False), "poly", *_XY), keys)
+    return wide_poly.unionByName(wide_line)
+
+
+def _boxes(pe: DataFrame) -> DataFrame:
+    return pe.groupBy("poly").agg(
+        F.min(F.least("x1", "x2")).alias("xmin"), F.max(F.greatest("x1", "x2")).alias("xmax"),
+        F.min(F.least("y1", "y2")).alias("ymin"), F.max(F.greatest("y1", "y2")).alias("ymax"))
+
+
+def _odd_crossings(candidates: DataFrame, bands: DataFrame) -> DataFrame:
+    """Vertices inside by the even-odd rule: the edges of the vertex's band of that polygon count."""
+    return (candidates.join(bands, ["poly", "band"], "inner").filter(ray_crosses("px", "py", *_XY))
+            .groupBy("line", "part", "px", "py", "poly").count().filter(col("count") % 2 == 1).select("line", "poly"))
+
+
+def _in_box() -> Column:
+    return col("px").between(col("xmin"), col("xmax")) & col("py").between(col("ymin"), col("ymax"))
+
+
+def _inside_on_grid(pts: DataFrame, pe: DataFrame, size: float | Column) -> DataFrame:
+    at = pts.withColumn("cx", F.floor(col("px") / F.lit(size))).withColumn("cy", F.floor(col("py") / F.lit(size)))
+    boxes = (_boxes(pe).withColumn("cx", F.explode(_cell_range(col("xmin"), col("xmax"), size)))
+             .withColumn("cy", F.explode(_cell_range(col("ymin"), col("ymax"), size))))
+    bands = (pe.filter(col("y1") != col("y2"))
+             .withColumn("band", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), size)))
+             .select("poly", "band", *_XY))
+    return _odd_crossings(at.join(boxes, ["cx", "cy"], "inner").filter(_in_box()).withColumn("band", col("cy")), bands)
+
+
+#: A polygon's box covers at most this many cells in a row, and its edges four times as many bands.
+_BOX_SPAN, _BANDS = 4, 64
+
+
+def _inside_by_levels(pts: DataFrame, pe: DataFrame) -> DataFrame:
+    """Vertices inside polygons: boxes at the level of their extent, bands by their height."""
+    reach = F.greatest(*[F.abs(col(c)) for c in ("xmin", "xmax", "ymin", "ymax")])
+    high = col("ymax") - col("ymin")
+    boxes = _boxes(pe).withColumns({"at": level_of(F.greatest(col("xmax") - col("xmin"), high), reach, _BOX_SPAN),
+                                    "tall": level_of(high, reach, _BANDS)})
+    size, band = _size_of(col("at")), _size_of(col("tall"))
+    found = boxes.select(col("at").alias("level"))
+    covered = (boxes.withColumn("cx", F.explode(_cell_range(col("xmin"), col("xmax"), size)))
+               .withColumn("cy", F.explode(_cell_range(col("ymin"), col("ymax"), size))))
+    at = pts.withColumn("at", F.explode(_levels(found)))
+    at = at.withColumn("cx", F.floor(col("px") / size)).withColumn("cy", F.floor(col("py") / size))
+    candidates = at.join(covered, ["at", "cx", "cy"], "inner").filter(_in_box()).withColumn("band", F.floor(col("py") / band))
+    bands = (pe.filter(col("y1") != col("y2")).join(boxes.select("poly", "tall"), "poly")
+             .withColumn("band", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), band)))
+             .select("poly", "band", *_XY))
+    return _odd_crossings(candidates, bands)
+
+
 def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
                        polys: DataFrame, poly_id: str, poly_geom: str,
                        cell_size: float | Column | None = None, distinct: bool = True) -> DataFrame:
@@ -120,41 +227,16 @@ def intersecting_pairs(lines: DataFrame, line_id: str, line_geom: str,
     With ``distinct=False`` a pair may repeat (found in several cells or by
     both tests); callers that aggregate per line anyway skip that shuffle.
     """
+    le = _edges(lines, line_id, line_geom, close_rings=False).select(
+        col("_id").alias("line"), *[col(c).alias(f"a{c}") for c in _XY], *_XY)
+    pe = _edges(polys, poly_id, poly_geom, close_rings=True).select(col("_id").alias("poly"), *_XY)
+    # rows that repeat a line id are one vertex each, or crossings would be counted twice
+    pts = (lines.select(col(line_id).alias("line"), F.posexplode(line_geom).alias("part", "pts")).filter(F.size("pts") >= 1)
+           .select("line", "part", col("pts")[0]["x"].alias("px"), col("pts")[0]["y"].alias("py")).distinct())
     if cell_size is None:
-        cell_size = cell_size_of(polys, poly_geom)
-    le = _with_cells(_edges(lines, line_id, line_geom, close_rings=False), cell_size) \
-        .select(col("_id").alias("line"), "cx", "cy",
-                col("x1").alias("ax1"), col("y1").alias("ay1"), col("x2").alias("ax2"), col("y2").alias("ay2"))
-    pe_raw = _edges(polys, poly_id, poly_geom, close_rings=True)
-    pe = _with_cells(pe_raw, cell_size).select(col("_id").alias("poly"), "cx", "cy", "x1", "y1", "x2", "y2")
-    touching = (le.join(pe, ["cx", "cy"], "inner")
-                .filter(edges_touch(("ax1", "ay1", "ax2", "ay2"), ("x1", "y1", "x2", "y2")))
-                .select("line", "poly"))
-
-    # (b) containment of the first vertex of every part.
-    pts = (lines.select(col(line_id).alias("line"), F.posexplode(line_geom).alias("part", "pts"))
-           .filter(F.size("pts") >= 1)
-           .select("line", "part", col("pts")[0]["x"].alias("px"), col("pts")[0]["y"].alias("py"))
-           .distinct()  # rows that repeat a line id are one vertex each, or crossings would be counted twice
-           .withColumn("cx", F.floor(col("px") / F.lit(cell_size)))
-           .withColumn("cy", F.floor(col("py") / F.lit(cell_size))))
-    bbox = pe_raw.groupBy(col("_id").alias("poly")).agg(
-        F.min(F.least("x1", "x2")).alias("xmin"), F.max(F.greatest("x1", "x2")).alias("xmax"),
-        F.min(F.least("y1", "y2")).alias("ymin"), F.max(F.greatest("y1", "y2")).alias("ymax"))
-    bbox_cells = (bbox.withColumn("cx", F.explode(_cell_range(col("xmin"), col("xmax"), cell_size)))
-                  .withColumn("cy", F.explode(_cell_range(col("ymin"), col("ymax"), cell_size)))
-                  .select("poly", "cx", "cy", "xmin", "xmax", "ymin", "ymax"))
-    cand = (pts.join(bbox_cells, ["cx", "cy"], "inner")
-            .filter(col("px").between(col("xmin"), col("xmax")) & col("py").between(col("ymin"), col("ymax")))
-            .select("line", "part", "poly", "px", "py", col("cy").alias("band")))
-    bands = (pe_raw.filter(col("y1") != col("y2"))
-             .withColumn("band", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), cell_size)))
-             .select(col("_id").alias("poly"), "band", "x1", "y1", "x2", "y2"))
-    inside = (cand.join(bands, ["poly", "band"], "inner")
-              .filter(ray_crosses("px", "py", "x1", "y1", "x2", "y2"))
-              .groupBy("line", "part", "px", "py", "poly").count()
-              .filter(col("count") % 2 == 1)
-              .select("line", "poly"))
+        touching, inside = _touching_by_levels(le, pe), _inside_by_levels(pts, pe)
+    else:
+        touching, inside = _touching_on_grid(le, pe, cell_size), _inside_on_grid(pts, pe, cell_size)
     pairs = touching.unionByName(inside)
     if distinct:
         pairs = pairs.distinct()

@@ -156,9 +156,10 @@ def license_agreements_timeline(t: PermitTables) -> DataFrame:
           .select("processrsn", "folderrsn", "processcode", "disciplinecode", "enddate")
           .join(f.select("folderrsn"), "folderrsn", "left_semi"))
     res = col("resultcode")
-    # earliest accepted / completed attempt per process: partial aggregation
-    # before the shuffle, then at most one row per process joins
+    # earliest accepted / completed attempt per process, of the licence folders'
+    # processes only: the history is cut before it is aggregated
     att = (t.folderprocessattempt.filter(res.isin(ACCEPTED, COMPLETED))
+           .join(fp.filter(col("processcode").isin(WEB_ACCEPTANCE, INITIAL_DISTRIBUTION)).select("processrsn"), "processrsn", "left_semi")
            .groupBy("processrsn")
            .agg(F.min(F.when(res == ACCEPTED, col("attemptdate"))).alias("_accepted"),
                 F.min(F.when(res == COMPLETED, col("attemptdate"))).alias("_completed")))
@@ -263,14 +264,16 @@ def _inspector_folder_filter():
 def inspection_process_stats(t: PermitTables, folders: DataFrame) -> DataFrame:
     """Per ROW-inspection process of ``folders``: open deficiency count and last attempt.
 
-    Both sides are pre-aggregated per process (partial aggregation), so the
-    joins below see at most one row per process on the right.
+    Deficiencies and attempts are cut to those processes, by a semi-join on the
+    key they are grouped by next, then aggregated per process, so the joins below
+    see at most one row per process on the right.
     """
     procs = (t.folderprocess.filter(col("processcode") == ROW_INSPECTION).select("folderrsn", "processrsn")
              .join(folders, "folderrsn", "left_semi"))
-    defs = (t.folderprocessdeficiency.filter(col("statuscode") == OPEN_DEFICIENCY)
+    wanted = procs.select("processrsn")
+    defs = (t.folderprocessdeficiency.filter(col("statuscode") == OPEN_DEFICIENCY).join(wanted, "processrsn", "left_semi")
             .groupBy("processrsn").agg(F.count("processrsn").alias("n_def")))
-    last = t.folderprocessattempt.groupBy("processrsn").agg(F.max("attemptdate").alias("most_recent_inspection"))
+    last = t.folderprocessattempt.join(wanted, "processrsn", "left_semi").groupBy("processrsn").agg(F.max("attemptdate").alias("most_recent_inspection"))
     return (procs.join(defs, "processrsn", "left").join(last, "processrsn", "left")
             .select("folderrsn", "processrsn", F.coalesce(col("n_def"), F.lit(0)).alias("n_def"),
                     "most_recent_inspection"))
@@ -362,7 +365,8 @@ def tds_asmd_map(t: PermitTables) -> DataFrame:
             .groupBy("folderrsn").agg(F.sum("totalpaid").alias("total_fees_paid")))
     units = (t.folderfreeform.join(keys, "folderrsn", "left_semi")
              .groupBy("folderrsn").agg(F.sum("f03").alias("total_affordability_units")))
-    j = eav.attribute_join(base, t.folderinfo, "folderrsn", "infocode", "infovalue", SIF_INFO)
+    info = t.folderinfo.join(keys, "folderrsn", "left_semi")
+    j = eav.attribute_join(base, info, "folderrsn", "infocode", "infovalue", SIF_INFO)
     j = j.join(fees, "folderrsn", "left").join(units, "folderrsn", "left")
     out = j.select(
         "folderrsn", "parentrsn",
@@ -397,7 +401,8 @@ def sif_payment_details(t: PermitTables) -> DataFrame:
                                            "paymentamount", "dategenerated")
              .join(bills, ["folderrsn", "billnumber"], "inner")
              .join(paid, ["folderrsn", "paymentnumber"], "left_semi"))
-    j = eav.attribute_join(base.join(lines, "folderrsn", "inner"), t.folderinfo, "folderrsn",
+    info = t.folderinfo.join(f.select("folderrsn"), "folderrsn", "left_semi")
+    j = eav.attribute_join(base.join(lines, "folderrsn", "inner"), info, "folderrsn",
                            "infocode", "infovalue", SIF_PAYMENT_INFO)
     out = j.select(
         "folderrsn", "parentrsn",

@@ -182,9 +182,9 @@ def inspector_priority(t: PermitTables, as_of: str, null_extension: str = "fallb
     ``road`` is the published road-segment dataset (``sinks.read_latest`` of
     the tagging output); without it the segments are tagged in this job.
     """
-    road = road if road is not None else road_dataset(t, as_of)
-    return score_permits(reports.row_inspector_permit_list(t), reports.row_inspector_segment_list(t), road,
-                         as_of, null_extension)
+    segments = reports.row_inspector_segment_list(t)
+    road = road if road is not None else road_dataset(t, as_of, segments)
+    return score_permits(reports.row_inspector_permit_list(t), segments, road, as_of, null_extension)
 
 
 # Single-rule views (one registered query each) --------------------------------
@@ -208,12 +208,15 @@ def duration_score_literal(t, as_of):
 
 
 def road_segment_attach(t, as_of):
-    return attach_road_segments(reports.row_inspector_segment_list(t), road_dataset(t, as_of))
+    segments = reports.row_inspector_segment_list(t)
+    return attach_road_segments(segments, road_dataset(t, as_of, segments))
 
 
-def _facts(t, as_of) -> DataFrame:
-    return with_counts(reports.row_inspector_permit_list(t),
-                       segment_facts(reports.row_inspector_segment_list(t), road_dataset(t, as_of)))
+def _facts(t, as_of, inspector: bool = False, dapcz: bool = False) -> DataFrame:
+    """Permit rows with their folder's facts; zones are tagged only for the layers asked for."""
+    segments = reports.row_inspector_segment_list(t)
+    road = road_dataset(t, as_of, segments, inspector, dapcz)
+    return with_counts(reports.row_inspector_permit_list(t), segment_facts(segments, road))
 
 
 def road_class_score(t, as_of):
@@ -221,11 +224,11 @@ def road_class_score(t, as_of):
 
 
 def dapcz_score(t, as_of):
-    return _facts(t, as_of).select("folderrsn", F.coalesce(col("_dapcz_pts"), F.lit(0)).alias("dapcz_scoring"))
+    return _facts(t, as_of, dapcz=True).select("folderrsn", F.coalesce(col("_dapcz_pts"), F.lit(0)).alias("dapcz_scoring"))
 
 
 def permit_inspector_zone(t, as_of):
-    return _facts(t, as_of).select("folderrsn", "row_inspector_zone")
+    return _facts(t, as_of, inspector=True).select("folderrsn", "row_inspector_zone")
 
 
 def deficiency_score(t, as_of):

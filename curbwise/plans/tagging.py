@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbwise.functions import dates as D
 from curbwise.operators.spatial import tag_zones
-from curbwise.sources.sinks import merge_by_key
+from curbwise.sources.sinks import latest_by_key
 from curbwise.sources.tables import PermitTables
 
 # Look-back of the incremental run and the start of a full run.
@@ -67,20 +67,40 @@ def segment_zone_tags(t: PermitTables, as_of: str, full: bool = False,
     return tag_segments(t, recent_segments(t.segment, as_of, full=full), cell_size)
 
 
-def tag_segments(t: PermitTables, segs: DataFrame, cell_size: float | None = None) -> DataFrame:
-    """Segments (with ``path``) -> published columns with both zone tags, one row per segment."""
-    segs = latest_versions(segs)
-    tags = _tag(segs, t, True, True, cell_size)
-    return (segs.select("segment_id", "full_street_name", "road_class")
-            .join(tags, "segment_id", "left").select(*TAG_COLUMNS))
+def tag_segments(t: PermitTables, segs: DataFrame, cell_size: float | None = None,
+                 inspector: bool = True, dapcz: bool = True) -> DataFrame:
+    """Segments (with ``path``) -> published columns with the zone tags asked for, one row per segment."""
+    return _tagged_versions(t, latest_versions(segs), "segment_id", cell_size, inspector, dapcz).select(*TAG_COLUMNS)
 
 
-def road_dataset(t: PermitTables, as_of: str) -> DataFrame:
-    """Every segment tagged with its zones: the published dataset, where the tables
-    hold it (``t.with_table("road_segment", published)``), else tagged in this job."""
+def _tagged_versions(t: PermitTables, segs: DataFrame, key: str, cell_size: float | None,
+                     inspector: bool = True, dapcz: bool = True) -> DataFrame:
+    """Segments, one per ``key``, with both tag columns; a layer not asked for is NULL and not joined."""
+    layers = [(c, zones(), "zone_id") for wanted, c, zones in (
+        (inspector, "inspector_zone", lambda: t.inspector_zone), (dapcz, "dapcz_zone", lambda: t.dapcz_zone)) if wanted]
+    out = segs.drop("path")
+    if layers:
+        out = out.join(tag_zones(segs.select(key, "path"), key, "path", layers, cell_size), key, "left")
+    for c, kind in (("inspector_zone", "double"), ("dapcz_zone", "string")):
+        if c not in out.columns:
+            out = out.withColumn(c, F.lit(None).cast(kind))
+    return out
+
+
+def road_dataset(t: PermitTables, as_of: str, wanted: DataFrame | None = None,
+                 inspector: bool = True, dapcz: bool = True) -> DataFrame:
+    """Segments tagged with their zones: the published dataset, where the tables hold it
+    (``t.with_table("road_segment", published)``), else tagged in this job.
+
+    There only the segments of ``wanted`` (by ``propertyrsn``) and the layers asked for
+    are tagged, since that is all the caller reads.
+    """
     if t.has("road_segment"):
         return t.road_segment
-    return segment_zone_tags(t, as_of, full=True)
+    segs = recent_segments(t.segment, as_of, full=True)
+    if wanted is not None:
+        segs = segs.join(wanted.select(F.col("propertyrsn").alias("segment_id")), "segment_id", "left_semi")
+    return tag_segments(t, segs, None, inspector, dapcz)
 
 
 # Rows that the ``keyed_upsert`` query adds to the run, one without
@@ -97,16 +117,25 @@ def keyed_upsert(t: PermitTables, as_of: str, cell_size: float | None = None) ->
     tagged. This run tags the segments modified in the look-back window and
     upserts them by ``segment_id``, the latest version of a key first: keys
     present in both are replaced, new keys are added, all other rows are kept.
+    Both runs are tagged in one spatial join that the plan holds once.
     """
     cutoff = D.ts_literal(as_of) - F.expr(f"INTERVAL {PREVIOUS_RUN_DAYS} DAYS")
 
-    def no_key(text: str) -> DataFrame:
+    def no_key(run: int, text: str) -> DataFrame:
         return t.segment.filter(F.col("segment_id") < 2).select(
+            F.lit(run).alias("run"), F.lit(1).alias("version"),
             F.when(F.col("segment_id") > 1, F.col("segment_id")).alias("segment_id"), F.lit(text).alias("full_street_name"),
             F.lit(0).alias("road_class"), F.lit(None).cast("double").alias("inspector_zone"), F.lit(None).cast("string").alias("dapcz_zone"))
 
-    previous = tag_segments(t, t.segment.filter(F.col("modified_date") < cutoff), cell_size).unionByName(no_key(_NO_KEY[0]))
-    new = segment_zone_tags(t, as_of, cell_size=cell_size).withColumn("version", F.lit(1))
-    older = new.filter(F.col("segment_id") % 10 == 0).withColumns({"full_street_name": F.lit(_OLDER), "version": F.lit(0)})
-    updates = new.unionByName(older).unionByName(no_key(_NO_KEY[1]).withColumn("version", F.lit(1)))
-    return merge_by_key(previous, updates, ["segment_id"], order_by=["version"]).select(*TAG_COLUMNS)
+    # both runs' segments are tagged in one spatial join: the run is a part of the key there
+    runs = [latest_versions(rows).withColumn("run", F.lit(run)) for run, rows in
+            enumerate((t.segment.filter(F.col("modified_date") < cutoff), recent_segments(t.segment, as_of)))]
+    both = runs[0].unionByName(runs[1]).withColumn("_version", F.concat("run", F.lit("/"), "segment_id"))
+    tagged = _tagged_versions(t, both, "_version", cell_size).select("run", *TAG_COLUMNS)
+    older = (F.col("run") == 1) & (F.col("segment_id") % 10 == 0)
+    versions = F.explode(F.when(older, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1))))
+    rows = tagged.select("run", versions.alias("version"), *TAG_COLUMNS)
+    rows = rows.withColumn("full_street_name", F.when(F.col("version") == 0, _OLDER).otherwise(F.col("full_street_name")))
+    rows = rows.unionByName(no_key(0, _NO_KEY[0])).unionByName(no_key(1, _NO_KEY[1]))
+    # an upsert keeps one row per key, the update's where there is one: the last by run, then version
+    return latest_by_key(rows, ["segment_id"], ["run", "version"]).select(*TAG_COLUMNS)

@@ -28,16 +28,63 @@ def extracted(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("extract"))
     src = PermitTables.from_fixture(spark, SF)
     extract_to_parquet(src, root, ["folder", "folderinfo", "folderproperty", "property", "propertyinfo",
-                                   "validstatus", "accountbill", "folderfreeform"])
+                                   "validstatus", "accountbill", "folderfreeform", "accountbillfee", "accountpayment",
+                                   "accountpaymentdetail", "folderprocess", "folderprocessattempt", "folderprocessdeficiency",
+                                   "validsub", "validwork", "folderpeople", "people"])
     return PermitTables.from_parquet(spark, root)
 
 
-def test_attribute_joins_prune_to_one_partition_per_code(spark, extracted):
+def _scans(plan: str, table: str) -> list[str]:
+    return [ln for ln in plan.splitlines() if "FileScan parquet" in ln and f"/{table}]" in ln]
+
+
+@pytest.mark.parametrize("report,codes", [("tds_asmd_map", "SIF_INFO"), ("sif_payment_details", "SIF_PAYMENT_INFO")])
+def test_attribute_joins_read_the_wanted_partitions_in_one_scan(spark, extracted, report, codes):
+    from curbwise.plans import reports
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        (scan,) = _scans(_plan(getattr(reports, report)(extracted)), "folderinfo")
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pruned = scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    for code in getattr(reports, codes).values():
+        assert str(code) in pruned, code
+
+
+@pytest.mark.parametrize("report,tables", [("license_agreements_timeline", ["folderprocessattempt"]),
+                                           ("row_inspector_permit_list", ["folderprocessattempt", "folderprocessdeficiency"])])
+def test_history_is_cut_before_it_is_aggregated(spark, extracted, report, tables):
+    """Above the scan of a history table comes the semi-join with the wanted processes, then the partial aggregation."""
     from curbwise.plans import reports
-    plan = _plan(reports.tds_asmd_map(extracted))
-    for code in reports.SIF_INFO.values():
-        assert f"(infocode#" in plan and f"= {code})" in plan, code
-    assert plan.count("PartitionFilters: [isnotnull(infocode") >= len(reports.SIF_INFO)
+    lines = _plan(getattr(reports, report)(extracted)).splitlines()
+    for table in tables:
+        (at,) = [i for i, ln in enumerate(lines) if "FileScan parquet" in ln and f"/{table}]" in ln]
+        depth = len(lines[at]) - len(lines[at].lstrip(" :+-*()0123456789"))
+        above = []
+        for ln in reversed(lines[:at]):
+            d = len(ln) - len(ln.lstrip(" :+-*()0123456789"))
+            if d < depth:
+                above.append(ln)
+                depth = d
+        semi = next(i for i, ln in enumerate(above) if "LeftSemi" in ln)
+        aggregate = next(i for i, ln in enumerate(above) if "Aggregate" in ln and "partial_" in ln)
+        assert semi < aggregate, table
+
+
+def _cell_joins(plan: str) -> int:
+    return sum("Join [" in ln and "cx#" in ln for ln in plan.splitlines())
+
+
+def test_road_class_needs_no_zones_and_the_upsert_tags_once(spark):
+    from curbwise.plans import scoring
+    from curbwise.sources.fixtures import AS_OF
+    from curbwise.sources.tables import PermitTables
+    t = PermitTables.from_fixture(spark, SF)
+    plan = _plan(scoring.road_class_score(t, AS_OF))
+    assert not _cell_joins(plan)  # no geometry at all
+    upsert, tags = _plan(QUERIES["keyed_upsert"](spark, SF)), _plan(QUERIES["segment_zone_tags"](spark, SF))
+    joins = [_cell_joins(p) for p in (upsert, tags)]
+    assert joins[0] == joins[1] > 0  # one spatial join in either plan
 
 
 def test_filters_and_columns_reach_the_scan(spark, extracted):

@@ -32,7 +32,7 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("cell", [1.0, 3.0, 100.0])
+@pytest.mark.parametrize("cell", [1.0, 3.0, 100.0, None])
 def test_golden_geometry(spark, cell):
     zones = _zones(spark, [(1, "A", BOX_WITH_HOLE)])
     pairs = intersecting_pairs(_lines(spark, CASES.items()), "id", "path", zones, "objectid", "rings", cell)
@@ -110,7 +110,7 @@ def test_grid_join_equals_brute_force(spark):
         polys.append((j, "z", rings))
     expected = _brute(lines, polys)
     ldf, pdf = _lines(spark, lines), _zones(spark, polys)
-    for cell in (7.0, 30.0, 1000.0):
+    for cell in (7.0, 30.0, 1000.0, None):
         got = {(r.id, r.objectid) for r in
                intersecting_pairs(ldf, "id", "path", pdf, "objectid", "rings", cell).collect()}
         assert got == expected, cell
@@ -127,6 +127,46 @@ def test_long_edges_explode_only_over_crossed_cells(spark):
     assert counts[2] == 101
 
 
+def _box(x, y, w, h):
+    return [[(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]]
+
+
+def test_tiny_and_huge_zones_and_lines_equal_brute_force(spark):
+    """Sizes over nine orders of magnitude, at coordinates in the millions, on one quadtree."""
+    rnd, lines, polys = random.Random(11), [], []
+    for i in range(120):
+        size = 2.0 ** rnd.randint(-12, 18)
+        x, y = 3_000_000.0 + rnd.randint(0, 4000) / 4, 10_000_000.0 + rnd.randint(0, 4000) / 4
+        pts = [(x, y)]
+        for _ in range(rnd.randint(0, 3)):
+            pts.append((pts[-1][0] + rnd.choice([-1, 0, 1]) * size, pts[-1][1] + rnd.choice([-1, 0, 1]) * size))
+        lines.append((i, [pts]))
+    for j in range(60):
+        x, y, size = 3_000_000.0 + rnd.randint(0, 4000) / 4, 10_000_000.0 + rnd.randint(0, 4000) / 4, 2.0 ** rnd.randint(-12, 18)
+        polys.append((j, "z", _box(x, y, size, size * rnd.choice([1, 2, 0.5]))))
+    polys.append((99, "z", _box(2_000_000.0, 9_000_000.0, 2_000_000.0, 2_000_000.0)))  # holds all
+    got = intersecting_pairs(_lines(spark, lines), "id", "path", _zones(spark, polys), "objectid", "rings")
+    want = _brute(lines, polys)
+    assert {(r.id, r.objectid) for r in got.collect()} == want and len(want) > 200
+
+
+def test_an_edge_gives_a_bounded_number_of_rows(spark):
+    """One long edge against a zone of 1e-4, and against a zone that is a point."""
+    import time
+
+    from curbwise.operators import spatial as S
+    line = _lines(spark, [(1, [[(0.0, 0.0), (18.0, 7.0)]]), (2, [[(5.0, 5.0)]])])
+    for side in (1e-4, 0.0):
+        zones = _zones(spark, [(1, "A", _box(9.0, 3.5, side, side)), (2, "B", _box(5.0, 5.0, 1e-9, 1e-9))])
+        t0 = time.time()
+        pairs = {(r.id, r.objectid) for r in intersecting_pairs(line, "id", "path", zones, "objectid", "rings").collect()}
+        assert pairs == {(1, 1), (2, 2)} and time.time() - t0 < 10
+    edges = spark.createDataFrame([(0.0, 0.0, 18.0, 7.0), (0.0, 0.0, 1e6, 1e6), (3.0, 3.0, 3.0, 3.0), (1e7, 1e7, 1e7 + 1e-9, 1e7)],
+                                  "x1 double, y1 double, x2 double, y2 double").withColumn("level", S._edge_level())
+    rows = S._with_cells(edges, S._size_of(edges["level"])).groupBy("x1", "x2").count().collect()
+    assert len(rows) == 4 and max(r["count"] for r in rows) <= 3 * (S.SPAN + 1)
+
+
 def test_rows_that_repeat_a_line_id(spark):
     """Two versions of a line are two lines for the parity rule, and the id meets the zone if either does."""
     rnd = random.Random(3)
