@@ -192,12 +192,20 @@ def _count(ids: DataFrame, kind: str) -> dict[int, int]:
     return {r["id"]: r["n"] for r in rows}
 
 
+def id_type(tokenizer: str, end_id: int | None) -> str:
+    """The numpy type that holds every id of the tokenizer file and the end id."""
+    from tokenizers import Tokenizer
+
+    largest = max([*Tokenizer.from_file(tokenizer).get_vocab().values(), end_id or 0])
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 def write_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", tokenizer: str | None = None,
-                 end_id: int | None = END_ID, max_bits: int = MAX_BITS, vocabulary: int = 1 << 16) -> str:
+                 end_id: int | None = END_ID, max_bits: int = MAX_BITS) -> str:
     """Writes the documents' ids under ``path`` (``codebook`` and ``blocks``) and returns it."""
     spark = docs.sparkSession
     ship(spark)
-    kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    kind = id_type(tokenizer or default_path(), end_id)
     held = scratch(spark, "huffman-ids")
     _tokenised(docs, text, doc_id, tokenizer or default_path(), end_id, kind == "<u2").write.option(
         "compression", "zstd").parquet(held)

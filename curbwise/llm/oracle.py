@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from curbwise.llm.quality import STOP_WORDS
 
-_LIST = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+_LIST = ", ".join(f"'{w}'" for w in sorted({w for ws in STOP_WORDS.values() for w in ws}))
 
 # x: one text per row id r
 _MEASURED = r"""
@@ -25,8 +25,9 @@ m AS (SELECT d.*, len(w) AS n_words, length(regexp_replace(x, '[\x20\x09-\x0D]',
       FROM docs d JOIN tok USING (r) LEFT JOIN rep USING (r)),
 q AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
              (100 * word_chars < 200 * n_words OR 100 * word_chars > 1500 * n_words OR 100 * n_symbols > 25 * n_words
-              OR (n_words >= 50 AND 100 * n_stop < 2 * n_words) OR 100 * n_dup_lines > 30 * n_lines
-              OR 100 * n_bullet > 90 * n_lines OR 100 * n_ell > 30 * n_lines) AS bad
+              OR (lang IN ('en', 'fr', 'de', 'es') AND n_words >= 50 AND 100 * n_stop < 2 * n_words)
+              OR (n_lines >= 10 AND 100 * n_dup_lines > 30 * n_lines)
+              OR 100 * n_bullet > 90 * n_lines OR 100 * n_ell > 30 * n_lines) IS TRUE AS bad
       FROM m)"""
 
 

@@ -29,7 +29,7 @@ from curbwise.llm.tokens import END_ID, WordEncoder, crc, default_path
 
 CAPACITY = 4096
 SALTS = 64
-_PIECE = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
+_PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PLACED = _PIECE + ", sequence_id long, offset long"
 _RANK_BITS = 44
 
@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenize
                 length = np.minimum(capacity, total[row] - start)
                 sums = [crc(ids[a:a + n]) for a, n in zip(first.tolist(), length.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(pa.array(row)), pa.array(start), pa.array(length, pa.int32()),
+                    [rows.column(0).take(pa.array(row)), pa.array(start), pa.array(length, pa.int64()),
                      pa.array(sums, pa.int64()), pa.array(total[row])],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 

@@ -19,10 +19,13 @@ digits digits; e-mail domains keep their ending and telephone numbers their
 country code; card numbers keep their first
 digit and a valid check digit; addresses are valid and private ones stay
 private (later attempts of 192.168 and 172.16-31 are in 10.0.0.0/8, which is
-wider); given names after a title end as names of that gender do.
+wider); given names end as names of the gender do that their titled mentions in the
+corpus agree on, and one given name has one surrogate whatever its titles. Names are
+known by a title; a person whose title never stands before the name is not found.
+The forms of last resort (step 2) leave the format of their type.
 
 Cases: null and empty texts stay as they are; very long texts are searched
-whole; repeated rows get the same replacement; an empty table gives an empty
+whole, in time that grows with their length; repeated rows get the same replacement; an empty table gives an empty
 result; further columns pass through whatever their names.
 """
 
@@ -59,9 +62,11 @@ ENDINGS = {("latin", "f"): "a", ("latin", "m"): "n", ("cyrillic", "f"): "а", ("
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"[^\W\d_a-zß-öø-ÿа-яα-ω][^\W\d_]+(?:['’-][^\W\d_]+)*"
-#: Searched in this order; text taken by an earlier one is not searched again.
+#: What stands after the sign of an e-mail address, and a character that may stand before it.
+_DOMAIN = re.compile(r"[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+")
+_LOCAL = re.compile(r"[\w.%+-]")
+#: Searched after e-mail addresses, in this order; text taken by an earlier one is not searched again.
 PATTERNS = (
-    ("email", re.compile(r"[\w.%+-]+@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+")),
     ("secret", re.compile(r"""(?i)(?<![a-z])(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)["']?\s*[=:]\s*["']?([\w+/.-]{8,})""")),
     ("secret", re.compile(r"(?<![0-9A-Za-z])((?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|(?=[0-9]*[a-fA-F])[0-9a-fA-F]{32,}))(?![0-9A-Za-z])")),
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")),
@@ -91,6 +96,28 @@ def normal(kind: str, found: str) -> str:
     return found if kind == "ip" else found.lower()
 
 
+#: A run of letters, with others joined to it, that no letter, digit or underscore touches.
+_WORD = re.compile(r"(?<!\w)[^\W\d_]++(?:['’-][^\W\d_]++)*(?!\w)")
+_JOINED = re.compile("['’-]")
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of e-mail addresses: from each sign to the left as far as its characters go, so that
+    long runs without a sign cost nothing."""
+    last, at = 0, text.find("@")
+    while at >= 0:
+        a = at
+        while a > last and _LOCAL.match(text, a - 1):
+            a -= 1
+        domain = _DOMAIN.match(text, at + 1) if a < at else None
+        if domain:
+            yield a, domain.end()
+            last = domain.end()
+        else:
+            last = at + 1
+        at = text.find("@", last)
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, normal form) of every entity, in order and apart from each other."""
     out: list[tuple[int, int, str, str]] = []
@@ -101,6 +128,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             taken[a:b] = b"\1" * (b - a)
             out.append((a, b, kind, form))
 
+    for a, b in _emails(text):
+        take(a, b, "email", normal("email", text[a:b]))
     for kind, pattern in PATTERNS:
         for m in pattern.finditer(text):
             a, b = m.span(1) if kind == "secret" else m.span()
@@ -116,9 +145,18 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             kind = "family" if i == len(parts) - 1 else f"given-{gender}"
             take(m.start(2) + p.start(), m.start(2) + p.end(), kind, p[0].casefold())
             words.setdefault(p[0], (kind, p[0].casefold()))
-    for word, (kind, form) in words.items():  # the same person without a title
-        for m in re.finditer(rf"(?<!\w){re.escape(word)}(?!\w)", text):
-            take(m.start(), m.end(), kind, form)
+    if words:  # the same person without a title
+        parts_most = max(len(_JOINED.split(w)) for w in words)
+        for m in _WORD.finditer(text):
+            cuts = [m.start(), *(x for j in _JOINED.finditer(m[0]) for x in (m.start() + j.start(), m.start() + j.end())), m.end()]
+            i = 0
+            while i < len(cuts):  # the longest known name from each part on
+                for j in range(min(len(cuts), i + 2 * parts_most) - 1, i, -2):
+                    if (known := words.get(text[cuts[i]:cuts[j]])):
+                        take(cuts[i], cuts[j], *known)
+                        i = j - 1
+                        break
+                i += 2
     return sorted(out)
 
 
@@ -283,13 +321,24 @@ def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     return done.unionAll(attempt(todo, None))
 
 
+def _one_gender(found: DataFrame) -> DataFrame:
+    """``found`` with ``named``: a given name has the gender that its titled mentions in the corpus
+    agree on, so that a name is one entity whatever title stands before it."""
+    given = F.col("kind").startswith("given-")
+    said = F.array_sort(F.array_remove(F.collect_set("kind"), "given-n"))  # at most two
+    names = found.filter(given).groupBy("form").agg(F.when(F.size(said) == 1, said[0]).otherwise("given-n").alias("resolved"))
+    names = names.withColumn("is_given", F.lit(True))
+    got = found.withColumn("is_given", given).join(names, ["form", "is_given"], "left")
+    return got.select("digest", "kind", "form", F.coalesce("resolved", "kind").alias("named"))
+
+
 def replace(docs: DataFrame, text: str = "text", key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` with surrogates in ``text`` and, as last column, ``pii_count`` (replacements made)."""
     names = docs.columns
     count, d, m = (free_name(names, n) for n in ("pii_count", "__digest", "__new"))
-    found = saved(find(docs, text), "pii-found")
-    new = assign(saved(found.select("kind", "form").distinct(), "pii-entities"), key)
-    lists = found.join(new, ["kind", "form"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias(m))
+    found = saved(_one_gender(saved(find(docs, text), "pii-found")), "pii-named")
+    new = assign(saved(found.select(F.col("named").alias("kind"), "form").distinct(), "pii-entities"), key)
+    lists = found.join(new.withColumnRenamed("kind", "named"), ["named", "form"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias(m))
     t = F.col(f"`{text}`")
     keep = [F.col(f"`{c}`") for c in names]
     may = F.coalesce(t.rlike(MAYBE), F.lit(False))

@@ -50,6 +50,7 @@ HEAD_BYTES = 16 << 10
 READ_BYTES = 1 << 20
 PART_BYTES = 64 << 20
 ROWS = 500
+BATCH_BYTES = 16 << 20
 RECORD = ("record_type string, record_id string, target_uri string, refers_to string, payload_digest string, "
           "payload_bytes long, headers map<string,string>, payload binary, file string, offset long")
 _URN = "urn:page:"
@@ -114,6 +115,12 @@ def _fields(head: bytes) -> dict[str, str]:
     return out
 
 
+def _heads_whole(text: bytes) -> bool:
+    """Whether the start of a record holds its headers and, for a response, those of HTTP."""
+    cut = text.find(EOL * 2)
+    return cut >= 0 and (b"msgtype=response" not in text[:cut] or text.find(EOL * 2, cut + 4) >= 0)
+
+
 # --- data source --------------------------------------------------------------------------------
 
 @dataclass
@@ -187,13 +194,15 @@ class WarcReader(DataSourceReader):
         store, _ = filesystem(self.path)
         schema = _arrow_schema()
         rows: list[tuple] = []
+        held = 0
         for path, first, end in partition.ranges:
             with store.open_input_file(path) as f:
                 for row in self._records(f, path, first, end):
                     rows.append(row)
-                    if len(rows) == ROWS:
+                    held += len(row[7] or b"")
+                    if len(rows) == ROWS or held >= BATCH_BYTES:
                         yield _batch(rows, schema)
-                        rows = []
+                        rows, held = [], 0
         if rows:
             yield _batch(rows, schema)
 
@@ -206,7 +215,7 @@ class WarcReader(DataSourceReader):
                 text, size = window.inflated(at)
             else:
                 text = zlib.decompressobj(31).decompress(data[:size], HEAD_BYTES)
-                if EOL * 2 not in text:  # longer headers than the bounded read holds
+                if not _heads_whole(text):  # longer headers than the bounded read holds
                     text, _ = window.inflated(at)
             cut = text.index(EOL * 2)
             head = _fields(text[:cut])

@@ -90,3 +90,24 @@ def test_query_and_empty_table(spark, tmp_path):
     assert sorted(map(tuple, queries.op6_token_output(spark, d).collect())) == [
         (1, 0, 1, zlib.crc32(np.array([2], "<u4").tobytes())), (2, 1, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))]
     assert queries.op6_token_output(spark, sf(tmp_path / "b", documents=documents(spark, []))).count() == 0
+
+
+def test_ids_beyond_16_bits_keep_their_width(spark, tmp_path):
+    """The width comes from the tokenizer file: one with an id of 70,000."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    from curbwise.llm import huffman, tokens
+    made = json.load(open(tokens.default_path()))
+    made["model"]["vocab"]["zzzzzq</w>"] = 70_000
+    made["added_tokens"].append({"id": 70_001, "content": "qqqqx", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False})
+    made["model"]["vocab"]["qqqqx"] = 70_001
+    path = str(tmp_path / "t.json")
+    json.dump(made, open(path, "w"))
+    assert huffman.id_type(path, 2) == "<u4" and huffman.id_type(tokens.default_path(), 2) == "<u2" and huffman.id_type(tokens.default_path(), 1 << 16) == "<u4"
+    folder = huffman.write_tokens(documents(spark, [(1, "one two"), (2, "qqqqx one")]), str(tmp_path / "f"), tokenizer=path)
+    got = {r["doc_id"]: list(memoryview(bytes(r["ids"])).cast("I")) for r in huffman.read_tokens(spark, folder).collect()}
+    whole = Tokenizer.from_file(path)
+    assert got == {i: whole.encode(t, add_special_tokens=False).ids + [2] for i, t in ((1, "one two"), (2, "qqqqx one"))}
+    assert max(got[2]) >= 1 << 16

@@ -88,3 +88,19 @@ def test_byte_ranges_and_members_without_size(tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert queries.op7_warc(spark, sf(tmp_path, pages=spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_urls_about_as_long_as_the_bounded_read(spark, tmp_path):
+    rows = [(i, "http://a/" + "x" * n, f"<p>{i}</p>") for i, n in enumerate([*range(15_800, 16_500, 7), 17_000, 70_000])]
+    path = warc.write_archive(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "w"))
+    got = warc.read_archive(spark, path, payload=True, verify=True).filter("record_type = 'response'").collect()
+    assert sorted((r["target_uri"], r["payload"].decode()) for r in got) == sorted((u, h) for _, u, h in rows)
+
+
+def test_large_payloads_come_in_batches_by_bytes(spark, tmp_path, monkeypatch):
+    rows = [(i, f"http://a/{i}", str(i) * 3000) for i in range(40)]
+    path = warc.write_archive(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "w"))
+    monkeypatch.setattr(warc, "BATCH_BYTES", 10_000)
+    reader = warc.WarcReader({"path": path})
+    batches = [b for span in reader.partitions() for b in reader.read(span)]
+    assert len(batches) >= 10 and sum(b.num_rows for b in batches) >= 40
