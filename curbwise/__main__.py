@@ -109,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "tag":
         tags = tagging.segment_zone_tags(t, as_of, full=args.full)
         if args.full:
-            version = sinks.replace(spark, tags, f"{args.publish.rstrip('/')}/segment_zone_tags")
+            version = sinks.replace(spark, tags, f"{args.publish.rstrip('/')}/segment_zone_tags", ["segment_id"])
         else:
             version = sinks.publish(spark, "segment_zone_tags", tags, args.publish)
         print(f"segment_zone_tags version {version}")

@@ -79,9 +79,9 @@ def read(spark: SparkSession, root: str, manifest: dict, buckets: list[int] | No
     return spark.read.schema(schema).parquet(*[f"{root.rstrip('/')}/version={v:06d}/{_BUCKET}={b}" for b, v in sorted(held.items())])
 
 
-def _write(df: DataFrame, version_path: str) -> None:
-    """A folder per bucket; the manifest, not a marker file, makes the version complete."""
-    (df.repartition(F.col(_BUCKET)).write.mode("overwrite").partitionBy(_BUCKET)
+def _write(df: DataFrame, version_path: str, key: list[str]) -> None:
+    """A folder per bucket, rows by key; the manifest, not a marker file, makes the version complete."""
+    (df.repartition(F.col(_BUCKET)).sortWithinPartitions(_BUCKET, *key).write.mode("overwrite").partitionBy(_BUCKET)
      .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(version_path))
 
 
@@ -95,7 +95,7 @@ def create(spark: SparkSession, df: DataFrame, root: str, version: int, key: lis
     """A bucketed version with all its buckets."""
     target = f"{root.rstrip('/')}/version={version:06d}"
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-    _write(df.withColumn(_BUCKET, bucket_of(key, buckets)), target)
+    _write(df.withColumn(_BUCKET, bucket_of(key, buckets)), target, key)
     _write_manifest(spark, target, {"key": key, "buckets": buckets, "schema": schema.jsonValue(),
                                     "held": {str(b): version for b in _held(spark, target)}})
 
@@ -117,7 +117,7 @@ def upsert(spark: SparkSession, root: str, manifest: dict, version: int, updates
     stored = {f.name: f.dataType for f in T.StructType.fromJson(manifest["schema"]).fields}
     target = f"{root.rstrip('/')}/version={version:06d}"
     staged = f"{target}/_updates"  # a name that readers of the folder pass over
-    _write(updates.withColumn(_BUCKET, bucket_of(key, n)), staged)
+    _write(updates.withColumn(_BUCKET, bucket_of(key, n)), staged, key)
     touched = _held(spark, staged)
     types = T.StructType([T.StructField(f.name, f.dataType) for f in updates.schema.fields])
     fits = all(_fits(f.dataType, stored[f.name]) for f in types.fields if f.name in stored)
@@ -128,7 +128,7 @@ def upsert(spark: SparkSession, root: str, manifest: dict, version: int, updates
     merged = merged.withColumn(_BUCKET, bucket_of(key, n))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in merged.schema.fields if f.name != _BUCKET])
     if touched or not fits:
-        (merged.repartition(F.col(_BUCKET)).write.mode("append").partitionBy(_BUCKET)
+        (merged.repartition(F.col(_BUCKET)).sortWithinPartitions(_BUCKET, *key).write.mode("append").partitionBy(_BUCKET)
          .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target))
     fs, path = _path(spark, staged)
     fs.delete(path, True)

@@ -38,27 +38,62 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
+# Keys are counted in this many equal widths before the ranges are cut.
+HISTOGRAM_BINS = 4096
+
+
+def histogram_query(table: str, column: str, low: int, high: int, bins: int = HISTOGRAM_BINS) -> str:
+    """The database's count of rows per equal width of the key: at most ``bins`` + 1 rows."""
+    width = max(1, -(-(high - low + 1) // bins))
+    return (f"(SELECT FLOOR(({column} - {low}) / {width}) AS bin, COUNT(*) AS n FROM {table} "
+            f"WHERE {column} IS NOT NULL GROUP BY FLOOR(({column} - {low}) / {width})) h")
+
+
+def balanced_bounds(counts: dict[int, int], low: int, width: int, parts: int) -> list[int]:
+    """Lower bounds of the second and later key ranges, so that ranges hold about equal numbers of rows.
+
+    A width that holds more than a range's share gets a range of its own.
+    """
+    share, held, out = sum(counts.values()) / parts, 0, []
+    for b in sorted(counts):
+        if held and held + counts[b] / 2 > share:
+            out.append(low + b * width)
+            held = 0
+        held += counts[b]
+    return out
+
+
+def range_predicates(column: str, bounds: list[int]) -> list[str]:
+    """Disjoint conditions that together hold every row, rows without a key included."""
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{column} < {bounds[0]} OR {column} IS NULL", *inner, f"{column} >= {bounds[-1]}"]
+
+
 def read_table(spark: SparkSession, url: str, table: str, split_column: str | None = None,
                num_partitions: int = 64, schema_name: str | None = None, **conn) -> DataFrame:
-    """One table, read in ``num_partitions`` key ranges of ``split_column``.
+    """One table, read in about ``num_partitions`` key ranges of ``split_column``.
 
-    The key bounds come from a single ``min/max`` query pushed to the
-    database; rows outside the bounds still land in the first/last range.
+    A ``min/max`` query and a histogram of the key, both pushed to the database, give
+    ranges with about equal numbers of rows, however the keys are spread.
     """
     qualified = f"{schema_name}.{table}" if schema_name else table
     base = jdbc_options(url, qualified, **conn)
-    reader = spark.read.format("jdbc").options(**base)
-    if split_column:
-        bounds = (spark.read.format("jdbc")
-                  .options(**{**base, "dbtable": f"(SELECT MIN({split_column}) lo, MAX({split_column}) hi "
-                                                 f"FROM {qualified}) b"})
-                  .load().first())
-        if bounds is not None and bounds[0] is not None:
-            reader = (reader.option("partitionColumn", split_column)
-                      .option("lowerBound", str(int(bounds[0])))
-                      .option("upperBound", str(int(bounds[1]) + 1))
-                      .option("numPartitions", str(num_partitions)))
-    df = reader.load()
+
+    def ask(query: str):
+        return spark.read.format("jdbc").options(**{**base, "dbtable": query}).load()
+
+    bounds = ask(f"(SELECT MIN({split_column}) lo, MAX({split_column}) hi FROM {qualified}) b").first() if split_column else None
+    if bounds is None or bounds[0] is None:
+        df = spark.read.format("jdbc").options(**base).load()
+    else:
+        low, high = int(bounds[0]), int(bounds[1])
+        counts = {int(r[0]): int(r[1]) for r in ask(histogram_query(qualified, split_column, low, high)).collect()}
+        width = max(1, -(-(high - low + 1) // HISTOGRAM_BINS))
+        predicates = range_predicates(split_column, balanced_bounds(counts, low, width, num_partitions))
+        properties = {k: v for k, v in base.items() if k not in ("url", "dbtable")}
+        df = spark.read.jdbc(url, qualified, predicates=predicates, properties=properties)
     return df.toDF(*[c.lower() for c in df.columns])
 
 
@@ -90,3 +125,27 @@ def extract_to_parquet(t: PermitTables, root: str, tables: list[str] | None = No
         if name in PARTITION_COLUMNS:
             writer = writer.partitionBy(PARTITION_COLUMNS[name])
         writer.parquet(f"{root.rstrip('/')}/{name}")
+
+
+# The key that most joins of a table use: bucketed extracts are laid out by it.
+BUCKET_COLUMNS = {name: key for name, key in SPLIT_COLUMNS.items()}
+BUCKET_COLUMNS["folderprocess"] = "folderrsn"
+
+
+def extract_to_tables(t: PermitTables, database: str, buckets: int, tables: list[str] | None = None) -> None:
+    """Write each table as ``database.<table>``, bucketed and sorted by its join key.
+
+    Tables with equal numbers of buckets join on that key without a shuffle and
+    without a sort (``PermitTables.from_tables``). Choose ``buckets`` so that a bucket
+    of the largest table is some hundred MB. Attribute tables are partitioned by code
+    besides. Tables without such a key (code lists) are plain.
+    """
+    for name in tables or t.names():
+        df = getattr(t, name)
+        key = BUCKET_COLUMNS.get(name)
+        writer = (df.repartition(buckets, key) if key else df).write.mode("overwrite").format("parquet")
+        if name in PARTITION_COLUMNS:
+            writer = writer.partitionBy(PARTITION_COLUMNS[name])
+        if key:
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(f"{database}.{name}")

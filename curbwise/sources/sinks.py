@@ -68,10 +68,12 @@ def read_latest(spark: SparkSession, root: str, schema: T.StructType | None = No
     return df
 
 
-def _write_next(spark: SparkSession, df: DataFrame, root: str) -> int:
+def _write_next(spark: SparkSession, df: DataFrame, root: str, cluster_by: list[str] | None = None) -> int:
     vs = versions(spark, root)
     nxt = (vs[-1] + 1) if vs else 1
     buckets.clear(spark, _version_path(root, nxt))  # what a failed job may have left
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").parquet(_version_path(root, nxt))
     return nxt
 
@@ -113,9 +115,13 @@ def _keep_other_keys(current: DataFrame, upd: DataFrame, key: list[str]) -> Data
     return kept.unionByName(upd, allowMissingColumns=True)
 
 
-def replace(spark: SparkSession, df: DataFrame, root: str) -> int:
-    """Publish ``df`` as the whole dataset (an empty ``df`` truncates it)."""
-    return _write_next(spark, df, root)
+def replace(spark: SparkSession, df: DataFrame, root: str, cluster_by: list[str] | None = None) -> int:
+    """Publish ``df`` as the whole dataset (an empty ``df`` truncates it).
+
+    With ``cluster_by`` every file holds a range of those columns, in order, so that
+    readers of a few keys open a few files and row groups (the files' minima and maxima tell).
+    """
+    return _write_next(spark, df, root, cluster_by)
 
 
 def upsert(spark: SparkSession, updates: DataFrame, root: str, key: list[str], order_by: list[str] | None = None,
@@ -168,6 +174,7 @@ class PublishSpec:
     method: str  # "replace" | "upsert"
     key: tuple[str, ...] = ()
     order_by: tuple[str, ...] = ()  # of rows with one key the last by these columns stays
+    cluster_by: tuple[str, ...] = ()  # replaced datasets are laid out by ranges of these columns
 
 
 # How each result dataset is published, and its row key.
@@ -180,7 +187,7 @@ PUBLISH_SPECS = {
     "review_time": PublishSpec("review_time", "replace"),
     "weekly_summary": PublishSpec("weekly_summary", "replace"),
     "active_permits_snapshot": PublishSpec("active_permits_snapshot", "upsert", ("published_date",)),
-    "inspector_priority": PublishSpec("inspector_priority", "replace"),
+    "inspector_priority": PublishSpec("inspector_priority", "replace", cluster_by=("folderrsn",)),
     "segment_zone_tags": PublishSpec("segment_zone_tags", "upsert", ("segment_id",)),
 }
 
@@ -192,7 +199,7 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str,
     clean = nan_to_null(normalize_columns(df))
     target = f"{root.rstrip('/')}/{name}"
     if spec.method == "replace":
-        return replace(spark, clean, target)
+        return replace(spark, clean, target, list(spec.cluster_by) or None)
     if spec.method == "upsert":
         text = [c for c in spec.order_by if clean.schema[c].dataType == T.StringType()]
         if text:

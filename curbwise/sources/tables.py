@@ -66,6 +66,14 @@ class PermitTables:
             return lambda: spark.read.parquet(f"{root.rstrip('/')}/{name}").select(*cols)
         return cls(spark, {n: reader(n) for n in PERMIT_SCHEMAS if n != "road_segment"})
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, database: str) -> "PermitTables":
+        """Every source table of a database that ``jdbc.extract_to_tables`` wrote; read when first used."""
+        def reader(name):
+            cols = [f.name for f in PERMIT_SCHEMAS[name].fields]
+            return lambda: spark.table(f"{database}.{name}").select(*cols)
+        return cls(spark, {n: reader(n) for n in PERMIT_SCHEMAS if n != "road_segment"})
+
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str) -> "PermitTables":
         """The fixture model over the driver tables in ``sf_dir``; nothing is read before it is used."""
