@@ -269,11 +269,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     now, before = saved(now, name), None
     while True:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # saved, so that the join's sides are plain exchanges and Spark splits a hub's edges
+        least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), name)
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         own = least.filter("m < u").select("u", F.col("m").alias("v"))
-        large = large.unionAll(own).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))  # now every v is smaller than its u
+        large = saved(large.unionAll(own).distinct(), name)
+        least = saved(large.groupBy("u").agg(F.min("v").alias("m")), name)  # now every v is smaller than its u
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
         now = saved(small.filter("u <> v").distinct(), name)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
