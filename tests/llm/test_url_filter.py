@@ -1,6 +1,5 @@
 import random
 
-import pytest
 from corpus_fixtures import clashing
 
 from curbwise.llm import url_filter
@@ -51,7 +50,21 @@ def test_no_rules_and_empty_table(spark):
     assert url_filter.judge(empty, [url_filter.Rule("block", "a", "/")]).count() == 0
 
 
-def test_rule_list_is_bounded(monkeypatch):
-    monkeypatch.setattr(url_filter, "MAX_RULES", 1)
-    with pytest.raises(ValueError):
-        url_filter.boundaries([url_filter.Rule("allow", h, "/") for h in "ab"])
+def test_rules_of_whole_hosts_and_repeated_texts(spark):
+    rules = [("block", "com", ""), ("allow", "example.com", "/en"), ("block", "example.com", "/en"), ("block", "b.example.com", "/"),
+             ("allow", "x.net", "/\u00e9"), ("block", "", "x")]
+    rules = [url_filter.Rule(*r) for r in rules if r[1]]
+    urls = URLS + ["http://b.example.com/en/1", "http://com", "http://x.net/\u00e9/", "http://x.net/\u00ea", "http://y.x.net/\u00e9"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    allow_wins = [r for r in rules if (r.verdict, r.text) != ("block", "example.com/en")]
+    assert {r[0]: tuple(r[-4:]) for r in url_filter.judge(df, rules).collect()} == {i: brute(u, allow_wins) for i, u in enumerate(urls)}
+
+
+def test_many_nested_rules(spark):
+    """Thousands of paths on one host above thousands of hosts, and a chain of hosts and paths: boundaries stay four a rule."""
+    rules = [url_filter.Rule("block", "com", f"/p{i}/") for i in range(4000)] + [url_filter.Rule("allow", f"h{i}.com", "/") for i in range(4000)]
+    rules += [url_filter.Rule("block", ".".join(["a"] * k), "/a" * j) for k in range(1, 30) for j in range(1, 30)]
+    assert len(url_filter.boundaries({r.key + r.path: r for r in rules})) <= 2 * len(rules)
+    urls = [f"http://{h}.com/p{i}/x" for i in range(0, 4000, 400) for h in (f"h{i}", f"w.h{i}", "other")]
+    urls += ["http://" + ".".join(["a"] * k) + "/a" * j for k in (1, 7, 40) for j in (0, 1, 28, 35)]
+    check(spark, urls, rules)
