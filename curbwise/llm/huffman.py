@@ -1,10 +1,11 @@
 """Token ids in a compressed block format: canonical length-limited Huffman codes.
 
 Writing: documents are put in ascending doc_id order over range partitions and
-tokenised there once; the ids go to the shared folder. One pass counts every
-id over the whole corpus (counts are summed per task first), the package-merge
-rule turns the counts into code lengths of at most ``MAX_BITS`` bits, and the
-documents are encoded in blocks of about ``BLOCK_IDS`` ids. A block is a row of
+tokenised there once; the ids go to the shared folder. Each task counts its ids
+as it makes them and puts the counts into one row behind its documents; their
+sums are the counts of the whole corpus. The package-merge rule turns them into
+code lengths of at most ``MAX_BITS`` bits, and the documents are encoded in
+blocks of about ``BLOCK_IDS`` ids. A block is a row of
 its own: payload bits, the bit offset of every ``STEP``-th id, and the ids,
 starts and sizes of its documents. A document lies in one block.
 
@@ -38,6 +39,8 @@ MAX_BITS = 20
 BLOCK_IDS = 1 << 17
 STEP = 128
 _IDS = "part int, doc_id long, n long, before long, ids binary"
+#: ``n`` of the row that holds a task's counts: 64-bit integers, one per id from 0 on.
+_COUNTS = -1
 _BLOCK = ("start long, n_ids long, doc_ids array<long>, doc_starts array<long>, doc_sizes array<long>, "
           "checkpoints binary, payload binary")
 _DECODED = "doc_id long, start long, n_tokens long, ids binary"
@@ -150,11 +153,12 @@ def decode_block(payload: bytes, checkpoints: bytes, n: int, symbol: np.ndarray,
 # --- jobs ---------------------------------------------------------------------------------------
 
 def _tokenised(docs: DataFrame, text: str, doc_id: str, path: str, end_id: int | None, narrow: bool) -> DataFrame:
-    """Documents in ascending order with their ids, and the ids before them in their partition."""
+    """Documents in ascending order with their ids and the ids before them in their partition; after them the partition's counts."""
     kind = "<u2" if narrow else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before, part = WordEncoder(path, end_id), 0, TaskContext.get().partitionId()
+        counts = np.zeros(0, np.int64)
         for batch in batches:
             for rows, ids, bounds in encoder.batches(batch, 1):
                 data = ids.astype(kind).tobytes()
@@ -165,6 +169,11 @@ def _tokenised(docs: DataFrame, text: str, doc_id: str, path: str, end_id: int |
                     [pa.array(np.full(rows.num_rows, part, np.int32)), rows.column(0), pa.array(np.diff(bounds)),
                      pa.array(before + bounds[:-1]), body], ["part", "doc_id", "n", "before", "ids"])
                 before += int(bounds[-1])
+                counts = _sum(counts, np.bincount(ids))
+        if before:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([None], pa.int64()), pa.array([_COUNTS], pa.int64()), pa.array([None], pa.int64()),
+                 pa.array([counts.astype("<i8").tobytes()], pa.binary())], ["part", "doc_id", "n", "before", "ids"])
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     picked = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -172,23 +181,28 @@ def _tokenised(docs: DataFrame, text: str, doc_id: str, path: str, end_id: int |
     return picked.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, _IDS)
 
 
-def _count(ids: DataFrame, kind: str) -> dict[int, int]:
-    """How often each id occurs; at most one row per id of the vocabulary comes back."""
+def _sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Counts of two parts, either of which may end earlier."""
+    if len(a) < len(b):
+        a, b = b, a
+    a = a.copy()
+    a[:len(b)] += b
+    return a
+
+
+def _count(held: DataFrame) -> dict[int, int]:
+    """How often each id occurs, from the tasks' counts; at most one row per id of the vocabulary comes back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for cell in batch.column(0):
-                got = np.bincount(np.frombuffer(cell.as_buffer(), kind))
-                if len(got) > len(total):
-                    got[:len(total)] += total
-                    total = got
-                else:
-                    total[:len(got)] += got
+                total = _sum(total, np.frombuffer(cell.as_buffer(), "<i8"))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    rows = ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = held.filter(F.col("n") == _COUNTS).select("ids")
+    rows = counts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     return {r["id"]: r["n"] for r in rows}
 
 
@@ -206,11 +220,12 @@ def write_tokens(docs: DataFrame, path: str, text: str = "text", doc_id: str = "
     spark = docs.sparkSession
     ship(spark)
     kind = id_type(tokenizer or default_path(), end_id)
-    held = scratch(spark, "huffman-ids")
+    path_of_ids = scratch(spark, "huffman-ids")
     _tokenised(docs, text, doc_id, tokenizer or default_path(), end_id, kind == "<u2").write.option(
-        "compression", "zstd").parquet(held)
-    ids = spark.read.schema(_IDS).parquet(held)
-    counts = _count(ids, kind)
+        "compression", "zstd").parquet(path_of_ids)
+    held = spark.read.schema(_IDS).parquet(path_of_ids)
+    ids = held.filter(F.col("n") != _COUNTS)
+    counts = _count(held)
     symbols = np.array(sorted(counts), np.int64)
     book = Codebook(symbols, code_lengths(np.array([counts[s] for s in symbols.tolist()], np.int64), max_bits), max_bits)
     spark.createDataFrame([(int(s), int(n)) for s, n in zip(book.symbols, book.lengths)], "id long, bits int").coalesce(
