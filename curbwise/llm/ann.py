@@ -9,8 +9,11 @@ the same way. Every query then goes through a beam search of each shard of its
 dimension; the shards' lists are merged by exact distance. All distances are
 those of differences in double precision.
 
-A task holds one shard (``shard_rows`` vectors, a parameter) and one Arrow batch
-of queries. Queries are a stated set; each meets each shard, not each row.
+A task holds one shard and one Arrow batch of queries. Queries are a stated set;
+each meets each shard, not each row. A search costs about the logarithm of its
+shard, so few large shards are cheaper than many small ones: there is one for
+every shuffle partition that would get ``shard_rows`` vectors, and more only
+where a shard would not fit ``shard_bytes`` (see ``shard_count``).
 
 Cases: vectors that are null, empty, zero, or have null or non-finite
 components, and rows without vec_id, take no part; rows that repeat a vec_id
@@ -31,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from curbwise.llm.common import saved, ship
 
 SHARD_ROWS = 8192
+SHARD_BYTES = 64 << 20
 DEGREE = 32
 BUILD_BEAM = 48
 SEARCH_BEAM = 256
@@ -154,13 +158,23 @@ class Graph:
             self.edges[nodes[some]] = self._prune(nodes[some], packed[some][:, :used])
 
 
+def shard_count(rows: int, dim: int, partitions: int, shard_rows: int = SHARD_ROWS, shard_bytes: int = SHARD_BYTES, degree: int = DEGREE) -> int:
+    """Shards for ``rows`` vectors: one per partition, as long as each gets ``shard_rows``, and as many as memory asks for.
+
+    A row of a shard takes its vector twice while the shard is read, its edges,
+    its ids and one byte for each query of a search.
+    """
+    row = 16 * dim + 8 * degree + 128 + AT_ONCE
+    return max(-(-rows * row // shard_bytes), min(partitions, -(-rows // shard_rows)))
+
+
 def _usable(vector: Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding",
-           shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM, degree: int = DEGREE, alpha: float = ALPHA) -> DataFrame:
+           shard_rows: int = SHARD_ROWS, shard_bytes: int = SHARD_BYTES, beam: int = SEARCH_BEAM, degree: int = DEGREE, alpha: float = ALPHA) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the nearest found of every row that ``queries`` selects."""
     ship(vectors.sparkSession)
     v = F.col(f"`{embedding}`").cast("array<double>")
@@ -172,9 +186,10 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_
               .groupBy("v").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")).withColumn("dim", F.size("v")))
     points = saved(points, "ann-points")
     sizes = {r["dim"]: r["n"] for r in points.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per vector length
+    partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards, total = {}, 0  # dimension -> (first shard, number of shards)
     for dim in sorted(sizes):
-        shards[dim] = (total, -(-sizes[dim] // shard_rows))
+        shards[dim] = (total, shard_count(sizes[dim], dim, partitions, shard_rows, shard_bytes, degree))
         total += shards[dim][1]
     pairs = [F.lit(x) for d, (a, n) in shards.items() for x in (d, F.struct(F.lit(a).alias("a"), F.lit(n).alias("n")))]
     where = F.create_map(*pairs) if pairs else F.lit(None).cast("map<int,struct<a:int,n:int>>")

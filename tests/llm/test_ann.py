@@ -55,6 +55,17 @@ def test_recall_over_shards(spark):
     assert len(got) == 30 and recall >= 0.95
 
 
+def test_shards_follow_partitions_and_memory(spark):
+    assert [ann.shard_count(n, 64, 200) for n in (1, 8192, 8193, 51282, 10**6, 10**7)] == [1, 1, 2, 7, 123, 248]
+    assert all(ann.shard_count(10**9, 64, p) == 24796 for p in (8, 200, 8000))  # bounded by memory
+    assert ann.shard_count(10**9, 64, 40000) == 40000
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist(), 0) for i in range(900)]
+    got = found(ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0, shard_bytes=100 << 10))  # eight shards
+    want = brute(rows, 100)
+    assert np.mean([len({x[1] for x in got[q]} & {x[1] for x in want[q]}) / 10 for q in want]) >= 0.95
+
+
 def test_graph_keeps_diverse_edges():
     rng = np.random.default_rng(3)
     g = ann.Graph(rng.normal(size=(800, 16)), degree=12)
@@ -82,6 +93,7 @@ def test_recall_among_nearly_equal_vectors():
         want = [set(np.argsort(((points - points[q]) ** 2).sum(axis=1), kind="stable")[:11].tolist()) - {q} for q in asked.tolist()]
         assert np.mean([len(f & w) / 10 for f, w in zip(found_, want)]) >= 0.95
 
+
 def test_query_given_table_and_empty(spark, tmp_path):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/embeddings.parquet").collect()]
