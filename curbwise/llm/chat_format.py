@@ -13,13 +13,19 @@ conversation is first rendered as it is and parsed again; where the recovered
 turns differ from the source the escaped rendering takes its place and is
 parsed again; ``round_trip`` says whether the last one is identical.
 
+The loss mask covers the rendering turn by turn: (chars, first, count) says that
+the next ``chars`` code points are one turn, of which ``count`` from the
+``first``-th on (counted from 1) bear loss; only assistants' texts do. What is
+under the mask is cut out of the rendering through it.
+
 Only built-in functions run. A conversation is one value (its rendering is one
 string), so it is grouped by its id; no row of a conversation is dropped.
 
 Cases: null text and null role are empty strings; turns are ordered by (turn,
 role, text), nulls first, so ties and repeated rows have one order; a null
 conv_id is one conversation of its own; an empty table gives an empty result;
-columns beside conv_id, turn, role and text are ignored.
+columns beside conv_id, turn, role and text are ignored; very long texts and
+conversations are rendered whole, in time that grows with their length.
 """
 
 from __future__ import annotations
@@ -69,15 +75,36 @@ def read_turn(piece: Column) -> Column:
             .otherwise(made(F.lit("assistant"), _inner(piece, ASSISTANT))))
 
 
+def _pieces(formatted: Column) -> Column:
+    """The rendered turns, one after another."""
+    return F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0))
+
+
 def parse(formatted: Column) -> Column:
     """array<struct<role,text>> recovered from a rendering; null if something is left over."""
-    pieces = F.regexp_extract_all(formatted, F.lit(TURN), F.lit(0))
+    pieces = _pieces(formatted)
     whole = F.length(formatted) == F.length(F.array_join(pieces, ""))
     return F.when(whole, F.transform(pieces, read_turn))
 
 
+def loss_mask(formatted: Column) -> Column:
+    """array<struct<chars,first,count>> over a rendering."""
+    def of_turn(piece: Column) -> Column:
+        marks = len(ASSISTANT[0]) + len(ASSISTANT[1])
+        count = F.when(F.startswith(piece, F.lit(ASSISTANT[0])), F.length(piece) - marks).otherwise(0)
+        return F.struct(F.length(piece).alias("chars"), F.lit(len(ASSISTANT[0]) + 1).alias("first"), count.alias("count"))
+
+    return F.transform(_pieces(formatted), of_turn)
+
+
+def masked_text(formatted: Column, mask: Column) -> Column:
+    """All text under the mask, unescaped, in order, nothing between."""
+    cut = F.zip_with(_pieces(formatted), mask, lambda p, m: unescape(F.substring(p, m["first"], m["count"])))
+    return F.array_join(cut, "")
+
+
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """One row per conversation: conv_id, formatted, turns (read back), escaped, round_trip.
+    """One row per conversation: conv_id, formatted, turns (read back), escaped, round_trip, loss_mask.
 
     ``turns`` are those of the parser, not of the source.
     """
@@ -93,9 +120,5 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     ).otherwise(F.col("plain")).alias("formatted"))
     done = second.select("conv_id", "formatted", "source", "escaped",
                          F.when(F.col("escaped"), parse(F.col("formatted"))).otherwise(F.col("back")).alias("turns"))
-    return done.select("conv_id", "formatted", "turns", "escaped", F.col("turns").eqNullSafe(F.col("source")).alias("round_trip"))
-
-
-def loss_text(turns: Column) -> Column:
-    """All text under the loss mask: the assistants' texts, in order, nothing between."""
-    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    return done.select("conv_id", "formatted", "turns", "escaped", F.col("turns").eqNullSafe(F.col("source")).alias("round_trip"),
+                       loss_mask(F.col("formatted")).alias("loss_mask"))

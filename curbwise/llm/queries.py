@@ -32,7 +32,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"))
     got = chat_format.format_conversations(rows.unionByName(planted))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = chat_format.loss_text(F.col("turns"))
+    loss = chat_format.masked_text(F.col("formatted"), F.col("loss_mask"))
     return got.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
                       F.length("formatted").cast("long").alias("formatted_chars"), "escaped", "round_trip")

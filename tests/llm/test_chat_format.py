@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from corpus_fixtures import sf
@@ -29,6 +30,14 @@ def check(spark, rows):
     want = source(rows)
     assert {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in got} == want
     assert all(r["round_trip"] for r in got)
+    for r in got:  # the mask covers the rendering, and its spans hold the assistants' texts
+        at, under = 0, []
+        for m in r["loss_mask"]:
+            if m["count"] or r["formatted"][at:at + 1] == " ":
+                under.append(r["formatted"][at + m["first"] - 1:at + m["first"] - 1 + m["count"]])
+            at += m["chars"]
+        assert at == len(r["formatted"])
+        assert [re.sub(chat_format.ESCAPED, r"\1\2\3", u) for u in under] == [t for role, t in want[r["conv_id"]] if role == "assistant"]
     return got
 
 
