@@ -23,7 +23,9 @@ Cases: null html is an empty payload; null url has no target header; control
 characters of a url are percent-encoded; rows that repeat the largest page_id
 with the same payload are all responses; a null page_id is the response only
 where its whole group has none; an empty table gives an archive without page
-records and an empty result; further columns are ignored.
+records and an empty result; further columns are ignored; very long urls and
+payloads come back whole, one record of a file in memory at a time beyond a batch
+of ``BATCH_BYTES``. A path without a scheme is one on Spark's default file system.
 """
 
 from __future__ import annotations
@@ -66,6 +68,20 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path) if re.match(r"\w+:/", path) else (fs.LocalFileSystem(), path)
 
 
+def on_default(path: str, default: str) -> str:
+    """A path without a scheme on Spark's default file system, which executors must not take for their own disk."""
+    if re.match(r"\w[\w+.-]*:/", path) or default.startswith("file:"):
+        return path
+    if not path.startswith("/"):
+        raise ValueError(f"{path!r}: a path on {default} must be absolute")
+    return default.rstrip("/") + path
+
+
+def resolved(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark's own readers and writers understand it."""
+    return on_default(path, spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"))
+
+
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -373,7 +389,7 @@ def with_roles(pages: DataFrame, html: str = "html", page_id: str = "page_id", u
 def write_archive(pages: DataFrame, path: str, **options) -> str:
     """Writes a record per page under ``path`` and returns it."""
     register(pages.sparkSession)
-    with_roles(pages, **options).write.format("warc").mode("append").save(path)
+    with_roles(pages, **options).write.format("warc").mode("append").save(resolved(pages.sparkSession, path))
     return path
 
 
@@ -388,7 +404,7 @@ def read_archive(spark: SparkSession, path: str, types: tuple[str, ...] = (), pa
         "verify", str(verify).lower())
     for name, value in headers.items():
         reader = reader.option(f"header.{name.replace('_', '-')}", value)
-    return reader.load(path)
+    return reader.load(resolved(spark, path))
 
 
 def page_of(record_id: str) -> Column:

@@ -104,3 +104,12 @@ def test_large_payloads_come_in_batches_by_bytes(spark, tmp_path, monkeypatch):
     reader = warc.WarcReader({"path": path})
     batches = [b for span in reader.partitions() for b in reader.read(span)]
     assert len(batches) >= 10 and sum(b.num_rows for b in batches) >= 40
+
+
+def test_paths_are_those_of_the_default_file_system(spark):
+    assert warc.on_default("/x/y", "file:///") == warc.resolved(spark, "/x/y") == "/x/y"
+    assert warc.on_default("/x/y", "hdfs://name:8020/") == "hdfs://name:8020/x/y"
+    assert warc.on_default("s3a://b/x", "hdfs://name:8020") == "s3a://b/x"
+    assert warc.on_default("file:/x", "hdfs://name:8020") == "file:/x"
+    with pytest.raises(ValueError):
+        warc.on_default("x/y", "hdfs://name:8020")
