@@ -23,27 +23,27 @@ def _counted(result: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; null, empty and very short texts go, repeated rows are judged each."""
     return quality.keep(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that with the smallest doc_id; texts without words and null doc_ids stay."""
     return ngram_join.drop_near_copies(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with surrogates for personal data."""
+    """Texts with surrogates for personal data; null and empty texts stay as they are, equal texts stay equal."""
     return _counted(pii.replace(docs), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that the sources meet their target weights."""
+    """Documents repeated so that the sources meet their target weights; a null source is one of them, texts without words go."""
     return _counted(mixing.repeat(docs), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences."""
+    """Pieces of the documents in sequences, every id in one piece; a null or empty text has its end id alone."""
     return packing.pack(docs)
 
 
@@ -60,7 +60,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, each written to the shared folder and read again."""
+    """The stages applied to documents, each written to the shared folder and read again; empty tables give empty results."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch(spark, f"stage-{name}")

@@ -21,7 +21,10 @@ a third of all rows is no single task.
 Cases: null text has size 0; null source is a source, last in code-point order;
 rows with a null doc_id take the order of an empty id; repeated rows count each,
 ties in the order fall to (doc_id, size) and equal rows are interchangeable; an empty
-table gives an empty result; further columns pass through ``repeat`` untouched.
+table gives an empty result; a very long text is counted whole, one row in a task;
+further columns pass through ``repeat`` untouched. The level is found in one window
+over the sources, one row each: their number must fit a task, as that of named
+sources does; a source per host does not belong there.
 """
 
 from __future__ import annotations

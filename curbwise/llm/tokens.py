@@ -8,6 +8,10 @@ keeps the ids of units it has met, so only new ones go through the library;
 the ids of the texts are then gathered in whole arrays. The store is bounded
 and starts anew when full, which costs time only. ``tests/llm`` compares the
 result with the library on whole texts.
+
+Cases: a null or empty text has no ids but the end id, where one is given; a very
+long text is encoded whole, in a slice of its own if need be; repeated rows are encoded
+each; an empty batch gives nothing; columns beside the text pass through.
 """
 
 from __future__ import annotations
