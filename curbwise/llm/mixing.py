@@ -31,12 +31,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from curbwise.llm.common import SPACE_RUN, saved, words
+from curbwise.llm.common import saved, words
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = "mix-1"
 SLOTS = 256
+#: Java pattern of the place between a word and the space after it.
+WORD_END = r"(?<=[^ \t-\r])(?=[ \t-\r])"
 
 
 def size_of(text: Column) -> Column:
@@ -110,6 +112,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 def repeat(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` in the mix: a row for each whole repetition, and one cut after the words of a fractional one.
 
+    A cut text is the beginning of its document, lines and spaces as they were, up to the end of its last word.
+
     A document without words has nothing to take and is left out of the mix.
     """
     names = docs.columns
@@ -119,6 +123,6 @@ def repeat(docs: DataFrame, text: str = "text", source: str = "source", doc_id:
     pieces = F.concat(F.array_repeat(F.lit(0), n), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
     got = got.filter("taken > 0").select("row", F.explode(pieces).alias("first_words"))
     t = F.col("row")[text]
-    cut = F.array_join(F.slice(F.split(F.btrim(t, F.lit(" \t\n\x0b\x0c\r")), SPACE_RUN), F.lit(1), F.col("first_words")), " ")
+    cut = F.array_join(F.slice(F.split(t, WORD_END), F.lit(1), F.col("first_words")), "")
     cell = lambda c: F.when(F.col("first_words") > 0, cut).otherwise(t) if c == text else F.col("row")[c]
     return got.select([cell(c).alias(c) for c in names])

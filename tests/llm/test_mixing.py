@@ -67,6 +67,22 @@ def test_repeat_gives_the_taken_words(spark):
     assert dict(words) == want
 
 
+def test_cut_texts_are_beginnings_of_their_documents(spark):
+    """Lines, runs of spaces, a leading space and characters beyond the first plane stay as they are."""
+    rng = random.Random(5)
+    rows = [(i, " \n" * (i % 3) + "".join(f"{rng.choice(['w', 'é', '😀', '\x1c', '\u2003'])}{j}" + rng.choice([" ", "\n", "\t\x0b", " \r\n  "])
+                                           for j in range(rng.randint(1, 40))), "en", rng.choice("aabc")) for i in range(120)]
+    texts = {r[0]: r[1] for r in rows}
+    cut = 0
+    for r in mixing.repeat(documents(spark, rows)).collect():
+        whole = texts[r["doc_id"]]
+        if r["text"] != whole:
+            cut += 1
+            rest = whole[len(r["text"]):]
+            assert whole.startswith(r["text"]) and r["text"][-1] not in " \t\n\x0b\x0c\r" and (rest == "" or rest[0] in " \t\n\x0b\x0c\r")
+    assert 1 <= cut <= 3  # one document a source at most
+
+
 def test_empty_table(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
     assert mixing.repeat(documents(spark, [])).count() == 0
