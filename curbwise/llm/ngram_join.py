@@ -33,6 +33,10 @@ links. Steps:
    of bounded size) are searched against every shard. No task holds more than
    a shard and a part.
 
+``links`` and ``link_counts`` find every link between different sets: there each
+set of a block asks, in parts of ``ASKED`` queries, so a large group of near
+copies is many tasks.
+
 All bounds above only place the work; no pair is skipped by them.
 
 Cases: null and empty texts have no shingles and link with nothing; a text of
@@ -63,6 +67,7 @@ CHUNK_ENTRIES = 4_000_000
 SLICE = 1 << 16
 BLOCK_SHINGLES = 3_000_000
 CENTRES = 4
+ASKED = 1 << 10
 FILTER_BITS = 1 << 26
 _ENTRIES = "kind int, bucket int, a binary, b binary"
 _LISTS = "sid long, df int, hash long, pivot long"
@@ -414,6 +419,32 @@ def _merge_skip(lists: list[list[int]], need: int) -> dict[int, int]:
 
 # --- jobs ---------------------------------------------------------------------------------------
 
+def _tasks(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[tuple[tuple, dict[int, np.ndarray], set[int], dict[int, int]]]:
+    """(key, sets by sid, sids that ask, copies by sid of those held) of each (block, shard, part) with several sets.
+
+    The batches are sorted by key and hold block, shard, part, sid, ask, text; rows that carry a seventh
+    column, copies, are held by the shard where it is not null.
+    """
+    now, sets, ask, held = None, {}, set(), {}
+    for batch in batches:
+        for part in _slices(batch, 5):
+            keys = list(zip(*(part.column(i).to_pylist() for i in range(3))))
+            copies = part.column(6).to_pylist() if part.num_columns > 6 else [None] * len(keys)
+            for key, sid, asked, s, n in zip(keys, part.column(3).to_pylist(), part.column(4).to_pylist(), shingle_sets(part.column(5), n_words), copies):
+                if key != now:
+                    if len(sets) > 1:
+                        yield now, sets, ask, held
+                    now, sets, ask, held = key, {}, set(), {}
+                if set_id(s) == sid:  # else another text under a repeated doc_id
+                    sets[sid] = s
+                    if asked:
+                        ask.add(sid)
+                    if n is not None:
+                        held[sid] = n
+    if len(sets) > 1:
+        yield now, sets, ask, held
+
+
 def _search(rows: DataFrame, n_words: int, percent: int, only_asked: bool) -> DataFrame:
     """(block, u, v): the sids of each (block, shard, part) with the smallest of their component there.
 
@@ -422,30 +453,13 @@ def _search(rows: DataFrame, n_words: int, percent: int, only_asked: bool) -> Da
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sets, ask = None, {}, set()
-
-        def done() -> pa.RecordBatch:
+        for key, sets, ask, _ in _tasks(batches, n_words):
             sids = sorted(sets)
             block = Block([sets[s] for s in sids], percent)
             block.solve([i for i, s in enumerate(sids) if s in ask] if only_asked else None)
             roots = [sids[block.find(i)] for i in range(len(sids))]
-            return pa.RecordBatch.from_arrays([pa.array([now[0]] * len(sids), pa.int64()), pa.array(sids, pa.int64()), pa.array(roots, pa.int64())],
-                                              ["block", "u", "v"])
-
-        for batch in batches:
-            for part in _slices(batch, 5):
-                keys = list(zip(*(part.column(i).to_pylist() for i in range(3))))
-                for key, sid, asked, s in zip(keys, part.column(3).to_pylist(), part.column(4).to_pylist(), shingle_sets(part.column(5), n_words)):
-                    if key != now:
-                        if len(sets) > 1:
-                            yield done()
-                        now, sets, ask = key, {}, set()
-                    if set_id(s) == sid:  # else another text under a repeated doc_id
-                        sets[sid] = s
-                        if asked:
-                            ask.add(sid)
-        if len(sets) > 1:
-            yield done()
+            yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(sids), pa.int64()), pa.array(sids, pa.int64()), pa.array(roots, pa.int64())],
+                                             ["block", "u", "v"])
 
     keys = ["block", "shard", "part"]
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, "block long, u long, v long")
@@ -473,16 +487,15 @@ def _only_members(texts: DataFrame, members: DataFrame) -> DataFrame:
     return texts.filter("doc_id IS NOT NULL").select("doc_id", "text", place("doc_id")).mapInArrow(run, "doc_id long, text string")
 
 
-def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
-         block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``; further set_id (null: no part in links),
-    component (set_id that stands for it) and text_hash."""
+def _blocks(docs: DataFrame, text: str, doc_id: str, n_words: int, percent: int, block_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Steps 1 to 3: the texts, each row's set, one row of each set, and the sets of blocks, dealt to shards."""
     spark = docs.sparkSession
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     sets = saved(_sets(texts, n_words), "join-sets")
-    reps = sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
+    reps = sets.filter("sid IS NOT NULL").groupBy("sid").agg(
+        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.count(F.lit(1)).alias("copies"))
 
     entries = _entries(texts, n_words, percent, 8 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
     roots = components(_stars(_lists(entries), reps.select("sid", "n"), percent), "join-blocks")
@@ -491,7 +504,14 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: i
     sizes = sizes.select("block", F.ceil(F.col("shingles") / block_shingles).cast("int").alias("shards"))
     members = members.join(sizes, "block").withColumn("shard", F.pmod(F.xxhash64("sid"), F.col("shards")).cast("int"))
     members = saved(members, "join-members")
+    return texts, sets, reps, members
+
 
+def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
+         block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``; further set_id (null: no part in links),
+    component (set_id that stands for it) and text_hash."""
+    texts, sets, reps, members = _blocks(docs, text, doc_id, n_words, percent, block_shingles)
     wanted = _only_members(texts, members)
 
     def with_text(rows: DataFrame) -> DataFrame:
@@ -534,6 +554,82 @@ def _across_shards(large: DataFrame, found: DataFrame, with_text, n_words: int,
     return saved(_search(with_text(asked.unionAll(against)), n_words, percent, True), "join-across")
 
 
+def _every_link(docs: DataFrame, text: str, doc_id: str, n_words: int, percent: int, block_shingles: int, asked: int,
+                emit, schema: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(found, sets, reps): the rows of ``emit(sid, linked, held)``, longs, for each set of a block and the sets of a shard it links to.
+
+    Every set of a block asks every shard of it, in parts of some ``asked`` queries, so a task holds a
+    shard and a part and its work is bounded however large the block.
+    """
+    texts, sets, reps, members = _blocks(docs, text, doc_id, n_words, percent, block_shingles)
+    parts = members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / asked).cast("int").alias("parts"))
+    dealt = members.join(parts, "block").withColumn("own", F.pmod(F.xxhash64("sid", F.lit(2)), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("shards") + F.col("parts") - 2)))
+    # shards + parts - 1 places: its part in every shard, and its shard's other parts
+    asks = F.col("at") < F.col("shards")
+    other = F.col("at") - F.col("shards")
+    dealt = dealt.select(
+        "block", F.when(asks, F.col("at")).otherwise(F.col("shard")).alias("place"),
+        F.when(asks, F.col("own")).otherwise(other + (other >= F.col("own")).cast("int")).alias("part"), "sid", asks.alias("ask"), "doc_id",
+        F.when(~asks | (F.col("at") == F.col("shard")), F.col("copies")).alias("held")).withColumnRenamed("place", "shard")
+    rows = _only_members(texts, members).join(dealt, "doc_id").select("block", "shard", "part", "sid", "ask", "text", "held")
+
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, ...]] = []
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
+
+        for _, those, ask, held in _tasks(batches, n_words):
+            sids = sorted(those)
+            block = Block([those[s] for s in sids], percent)
+            for i, s in enumerate(sids):
+                if s in ask:
+                    out += emit(s, [y for y in (sids[j] for j in block.links(i)) if y in held], held)
+                if len(out) >= SLICE:
+                    yield batch()
+                    out = []
+        if out:
+            yield batch()
+
+    keys = ["block", "shard", "part"]
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema), sets, reps
+
+
+def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
+          block_shingles: int = BLOCK_SHINGLES, asked: int = ASKED) -> DataFrame:
+    """(u, v), u < v: the set_ids of every two different sets that link; ``join`` gives the set_id of each row.
+
+    Rows with equal sets are one here. The result and the work grow with the number of links, which is the
+    square of a group of different near copies.
+    """
+    def emit(sid: int, linked: list[int], held: dict[int, int]) -> list[tuple[int, ...]]:
+        return [(sid, y) for y in linked if y > sid]
+
+    return _every_link(docs, text, doc_id, n_words, percent, block_shingles, asked, emit, "u long, v long")[0]
+
+
+def link_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
+                block_shingles: int = BLOCK_SHINGLES, asked: int = ASKED) -> DataFrame:
+    """doc_id, n_links (other rows that the row links to, copies included) and n_sets (different sets it links to) of every row.
+
+    Links are counted where they are found and not returned, so the result has a row a document. Rows that
+    take no part in links have 0.
+    """
+    def emit(sid: int, linked: list[int], held: dict[int, int]) -> list[tuple[int, ...]]:
+        return [(sid, len(linked), sum(held[y] for y in linked))] if linked else []
+
+    found, sets, reps = _every_link(docs, text, doc_id, n_words, percent, block_shingles, asked, emit, "sid long, n_sets long, n_rows long")
+    found = found.groupBy("sid").agg(F.sum("n_sets").alias("n_sets"), F.sum("n_rows").alias("n_rows"))
+    counted = reps.join(found, "sid", "left").select(
+        F.col("sid").alias("set_id"), F.coalesce("n_sets", F.lit(0)).alias("n_sets"), (F.coalesce("n_rows", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    got = sets.join(counted, sets["sid"] == counted["set_id"], "left")
+    return got.select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_sets", F.lit(0)).cast("long").alias("n_sets"))
+
+
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """One row of each component stays, that with the smallest doc_id; the columns of ``docs``.
 

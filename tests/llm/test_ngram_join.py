@@ -73,6 +73,39 @@ def test_hot_lists_and_shards_equal_brute_force(spark):
     assert result(spark, rows, block_shingles=900) == want
 
 
+def brute_links(rows):
+    """(doc_id, rows linked, different sets linked) of every row, and the pairs of different sets that link."""
+    sets = [frozenset(shingles(r[1])) if r[0] is not None else frozenset() for r in rows]
+    different = list({s for s in sets if s})
+    near = {x: [y for y in different if y is not x and 100 * len(x & y) >= 80 * len(x | y)] for x in different}
+    copies = Counter(sets)
+    counts = Counter((r[0], copies[x] - 1 + sum(copies[y] for y in near[x]), len(near[x])) if x else (r[0], 0, 0) for r, x in zip(rows, sets))
+    return counts, {frozenset((x, y)) for x in different for y in near[x]}
+
+
+@pytest.mark.parametrize("options", [{}, {"block_shingles": 900, "asked": 20}, {"asked": 7}])
+def test_every_link_is_counted_and_returned(spark, options):
+    """Copies, near copies in several shards and parts; a pair of sets is returned once, whatever its copies."""
+    rng = random.Random(19)
+    base = random_text(rng, 150)
+    rows = [(i, edit(rng, base, rng.choice([0, 1, 2, 3, 6, 9]))) for i in range(70)] + corpus(4, 6)
+    counts, pairs = brute_links(rows)
+    df = clashing(documents(spark, rows))
+    got = J.link_counts(df, **options)
+    assert got.dtypes == [("doc_id", "bigint"), ("n_links", "bigint"), ("n_sets", "bigint")]
+    assert Counter(map(tuple, got.collect())) == counts
+    import pyarrow as pa
+
+    name = {J.set_id(x): frozenset(shingles(r[1])) for r, x in zip(rows, J.shingle_sets(pa.array([r[1] for r in rows], pa.string()))) if len(x)}
+    found = [tuple(r) for r in J.links(df, **options).collect()]
+    assert all(u < v for u, v in found) and len(found) == len(pairs)
+    assert {frozenset((name[u], name[v])) for u, v in found} == pairs
+
+
+def test_links_of_an_empty_table(spark):
+    assert J.links(documents(spark, [])).count() == 0 == J.link_counts(documents(spark, [])).count()
+
+
 def test_block_search_finds_every_link():
     rng = random.Random(11)
     for trial in range(30):
