@@ -33,7 +33,7 @@ links. Steps:
    of bounded size) are searched against every shard. No task holds more than
    a shard and a part.
 
-``links`` and ``link_counts`` find every link between different sets: there each
+``links`` and ``join_counted`` find every link between different sets: there each
 set of a block asks, in parts of ``ASKED`` queries, so a large group of near
 copies is many tasks.
 
@@ -554,18 +554,15 @@ def _across_shards(large: DataFrame, found: DataFrame, with_text, n_words: int,
     return saved(_search(with_text(asked.unionAll(against)), n_words, percent, True), "join-across")
 
 
-def _every_link(docs: DataFrame, text: str, doc_id: str, n_words: int, percent: int, block_shingles: int, asked: int,
-                emit, schema: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(found, sets, reps): the rows of ``emit(sid, linked, held)``, longs, for each set of a block and the sets of a shard it links to.
+def _every_link(texts: DataFrame, members: DataFrame, n_words: int, percent: int, asked: int, emit, schema: str) -> DataFrame:
+    """The rows of ``emit(block, links, held)``, longs, for each task: block, its links (sid, sids) and the copies by sid of its shard.
 
     Every set of a block asks every shard of it, in parts of some ``asked`` queries, so a task holds a
     shard and a part and its work is bounded however large the block.
     """
-    texts, sets, reps, members = _blocks(docs, text, doc_id, n_words, percent, block_shingles)
-    parts = members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / asked).cast("int").alias("parts"))
-    dealt = members.join(parts, "block").withColumn("own", F.pmod(F.xxhash64("sid", F.lit(2)), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("shards") + F.col("parts") - 2)))
+    dealt = members.join(_parts(members, asked), "block").withColumn("own", F.pmod(F.xxhash64("sid", F.lit(2)), F.col("parts")).cast("int"))
     # shards + parts - 1 places: its part in every shard, and its shard's other parts
+    dealt = dealt.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("shards") + F.col("parts") - 2)))
     asks = F.col("at") < F.col("shards")
     other = F.col("at") - F.col("shards")
     dealt = dealt.select(
@@ -573,7 +570,6 @@ def _every_link(docs: DataFrame, text: str, doc_id: str, n_words: int, percent:
         F.when(asks, F.col("own")).otherwise(other + (other >= F.col("own")).cast("int")).alias("part"), "sid", asks.alias("ask"), "doc_id",
         F.when(~asks | (F.col("at") == F.col("shard")), F.col("copies")).alias("held")).withColumnRenamed("place", "shard")
     rows = _only_members(texts, members).join(dealt, "doc_id").select("block", "shard", "part", "sid", "ask", "text", "held")
-
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -582,12 +578,11 @@ def _every_link(docs: DataFrame, text: str, doc_id: str, n_words: int, percent:
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
-        for _, those, ask, held in _tasks(batches, n_words):
+        for key, those, ask, held in _tasks(batches, n_words):
             sids = sorted(those)
             block = Block([those[s] for s in sids], percent)
-            for i, s in enumerate(sids):
-                if s in ask:
-                    out += emit(s, [y for y in (sids[j] for j in block.links(i)) if y in held], held)
+            for row in emit(key[0], ((s, [sids[j] for j in block.links(i)]) for i, s in enumerate(sids) if s in ask), held):
+                out.append(row)
                 if len(out) >= SLICE:
                     yield batch()
                     out = []
@@ -595,8 +590,12 @@ def _every_link(docs: DataFrame, text: str, doc_id: str, n_words: int, percent:
             yield batch()
 
     keys = ["block", "shard", "part"]
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema), sets, reps
+    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _parts(members: DataFrame, asked: int) -> DataFrame:
+    return members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / asked).cast("int").alias("parts"))
 
 
 def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
@@ -606,28 +605,56 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words:
     Rows with equal sets are one here. The result and the work grow with the number of links, which is the
     square of a group of different near copies.
     """
-    def emit(sid: int, linked: list[int], held: dict[int, int]) -> list[tuple[int, ...]]:
-        return [(sid, y) for y in linked if y > sid]
+    texts, _, _, members = _blocks(docs, text, doc_id, n_words, percent, block_shingles)
 
-    return _every_link(docs, text, doc_id, n_words, percent, block_shingles, asked, emit, "u long, v long")[0]
+    def emit(block: int, linked, held: dict[int, int]) -> Iterator[tuple[int, ...]]:
+        return ((sid, y) for sid, ys in linked for y in ys if y > sid and y in held)
 
+    return _every_link(texts, members, n_words, percent, asked, emit, "u long, v long")
 
-def link_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
-                block_shingles: int = BLOCK_SHINGLES, asked: int = ASKED) -> DataFrame:
-    """doc_id, n_links (other rows that the row links to, copies included) and n_sets (different sets it links to) of every row.
 
-    Links are counted where they are found and not returned, so the result has a row a document. Rows that
-    take no part in links have 0.
+def join_counted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
+                 block_shingles: int = BLOCK_SHINGLES, asked: int = ASKED) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links and n_linked_sets of every row of ``docs``.
+
+    n_links: the other rows that the row links to, copies included; n_linked_sets: the different sets among
+    them. Links are counted and joined where they are found, so a task returns rows of its sets, not of its
+    links. Rows that take no part in links have 0.
     """
-    def emit(sid: int, linked: list[int], held: dict[int, int]) -> list[tuple[int, ...]]:
-        return [(sid, len(linked), sum(held[y] for y in linked))] if linked else []
-
-    found, sets, reps = _every_link(docs, text, doc_id, n_words, percent, block_shingles, asked, emit, "sid long, n_sets long, n_rows long")
-    found = found.groupBy("sid").agg(F.sum("n_sets").alias("n_sets"), F.sum("n_rows").alias("n_rows"))
-    counted = reps.join(found, "sid", "left").select(
-        F.col("sid").alias("set_id"), F.coalesce("n_sets", F.lit(0)).alias("n_sets"), (F.coalesce("n_rows", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    got = sets.join(counted, sets["sid"] == counted["set_id"], "left")
-    return got.select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_sets", F.lit(0)).cast("long").alias("n_sets"))
+    texts, sets, reps, members = _blocks(docs, text, doc_id, n_words, percent, block_shingles)
+
+    def emit(block: int, linked, held: dict[int, int]) -> Iterator[tuple[int, ...]]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = x = root[up]
+            return x
+
+        count = {}
+        for sid, ys in linked:
+            for y in ys:
+                a, b = find(sid), find(y)
+                root[max(a, b)] = min(a, b)
+            near = [held[y] for y in ys if y in held]
+            count[sid] = len(near), sum(near)
+        return ((block, s, find(s), *count.get(s, (0, 0))) for s in root)
+
+    found = saved(_every_link(texts, members, n_words, percent, asked, emit, "block long, sid long, root long, n_sets long, n_rows long"), "join-counted")
+    counted = found.groupBy("sid").agg(F.sum("n_sets").alias("n_sets"), F.sum("n_rows").alias("n_rows"), F.min("root").alias("root"))
+    several = members.join(_parts(members, asked), "block").filter("shards * parts > 1").select("block").distinct()
+    edges = saved(found.join(several, "block", "left_semi").select(F.col("sid").alias("u"), F.col("root").alias("v")), "join-edges")
+    if not edges.isEmpty():  # blocks of several tasks
+        whole = components(edges, "join-components").select(F.col("node").alias("sid"), F.col("root").alias("whole"))
+        counted = counted.join(whole, "sid", "left").withColumn("root", F.coalesce("whole", "root")).drop("whole")
+    named = reps.join(counted, "sid", "left").select(
+        "sid", "doc_id", F.coalesce("root", "sid").alias("root"), F.coalesce("n_sets", F.lit(0)).alias("n_linked_sets"),
+        (F.coalesce("n_rows", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = named.join(least, "root").select(F.col("sid").alias("set_id"), "component_id", "n_links", "n_linked_sets")
+    got = sets.join(named, sets["sid"] == named["set_id"], "left")
+    return got.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                      *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_links", "n_linked_sets")))
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:

@@ -20,8 +20,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = ngram_join.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return got.select("doc_id", "n_shingles", "component_id")
+    got = ngram_join.join_counted(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

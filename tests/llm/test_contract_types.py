@@ -6,7 +6,7 @@ from curbwise.llm import queries
 
 L, S, D, B, I = "bigint", "string", "double", "boolean", "int"  # noqa: E741
 CONTRACT = {
-    "op1_": {"doc_id": L, "n_shingles": L, "component_id": L},
+    "op1_": {"doc_id": L, "n_shingles": L, "component_id": L, "n_links": L},
     "op2_": {"conv_id": L, "n_turns": L, "turns_sha256": S, "loss_chars": L, "loss_sha256": S, "formatted_chars": L},
     "op3_": {"page_id": L, "host": S, "path": S, "rule": S, "verdict": S},
     "op4_": {"query_id": L, "rank": I, "vec_id": L, "score": D},

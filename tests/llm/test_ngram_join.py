@@ -91,9 +91,11 @@ def test_every_link_is_counted_and_returned(spark, options):
     rows = [(i, edit(rng, base, rng.choice([0, 1, 2, 3, 6, 9]))) for i in range(70)] + corpus(4, 6)
     counts, pairs = brute_links(rows)
     df = clashing(documents(spark, rows))
-    got = J.link_counts(df, **options)
-    assert got.dtypes == [("doc_id", "bigint"), ("n_links", "bigint"), ("n_sets", "bigint")]
-    assert Counter(map(tuple, got.collect())) == counts
+    got = J.join_counted(df, **options)
+    assert got.dtypes == [(c, "bigint") for c in ("doc_id", "n_shingles", "component_id", "n_links", "n_linked_sets")]
+    got = got.collect()
+    assert Counter((r["doc_id"], r["n_links"], r["n_linked_sets"]) for r in got) == counts
+    assert Counter(tuple(r)[:3] for r in got) == brute(rows)
     import pyarrow as pa
 
     name = {J.set_id(x): frozenset(shingles(r[1])) for r, x in zip(rows, J.shingle_sets(pa.array([r[1] for r in rows], pa.string()))) if len(x)}
@@ -103,7 +105,7 @@ def test_every_link_is_counted_and_returned(spark, options):
 
 
 def test_links_of_an_empty_table(spark):
-    assert J.links(documents(spark, [])).count() == 0 == J.link_counts(documents(spark, [])).count()
+    assert J.links(documents(spark, [])).count() == 0 == J.join_counted(documents(spark, [])).count()
 
 
 def test_block_search_finds_every_link():
@@ -167,4 +169,4 @@ def test_one_of_each_component_stays(spark):
 def test_query_and_empty_table(spark, tmp_path):
     assert queries.op1_ngram_jaccard_join(spark, sf(tmp_path / "a", documents=documents(spark, []))).count() == 0
     d = sf(tmp_path / "b", documents=documents(spark, [(4, "a b c d e f"), (2, "A b c d e f"), (9, None)]))
-    assert sorted(map(tuple, queries.op1_ngram_jaccard_join(spark, d).collect())) == [(2, 2, 2), (4, 2, 2), (9, 0, 9)]
+    assert sorted(map(tuple, queries.op1_ngram_jaccard_join(spark, d).collect())) == [(2, 2, 2, 1), (4, 2, 2, 1), (9, 0, 9, 0)]
