@@ -67,7 +67,7 @@ CHUNK_ENTRIES = 4_000_000
 SLICE = 1 << 16
 BLOCK_SHINGLES = 3_000_000
 CENTRES = 4
-ASKED = 1 << 10
+ASKED = 1 << 8
 FILTER_BITS = 1 << 26
 _ENTRIES = "kind int, bucket int, a binary, b binary"
 _LISTS = "sid long, df int, hash long, pivot long"
