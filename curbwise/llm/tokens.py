@@ -5,9 +5,9 @@ punctuation, a text's ids are the ids of its words one after another. The words
 of a batch of texts are made distinct first, then their units (a lower-cased
 word without its trailing punctuation, and that punctuation). A worker process
 keeps the ids of units it has met, so only new ones go through the library;
-the ids of the texts are then gathered in whole arrays. The store is bounded
-and starts anew when full, which costs time only. ``tests/llm`` compares the
-result with the library on whole texts.
+the ids of the texts are then gathered in whole arrays. The store is bounded; when
+full it keeps the units of the texts at hand and forgets the others, which costs
+time only. ``tests/llm`` compares the result with the library on whole texts.
 
 Cases: a null or empty text has no ids but the end id, where one is given; a very
 long text is encoded whole, in a slice of its own if need be; repeated rows are encoded
@@ -20,13 +20,14 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN_UNITS = 2_000_000
-BATCH_BYTES = 8 << 20
+KNOWN_UNITS = 250_000
+BATCH_BYTES = 4 << 20
 DEFAULT_FILE = "word_bpe_49k.json"
 END_ID = 2
 #: ASCII punctuation that ends a run of letters; the apostrophe may begin a contraction.
@@ -60,14 +61,19 @@ class _Units:
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
         self._known = pa.array([], pa.large_string())
         self._ids = np.empty(0, np.uint32)
         self._starts = np.empty(0, np.int64)
         self._sizes = np.empty(0, np.int64)
 
+    def _keep(self, at: pa.Array) -> None:
+        """Forgets all units but those at the places ``at``."""
+        self._known = self._known.take(at)
+        at = at.to_numpy()
+        self._ids = _gather(self._ids, self._starts[at], self._sizes[at])
+        self._sizes = self._sizes[at]
+        self._starts = np.cumsum(self._sizes) - self._sizes
+
     def _encode(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The units in the order they were encoded, all their ids, and the number of ids of each."""
         runs, rest, order, ids, sizes = [], [], [], [], []
@@ -83,16 +89,18 @@ class _Units:
             order += some
             ids.append(np.asarray(got.ids, np.uint32))
             sizes.append(np.bincount(at, minlength=len(some)))
-        got = self._tok.encode_batch_fast(rest, add_special_tokens=False)
-        ids += [np.asarray(e.ids, np.uint32) for e in got]
-        sizes.append(np.array([len(e.ids) for e in got], np.int64))
-        return order + rest, np.concatenate(ids or [np.empty(0, np.uint32)]), np.concatenate(sizes)
+        for i in range(0, len(rest), _AT_ONCE):  # the library's results are many times larger than the ids
+            got = [e.ids for e in self._tok.encode_batch_fast(rest[i:i + _AT_ONCE], add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(got), np.uint32))
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+        return order + rest, np.concatenate(ids or [np.empty(0, np.uint32)]), np.concatenate(sizes or [np.empty(0, np.int64)])
 
     def find(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the ids of distinct ``units`` are: all ids, first position and number of each."""
-        if len(self._known) + len(units) > KNOWN_UNITS:
-            self._forget()
         at = pc.index_in(units, value_set=self._known)
+        if at.null_count and len(self._known) + at.null_count > KNOWN_UNITS:
+            self._keep(at.drop_null())
+            at = pc.index_in(units, value_set=self._known)
         if at.null_count:
             names, ids, sizes = self._encode(units.filter(pc.is_null(at)).to_pylist())
             self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(sizes) - sizes])
@@ -168,6 +176,7 @@ class WordEncoder:
             if b > a:
                 rows = batch.slice(a, b - a)
                 yield rows, *self.encode(rows.column(text))
+                pa.default_memory_pool().release_unused()  # else a worker process keeps its largest slice's memory
 
 
 def crc(ids: np.ndarray) -> int:

@@ -36,6 +36,32 @@ def test_ids_equal_the_library_in_slices_of_batches():
     assert got == library(texts[3:])
 
 
+def test_the_store_of_units_and_the_library_results_stay_bounded(monkeypatch):
+    import pyarrow as pa
+
+    import curbwise.llm.tokens as tokens
+
+    monkeypatch.setattr(tokens, "KNOWN_UNITS", 400)
+    monkeypatch.setattr(tokens, "_AT_ONCE", 50)
+    monkeypatch.setattr(tokens, "_BY_PATH", {})
+    encoder = WordEncoder(default_path())
+    units, at_once = encoder._units, []
+
+    class Spy:
+        def __init__(self, tok):
+            self.encode = tok.encode
+            self.encode_batch_fast = lambda some, **kw: at_once.append(len(some)) or tok.encode_batch_fast(some, **kw)
+
+    units._tok = Spy(units._tok)
+    # 200 units are in every batch, beside 150 of its own: a store that forgets all would encode them again
+    texts = [[" ".join(f"u{i}" for i in range(200)), " ".join(f"v{b}x{i}" for i in range(150))] for b in range(6)]
+    for some in texts:
+        ids, bounds = encoder.encode(pa.array(some))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == library(some)
+        assert len(units._known) <= 400 and len(units._starts) == len(units._sizes) == len(units._known)
+    assert max(at_once) <= 50 and sum(at_once) <= 200 + 6 * 150 + 1
+
+
 def huffman_cost(counts):
     import heapq
 
