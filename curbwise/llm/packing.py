@@ -29,6 +29,8 @@ from curbwise.llm.tokens import END_ID, WordEncoder, crc, default_path
 
 CAPACITY = 4096
 SALTS = 64
+#: Text encoded at once; smaller slices than elsewhere, since the pipeline's earlier stages have filled their executors.
+SLICE_BYTES = 4 << 20
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PLACED = _PIECE + ", sequence_id long, offset long"
 _RANK_BITS = 44
@@ -43,7 +45,7 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenize
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path, end_id)
         for batch in batches:
-            for rows, ids, bounds in encoder.batches(batch, 1):
+            for rows, ids, bounds in encoder.batches(batch, 1, SLICE_BYTES):
                 total = np.diff(bounds)
                 each = -(-total // capacity)  # pieces of each text
                 row = np.repeat(np.arange(len(total)), each)
@@ -55,6 +57,7 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenize
                     [rows.column(0).take(pa.array(row)), pa.array(start), pa.array(length, pa.int64()),
                      pa.array(sums, pa.int64()), pa.array(total[row])],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                pa.default_memory_pool().release_unused()  # else a worker process keeps its largest slice's memory
 
     picked = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     return picked.mapInArrow(cut, _PIECE)

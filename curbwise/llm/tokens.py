@@ -26,8 +26,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KNOWN_UNITS = 250_000
-BATCH_BYTES = 4 << 20
+KNOWN_UNITS = 500_000
+BATCH_BYTES = 8 << 20
 DEFAULT_FILE = "word_bpe_49k.json"
 END_ID = 2
 #: ASCII punctuation that ends a run of letters; the apostrophe may begin a contraction.
@@ -167,16 +167,16 @@ class WordEncoder:
             bounds = bounds + np.arange(len(bounds))
         return flat.astype("<u4", copy=False), bounds
 
-    def batches(self, batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-        """(rows, ids, bounds) of slices of ``batch`` with about ``BATCH_BYTES`` of text each."""
+    def batches(self, batch: pa.RecordBatch, text: int,
+                at_once: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+        """(rows, ids, bounds) of slices of ``batch`` with about ``at_once`` (``BATCH_BYTES``) bytes of text each."""
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        group = np.cumsum(size, dtype=np.int64) // BATCH_BYTES
+        group = np.cumsum(size, dtype=np.int64) // (at_once or BATCH_BYTES)
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 rows = batch.slice(a, b - a)
                 yield rows, *self.encode(rows.column(text))
-                pa.default_memory_pool().release_unused()  # else a worker process keeps its largest slice's memory
 
 
 def crc(ids: np.ndarray) -> int:
