@@ -5,13 +5,15 @@ of the sentencepiece library; A sees a space in front of the text, which B adds
 itself. For each text the cumulative byte ends of B's tokens go into a dictionary
 from end to index, those of A into another; the ends both know, sorted, cut the
 two id lists into groups. The links of a group are the pairs of an A and a B
-token whose byte ranges overlap: all pairs where one side is a single token, a
-walk over both sides otherwise.
+token whose byte ranges overlap: the start and the end of each A token are searched
+among the ends and the starts of B's.
 
 Neither tokenizer has tokens that go over a single space between two words into the
 next word (for the piece model its file is looked through; if one did, a text would
 be one unit), so texts are cut there and each distinct unit is aligned once while a
-worker process remembers it. Tests compare with the libraries on whole texts.
+worker process remembers it. Tests compare with the libraries on whole texts. What it
+remembers lies in a few arrays and is bounded; when full it keeps the units of the
+texts at hand and forgets the others, which costs time only.
 
 How many links hold a pair of ids is counted over the whole corpus. Documents are
 aligned in blocks of ``BLOCK_BYTES`` of text; a block has a dictionary of its
@@ -32,7 +34,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,16 +43,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from curbwise.llm.common import saved, ship
+from curbwise.llm.tokens import _gather
 
 BYTE_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20
-KNOWN_CHARS = 4 << 20
+KNOWN_CHARS = 2 << 20
 _AT_ONCE = 5_000
-_PART_CHARS = 1 << 20
-#: A space between characters that no tokenizer counts as white space.
-_SHOWN = r"[^\s\x00-\x20\x7f-\xa0\u180e\u200b]"
-_CUT, _PRINTING = re.compile(f"(?<={_SHOWN}) (?={_SHOWN})"), re.compile(_SHOWN).match
+#: Characters that a tokenizer may count as white space; all others are printing.
+_HIDDEN = re.compile(r"[\s\x00-\x20\x7f-\xa0\u180e\u200b]")
 _B_BITS = 32  # a pair of ids as one long: A's id above B's
 
 GROUPS = "doc_id long, a_ids array<int>, b_ids array<int>, a_ends array<int>, b_ends array<int>"
@@ -94,14 +94,51 @@ class Tokenizers:
         self.a_size, self.b_size = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
         # printed ids: A's in a group, A's last of a group, then the same of B's
         self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
-        self.marked = [f"{i}{mark}" for n, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for mark in marks for i in range(n)]
+        marked = (f"{i}{mark}" for n, marks in ((self.n_a, ",|"), (self.n_b, ",;")) for mark in marks for i in range(n))
+        self.marked = pa.array(marked, pa.large_string())
         pieces = map(self._b.id_to_piece, range(len(self.b_bytes)))
         self._apart = not any(re.search("[^▁]▁", p) for p in pieces)  # no piece goes over a space into the next word
+        every = np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        self._printing = np.ones(len(every), bool)
+        self._printing[[ord(c) for c in _HIDDEN.findall(every)]] = False
 
     def units(self, text: str) -> list[str]:
         """The text cut at single spaces between printing characters; a space before each and
         their tokens one after another are the text's."""
-        return _CUT.split(text) if self._apart and text else [text][:len(text)]
+        return self.cut(pa.array([text], pa.large_string()))[0].to_pylist()
+
+    def cut(self, texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """The units of all texts (none of them null), one text after another, and the n + 1 bounds of each text's."""
+        bounds, data = _buffers(texts)
+        cuts = self._spaces(data)
+        gap = np.zeros(len(data), bool)
+        gap[cuts] = True
+        gap[bounds[bounds < len(data)]] = gap[bounds[bounds > 0] - 1] = False  # beside another text
+        cuts, body = np.flatnonzero(gap), data[~gap]
+        bounds = bounds - np.searchsorted(cuts, bounds)
+        ends = np.sort(np.concatenate([cuts - np.arange(len(cuts)), bounds]))
+        ends = ends[np.diff(ends, prepend=-1) > 0]  # an empty text has no unit
+        return _strings(ends, body), np.searchsorted(ends, bounds)
+
+    def _spaces(self, data: np.ndarray) -> np.ndarray:
+        """Where in a text's bytes single spaces between printing characters are."""
+        if not self._apart or len(data) < 3:
+            return np.zeros(0, np.int64)
+        plain = data.max() < 0x80
+        points = data if plain else np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        shown = self._printing[points]
+        at = 1 + np.flatnonzero((points[1:-1] == 32) & shown[:-2] & shown[2:])
+        return at if plain else np.flatnonzero((data & 0xC0) != 0x80)[at]
+
+    def printing(self, units: pa.LargeStringArray) -> np.ndarray:
+        """Whether the first and the last character of each unit are printing."""
+        bounds, data = _buffers(units)
+        first, last = data[bounds[:-1]], data[bounds[1:] - 1]
+        out = self._printing[first] & self._printing[last]
+        for i in np.flatnonzero((first >= 0x80) | (last >= 0x80)).tolist():
+            unit = units[i].as_py()
+            out[i] = self._printing[ord(unit[0])] and self._printing[ord(unit[-1])]
+        return out
 
     def _piece(self, i: int) -> bytes:
         if self._b.is_byte(i):
@@ -130,30 +167,14 @@ class Alignment:
         self.b_cut = np.array([0, *map(b_at.__getitem__, self.common)], np.int64)
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes of the linked A and B tokens, in order of A's."""
-        n_a, n_b = np.diff(self.a_cut), np.diff(self.b_cut)
-        single = (n_a == 1) | (n_b == 1)
-        pairs = np.where(single, n_a * n_b, 0)
-        of = np.repeat(np.arange(len(pairs)), pairs)
-        turn = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
-        left, right = self.a_cut[of] + turn // n_b[of], self.b_cut[of] + turn % n_b[of]
-        more = [link for g in np.flatnonzero(~single).tolist() for link in self._walk(g)]
-        if more:
-            left, right = (np.concatenate([x, y]) for x, y in zip((left, right), np.array(more, np.int64).T))
-            order = np.argsort(left, kind="stable")
-            left, right = left[order], right[order]
-        return left, right
-
-    def _walk(self, g: int) -> Iterator[tuple[int, int]]:
-        """Links of a group with several tokens on both sides: the side that ends first goes on."""
-        i, j, stop = int(self.a_cut[g]), int(self.b_cut[g]), self.a_cut[g + 1]
-        while i < stop:  # both sides end together
-            yield i, j
-            a_end, b_end = self.a_end[i], self.b_end[j]
-            i += int(a_end <= b_end)
-            j += int(b_end <= a_end)
-
-    def printed(self) -> list[str]:
+        """Indexes of the linked A and B tokens, in order of A's: from the first token of B that
+        ends behind the start of A's to the last that starts before its end."""
+        a_start, b_start = self.a_end - self._known.a_size[self.a], self.b_end - self._known.b_size[self.b]
+        first = np.searchsorted(self.b_end, a_start, "right")
+        n = np.searchsorted(b_start, self.a_end, "left") - first
+        return np.repeat(np.arange(len(n)), n), np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+
+    def printed(self) -> pa.LargeStringArray:
         """``a1,`` ``a2|`` ``b1;`` ...: the groups' ids in order, each with the mark after it."""
         known = self._known
         last_a, last_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
@@ -161,7 +182,7 @@ class Alignment:
         line = np.empty(len(self.a) + len(self.b), np.int64)
         line[np.arange(len(self.a)) + np.repeat(self.b_cut[:-1], np.diff(self.a_cut))] = self.a + last_a * known.n_a
         line[np.arange(len(self.b)) + np.repeat(self.a_cut[1:], np.diff(self.b_cut))] = self.b + last_b * known.n_b + 2 * known.n_a
-        return list(map(known.marked.__getitem__, line.tolist()))
+        return known.marked.take(pa.array(line))
 
 
 class Units:
@@ -169,71 +190,74 @@ class Units:
 
     def __init__(self, paths: tuple[str, str]):
         self.known = Tokenizers(paths)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._index: dict[str, int] = {}
-        self._chars = 0
-        self._shape = array("q")  # tokens of A and B, groups, links of each unit
-        self._codes = array("q")  # linked pairs of ids, a code per link, unit after unit
-        self.printed: list[str] = []
+        self._names = self._printed = pa.array([], pa.large_string())  # a unit's groups, a mark after the last too
+        self._shape = np.empty((0, 4), np.int32)  # tokens of A and B, groups, links of each unit; zeros where the bytes do not come back
+        self._codes = np.empty(0, np.int64)  # linked pairs of ids, a code per link, unit after unit
 
     def of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of A and B, groups and links of each of ascending ``units``, and the codes of all their links."""
-        shape, codes = np.frombuffer(self._shape, np.int64).reshape(-1, 4), np.frombuffer(self._codes, np.int64)
-        if not len(units):
-            return shape[:0], codes[:0]
-        ends = np.cumsum(shape[:, 3])[units]
-        size = shape[units, 3]
-        return shape[units], codes[np.repeat(ends - np.cumsum(size), size) + np.arange(int(size.sum()))]
-
-    def numbers(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The units of each text, in order; none where a tokenizer does not give the text back.
-        They hold until the next call."""
-        if self._chars > KNOWN_CHARS:
-            self._forget()
-        part, held = [], 0
-        for text in texts:
-            part.append(text)
-            held += len(text)
-            if held >= _PART_CHARS:
-                yield from self._numbers(part)
-                part, held = [], 0
-        yield from self._numbers(part)
-
-    def _numbers(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [self.known.units(t) for t in texts]
-        new = {u for units in split for u in units}.difference(self._index)
-        whole = [u for u in new if _PRINTING(u[0]) and _PRINTING(u[-1])]
-        for a in range(0, len(whole), _AT_ONCE):
-            self._add(whole[a:a + _AT_ONCE])
-        for unit in new.difference(whole):  # begins or ends with white space, so nothing can be beside it
-            self._add([unit])
-        for units in split:
-            row = np.fromiter(map(self._index.__getitem__, units), np.int32, len(units))
-            yield row if (row >= 0).all() else row[:0]
-
-    def _add(self, units: list[str]) -> None:
-        """Aligns the units as one text, a space before each."""
-        self._chars += sum(map(len, units))
+        """Tokens of A and B, groups and links of each of ``units``, and the codes of all their links."""
+        size = self._shape[:, 3].astype(np.int64)
+        return self._shape[units].astype(np.int64), _gather(self._codes, (np.cumsum(size) - size)[units], size[units])
+
+    def printed(self, units: np.ndarray) -> np.ndarray:
+        """The groups of ``units`` as the bytes of a text."""
+        return _buffers(self._printed.take(pa.array(units)))[1][:-1]
+
+    def numbers(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The units of all texts, one text after another, and the n + 1 bounds of each text's; none
+        where a tokenizer does not give the text back. They hold until the next call."""
+        units, bounds = self.known.cut(texts)
+        units = units.dictionary_encode()
+        at = self._places(units.dictionary)
+        row = at[units.indices.to_numpy()]
+        whole = np.diff(np.concatenate([[0], np.cumsum(self._shape[row, 0] == 0)])[bounds]) == 0
+        n = np.diff(bounds)
+        return row[np.repeat(whole, n)], np.concatenate([[0], np.cumsum(n * whole)])
+
+    def _places(self, units: pa.LargeStringArray) -> np.ndarray:
+        """The numbers of different ``units``; those not known yet are aligned."""
+        found = pc.index_in(units, value_set=self._names)
+        new, at = pc.is_null(found).to_numpy(zero_copy_only=False), pc.fill_null(found, 0).to_numpy().copy()
+        if new.any():
+            if (pc.sum(pc.utf8_length(self._names)).as_py() or 0) > KNOWN_CHARS:
+                at[~new] = self._keep(at[~new])
+            at[new] = self._learn(units.filter(pa.array(new)))
+        return at
+
+    def _keep(self, at: np.ndarray) -> np.ndarray:
+        """Forgets all units but those at the different places ``at``; their new places."""
+        shape, self._codes = self.of(at)
+        self._shape, at = shape.astype(np.int32), pa.array(at)
+        self._names, self._printed = self._names.take(at), self._printed.take(at)
+        return np.arange(len(at))
+
+    def _learn(self, units: pa.LargeStringArray) -> np.ndarray:
+        """Aligns units not known yet; their places."""
+        known, inside = len(self._names), self.known.printing(units)
+        whole, rest = (units.filter(pa.array(x)).to_pylist() for x in (inside, ~inside))
+        got = [part for i in range(0, len(whole), _AT_ONCE) for part in self._aligned(whole[i:i + _AT_ONCE])]
+        for unit in rest:  # begins or ends with white space, so nothing can be beside it
+            got += self._aligned([unit])
+        shapes, codes, printed = zip(*got)
+        self._names = pa.concat_arrays([self._names, pa.array(whole + rest, pa.large_string())])
+        self._shape, self._codes = np.concatenate([self._shape, *shapes]), np.concatenate([self._codes, *codes])
+        self._printed = pa.concat_arrays([self._printed, *printed])
+        return known + np.where(inside, np.cumsum(inside), len(whole) + np.cumsum(~inside)) - 1
+
+    def _aligned(self, units: list[str]) -> list[tuple[np.ndarray, np.ndarray, pa.LargeStringArray]]:
+        """Shapes, codes and printed groups of the units, aligned as one text with a space before each."""
         (a, b), = self.known.encode([" ".join(units)])
+        if not a and len(units) == 1:
+            return [(np.zeros((1, 4), np.int32), np.empty(0, np.int64), pa.array([""], pa.large_string()))]
         if not a:
-            if len(units) == 1:
-                self._index[units[0]] = -1
-            else:
-                for half in (units[:len(units) // 2], units[len(units) // 2:]):
-                    self._add(half)
-            return
+            return [part for half in (units[:len(units) // 2], units[len(units) // 2:]) for part in self._aligned(half)]
         got = Alignment(a, b, self.known)
         ends = np.cumsum([1 + len(u.encode()) for u in units])
         cuts = [np.searchsorted(x, ends, "right") for x in (got.a_end, got.b_end, got.common)]
         left, right = got.links()
-        codes, at = (got.a[left] << _B_BITS) + got.b[right], np.searchsorted(left, cuts[0])
-        self._index.update(zip(units, range(len(self.printed), len(self.printed) + len(units))))
-        self._shape.frombytes(np.ascontiguousarray(np.diff(np.stack([*cuts, at]), prepend=0).T.astype(np.int64)).tobytes())
-        self._codes.frombytes(codes.tobytes())
-        marked, said = got.printed(), [0, *(cuts[0] + cuts[1]).tolist()]
-        self.printed += ["".join(marked[i:j])[:-1] for i, j in zip(said, said[1:])]
+        shape = np.diff(np.stack([*cuts, np.searchsorted(left, cuts[0])]), prepend=0).T.astype(np.int32)
+        bounds, marked = _buffers(got.printed())
+        return [(shape, (got.a[left] << _B_BITS) + got.b[right], _strings(bounds[np.concatenate([[0], cuts[0] + cuts[1]])], marked))]
 
 
 @lru_cache(maxsize=2)
@@ -241,20 +265,34 @@ def _units(paths: tuple[str, str]) -> Units:
     return Units(paths)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[str]]]:
-    """doc_ids and texts of consecutive rows of about ``limit`` bytes of text."""
-    ids, texts, held = [], [], 0
+def _buffers(strings: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The n + 1 bounds of the strings' bytes, and these bytes."""
+    bounds = np.frombuffer(strings.buffers()[1] or bytes(8), np.int64)[strings.offset:strings.offset + len(strings) + 1]
+    return bounds - bounds[0], np.frombuffer(strings.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+
+
+def _strings(bounds: np.ndarray, data: np.ndarray) -> pa.LargeStringArray:
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def _slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Array, pa.LargeStringArray]]:
+    """doc_ids and texts (null: empty) of consecutive rows of about ``limit`` bytes of text."""
+    parts, held = [], 0
     for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-        for doc_id, text, n in zip(batch.column(0).to_pylist(), batch.column(1), size):
+        size, begun = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), 0
+        for i, n in enumerate(size):
             if held and held + n > limit:
-                yield ids, texts
-                ids, texts, held = [], [], 0
-            ids.append(doc_id)
-            texts.append(text.as_py() or "")
+                yield _rows([*parts, batch.slice(begun, i - begun)])
+                parts, held, begun = [], 0, i
             held += n
-    if ids:
-        yield ids, texts
+        parts.append(batch.take(pa.array(np.arange(begun, batch.num_rows))))  # a slice would hold the whole batch
+    if any(part.num_rows for part in parts):
+        yield _rows(parts)
+
+
+def _rows(parts: list[pa.RecordBatch]) -> tuple[pa.Array, pa.LargeStringArray]:
+    texts = pa.concat_arrays([part.column(1).cast(pa.large_string()) for part in parts])
+    return pa.concat_arrays([part.column(0) for part in parts]), pc.fill_null(texts, "")
 
 
 def _picked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -269,9 +307,9 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", paths: t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _slices(batches, BLOCK_BYTES):
             known = _units(paths).known
-            got = [Alignment(a, b, known) for a, b in known.encode(texts)]
+            got = [Alignment(a, b, known) for a, b in known.encode(texts.to_pylist())]
             lists = ([x.a for x in got], [x.b for x in got], [x.a_cut[1:] for x in got], [x.b_cut[1:] for x in got])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(x, pa.list_(pa.int32())) for x in lists)],
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(x, pa.list_(pa.int32())) for x in lists)],
                                              ["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"])
 
     return _picked(docs, text, doc_id).mapInArrow(run, GROUPS)
@@ -281,25 +319,27 @@ def _lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.List
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
 
-def _block(ids: list, texts: list[str], units: Units, number: int) -> pa.RecordBatch:
+def _block(ids: pa.Array, texts: pa.LargeStringArray, units: Units, number: int) -> pa.RecordBatch:
     """A row per document with its distinct units; the first row also has the block's dictionary:
     the distinct pairs of ids with their counts, and the pairs of each distinct unit."""
-    rows = list(units.numbers(texts))
-    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-    used, local = np.unique(np.concatenate(rows), return_inverse=True)
+    rows, ends = units.numbers(texts)
+    shown = [hashlib.sha256(units.printed(rows[a:b])).hexdigest() if b > a else "" for a, b in zip(ends.tolist(), ends[1:].tolist())]
+    used, local = np.unique(rows, return_inverse=True)
     shape, codes = units.of(used)
-    totals = np.diff(np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(shape[local], axis=0)])[ends], axis=0)
+    totals = np.stack([np.diff(np.concatenate([[0], np.cumsum(x[local])])[ends]) for x in shape.T])
     pairs, slot = np.unique(codes, return_inverse=True)
     n_links = shape[:, 3]
     count = np.bincount(slot, np.repeat(np.bincount(local, minlength=len(used)), n_links), len(pairs)).astype(np.int64)
-    own = [np.unique(local[a:b], return_counts=True) for a, b in zip(ends, ends[1:])]
-    bounds = np.concatenate([[0], np.cumsum([len(u) for u, _ in own])])
-    shown = [hashlib.sha256(";".join(map(units.printed.__getitem__, r.tolist())).encode()).hexdigest() if len(r) else "" for r in rows]
+    lines = np.arange(len(ids) + 1) * len(used)  # a document's units are the numbers from its line to the next
+    own, times = np.unique(np.repeat(lines[:-1], np.diff(ends)) + local, return_counts=True)
+    bounds = np.searchsorted(own, lines)
+    steps = np.diff(own, prepend=0)
+    begins = bounds[:-1][np.diff(bounds) > 0]
+    steps[begins] = own[begins] - lines[:-1][np.diff(bounds) > 0]
     first = np.arange(len(ids) + 1) > 0
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(ids), number)), pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in totals.T), pa.array(shown),
-         _lists(np.concatenate([np.diff(u, prepend=0) for u, _ in own]), bounds, pa.int32()),
-         _lists(np.concatenate([n for _, n in own]), bounds, pa.int32()),
+        [pa.array(np.full(len(ids), number)), ids, *(pa.array(c, pa.int64()) for c in totals), pa.array(shown),
+         _lists(steps, bounds, pa.int32()), _lists(times, bounds, pa.int32()),
          _lists(n_links, first * len(used), pa.int32()), _lists(slot, first * len(slot), pa.int32()),
          _lists(pairs, first * len(pairs), pa.int64()), _lists(count, first * len(pairs), pa.int64()),
          pa.array(np.arange(len(ids)) == 0)],
@@ -316,6 +356,7 @@ def _aligned(docs: DataFrame, text: str, doc_id: str, paths: tuple[str, str] | N
         for ids, texts in _slices(batches, BLOCK_BYTES):
             yield _block(ids, texts, _units(paths), number)
             number += 1
+            pa.default_memory_pool().release_unused()  # else a worker process keeps its largest block's memory
 
     return saved(_picked(docs, text, doc_id).mapInArrow(run, _ALIGNED), "aligned")
 
