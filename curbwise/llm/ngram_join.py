@@ -18,12 +18,16 @@ links. Steps:
    Of the others, dropping the l - 1 longest lists loses no link (long lists
    are only probed, never merged), and each remaining short list is a star
    from its smallest sid (from a node of its own, if it is long). Connected components of the stars are ``blocks``:
-   every link lies inside one block.
+   every link lies inside one block. The sentences that the texts of a large corpus have in common put sets into one
+   large block that link with none of it. The sets of blocks above ``WHOLE`` sets are therefore listed again with all of
+   their shingles, block by block: there a set is on T lists of its block at least, and the T - 1 longest are dropped.
 4. The texts of blocks (not of single sets, which a bit set keeps out of the
    shuffle) are read again and searched block by block with whole sets:
    DivideSkip merges the short lists of a query with a heap, skips ahead where
    too few entries remain, and finds the counts of the surviving candidates in
-   the long lists by binary search.
+   the long lists by binary search. Where the short lists are so dense that a
+   heap has nothing to skip (near copies), their entries are counted in arrays,
+   and so are those of the long lists for more than a few candidates.
    A set that an earlier query retrieved asks nothing itself unless a second
    pass needs it: all sets outside a block's largest component are queries, and
    any link between components has an end among them.
@@ -34,8 +38,9 @@ links. Steps:
    a shard and a part.
 
 ``links`` and ``join_counted`` find every link between different sets: there each
-set of a block asks, in parts of ``ASKED`` queries, so a large group of near
-copies is many tasks.
+set of a block asks, in parts of ``ASKED`` queries or more: ``PARTS`` parts, but none
+of more than a third of a shard. So a large group of near copies is many tasks, and
+a set is sent to one task of each part of its block and one of each shard at most.
 
 All bounds above only place the work; no pair is skipped by them.
 
@@ -68,6 +73,9 @@ SLICE = 1 << 16
 BLOCK_SHINGLES = 3_000_000
 CENTRES = 4
 ASKED = 1 << 8
+PARTS = 16
+WHOLE = 1 << 10
+DENSE = 1 << 10
 FILTER_BITS = 1 << 26
 _ENTRIES = "kind int, bucket int, a binary, b binary"
 _LISTS = "sid long, df int, hash long, pivot long"
@@ -187,8 +195,9 @@ def _sets(docs: DataFrame, n_words: int) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, "doc_id long, h long, n long, sid long")
 
 
-def _entries(docs: DataFrame, n_words: int, percent: int, buckets: int) -> DataFrame:
-    """Prefix entries by bucket of the hash space."""
+def _entries(docs: DataFrame, n_words: int, percent: int, buckets: int, whole: bool = False) -> DataFrame:
+    """Prefix entries by bucket of the hash space; with ``whole`` all entries of the sets of blocks
+    (doc_id, text, sid, block), in lists of their own for each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -201,11 +210,17 @@ def _entries(docs: DataFrame, n_words: int, percent: int, buckets: int) -> DataF
 
         for batch in batches:
             for part in _slices(batch, 1):
-                for key, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1), n_words)):
+                given = (part.column(i).to_pylist() if whole else [None] * part.num_rows for i in (2, 3))
+                for key, s, asked, block in zip(part.column(0).to_pylist(), shingle_sets(part.column(1), n_words), *given):
                     if key is None or not len(s) or (sid := set_id(s)) in seen:
                         continue
+                    if not whole:
+                        prefix = s[:len(s) - least_overlap(len(s), percent) + extra(len(s))]
+                    elif sid == asked:
+                        prefix = s ^ _mix(np.array([block], np.int64).view(np.uint64))
+                    else:  # another text under a repeated doc_id
+                        continue
                     seen.add(sid)
-                    prefix = s[:len(s) - least_overlap(len(s), percent) + extra(len(s))]
                     hashes.append(_mix(prefix * _ODD[3]))  # small hashes spread over all buckets again
                     owners.append(sid)
                     held += len(prefix)
@@ -229,8 +244,11 @@ def _lists(entries: DataFrame) -> DataFrame:
         h = np.concatenate([np.frombuffer(a, np.uint64) for a, _ in parts])
         sid = np.concatenate([np.frombuffer(b, np.int64, len(a) // 8) for a, b in parts])
         weight = np.concatenate([np.frombuffer(b, np.uint8, offset=len(a)) for a, b in parts]).astype(np.int64)
-        order = np.argsort(h, kind="stable")
+        order = np.lexsort((sid, h))
         h, sid, weight = h[order], sid[order], weight[order]
+        # a set with copies comes from several chunks, and is on the list once
+        one = np.flatnonzero((np.diff(h, prepend=h[0] ^ np.uint64(1)) != 0) | (np.diff(sid, prepend=sid[0]) != 0))
+        h, sid, weight = h[one], sid[one], np.maximum.reduceat(weight, one)
         first = np.flatnonzero(np.diff(h, prepend=h[0] ^ np.uint64(1)))
         count = np.diff(np.append(first, len(h)))
         low, high = np.minimum.reduceat(sid, first), np.maximum.reduceat(sid, first)
@@ -290,11 +308,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _stars(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(u, v): each set with the pivots of its short lists, if it is on enough lists to link at all."""
-    on = lists.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("df", "hash", "pivot"))).alias("on"))  # a set's own prefix
+def _stars(lists: DataFrame, sizes: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """(u, v): each set with the pivots of its short lists, if it is on enough lists to link at all.
+
+    ``whole``: the lists are those of all shingles, not of prefixes.
+    """
+    # a set's own prefix; the lists that are hot in a chunk may come from several chunks
+    on = lists.groupBy("sid").agg(F.sort_array(F.collect_set(F.struct("df", "hash", "pivot"))).alias("on"))
     least = f"cast(ceil(n * {percent} / 100.0) as long)"  # least_overlap, then extra of it
-    need = f"cast(greatest(1, least({least} div 2, 64 + {least} div 16)) as int)"
+    need = f"cast({least} as int)" if whole else f"cast(greatest(1, least({least} div 2, 64 + {least} div 16)) as int)"
     got = on.join(sizes, "sid").withColumn("need", F.expr(need))
     got = got.filter(F.size("on") >= F.col("need"))
     short = F.slice("on", F.lit(1), F.size("on") - F.col("need") + 1)
@@ -342,15 +364,26 @@ class Block:
         # how many of the longest lists are only probed
         probed = min(need - 1, int(need / (0.0085 * np.log2(max(longest, 2)) + 1)))
         lists = [self._owner[self._start[t]:self._start[t + 1]] for t in tokens.tolist()]
-        found = _merge_skip([s.tolist() for s in lists[:n - probed]], need - probed)
-        found.pop(x, None)
-        if not found:
+        short, long = lists[:n - probed], lists[n - probed:]
+        if sum(map(len, short)) > DENSE:
+            times = np.bincount(np.concatenate(short), minlength=len(self.sets))
+            times[x] = 0
+            cand = np.flatnonzero(times >= need - probed)
+            count = times[cand]
+        else:
+            found = _merge_skip([s.tolist() for s in short], need - probed)
+            found.pop(x, None)
+            cand = np.array(sorted(found), np.int64)
+            count = np.array([found[c] for c in cand.tolist()], np.int64)
+        if not len(cand):
             return []
-        cand = np.array(sorted(found), np.int64)
-        count = np.array([found[c] for c in cand.tolist()], np.int64)
         fits = np.maximum(self.size[cand], n) * self.percent <= np.minimum(self.size[cand], n) * 100
         cand, count = cand[fits], count[fits]
-        for k, s in enumerate(lists[n - probed:]):
+        if len(cand) > longest >> 5:  # so many that counting whole lists is less work than searching them
+            if long:
+                count += np.bincount(np.concatenate(long), minlength=len(self.sets))[cand]
+            long = []
+        for k, s in enumerate(long):
             left = probed - k
             alive = count + left >= need
             if not alive.all():
@@ -487,8 +520,17 @@ def _only_members(texts: DataFrame, members: DataFrame) -> DataFrame:
     return texts.filter("doc_id IS NOT NULL").select("doc_id", "text", place("doc_id")).mapInArrow(run, "doc_id long, text string")
 
 
-def _blocks(docs: DataFrame, text: str, doc_id: str, n_words: int, percent: int, block_shingles: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Steps 1 to 3: the texts, each row's set, one row of each set, and the sets of blocks, dealt to shards."""
+def _in_blocks(roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """``sets`` (sid, doc_id, n, copies) that share a component of ``roots`` with another, with their ``block``."""
+    members = roots.select(F.col("node").alias("sid"), F.col("root").alias("block")).join(sets, "sid")
+    several = members.groupBy("block").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("block")
+    return members.join(several, "block").select("block", "sid", "doc_id", "n", "copies")
+
+
+def _blocks(docs: DataFrame, text: str, doc_id: str, n_words: int, percent: int, block_shingles: int,
+            whole_from: int = WHOLE) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Steps 1 to 3: the texts of the sets of blocks (and some others), each row's set, one row of each set,
+    and the sets of blocks, dealt to shards."""
     spark = docs.sparkSession
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -497,14 +539,21 @@ def _blocks(docs: DataFrame, text: str, doc_id: str, n_words: int, percent: int,
     reps = sets.filter("sid IS NOT NULL").groupBy("sid").agg(
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.count(F.lit(1)).alias("copies"))
 
-    entries = _entries(texts, n_words, percent, 8 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    roots = components(_stars(_lists(entries), reps.select("sid", "n"), percent), "join-blocks")
-    members = roots.select(F.col("node").alias("sid"), F.col("root").alias("block")).join(reps, "sid")
-    sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).filter("sets > 1")
-    sizes = sizes.select("block", F.ceil(F.col("shingles") / block_shingles).cast("int").alias("shards"))
+    def lists(rows: DataFrame, whole: bool) -> DataFrame:
+        return _lists(_entries(rows, n_words, percent, 8 * parts, whole).repartition(parts, "bucket").sortWithinPartitions("bucket"))
+
+    roots = components(_stars(lists(texts, False), reps.select("sid", "n"), percent), "join-blocks")
+    members = saved(_in_blocks(roots, reps), "join-members")
+    wanted = saved(_only_members(texts, members), "join-texts")
+    large = members.groupBy("block").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") > whole_from).select("block")
+    of_large = saved(members.join(large, "block"), "join-large")
+    if not of_large.isEmpty():
+        rows = wanted.join(of_large.select("doc_id", "sid", "block"), "doc_id").select("doc_id", "text", "sid", "block")
+        roots = components(_stars(lists(rows, True), of_large.select("sid", "n"), percent, True), "join-whole")
+        members = members.join(of_large.select("sid"), "sid", "left_anti").unionByName(_in_blocks(roots, of_large.drop("block")))
+    sizes = members.groupBy("block").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("shards"))
     members = members.join(sizes, "block").withColumn("shard", F.pmod(F.xxhash64("sid"), F.col("shards")).cast("int"))
-    members = saved(members, "join-members")
-    return texts, sets, reps, members
+    return wanted, sets, reps, saved(members, "join-members")
 
 
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
@@ -512,10 +561,9 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: i
     """doc_id, n_shingles, component_id of every row of ``docs``; further set_id (null: no part in links),
     component (set_id that stands for it) and text_hash."""
     texts, sets, reps, members = _blocks(docs, text, doc_id, n_words, percent, block_shingles)
-    wanted = _only_members(texts, members)
 
     def with_text(rows: DataFrame) -> DataFrame:
-        return wanted.join(rows, "doc_id").select("block", "shard", "part", "sid", "ask", "text")
+        return texts.join(rows, "doc_id").select("block", "shard", "part", "sid", "ask", "text")
 
     plain = members.select("block", "shard", F.lit(0).alias("part"), "sid", F.lit(False).alias("ask"), "doc_id")
     large = members.filter("shards > 1")
@@ -554,13 +602,13 @@ def _across_shards(large: DataFrame, found: DataFrame, with_text, n_words: int,
     return saved(_search(with_text(asked.unionAll(against)), n_words, percent, True), "join-across")
 
 
-def _every_link(texts: DataFrame, members: DataFrame, n_words: int, percent: int, asked: int, emit, schema: str) -> DataFrame:
+def _every_link(texts: DataFrame, members: DataFrame, n_words: int, percent: int, parts: DataFrame, emit, schema: str) -> DataFrame:
     """The rows of ``emit(block, links, held)``, longs, for each task: block, its links (sid, sids) and the copies by sid of its shard.
 
-    Every set of a block asks every shard of it, in parts of some ``asked`` queries, so a task holds a
-    shard and a part and its work is bounded however large the block.
+    Every set of a block asks every shard of it, in the ``parts`` of the block, so a task holds a shard and
+    a part, however large the block.
     """
-    dealt = members.join(_parts(members, asked), "block").withColumn("own", F.pmod(F.xxhash64("sid", F.lit(2)), F.col("parts")).cast("int"))
+    dealt = members.join(parts, "block").withColumn("own", F.pmod(F.xxhash64("sid", F.lit(2)), F.col("parts")).cast("int"))
     # shards + parts - 1 places: its part in every shard, and its shard's other parts
     dealt = dealt.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("shards") + F.col("parts") - 2)))
     asks = F.col("at") < F.col("shards")
@@ -569,7 +617,7 @@ def _every_link(texts: DataFrame, members: DataFrame, n_words: int, percent: int
         "block", F.when(asks, F.col("at")).otherwise(F.col("shard")).alias("place"),
         F.when(asks, F.col("own")).otherwise(other + (other >= F.col("own")).cast("int")).alias("part"), "sid", asks.alias("ask"), "doc_id",
         F.when(~asks | (F.col("at") == F.col("shard")), F.col("copies")).alias("held")).withColumnRenamed("place", "shard")
-    rows = _only_members(texts, members).join(dealt, "doc_id").select("block", "shard", "part", "sid", "ask", "text", "held")
+    rows = texts.join(dealt, "doc_id").select("block", "shard", "part", "sid", "ask", "text", "held")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -594,8 +642,10 @@ def _every_link(texts: DataFrame, members: DataFrame, n_words: int, percent: int
     return rows.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def _parts(members: DataFrame, asked: int) -> DataFrame:
-    return members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / asked).cast("int").alias("parts"))
+def _parts(members: DataFrame, asked: int, block_shingles: int) -> DataFrame:
+    """Parts of each block's queries: of some ``asked`` sets, ``PARTS`` at most, but none of more than a third of a shard."""
+    some = F.least(F.lit(PARTS), F.ceil(F.count(F.lit(1)) / asked))
+    return members.groupBy("block").agg(F.greatest(some, F.ceil(3 * F.sum("n") / block_shingles) - 2).cast("int").alias("parts"))
 
 
 def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
@@ -610,7 +660,7 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words:
     def emit(block: int, linked, held: dict[int, int]) -> Iterator[tuple[int, ...]]:
         return ((sid, y) for sid, ys in linked for y in ys if y > sid and y in held)
 
-    return _every_link(texts, members, n_words, percent, asked, emit, "u long, v long")
+    return _every_link(texts, members, n_words, percent, _parts(members, asked, block_shingles), emit, "u long, v long")
 
 
 def join_counted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_words: int = N_WORDS, percent: int = PERCENT,
@@ -640,9 +690,10 @@ def join_counted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_
             count[sid] = len(near), sum(near)
         return ((block, s, find(s), *count.get(s, (0, 0))) for s in root)
 
-    found = saved(_every_link(texts, members, n_words, percent, asked, emit, "block long, sid long, root long, n_sets long, n_rows long"), "join-counted")
+    parts = _parts(members, asked, block_shingles)
+    found = saved(_every_link(texts, members, n_words, percent, parts, emit, "block long, sid long, root long, n_sets long, n_rows long"), "join-counted")
     counted = found.groupBy("sid").agg(F.sum("n_sets").alias("n_sets"), F.sum("n_rows").alias("n_rows"), F.min("root").alias("root"))
-    several = members.join(_parts(members, asked), "block").filter("shards * parts > 1").select("block").distinct()
+    several = members.join(parts, "block").filter("shards * parts > 1").select("block").distinct()
     edges = saved(found.join(several, "block", "left_semi").select(F.col("sid").alias("u"), F.col("root").alias("v")), "join-edges")
     if not edges.isEmpty():  # blocks of several tasks
         whole = components(edges, "join-components").select(F.col("node").alias("sid"), F.col("root").alias("whole"))

@@ -170,3 +170,70 @@ def test_query_and_empty_table(spark, tmp_path):
     assert queries.op1_ngram_jaccard_join(spark, sf(tmp_path / "a", documents=documents(spark, []))).count() == 0
     d = sf(tmp_path / "b", documents=documents(spark, [(4, "a b c d e f"), (2, "A b c d e f"), (9, None)]))
     assert sorted(map(tuple, queries.op1_ngram_jaccard_join(spark, d).collect())) == [(2, 2, 2, 1), (4, 2, 2, 1), (9, 0, 9, 0)]
+
+
+def shared_sentences(rng, n, lines=40):
+    """Texts that share sentences with many others, a part of each being its own: none links with another."""
+    pool = [random_text(rng, 30) for _ in range(lines)]
+    return [(i, "\n".join(rng.sample(pool, 4) + [random_text(rng, 26)])) for i in range(n)]
+
+
+def test_sets_that_only_share_sentences_leave_large_blocks(spark):
+    rng = random.Random(21)
+    base = random_text(rng, 100)
+    rows = shared_sentences(rng, 120) + [(200 + i, edit(rng, base, 1)) for i in range(40)]
+    df = documents(spark, rows)
+    loose = J._blocks(df, "text", "doc_id", 5, 80, J.BLOCK_SHINGLES)[3]
+    assert loose.filter("doc_id < 200").count() > 100  # below the size from which blocks are listed again
+    finer = J._blocks(df, "text", "doc_id", 5, 80, J.BLOCK_SHINGLES, whole_from=30)[3]
+    assert {r["doc_id"] // 200 for r in finer.collect()} == {1} and finer.count() == len({frozenset(shingles(t)) for i, t in rows if i >= 200})
+
+
+def test_blocks_listed_again_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(22)
+    base = random_text(rng, 150)
+    rows = [(1000 + i, edit(rng, base, rng.choice([0, 1, 2, 3, 6, 9]))) for i in range(50)] + shared_sentences(rng, 40) + corpus(4, 6)
+    real = J._blocks
+    monkeypatch.setattr(J, "_blocks", lambda *a: real(*a, whole_from=3))
+    assert result(spark, rows) == brute(rows)
+    counts, _ = brute_links(rows)
+    got = J.join_counted(clashing(documents(spark, rows)), block_shingles=900, asked=7).collect()
+    assert Counter((r["doc_id"], r["n_links"], r["n_linked_sets"]) for r in got) == counts
+
+
+def test_a_set_with_copies_is_on_a_list_once(spark):
+    rng = random.Random(23)
+    base = random_text(rng, 60)
+    texts = [base, edit(rng, base, 1), edit(rng, base, 2)] * 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(12, "doc_id")
+    J.ship(spark)
+    lists = J._lists(J._entries(df, 5, 80, 4).repartition(4, "bucket").sortWithinPartitions("bucket")).collect()
+    assert lists and max(Counter((r["sid"], r["hash"]) for r in lists).values()) == 1
+    assert max(r["df"] for r in lists) == len(set(texts))
+
+
+def test_a_set_goes_to_few_tasks(spark):
+    """A large group's parts are of more queries, not more of them; parts of more than a third of a shard are dealt further."""
+    members = spark.range(20000).selectExpr("1L AS block", "id AS sid", "400L AS n").unionAll(spark.range(600).selectExpr("2L", "id", "40L"))
+    got = dict(map(tuple, J._parts(members, J.ASKED, J.BLOCK_SHINGLES).collect()))
+    assert got == {1: max(J.PARTS, 6), 2: 3}
+    assert dict(map(tuple, J._parts(members, J.ASKED, 900_000).collect()))[1] == 25
+
+
+def test_dense_lists_are_counted_exactly():
+    rng = random.Random(24)
+    import pyarrow as pa
+
+    base = random_text(rng, 200)
+    sets = J.shingle_sets(pa.array([edit(rng, base, rng.choice([1, 2, 4, 8])) for _ in range(150)] + [random_text(rng, 40) for _ in range(50)]))
+    block = J.Block(sets)
+    for i, x in enumerate(sets):
+        assert block.links(i) == [j for j, y in enumerate(sets) if j != i and 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))]
+
+
+def test_shuffle_files_go_with_the_job_that_is_saved(spark):
+    from curbwise.llm.common import CLEAN_UP, saved
+
+    before = spark.conf.get(CLEAN_UP)
+    got = saved(spark.range(1000).selectExpr("id % 7 AS k").repartition(5, "k").groupBy("k").count(), "files")
+    assert got.count() == 7 and spark.conf.get(CLEAN_UP) == before
