@@ -63,7 +63,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from curbwise.llm.common import free_name, saved, ship, words
+from curbwise.llm.common import drop_garbage, free_name, saved, ship, words
 
 N_WORDS = 5
 PERCENT = 80
@@ -281,16 +281,24 @@ def _lists(entries: DataFrame) -> DataFrame:
 
 # --- step 3: blocks -----------------------------------------------------------------------------
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u of the distinct edges (u, v), v < u, has one edge and is no v."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionAll(edges.select("v", F.lit(0)))
+    count = F.sum("up").alias("ups"), F.count(F.lit(1)).alias("all")
+    return ends.groupBy("node").agg(*count).filter("ups > 1 OR (ups = 1 AND all > 1)").isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root): the smallest node of each node's component of the edges (u, v).
 
-    Large-star and small-star in turns until nothing changes; each round is
-    written to the shared folder. Minima are combined in the map tasks, so a hub
-    costs no more than its edges.
+    Large-star and small-star in turns until every node has one edge, to a node
+    that has none itself; each round is written to the shared folder. Minima are
+    combined in the map tasks, so a hub costs no more than its edges.
     """
+    spark = edges.sparkSession
     now = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now, before = saved(now, name), None
-    while True:
+    now = saved(now, name)
+    while not _are_stars(now):
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # saved, so that the join's sides are plain exchanges and Spark splits a hub's edges
         least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), name)
@@ -300,10 +308,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         least = saved(large.groupBy("u").agg(F.min("v").alias("m")), name)  # now every v is smaller than its u
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
         now = saved(small.filter("u <> v").distinct(), name)
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+    drop_garbage(spark)
     roots = now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
 
@@ -498,18 +503,25 @@ def _search(rows: DataFrame, n_words: int, percent: int, only_asked: bool) -> Da
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, "block long, u long, v long")
 
 
+def _filter_bits(members: int) -> int:
+    """Places of the bit set: sixteen a member and more, at most ``FILTER_BITS`` (8 MB)."""
+    return min(FILTER_BITS, 1 << max(16, (16 * members).bit_length()))
+
+
 def _only_members(texts: DataFrame, members: DataFrame) -> DataFrame:
     """The texts whose doc_id may be a member's: those of single sets need not be shuffled.
 
-    A bit set of fixed size (``FILTER_BITS``, 8 MB) goes to the tasks, however
-    many members there are; texts that pass it by chance fall out in the join.
+    A bit set goes to the tasks, of 8 MB at most however many members there
+    are; texts that pass it by chance fall out in the join.
     """
+    size = _filter_bits(members.count())
+
     def place(doc_id: str):
-        return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+        return F.pmod(F.xxhash64(doc_id), F.lit(size))
 
     at = members.select(place("doc_id").alias("at"))
     words = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("b")).toArrow()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits = np.zeros(size // 64, np.int64)
     bits[words.column("w").to_numpy()] = words.column("b").to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -593,7 +605,8 @@ def _across_shards(large: DataFrame, found: DataFrame, with_text, n_words: int,
     counts = named.groupBy("block", "root").agg(F.count(F.lit(1)).alias("c"))
     main = counts.groupBy("block").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
     outside = named.join(main, "block").filter("root <> main").drop("main")
-    some = outside.groupBy("block").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("parts"))
+    # a task holds a shard and a part
+    some = outside.groupBy("block").agg(F.ceil(3 * F.sum("n") / block_shingles).cast("int").alias("parts"))
     asked = outside.join(some, "block").select(
         "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
         F.pmod(F.xxhash64("sid", F.lit(1)), F.col("parts")).cast("int").alias("part"), "sid", F.lit(True).alias("ask"), "doc_id")

@@ -237,3 +237,18 @@ def test_shuffle_files_go_with_the_job_that_is_saved(spark):
     before = spark.conf.get(CLEAN_UP)
     got = saved(spark.range(1000).selectExpr("id % 7 AS k").repartition(5, "k").groupBy("k").count(), "files")
     assert got.count() == 7 and spark.conf.get(CLEAN_UP) == before
+
+
+def test_bit_set_follows_the_members():
+    assert [J._filter_bits(n) for n in (0, 5000, 500_000)] == [1 << 16, 1 << 17, 1 << 23] and J._filter_bits(10 ** 9) == J.FILTER_BITS
+
+
+def test_components_of_stars_take_no_round(spark):
+    import os
+
+    from curbwise.llm.common import shared_folder
+
+    edges = spark.createDataFrame([(i, i % 3) for i in range(3, 60)], "u long, v long")
+    got = dict(map(tuple, J.components(edges, "stars-test").collect()))
+    assert got == {i: i % 3 for i in range(60)}
+    assert sum(f.startswith("stars-test") for f in os.listdir(f"{shared_folder(spark)}/llm".removeprefix("file://"))) == 1
